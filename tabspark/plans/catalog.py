@@ -10,7 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabspark.contract import CENSUS, TrainingConfig
+from pyspark.sql import functions as F
+
+from tabspark.contract import CENSUS_NUMERIC_FEATURES
 from tabspark.operators import clean as cl
+from tabspark.operators import evaluate as ev
+from tabspark.operators import features as fe
+from tabspark.operators import gates as ga
+from tabspark.operators import score as sc
+from tabspark.operators import split as sp
 from tabspark.operators import validate as va
 from tabspark.plans import oracle
 from tabspark.sources import fixtures as fx
@@ -45,6 +53,82 @@ def q_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.class_presence(fx.acs_raw(spark, sf_dir), "PINCP", CFG.target_income_threshold)
 
 
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp.label(cl.clean(fx.acs_raw(spark, sf_dir), CONTRACT), "PINCP", CFG.target_income_threshold)
+
+
+def splitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp.split(labelled(spark, sf_dir), CFG.random_seed, CFG.fractions, "TARGET", key=["k"])
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split rows with a deterministic stand-in score (ties on purpose)."""
+    return splitted(spark, sf_dir).select(
+        "split", "TARGET", "k", (((F.col("k") * 7919) % 1000).cast("double") / 1000).alias("score"))
+
+
+def q_label(spark, sf_dir):
+    return labelled(spark, sf_dir)
+
+
+def q_split_sizes(spark, sf_dir):
+    return sp.split_sizes(splitted(spark, sf_dir))
+
+
+def q_split_members(spark, sf_dir):
+    return splitted(spark, sf_dir).select("k", "TARGET", "split")
+
+
+def q_vocabulary(spark, sf_dir):
+    train = splitted(spark, sf_dir).where(F.col("split") == "train")
+    return fe.vocabulary_frame(train, "STATE")
+
+
+def q_one_hot(spark, sf_dir):
+    data = splitted(spark, sf_dir)
+    enc = fe.FeatureEncoder.fit(data.where(F.col("split") == "train"), CENSUS_NUMERIC_FEATURES, "STATE")
+    return enc.long_form(data, keep=["k", "split"])
+
+
+def q_confusion_metrics(spark, sf_dir):
+    return ev.confusion(scored(spark, sf_dir), "TARGET", "score", ["split"], CFG.threshold)
+
+
+def q_roc_auc_ap(spark, sf_dir):
+    r = ev.rank_metrics(scored(spark, sf_dir), "TARGET", "score", ["split"])
+    return r.withColumn("average_precision", F.round("average_precision", 10))
+
+
+def _split_metrics(spark, sf_dir):
+    m = ev.binary_metrics(scored(spark, sf_dir), "TARGET", "score", ["split"], CFG.threshold)
+    return m.withColumn("average_precision", F.round("average_precision", 10))
+
+
+def q_metrics_long(spark, sf_dir):
+    return ev.metrics_long(_split_metrics(spark, sf_dir), "split")
+
+
+def _request_perf(spark, sf_dir):
+    return ev.latency_stats(fx.telemetry(spark, sf_dir, "requests"), "DurationMs")
+
+
+def q_latency_percentiles(spark, sf_dir):
+    out = ev.latency_stats(fx.telemetry(spark, sf_dir, "requests"), "DurationMs", by=["Name"])
+    return out.withColumns({c: F.round(c, 6) for c in (
+        "throughput_rows_per_sec", "p50_latency_ms", "p95_latency_ms", "p99_latency_ms")})
+
+
+def q_gate_decision(spark, sf_dir):
+    return ga.gate(_split_metrics(spark, sf_dir), _request_perf(spark, sf_dir), CFG, "split",
+                   registration_enabled=True)
+
+
+def q_score_parity(spark, sf_dir):
+    s = scored(spark, sf_dir)
+    exported = s.select("k", F.col("score").cast("float").cast("double").alias("score"))
+    return sc.score_parity(s.select("k", "score"), exported, "k")
+
+
 QUERIES: dict[str, Query] = {
     "clean_waterfall": q_clean_waterfall,
     "clean_rows": q_clean_rows,
@@ -52,6 +136,17 @@ QUERIES: dict[str, Query] = {
     "duplicate_rate": q_duplicate_rate,
     "pattern_range_violations": q_pattern_range_violations,
     "class_counts": q_class_counts,
+    "label": q_label,
+    "split_sizes": q_split_sizes,
+    "split_members": q_split_members,
+    "vocabulary": q_vocabulary,
+    "one_hot": q_one_hot,
+    "confusion_metrics": q_confusion_metrics,
+    "roc_auc_ap": q_roc_auc_ap,
+    "metrics_long": q_metrics_long,
+    "latency_percentiles": q_latency_percentiles,
+    "gate_decision": q_gate_decision,
+    "score_parity": q_score_parity,
 }
 
 ORACLE: dict[str, str] = {
@@ -61,4 +156,15 @@ ORACLE: dict[str, str] = {
     "duplicate_rate": oracle.duplicate_rate(),
     "pattern_range_violations": oracle.pattern_range_violations(),
     "class_counts": oracle.class_counts(),
+    "label": oracle.label(),
+    "split_sizes": oracle.split_sizes(),
+    "split_members": oracle.split_members(),
+    "vocabulary": oracle.vocabulary(),
+    "one_hot": oracle.one_hot(),
+    "confusion_metrics": oracle.confusion_metrics(),
+    "roc_auc_ap": oracle.roc_auc_ap(),
+    "metrics_long": oracle.metrics_long(),
+    "latency_percentiles": oracle.latency_percentiles(),
+    "gate_decision": oracle.gate_decision(),
+    "score_parity": oracle.score_parity(),
 }

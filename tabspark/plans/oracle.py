@@ -121,3 +121,141 @@ def class_counts() -> str:
             f"count(*) FILTER (WHERE TRY_CAST(PINCP AS DOUBLE) < {t}) AS below, "
             f"count(*) FILTER (WHERE TRY_CAST(PINCP AS DOUBLE) >= {t}) > 0 AND "
             f"count(*) FILTER (WHERE TRY_CAST(PINCP AS DOUBLE) < {t}) > 0 AS both_present FROM raw")
+
+
+# ----------------------------------------------------------------------------
+# labelling, split, features, evaluation
+# ----------------------------------------------------------------------------
+SCORE_SQL = "CAST((k * 7919) % 1000 AS DOUBLE) / 1000"
+
+
+def split_ctes() -> list[str]:
+    t = CFG.target_income_threshold
+    f = CFG.fractions
+    parts = ", ".join(f"({i}, '{n}', {x!r})" for i, (n, x) in enumerate(zip(("train", "validation", "test"), f)))
+    return [
+        f"lab AS (SELECT *, CAST(CASE WHEN TRY_CAST(PINCP AS DOUBLE) >= {t} THEN 1 ELSE 0 END AS BIGINT) AS TARGET FROM clean)",
+        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY TARGET ORDER BY md5(concat_ws('|', '{SEED}', CAST(k AS VARCHAR)))) - 1 AS rk FROM lab)",
+        "classes AS (SELECT TARGET, count(*) AS n FROM lab GROUP BY TARGET)",
+        f"parts AS (SELECT * FROM (VALUES {parts}) p(i, name, f))",
+        "alloc AS (SELECT c.TARGET, p.i, p.name, c.n, floor(CAST(p.f AS DOUBLE) * c.n) AS fl, "
+        "CAST(p.f AS DOUBLE) * c.n - floor(CAST(p.f AS DOUBLE) * c.n) AS rm FROM classes c CROSS JOIN parts p)",
+        "alloc2 AS (SELECT *, n - sum(fl) OVER (PARTITION BY TARGET) AS rem, "
+        "row_number() OVER (PARTITION BY TARGET ORDER BY rm DESC, i) - 1 AS pos FROM alloc)",
+        "cnt AS (SELECT TARGET, i, name, fl + CASE WHEN pos < rem THEN 1 ELSE 0 END AS c FROM alloc2)",
+        "cuts AS (SELECT TARGET, name, sum(c) OVER (PARTITION BY TARGET ORDER BY i) - c AS lo, "
+        "sum(c) OVER (PARTITION BY TARGET ORDER BY i) AS hi FROM cnt)",
+        "splitted AS (SELECT r.* EXCLUDE (rk), cuts.name AS split FROM ranked r JOIN cuts "
+        "ON r.TARGET = cuts.TARGET AND r.rk >= cuts.lo AND r.rk < cuts.hi)",
+        f"scored AS (SELECT split, TARGET, k, {SCORE_SQL} AS score FROM splitted)",
+    ]
+
+
+def with_split(body: str, extra: list[str] | None = None) -> str:
+    return with_clean(body, split_ctes() + (extra or []))
+
+
+def label() -> str:
+    return with_split("SELECT * FROM lab")
+
+
+def split_sizes() -> str:
+    return with_split("SELECT split, TARGET, count(*) AS rows FROM splitted GROUP BY split, TARGET")
+
+
+def split_members() -> str:
+    return with_split("SELECT k, TARGET, split FROM splitted")
+
+
+VOCAB_CTE = ("vocab AS (SELECT STATE, CAST(row_number() OVER (ORDER BY STATE) - 1 AS INTEGER) AS idx "
+             "FROM (SELECT DISTINCT STATE FROM splitted WHERE split = 'train' AND STATE IS NOT NULL))")
+
+
+def vocabulary() -> str:
+    return with_split("SELECT STATE, idx AS index FROM vocab", [VOCAB_CTE])
+
+
+def one_hot() -> str:
+    parts = [f"SELECT k, split, {i} AS feature_index, '{c}' AS feature, CAST(TRY_CAST({c} AS DOUBLE) AS FLOAT) AS value FROM splitted"
+             for i, c in enumerate(CENSUS_NUMERIC_FEATURES)]
+    n = len(CENSUS_NUMERIC_FEATURES)
+    parts.append(f"SELECT s.k, s.split, CAST({n} + v.idx AS INTEGER) AS feature_index, concat('STATE__', v.STATE) AS feature, "
+                 "CAST(CASE WHEN s.STATE = v.STATE THEN 1.0 ELSE 0.0 END AS FLOAT) AS value FROM splitted s CROSS JOIN vocab v")
+    return with_split(" UNION ALL ".join(parts), [VOCAB_CTE])
+
+
+CONFUSION_CTE = (
+    "conf AS (SELECT split, count(*) FILTER (WHERE TARGET = 0 AND NOT score >= 0.5) AS tn, "
+    "count(*) FILTER (WHERE TARGET = 0 AND score >= 0.5) AS fp, "
+    "count(*) FILTER (WHERE TARGET = 1 AND NOT score >= 0.5) AS fn, "
+    "count(*) FILTER (WHERE TARGET = 1 AND score >= 0.5) AS tp, count(*) AS row_count FROM scored GROUP BY split)")
+CONF_SELECT = (
+    "split, tn, fp, fn, tp, row_count, "
+    "CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision, "
+    "CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall, "
+    "CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END AS f1, "
+    "CASE WHEN row_count = 0 THEN 0.0 ELSE CAST(tp + tn AS DOUBLE) / row_count END AS accuracy")
+RANK_CTES = [
+    "sc AS (SELECT split, score, sum(TARGET) AS np, count(*) - sum(TARGET) AS nn FROM scored GROUP BY split, score)",
+    "cum AS (SELECT *, sum(np) OVER (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tpc, "
+    "sum(nn) OVER (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fpc, "
+    "sum(np) OVER (PARTITION BY split) AS totp, sum(nn) OVER (PARTITION BY split) AS totn FROM sc)",
+    "rnk AS (SELECT split, CASE WHEN totp > 0 AND totn > 0 THEN CAST(sum(nn * (2 * (tpc - np) + np)) AS DOUBLE) / "
+    "(CAST(2 AS DOUBLE) * totp * totn) ELSE 0.5 END AS roc_auc, "
+    "round(CASE WHEN totp > 0 AND totn > 0 THEN sum(CAST(np AS DOUBLE) * tpc / (tpc + fpc)) / totp "
+    "ELSE CAST(totp AS DOUBLE) / (totp + totn) END, 10) AS average_precision FROM cum GROUP BY split, totp, totn)",
+]
+
+
+def confusion_metrics() -> str:
+    return with_split(f"SELECT {CONF_SELECT} FROM conf", [CONFUSION_CTE])
+
+
+def roc_auc_ap() -> str:
+    return with_split("SELECT split, roc_auc, average_precision FROM rnk", RANK_CTES)
+
+
+METRIC_NAMES = ("roc_auc", "average_precision", "f1", "precision", "recall", "accuracy",
+                "tn", "fp", "fn", "tp", "row_count")
+
+
+def metrics_long() -> str:
+    ctes = [CONFUSION_CTE, f"conf2 AS (SELECT {CONF_SELECT} FROM conf)", *RANK_CTES,
+            "allm AS (SELECT c.*, r.roc_auc, r.average_precision FROM conf2 c JOIN rnk r ON c.split = r.split)"]
+    parts = [f"SELECT concat(split, '_{m}') AS metric, CAST({m} AS DOUBLE) AS value FROM allm" for m in METRIC_NAMES]
+    return with_split(" UNION ALL ".join(parts), ctes)
+
+
+def gate_decision() -> str:
+    g = CFG
+    ctes = [CONFUSION_CTE, f"conf2 AS (SELECT {CONF_SELECT} FROM conf)", *RANK_CTES,
+            "allm AS (SELECT c.*, r.roc_auc, r.average_precision FROM conf2 c JOIN rnk r ON c.split = r.split)",
+            f"req AS ({fx.telemetry_sql('requests')})",
+            "perf AS (SELECT quantile_cont(DurationMs, 0.95) AS p95, count(*) / (sum(DurationMs) / 1000.0) AS tput FROM req)",
+            f"q AS (SELECT a.split, a.roc_auc >= {g.min_auc} AND a.f1 >= {g.min_f1} AND a.precision >= {g.min_precision} "
+            f"AND a.recall >= {g.min_recall} AS quality_passed, "
+            f"coalesce(p.p95 <= {g.max_p95_latency_ms} AND p.tput >= {g.min_throughput_rows_per_sec}, false) AS performance_passed "
+            "FROM allm a, perf p)"]
+    return with_split(
+        "SELECT split, quality_passed, performance_passed, quality_passed AND performance_passed AS register, "
+        "CASE WHEN NOT quality_passed THEN 'quality_thresholds_not_met' "
+        "WHEN NOT performance_passed THEN 'performance_thresholds_not_met' ELSE NULL END AS skip_reason FROM q", ctes)
+
+
+def latency_percentiles() -> str:
+    return (f"WITH req AS ({fx.telemetry_sql('requests')}) SELECT Name, count(*) AS runs, "
+            "round(count(*) / (sum(DurationMs) / 1000.0), 6) AS throughput_rows_per_sec, "
+            "round(quantile_cont(DurationMs, 0.5), 6) AS p50_latency_ms, round(quantile_cont(DurationMs, 0.95), 6) AS p95_latency_ms, "
+            "round(quantile_cont(DurationMs, 0.99), 6) AS p99_latency_ms FROM req GROUP BY Name")
+
+
+def score_parity() -> str:
+    return with_split(
+        "SELECT count(a.k) AS rows_a, count(b.k) AS rows_b, count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NOT NULL) AS matched, "
+        "count(*) FILTER (WHERE a.k IS NULL) AS missing_in_a, count(*) FILTER (WHERE b.k IS NULL) AS missing_in_b, "
+        "count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NOT NULL AND (isnan(a.p) OR isinf(a.p) OR isnan(b.p) OR isinf(b.p))) AS nonfinite, "
+        "max(abs(a.p - b.p)) AS max_abs_diff, "
+        "count(*) FILTER (WHERE a.k IS NULL OR b.k IS NULL) = 0 AND coalesce(max(abs(a.p - b.p)), 0) <= 0.001 "
+        "AND count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NOT NULL AND (isnan(a.p) OR isinf(a.p) OR isnan(b.p) OR isinf(b.p))) = 0 AS passed "
+        "FROM (SELECT k, score AS p FROM scored) a FULL OUTER JOIN "
+        "(SELECT k, CAST(CAST(score AS FLOAT) AS DOUBLE) AS p FROM scored) b ON a.k = b.k")
