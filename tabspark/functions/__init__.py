@@ -10,9 +10,9 @@ from tabspark.functions.columns import (
     sum_where,
     ts_lit,
 )
-from tabspark.functions.quantiles import exact_percentiles, percentile_expr
+from tabspark.functions.quantiles import exact_mean, exact_percentiles, percentile_expr
 
 __all__ = [
     "any_null", "count_where", "lenient", "normalize_code", "order_key",
-    "safe_ratio", "sum_where", "ts_lit", "exact_percentiles", "percentile_expr",
+    "safe_ratio", "sum_where", "ts_lit", "exact_mean", "exact_percentiles", "percentile_expr",
 ]

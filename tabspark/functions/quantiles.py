@@ -13,20 +13,49 @@ task. ``exact_percentiles`` instead
    them,
 5. interpolates linearly between the two ranks around ``p * (n - 1)``.
 
-The interpolation is ``lo + (hi - lo) * frac`` (the same formula DuckDB's
-``quantile_cont`` uses). ``method="approx"`` switches to Spark's bounded-memory
-``percentile_approx`` sketch.
+The position ``p * (n - 1)`` and the interpolation ``lo + (hi - lo) * frac``
+are evaluated in fixed-point decimal and rounded HALF_UP, so the result is
+exact and does not depend on task order. ``method="approx"`` switches to
+Spark's bounded-memory ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Sub-buckets per power of two; bucket width is 2**(1/64) - 1, about 1.1 %.
 _RESOLUTION = 64
+# Fixed-point type for exact interpolation and means (9 decimals, < 1e15).
+VALUE_DEC = "decimal(24,9)"
+
+
+def _p_literal(p: float) -> tuple[str, int]:
+    """Exact decimal text of a probability and its number of decimals."""
+    d = Decimal(repr(float(p))).normalize()
+    digits = max(0, -d.as_tuple().exponent)
+    if digits > 8:
+        raise ValueError(f"percentile {p} has more than 8 decimals")
+    return format(d, "f"), digits
+
+
+def exact_mean(value: str | Column, decimals: int = 9) -> Column:
+    """Mean in fixed point: exact sum of 9-decimal values, rounded HALF_UP.
+
+    Unlike a double average it does not depend on the order in which tasks
+    add their partial sums, so it is the same on every run and every engine.
+    """
+    c = F.col(value) if isinstance(value, str) else value
+    return F.round(F.avg(c.cast("double").cast(VALUE_DEC)), decimals).cast("double")
+
+
+def exact_sum(value: str | Column) -> Column:
+    """Order-independent sum: 9-decimal fixed point, returned as double."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.sum(c.cast("double").cast(VALUE_DEC)).cast("double")
 
 
 def value_bucket(v: Column) -> Column:
@@ -62,11 +91,14 @@ def exact_percentiles(
     value: str | Column,
     ps: Mapping[str, float],
     method: str = "exact",
+    decimals: int = 9,
 ) -> DataFrame:
     """One row per group of ``by`` with one column per entry of ``ps``.
 
-    Null values are ignored; groups whose values are all null are absent
-    (callers left-join onto their other aggregates).
+    Ranks ``p * (n - 1)`` and the interpolation are computed in fixed-point
+    decimal and rounded HALF_UP to ``decimals`` (at most 9), so results are
+    exact and reproducible. Null values are ignored; groups whose values are
+    all null are absent (callers left-join onto their other aggregates).
     """
     by = list(by)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
@@ -92,11 +124,16 @@ def exact_percentiles(
     # wanted ranks per group: floor and ceil of p*(n-1) for every p
     wanted = []
     for i, name in enumerate(names):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(ps[name]))
+        text, digits = _p_literal(ps[name])
+        p_dec = F.lit(text).cast(f"decimal({digits + 1},{digits})")
+        pos = (F.col("_n") - 1).cast("decimal(20,0)") * p_dec
+        lo_r = F.floor(pos).cast("long")
+        frac = (pos - F.floor(pos)).cast("decimal(10,8)")
+        hi_r = F.when(frac > 0, lo_r + 1).otherwise(lo_r)
         wanted.append(F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"),
-                               F.floor(pos).alias("r"), (pos - F.floor(pos)).alias("frac")))
+                               lo_r.alias("r"), frac.alias("frac")))
         wanted.append(F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"),
-                               F.ceil(pos).alias("r"), (pos - F.floor(pos)).alias("frac")))
+                               hi_r.alias("r"), frac.alias("frac")))
     targets = (
         buckets.select(*by, "_b", "_start", "_end",
                        F.explode(F.array(*wanted)).alias("t"))
@@ -121,8 +158,8 @@ def exact_percentiles(
     # 5: interpolate
     aggs = []
     for i, name in enumerate(names):
-        lo = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 0), F.col("_v")))
-        hi = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 1), F.col("_v")))
+        lo = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 0), F.col("_v"))).cast(VALUE_DEC)
+        hi = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 1), F.col("_v"))).cast(VALUE_DEC)
         frac = F.max(F.when(F.col("_i") == i, F.col("_frac")))
-        aggs.append((lo + (hi - lo) * frac).alias(name))
+        aggs.append(F.round(lo + (hi - lo) * frac, decimals).cast("double").alias(name))
     return picked.groupBy(*by).agg(*aggs)

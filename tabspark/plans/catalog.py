@@ -14,13 +14,18 @@ from pyspark.sql import functions as F
 
 from tabspark.contract import CENSUS_NUMERIC_FEATURES
 from tabspark.operators import clean as cl
+from tabspark.operators import alerts as al
 from tabspark.operators import evaluate as ev
+from tabspark.operators import findings as fi
+from tabspark.operators import telemetry as te
+from tabspark.sources import logs as lg
 from tabspark.operators import features as fe
 from tabspark.operators import gates as ga
 from tabspark.operators import score as sc
 from tabspark.operators import split as sp
 from tabspark.operators import validate as va
 from tabspark.plans import oracle
+from tabspark.session import materialize
 from tabspark.sources import fixtures as fx
 
 CONTRACT = CENSUS.with_passthrough("k")
@@ -58,7 +63,11 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def splitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sp.split(labelled(spark, sf_dir), CFG.random_seed, CFG.fractions, "TARGET", key=["k"])
+    """Clean, labelled, split rows. The clean frame is written once to the
+    shared checkpoint folder (the split reads it three times), and so is the
+    split table (downstream queries read it more than once)."""
+    clean = materialize(labelled(spark, sf_dir), "clean")
+    return materialize(sp.split(clean, CFG.random_seed, CFG.fractions, "TARGET", key=["k"]), "split")
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,8 +123,7 @@ def _request_perf(spark, sf_dir):
 
 def q_latency_percentiles(spark, sf_dir):
     out = ev.latency_stats(fx.telemetry(spark, sf_dir, "requests"), "DurationMs", by=["Name"])
-    return out.withColumns({c: F.round(c, 6) for c in (
-        "throughput_rows_per_sec", "p50_latency_ms", "p95_latency_ms", "p99_latency_ms")})
+    return out.withColumn("throughput_rows_per_sec", F.round("throughput_rows_per_sec", 6))
 
 
 def q_gate_decision(spark, sf_dir):
@@ -129,6 +137,79 @@ def q_score_parity(spark, sf_dir):
     return sc.score_parity(s.select("k", "score"), exported, "k")
 
 
+AS_OF, LOOKBACK = fx.AS_OF, fx.LOOKBACK
+
+
+def _tel(spark, sf_dir, name):
+    return fx.telemetry(spark, sf_dir, name)
+
+
+def q_request_health(spark, sf_dir):
+    return te.request_health(_tel(spark, sf_dir, "requests"), AS_OF, LOOKBACK)
+
+
+def q_failed_requests(spark, sf_dir):
+    return te.failed_requests(_tel(spark, sf_dir, "requests"), AS_OF, LOOKBACK)
+
+
+def q_slow_requests(spark, sf_dir):
+    return te.slow_requests(_tel(spark, sf_dir, "requests"), AS_OF, LOOKBACK)
+
+
+def _four(spark, sf_dir):
+    return [_tel(spark, sf_dir, n) for n in ("requests", "dependencies", "traces", "exceptions")]
+
+
+def q_correlated_ops(spark, sf_dir):
+    return te.correlated_operations(*_four(spark, sf_dir), AS_OF, LOOKBACK, tiebreak="event_id")
+
+
+def q_failed_drilldown(spark, sf_dir):
+    return te.failed_drilldown(*_four(spark, sf_dir), AS_OF, LOOKBACK, tiebreak="event_id")
+
+
+def q_exceptions_hourly(spark, sf_dir):
+    return te.event_counts(_tel(spark, sf_dir, "exceptions"), AS_OF, "Exceptions", LOOKBACK)
+
+
+def q_error_traces(spark, sf_dir):
+    return te.event_counts(_tel(spark, sf_dir, "traces"), AS_OF, "ErrorTraces", LOOKBACK,
+                           where=F.col("SeverityLevel") >= 3)
+
+
+def q_custom_metrics(spark, sf_dir):
+    return te.custom_metrics(_tel(spark, sf_dir, "metrics"), AS_OF, LOOKBACK)
+
+
+def q_alerts_15m(spark, sf_dir):
+    return al.evaluate_alerts(_tel(spark, sf_dir, "requests"), _tel(spark, sf_dir, "exceptions"),
+                              _tel(spark, sf_dir, "metrics"))
+
+
+def q_trace_search(spark, sf_dir):
+    return te.trace_search(_tel(spark, sf_dir, "traces"), AS_OF, LOOKBACK, tiebreak="event_id")
+
+
+def q_run_log(spark, sf_dir):
+    return te.run_log(fx.derived(spark, sf_dir, "container_logs"), "job-exec-1", tiebreak="event_id")
+
+
+def q_cohort_gate(spark, sf_dir):
+    return te.cohort_gate(_tel(spark, sf_dir, "requests"), "baseline", "candidate")
+
+
+def q_log_levels(spark, sf_dir):
+    return lg.level_counts(lg.parse_logs(fx.log_lines(spark, sf_dir)))
+
+
+def q_findings_rollup(spark, sf_dir):
+    return fi.rollup(fx.derived(spark, sf_dir, "findings"))
+
+
+def q_findings_listed(spark, sf_dir):
+    return fi.listed(fx.derived(spark, sf_dir, "findings"))
+
+
 QUERIES: dict[str, Query] = {
     "clean_waterfall": q_clean_waterfall,
     "clean_rows": q_clean_rows,
@@ -147,6 +228,21 @@ QUERIES: dict[str, Query] = {
     "latency_percentiles": q_latency_percentiles,
     "gate_decision": q_gate_decision,
     "score_parity": q_score_parity,
+    "request_health": q_request_health,
+    "failed_requests": q_failed_requests,
+    "slow_requests": q_slow_requests,
+    "correlated_ops": q_correlated_ops,
+    "failed_drilldown": q_failed_drilldown,
+    "exceptions_hourly": q_exceptions_hourly,
+    "error_traces": q_error_traces,
+    "custom_metrics": q_custom_metrics,
+    "alerts_15m": q_alerts_15m,
+    "trace_search": q_trace_search,
+    "run_log": q_run_log,
+    "cohort_gate": q_cohort_gate,
+    "log_levels": q_log_levels,
+    "findings_rollup": q_findings_rollup,
+    "findings_listed": q_findings_listed,
 }
 
 ORACLE: dict[str, str] = {
@@ -167,4 +263,19 @@ ORACLE: dict[str, str] = {
     "latency_percentiles": oracle.latency_percentiles(),
     "gate_decision": oracle.gate_decision(),
     "score_parity": oracle.score_parity(),
+    "request_health": oracle.request_health(),
+    "failed_requests": oracle.failed_requests(),
+    "slow_requests": oracle.slow_requests(),
+    "correlated_ops": oracle.correlated_ops(),
+    "failed_drilldown": oracle.failed_drilldown(),
+    "exceptions_hourly": oracle.exceptions_hourly(),
+    "error_traces": oracle.error_traces(),
+    "custom_metrics": oracle.custom_metrics(),
+    "alerts_15m": oracle.alerts_15m(),
+    "trace_search": oracle.trace_search(),
+    "run_log": oracle.run_log(),
+    "cohort_gate": oracle.cohort_gate(),
+    "log_levels": oracle.log_levels(),
+    "findings_rollup": oracle.findings_rollup(),
+    "findings_listed": oracle.findings_listed(),
 }

@@ -231,7 +231,8 @@ def gate_decision() -> str:
     ctes = [CONFUSION_CTE, f"conf2 AS (SELECT {CONF_SELECT} FROM conf)", *RANK_CTES,
             "allm AS (SELECT c.*, r.roc_auc, r.average_precision FROM conf2 c JOIN rnk r ON c.split = r.split)",
             f"req AS ({fx.telemetry_sql('requests')})",
-            "perf AS (SELECT quantile_cont(DurationMs, 0.95) AS p95, count(*) / (sum(DurationMs) / 1000.0) AS tput FROM req)",
+            f"pq AS ({pct_sql('SELECT * FROM req', [], 'DurationMs', {'p95': 0.95})})",
+            "perf AS (SELECT pq.p95, (SELECT count(*) / (sum(DurationMs) / 1000.0) FROM req) AS tput FROM pq)",
             f"q AS (SELECT a.split, a.roc_auc >= {g.min_auc} AND a.f1 >= {g.min_f1} AND a.precision >= {g.min_precision} "
             f"AND a.recall >= {g.min_recall} AS quality_passed, "
             f"coalesce(p.p95 <= {g.max_p95_latency_ms} AND p.tput >= {g.min_throughput_rows_per_sec}, false) AS performance_passed "
@@ -243,10 +244,13 @@ def gate_decision() -> str:
 
 
 def latency_percentiles() -> str:
-    return (f"WITH req AS ({fx.telemetry_sql('requests')}) SELECT Name, count(*) AS runs, "
-            "round(count(*) / (sum(DurationMs) / 1000.0), 6) AS throughput_rows_per_sec, "
-            "round(quantile_cont(DurationMs, 0.5), 6) AS p50_latency_ms, round(quantile_cont(DurationMs, 0.95), 6) AS p95_latency_ms, "
-            "round(quantile_cont(DurationMs, 0.99), 6) AS p99_latency_ms FROM req GROUP BY Name")
+    req = fx.telemetry_sql("requests")
+    pct = pct_sql(req, ["Name"], "DurationMs",
+                  {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95, "p99_latency_ms": 0.99})
+    return (f"WITH req AS ({req}), t AS (SELECT Name, count(*) AS runs, "
+            "round(count(*) / (sum(DurationMs) / 1000.0), 6) AS throughput_rows_per_sec FROM req GROUP BY Name), "
+            f"p AS ({pct}) SELECT t.Name, runs, throughput_rows_per_sec, p50_latency_ms, p95_latency_ms, p99_latency_ms "
+            "FROM t LEFT JOIN p ON t.Name = p.Name")
 
 
 def score_parity() -> str:
@@ -259,3 +263,203 @@ def score_parity() -> str:
         "AND count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NOT NULL AND (isnan(a.p) OR isinf(a.p) OR isnan(b.p) OR isinf(b.p))) = 0 AS passed "
         "FROM (SELECT k, score AS p FROM scored) a FULL OUTER JOIN "
         "(SELECT k, CAST(CAST(score AS FLOAT) AS DOUBLE) AS p FROM scored) b ON a.k = b.k")
+
+
+# ----------------------------------------------------------------------------
+# exact fixed-point mean / percentile twins (integer arithmetic in DuckDB)
+# ----------------------------------------------------------------------------
+def _half_up(num: str, den: str) -> str:
+    return (f"(CASE WHEN ({num}) >= 0 THEN (2 * ({num}) + ({den})) // (2 * ({den})) "
+            f"ELSE -((-2 * ({num}) + ({den})) // (2 * ({den}))) END)")
+
+
+def _units(v: str) -> str:
+    return f"CAST(round(CAST({v} AS DOUBLE) * 1000000000) AS HUGEINT)"
+
+
+def mean_sql(v: str, decimals: int = 9) -> str:
+    """Aggregate expression equal to ``exact_mean(v, decimals)``."""
+    d = 10 ** (9 - decimals)
+    s = f"sum({_units(v)})"
+    n = f"count({v})"
+    return f"CAST({_half_up(s, f'{n} * {d}')} AS DOUBLE) / {10 ** decimals}"
+
+
+def pct_sql(src: str, by: list[str], v: str, ps: dict[str, float], decimals: int = 9) -> str:
+    """SELECT equal to ``exact_percentiles(src, by, v, ps, decimals=...)``."""
+    from decimal import Decimal
+    part = f"PARTITION BY {', '.join(by)} " if by else ""
+    ranked = (f"SELECT {''.join(b + ', ' for b in by)}{v} AS _v, row_number() OVER ({part}ORDER BY {v}) - 1 AS _rn, "
+              f"count(*) OVER ({part.strip()}) AS _n FROM ({src}) _s WHERE {v} IS NOT NULL")
+    cols = []
+    for name, p in ps.items():
+        dp = Decimal(repr(float(p))).normalize()
+        digits = max(0, -dp.as_tuple().exponent)
+        den = 10 ** digits
+        pint = int(dp * den)
+        lo_r = f"(((_n - 1) * {pint}) // {den})"
+        fr = f"(((_n - 1) * {pint}) % {den})"
+        lo = f"max(CASE WHEN _rn = {lo_r} THEN _v END)"
+        hi = f"max(CASE WHEN _rn = {lo_r} + CASE WHEN {fr} > 0 THEN 1 ELSE 0 END THEN _v END)"
+        frm = f"max({fr})"
+        val = f"({_units(lo)} * {den} + ({_units(hi)} - {_units(lo)}) * {frm})"
+        divisor = den * 10 ** (9 - decimals)
+        cols.append(f"CAST({_half_up(val, str(divisor))} AS DOUBLE) / {10 ** decimals} AS {name}")
+    grp = f" GROUP BY {', '.join(by)}" if by else ""
+    return f"SELECT {''.join(b + ', ' for b in by)}{', '.join(cols)} FROM ({ranked}) _r{grp}"
+
+
+# ----------------------------------------------------------------------------
+# telemetry
+# ----------------------------------------------------------------------------
+AS_OF = fx.AS_OF
+
+
+def _recent(name: str, lookback: str = fx.LOOKBACK) -> str:
+    return (f"SELECT * FROM ({fx.telemetry_sql(name)}) "
+            f"WHERE TimeGenerated > TIMESTAMP '{AS_OF}' - INTERVAL '{lookback}'")
+
+
+def _bin(width: str = "1 hour") -> str:
+    return f"time_bucket(INTERVAL '{width}', TimeGenerated)"
+
+
+def request_health() -> str:
+    pct = pct_sql("SELECT * FROM b", ["_bin"], "DurationMs", {"P95DurationMs": 0.95}, 2)
+    return (f"WITH req AS ({_recent('requests')}), b AS (SELECT *, {_bin()} AS _bin FROM req), "
+            "agg AS (SELECT _bin, count(*) AS TotalRequests, count(*) FILTER (WHERE Success = false) AS FailedRequests, "
+            f"{mean_sql('DurationMs', 2)} AS AvgDurationMs FROM b GROUP BY _bin), p AS ({pct}) "
+            "SELECT agg._bin AS TimeGenerated, TotalRequests, FailedRequests, AvgDurationMs, P95DurationMs "
+            "FROM agg LEFT JOIN p ON agg._bin = p._bin")
+
+
+def failed_requests() -> str:
+    return (f"SELECT {_bin()} AS TimeGenerated, count(*) AS FailedRequests FROM ({_recent('requests')}) "
+            "WHERE Success = false GROUP BY 1")
+
+
+def slow_requests() -> str:
+    src = f"SELECT *, {_bin()} AS _bin FROM ({_recent('requests')}) WHERE Success = true"
+    return f"SELECT _bin AS TimeGenerated, P95DurationMs FROM ({pct_sql(src, ['_bin'], 'DurationMs', {'P95DurationMs': 0.95})})"
+
+
+def _correlated(failed_only: bool) -> str:
+    where = "WHERE Success = false" if failed_only else ""
+    succ = "" if failed_only else "l.Success, "
+    dp = pct_sql("SELECT * FROM deps", ["OperationId"], "DurationMs", {"P95DependencyMs": 0.95})
+    return (
+        f"WITH req AS (SELECT * FROM ({_recent('requests')}) {where}), "
+        "latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY OperationId "
+        "ORDER BY TimeGenerated DESC, event_id DESC) AS rn FROM req) WHERE rn = 1), "
+        f"deps AS ({_recent('dependencies')}), "
+        "dr AS (SELECT OperationId, count(*) AS DependencyCount, count(*) FILTER (WHERE Success = false) "
+        f"AS FailedDependencies FROM deps GROUP BY OperationId), dp AS ({dp}), "
+        f"tr AS (SELECT OperationId, count(*) AS TraceCount, count(*) FILTER (WHERE SeverityLevel >= 3) "
+        f"AS ErrorTraceCount FROM ({_recent('traces')}) GROUP BY OperationId), "
+        f"ex AS (SELECT OperationId, count(*) AS ExceptionCount FROM ({_recent('exceptions')}) GROUP BY OperationId) "
+        f"SELECT l.TimeGenerated AS RequestTime, l.OperationId, l.Name AS RequestName, {succ}l.DurationMs, "
+        "l.ResultCode, l.Url, l.AppRoleName, l.AppRoleInstance, l.OperationName, "
+        "coalesce(dr.DependencyCount, 0) AS DependencyCount, coalesce(dr.FailedDependencies, 0) AS FailedDependencies, "
+        "dp.P95DependencyMs, coalesce(tr.TraceCount, 0) AS TraceCount, coalesce(tr.ErrorTraceCount, 0) AS ErrorTraceCount, "
+        "coalesce(ex.ExceptionCount, 0) AS ExceptionCount FROM latest l "
+        "LEFT JOIN dr ON l.OperationId = dr.OperationId LEFT JOIN dp ON l.OperationId = dp.OperationId "
+        "LEFT JOIN tr ON l.OperationId = tr.OperationId LEFT JOIN ex ON l.OperationId = ex.OperationId")
+
+
+def correlated_ops() -> str:
+    return _correlated(False)
+
+
+def failed_drilldown() -> str:
+    return _correlated(True)
+
+
+def exceptions_hourly() -> str:
+    return f"SELECT {_bin()} AS TimeGenerated, count(*) AS Exceptions FROM ({_recent('exceptions')}) GROUP BY 1"
+
+
+def error_traces() -> str:
+    return (f"SELECT {_bin()} AS TimeGenerated, count(*) AS ErrorTraces FROM ({_recent('traces')}) "
+            "WHERE SeverityLevel >= 3 GROUP BY 1")
+
+
+def custom_metrics() -> str:
+    names = ", ".join(f"'{n}'" for n in ("prediction_latency_ms", "prediction_count", "validation_failures"))
+    src = (f"SELECT Name, {_bin()} AS _bin, TRY_CAST(Value AS DOUBLE) AS _val FROM ({_recent('metrics')}) "
+           f"WHERE Name IN ({names})")
+    pct = pct_sql("SELECT * FROM m", ["Name", "_bin"], "_val", {"P95Value": 0.95})
+    return (f"WITH m AS ({src}), agg AS (SELECT Name, _bin, {mean_sql('_val')} AS AvgValue FROM m GROUP BY Name, _bin), "
+            f"p AS ({pct}) SELECT agg.Name, agg._bin AS TimeGenerated, AvgValue, P95Value FROM agg "
+            "LEFT JOIN p ON agg.Name = p.Name AND agg._bin = p._bin")
+
+
+def _exact_sum(v: str) -> str:
+    return f"CAST(sum({_units(v)}) AS DOUBLE) / 1000000000"
+
+
+def alerts_15m() -> str:
+    w = _bin("15 minutes")
+    req = f"SELECT *, {w} AS window_start FROM ({fx.telemetry_sql('requests')})"
+    p95 = pct_sql(req, ["window_start"], "DurationMs", {"v": 0.95})
+    parts = [
+        f"SELECT 'app_request_failures' AS alert, window_start, CAST(count(*) FILTER (WHERE Success = false) AS DOUBLE) AS value FROM ({req}) GROUP BY window_start",
+        f"SELECT 'app_slow_requests' AS alert, window_start, v AS value FROM ({p95})",
+        f"SELECT 'app_exceptions' AS alert, {w} AS window_start, CAST(count(*) AS DOUBLE) AS value FROM ({fx.telemetry_sql('exceptions')}) GROUP BY 2",
+        f"SELECT 'app_validation_failures' AS alert, {w} AS window_start, {_exact_sum('TRY_CAST(Value AS DOUBLE)')} AS value "
+        f"FROM ({fx.telemetry_sql('metrics')}) WHERE Name = 'validation_failures' GROUP BY 2",
+    ]
+    return ("SELECT alert, window_start, value, true AS fired FROM (" + " UNION ALL ".join(parts) + ") "
+            "WHERE CASE WHEN alert = 'app_slow_requests' THEN value > 200 ELSE value > 0 END")
+
+
+def trace_search() -> str:
+    return (f"SELECT TimeGenerated, Message FROM ({_recent('traces')}) "
+            "WHERE contains(lower(Message), 'blob trigger') OR contains(lower(Message), 'aca job') "
+            "ORDER BY TimeGenerated DESC, event_id DESC LIMIT 10")
+
+
+def run_log() -> str:
+    return (f"SELECT TimeGenerated, Log_s FROM ({fx.derived_sql('container_logs')}) "
+            "WHERE starts_with(lower(ContainerGroupName_s), 'job-exec-1') ORDER BY TimeGenerated, event_id LIMIT 200")
+
+
+def cohort_gate() -> str:
+    req = f"SELECT * FROM ({fx.telemetry_sql('requests')}) WHERE Revision IN ('baseline', 'candidate')"
+    p = pct_sql(req, ["Revision"], "DurationMs", {"p95": 0.95})
+    return (
+        f"WITH s AS (SELECT Revision, count(*) AS n, count(*) FILTER (WHERE Success = false) AS f FROM ({req}) GROUP BY Revision), "
+        f"p AS ({p}), per AS (SELECT s.Revision, CAST(f AS DOUBLE) / n AS err, p.p95 FROM s LEFT JOIN p ON s.Revision = p.Revision), "
+        "r AS (SELECT max(CASE WHEN Revision = 'baseline' THEN p95 END) AS baseline_p95_ms, "
+        "max(CASE WHEN Revision = 'baseline' THEN err END) AS baseline_error_rate, "
+        "max(CASE WHEN Revision = 'candidate' THEN p95 END) AS candidate_p95_ms, "
+        "max(CASE WHEN Revision = 'candidate' THEN err END) AS candidate_error_rate FROM per), "
+        "r2 AS (SELECT *, greatest(baseline_p95_ms * 1.5, 200.0) AS p95_limit_ms, "
+        "greatest(baseline_error_rate * 2.0, 0.01) AS error_rate_limit FROM r), "
+        "r3 AS (SELECT *, CASE WHEN candidate_p95_ms IS NULL OR candidate_error_rate IS NULL OR p95_limit_ms IS NULL "
+        "OR error_rate_limit IS NULL THEN 'missing_metrics' WHEN candidate_error_rate > error_rate_limit THEN 'error_rate_above_limit' "
+        "WHEN candidate_p95_ms > p95_limit_ms THEN 'p95_above_limit' END AS reason FROM r2) "
+        "SELECT *, reason IS NULL AS passed FROM r3")
+
+
+def log_levels() -> str:
+    return (f"WITH l AS ({fx.LOG_LINES_SQL}) SELECT CASE WHEN starts_with(value, '{{') AND json_valid(value) "
+            "THEN upper(json_extract_string(value, '$.level')) END AS level, count(*) AS lines FROM l GROUP BY 1")
+
+
+_POLICY = "upper(coalesce(Severity, '')) IN ('CRITICAL', 'HIGH')"
+
+
+def findings_rollup() -> str:
+    return (f"WITH f AS (SELECT Target, upper(coalesce(Severity, '')) AS Severity FROM ({fx.derived_sql('findings')}) WHERE {_POLICY}), "
+            "g AS (SELECT Target, count(*) AS findings, count(*) FILTER (WHERE Severity = 'CRITICAL') AS critical, "
+            "count(*) FILTER (WHERE Severity = 'HIGH') AS high FROM f GROUP BY Target) "
+            "SELECT Target, findings, critical, high, least(findings, 5) AS listed, greatest(findings - 5, 0) AS remaining, "
+            "findings > 0 AS failed FROM g")
+
+
+def findings_listed() -> str:
+    return (f"WITH f AS (SELECT Target, coalesce(VulnerabilityID, 'unknown') AS VulnerabilityID, coalesce(PkgName, 'unknown') AS PkgName, "
+            "coalesce(InstalledVersion, '?') AS InstalledVersion, coalesce(FixedVersion, 'unfixed') AS FixedVersion, "
+            f"upper(coalesce(Severity, '')) AS Severity FROM ({fx.derived_sql('findings')}) WHERE {_POLICY}) "
+            "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY Target ORDER BY VulnerabilityID) AS INTEGER) AS rank FROM f) "
+            "WHERE rank <= 5")

@@ -8,9 +8,10 @@ job submitted to a real cluster keeps whatever the operator configured.
 from __future__ import annotations
 
 import os
+import uuid
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on; applied only when the session lacks them.
 _DEFAULTS = {
@@ -67,3 +68,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor recomputes from the written files, not from
+    the raw input) and lets several consumers share one computation. Each call
+    writes a fresh directory; nothing is deleted.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

@@ -162,13 +162,49 @@ _FINDINGS = [
     "concat(event_type, ' issue') AS Title",
 ]
 
+# container console logs: job executions "Job-Exec-<n>" and service replicas
+_CONTAINER_LOGS = [
+    "ts AS TimeGenerated",
+    "concat(CASE WHEN event_id % 2 = 0 THEN 'Job-Exec-' ELSE 'svc-' END, CAST(user_id % 20 AS STRING)) "
+    "AS ContainerGroupName_s",
+    "concat(event_type, ' ', props) AS Log_s",
+    "event_id",
+]
+
 _DERIVED = {
     "runs": ("events", _RUNS, None),
     "inputs": ("customer", _INPUTS, None),
     "model_versions_src": ("events", _VERSIONS, "event_type = 'purchase'"),
     "findings": ("events", _FINDINGS, None),
+    "container_logs": ("events", _CONTAINER_LOGS, None),
 }
 
+# JSON log lines as the service's formatter writes them; every 97th line is
+# a plain-text traceback line (not JSON).
+_LEVEL = ("CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' "
+          "WHEN 'click' THEN 'DEBUG' ELSE 'INFO' END")
+LOG_LINES_SPARK = (
+    "CASE WHEN event_id % 97 = 0 THEN concat('Traceback (most recent call last): ', props) ELSE "
+    "to_json(named_struct('timestamp', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\"), "
+    f"'level', {_LEVEL}, 'logger', 'serving.api', 'message', concat('request ', event_type), "
+    "'request_id', CAST(event_id AS STRING), 'method', 'POST', 'path', '/predict', "
+    "'status_code', CASE WHEN event_type = 'error' THEN 500 ELSE 200 END, 'duration_ms', value, "
+    "'client', concat('10.0.0.', CAST(user_id % 250 AS STRING)))) END AS value"
+)
+LOG_LINES_SQL = (
+    "SELECT CASE WHEN event_id % 97 = 0 THEN concat('Traceback (most recent call last): ', props) ELSE "
+    "CAST(json_object('timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), "
+    f"'level', {_LEVEL}, 'logger', 'serving.api', 'message', concat('request ', event_type), "
+    "'request_id', CAST(event_id AS VARCHAR), 'method', 'POST', 'path', '/predict', "
+    "'status_code', CASE WHEN event_type = 'error' THEN 500 ELSE 200 END, 'duration_ms', value, "
+    "'client', concat('10.0.0.', CAST(user_id % 250 AS VARCHAR))) AS VARCHAR) END AS value FROM events"
+)
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines (column ``value``) as a log file would hold them."""
+    return table(spark, sf_dir, "events").selectExpr(LOG_LINES_SPARK)
+
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     src, exprs, where = _DERIVED[name]
