@@ -17,6 +17,9 @@ from tabspark.operators import clean as cl
 from tabspark.operators import alerts as al
 from tabspark.operators import evaluate as ev
 from tabspark.operators import findings as fi
+from tabspark.operators import ledger as le
+from tabspark.operators import registry as rg
+from tabspark.sources import io as sio
 from tabspark.operators import telemetry as te
 from tabspark.sources import logs as lg
 from tabspark.operators import features as fe
@@ -210,6 +213,54 @@ def q_findings_listed(spark, sf_dir):
     return fi.listed(fx.derived(spark, sf_dir, "findings"))
 
 
+def q_latest_run(spark, sf_dir):
+    return le.latest_runs(fx.derived(spark, sf_dir, "runs"))
+
+
+def q_latest_execution(spark, sf_dir):
+    from tabspark.functions.columns import ts_lit
+    return le.latest_execution(fx.derived(spark, sf_dir, "runs"), ts_lit(AS_OF), "1 day")
+
+
+def q_pending_inputs(spark, sf_dir):
+    return le.pending_inputs(fx.derived(spark, sf_dir, "inputs"), fx.derived(spark, sf_dir, "runs"), "cleaning")
+
+
+def _versions(spark, sf_dir):
+    return rg.register_versions(fx.derived(spark, sf_dir, "model_versions_src"))
+
+
+def q_model_versions(spark, sf_dir):
+    return _versions(spark, sf_dir)
+
+
+def q_resolve_model(spark, sf_dir):
+    aliases = fx.derived(spark, sf_dir, "model_aliases")
+    requests = aliases.select("model_name", "alias").distinct().withColumn("version", F.lit(None).cast("long"))
+    return rg.resolve(requests, _versions(spark, sf_dir), aliases)
+
+
+def q_retention(spark, sf_dir):
+    versions = _versions(spark, sf_dir)
+    protected = rg.current_aliases(fx.derived(spark, sf_dir, "model_aliases"))
+    return le.retention(versions, "model_name", "created_at", "version", 3, protected)
+
+
+def q_blob_keys(spark, sf_dir):
+    names = fx.derived(spark, sf_dir, "runs").select("raw_blob_name").distinct()
+    n = F.col("raw_blob_name")
+    return names.select(n, sio.clean_blob_name(n).alias("clean_blob_name"),
+                        sio.cleaning_ledger_name(n).alias("cleaning_ledger"),
+                        sio.training_ledger_name(n).alias("training_ledger"))
+
+
+def q_vector_check(spark, sf_dir):
+    emb = fx.table(spark, sf_dir, "embeddings")
+    good, bad = sc.check_vectors(emb, "embedding", key="vec_id")
+    return (good.select("vec_id", "length", F.lit("ok").alias("status"))
+            .unionByName(bad.select("vec_id", "length", "status")))
+
+
 QUERIES: dict[str, Query] = {
     "clean_waterfall": q_clean_waterfall,
     "clean_rows": q_clean_rows,
@@ -243,6 +294,14 @@ QUERIES: dict[str, Query] = {
     "log_levels": q_log_levels,
     "findings_rollup": q_findings_rollup,
     "findings_listed": q_findings_listed,
+    "latest_run": q_latest_run,
+    "latest_execution": q_latest_execution,
+    "pending_inputs": q_pending_inputs,
+    "model_versions": q_model_versions,
+    "resolve_model": q_resolve_model,
+    "retention": q_retention,
+    "blob_keys": q_blob_keys,
+    "vector_check": q_vector_check,
 }
 
 ORACLE: dict[str, str] = {
@@ -278,4 +337,12 @@ ORACLE: dict[str, str] = {
     "log_levels": oracle.log_levels(),
     "findings_rollup": oracle.findings_rollup(),
     "findings_listed": oracle.findings_listed(),
+    "latest_run": oracle.latest_run(),
+    "latest_execution": oracle.latest_execution(),
+    "pending_inputs": oracle.pending_inputs(),
+    "model_versions": oracle.model_versions(),
+    "resolve_model": oracle.resolve_model(),
+    "retention": oracle.retention(),
+    "blob_keys": oracle.blob_keys(),
+    "vector_check": oracle.vector_check(),
 }

@@ -463,3 +463,68 @@ def findings_listed() -> str:
             f"upper(coalesce(Severity, '')) AS Severity FROM ({fx.derived_sql('findings')}) WHERE {_POLICY}) "
             "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY Target ORDER BY VulnerabilityID) AS INTEGER) AS rank FROM f) "
             "WHERE rank <= 5")
+
+
+# ----------------------------------------------------------------------------
+# ledger, registry, keys, vectors
+# ----------------------------------------------------------------------------
+LATEST_RUNS = ("SELECT raw_blob_name, phase, status, run_id, written_at, duration_seconds FROM "
+               f"(SELECT *, row_number() OVER (PARTITION BY raw_blob_name, phase ORDER BY written_at DESC, run_id DESC) AS rn "
+               f"FROM ({fx.derived_sql('runs')})) WHERE rn = 1")
+
+
+def latest_run() -> str:
+    return LATEST_RUNS
+
+
+def latest_execution() -> str:
+    return (f"WITH r AS ({fx.derived_sql('runs')}), t AS (SELECT * FROM r ORDER BY written_at DESC, run_id DESC LIMIT 1) "
+            "SELECT t.run_id, t.status, t.raw_blob_name, (SELECT max(written_at) FROM r) AS latest_written_at, "
+            f"(SELECT max(written_at) FROM r) >= TIMESTAMP '{AS_OF}' - INTERVAL '1 day' AS recent FROM t")
+
+
+def pending_inputs() -> str:
+    return (f"WITH l AS ({LATEST_RUNS.replace('FROM (SELECT *', 'FROM (SELECT *', 1)}) "
+            f"SELECT DISTINCT raw_blob_name FROM ({fx.derived_sql('inputs')}) i WHERE raw_blob_name NOT IN "
+            "(SELECT raw_blob_name FROM (SELECT *, row_number() OVER (PARTITION BY raw_blob_name ORDER BY written_at DESC, run_id DESC) AS rn2 "
+            f"FROM ({fx.derived_sql('runs')}) WHERE phase = 'cleaning') WHERE rn2 = 1 AND status = 'COMPLETED')")
+
+
+VERSIONS_SQL = (f"SELECT model_name, CAST(row_number() OVER (PARTITION BY model_name ORDER BY created_at, run_id) AS BIGINT) AS version, "
+                f"run_id, created_at FROM ({fx.derived_sql('model_versions_src')})")
+ALIASES_CUR = ("SELECT model_name, alias, version, set_at FROM (SELECT *, row_number() OVER (PARTITION BY model_name, alias "
+               f"ORDER BY set_at DESC, version DESC) AS rn FROM ({fx.derived_sql('model_aliases')})) WHERE rn = 1")
+
+
+def model_versions() -> str:
+    return VERSIONS_SQL
+
+
+def resolve_model() -> str:
+    return (f"WITH v AS ({VERSIONS_SQL}), a AS ({ALIASES_CUR}), "
+            f"req AS (SELECT DISTINCT model_name, alias FROM ({fx.derived_sql('model_aliases')})) "
+            "SELECT req.model_name, req.alias, a.version, v.run_id, CASE WHEN a.version IS NULL THEN 'no_alias' "
+            "WHEN v.run_id IS NULL THEN 'missing_version' WHEN length(trim(v.run_id)) = 0 THEN 'no_run_id' ELSE 'ok' END AS status "
+            "FROM req LEFT JOIN a ON req.model_name = a.model_name AND req.alias = a.alias "
+            "LEFT JOIN v ON req.model_name = v.model_name AND a.version = v.version")
+
+
+def retention() -> str:
+    return (f"WITH v AS ({VERSIONS_SQL}), a AS ({ALIASES_CUR}), r AS (SELECT *, row_number() OVER (PARTITION BY model_name "
+            "ORDER BY created_at DESC, version DESC) AS rk FROM v) SELECT model_name, version, run_id, created_at FROM r "
+            "WHERE rk > 3 AND NOT EXISTS (SELECT 1 FROM a WHERE a.model_name = r.model_name AND a.version = r.version)")
+
+
+def blob_keys() -> str:
+    n = "regexp_replace(regexp_replace(raw_blob_name, '^\\s+|\\s+$', '', 'g'), '^/+', '')"
+    return (f"SELECT raw_blob_name, CASE WHEN {n} = '' THEN NULL ELSE concat('clean/', regexp_replace({n}, '^[^/]*/', '')) END AS clean_blob_name, "
+            f"CASE WHEN {n} = '' THEN NULL ELSE concat('elt/', {n}, '.json') END AS cleaning_ledger, "
+            f"CASE WHEN {n} = '' THEN NULL ELSE concat('training/', regexp_replace({n}, '\\.parquet$', ''), '.json') END AS training_ledger "
+            f"FROM (SELECT DISTINCT raw_blob_name FROM ({fx.derived_sql('runs')}))")
+
+
+def vector_check() -> str:
+    return ("WITH e AS (SELECT vec_id, embedding, CAST(len(embedding) AS INTEGER) AS length FROM embeddings), "
+            "x AS (SELECT arg_min(len(embedding), vec_id) AS expected FROM e WHERE embedding IS NOT NULL) "
+            "SELECT vec_id, length, CASE WHEN embedding IS NULL OR length = 0 THEN 'empty' "
+            "WHEN length <> x.expected THEN 'length_mismatch' ELSE 'ok' END AS status FROM e, x")

@@ -146,9 +146,14 @@ _INPUTS = [
 # view events move an alias of that model to the newest version at that time
 _VERSIONS = [
     "concat('m', CAST(user_id % 7 AS STRING)) AS model_name",
-    "concat('run-', CAST(event_id AS STRING)) AS run_id",
+    "CASE WHEN event_id % 11 = 0 THEN '' ELSE concat('run-', CAST(event_id AS STRING)) END AS run_id",
     "ts AS created_at",
-    "event_id",
+]
+_ALIASES = [
+    "concat('m', CAST(user_id % 7 AS STRING)) AS model_name",
+    "CASE WHEN event_id % 2 = 0 THEN 'Staging' ELSE 'production' END AS alias",
+    "CAST(event_id % 400 + 1 AS BIGINT) AS version",
+    "ts AS set_at",
 ]
 # scan findings: every event is a finding on image img-<user % 13>
 _FINDINGS = [
@@ -175,6 +180,7 @@ _DERIVED = {
     "runs": ("events", _RUNS, None),
     "inputs": ("customer", _INPUTS, None),
     "model_versions_src": ("events", _VERSIONS, "event_type = 'purchase'"),
+    "model_aliases": ("events", _ALIASES, "event_type = 'view'"),
     "findings": ("events", _FINDINGS, None),
     "container_logs": ("events", _CONTAINER_LOGS, None),
 }
