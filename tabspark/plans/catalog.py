@@ -261,6 +261,18 @@ def q_vector_check(spark, sf_dir):
             .unionByName(bad.select("vec_id", "length", "status")))
 
 
+# The registered training query trains fewer rounds than the job default so
+# the per-query check stays short; the job itself uses the full config.
+TRAIN_EVAL_CFG = TrainingConfig(num_boost_round=30)
+
+
+def q_train_eval(spark, sf_dir):
+    from tabspark.plans.training_job import fit_and_evaluate
+    clean = materialize(labelled(spark, sf_dir).drop("TARGET"), "clean")
+    out = fit_and_evaluate(clean, TRAIN_EVAL_CFG, CONTRACT)
+    return out["metrics"]
+
+
 QUERIES: dict[str, Query] = {
     "clean_waterfall": q_clean_waterfall,
     "clean_rows": q_clean_rows,
@@ -302,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "retention": q_retention,
     "blob_keys": q_blob_keys,
     "vector_check": q_vector_check,
+    "train_eval": q_train_eval,
 }
 
 ORACLE: dict[str, str] = {
