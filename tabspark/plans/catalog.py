@@ -273,6 +273,47 @@ def q_train_eval(spark, sf_dir):
     return out["metrics"]
 
 
+def q_ingest_stream(spark, sf_dir):
+    """The raw frame lands as three parquet files; the feed cleans them
+    one per micro-batch and the ledger shows one COMPLETED record per file."""
+    import uuid
+
+    from tabspark.session import scratch_path
+    from tabspark.streaming.ingest import start_ingest
+    root = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
+    raw = fx.acs_raw(spark, sf_dir)
+    raw.repartition(3).write.parquet(f"{root}/raw/monthly")
+    q = start_ingest(spark, f"{root}/raw/monthly", raw.schema, f"{root}/clean", f"{root}/ledger", f"{root}/_stream")
+    q.awaitTermination()
+    runs = le.read_runs(spark, f"{root}/ledger")
+    return runs.select("raw_blob_name", "status",
+                       F.get_json_object("payload", "$.transform_metrics.output_rows").cast("long").alias("output_rows"))
+
+
+def q_alerts_stream(spark, sf_dir):
+    """T13-T16 on a stream over the events table (complete mode, memory sink)."""
+    import uuid
+
+    from tabspark.session import scratch_path
+    from tabspark.streaming import alerts as sa
+    ev_schema = fx.table(spark, sf_dir, "events").schema
+    events = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir.rstrip("/")))
+    views = {n: events.where(fx._VIEWS[n][1]).selectExpr(*fx._VIEWS[n][0]) if fx._VIEWS[n][1]
+             else events.selectExpr(*fx._VIEWS[n][0]) for n in ("requests", "exceptions", "metrics")}
+    prefix = f"alerts_{uuid.uuid4().hex[:8]}_"
+    root = scratch_path(spark, prefix.rstrip("_"))
+    qs = sa.start_alerts(sa.rule_streams(views["requests"], views["exceptions"], views["metrics"]),
+                         f"{root}/sink", f"{root}/_stream", output_mode="complete", name_prefix=prefix)
+    for q in qs:
+        q.awaitTermination()
+    out = None
+    for rule in sa.al.RULES:
+        t = spark.table(f"{prefix}{rule}")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
 QUERIES: dict[str, Query] = {
     "clean_waterfall": q_clean_waterfall,
     "clean_rows": q_clean_rows,
@@ -315,6 +356,8 @@ QUERIES: dict[str, Query] = {
     "blob_keys": q_blob_keys,
     "vector_check": q_vector_check,
     "train_eval": q_train_eval,
+    "ingest_stream": q_ingest_stream,
+    "alerts_stream": q_alerts_stream,
 }
 
 ORACLE: dict[str, str] = {
