@@ -22,11 +22,13 @@ RULES = ("app_request_failures", "app_slow_requests", "app_exceptions", "app_val
 
 
 def _win(ts: str = TS, window: str = WINDOW) -> Column:
-    return F.window(F.col(ts), window).start.alias("window_start")
+    # group on the window struct itself so a stream's watermark applies to it
+    return F.window(F.col(ts), window).alias("_w")
 
 
 def _shape(df: DataFrame, rule: str, value: str, fired: Column) -> DataFrame:
-    return df.select(F.lit(rule).alias("alert"), "window_start",
+    start = F.col("_w.start") if "_w" in df.columns else F.col("window_start")
+    return df.select(F.lit(rule).alias("alert"), start.alias("window_start"),
                      F.col(value).cast("double").alias("value"), fired.alias("fired"))
 
 
