@@ -142,10 +142,11 @@ def exact_percentiles(
                 F.col("t.r").alias("_r"), F.col("t.frac").alias("_frac"))
     )
 
-    # 4: rank values only inside the target buckets. Repartitioning on the
-    # bucket key lets the value count and the window share one shuffle.
+    # 4: rank values only inside the target buckets. Values are counted first
+    # (map-side partial aggregation collapses a hot repeated value), then the
+    # distinct values of each target bucket are ranked.
     hit = targets.select(*by, "_b").distinct()
-    cand = base.join(hit, on=[*by, "_b"], how="left_semi").repartition(*by, "_b")
+    cand = base.join(hit, on=[*by, "_b"], how="left_semi")
     vals = cand.groupBy(*by, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
     inb = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
