@@ -274,20 +274,25 @@ def q_train_eval(spark, sf_dir):
 
 
 def q_ingest_stream(spark, sf_dir):
-    """The raw frame lands as three parquet files; the feed cleans them
-    one per micro-batch and the ledger shows one COMPLETED record per file."""
+    """The whole raw frame lands as three parquet files (a partition of the
+    table on ``k % 3``: every row lands in exactly one file, exact copies land
+    together); the feed cleans them one per micro-batch and the ledger holds
+    one COMPLETED record per file with its clean row count."""
     import uuid
 
     from tabspark.session import scratch_path
     from tabspark.streaming.ingest import start_ingest
     root = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
     raw = fx.acs_raw(spark, sf_dir)
-    raw.repartition(3).write.parquet(f"{root}/raw/monthly")
-    q = start_ingest(spark, f"{root}/raw/monthly", raw.schema, f"{root}/clean", f"{root}/ledger", f"{root}/_stream")
+    landing = f"{root}/raw/monthly"
+    for part in range(3):
+        raw.where(F.col("k") % 3 == part).coalesce(1).write.mode("append").parquet(landing)
+    q = start_ingest(spark, landing, raw.schema, f"{root}/clean", f"{root}/ledger", f"{root}/_stream",
+                     contract=CONTRACT)
     q.awaitTermination()
     runs = le.read_runs(spark, f"{root}/ledger")
-    return runs.select("raw_blob_name", "status",
-                       F.get_json_object("payload", "$.transform_metrics.output_rows").cast("long").alias("output_rows"))
+    return runs.select("status", F.get_json_object("payload", "$.transform_metrics.output_rows")
+                       .cast("long").alias("output_rows"))
 
 
 def q_alerts_stream(spark, sf_dir):
@@ -387,6 +392,8 @@ ORACLE: dict[str, str] = {
     "error_traces": oracle.error_traces(),
     "custom_metrics": oracle.custom_metrics(),
     "alerts_15m": oracle.alerts_15m(),
+    "alerts_stream": oracle.alerts_15m(),
+    "ingest_stream": oracle.ingest_stream(),
     "trace_search": oracle.trace_search(),
     "run_log": oracle.run_log(),
     "cohort_gate": oracle.cohort_gate(),

@@ -12,7 +12,6 @@ from dataclasses import asdict
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from tabspark.contract import CENSUS, DataContract
 from tabspark.operators import clean as cl
@@ -36,7 +35,7 @@ def run_cleaning(spark: SparkSession, raw_root: str, raw_name: str, clean_root:
     raw = sio.read_raw(spark, f"{raw_root.rstrip('/')}/{key}")
     report = va.validate(raw, contract)
     out, before, after = cl.clean_observed(raw, contract)
-    clean_key = spark.range(1).select(sio.clean_blob_name(F.lit(key))).first()[0]
+    clean_key = sio.clean_blob_name_of(key)
     out.write.mode("overwrite").parquet(f"{clean_root.rstrip('/')}/{clean_key}")
     metrics = cl.transform_metrics(contract, before, after)
     if metrics["output_rows"] == 0:

@@ -528,3 +528,21 @@ def vector_check() -> str:
             "x AS (SELECT arg_min(len(embedding), vec_id) AS expected FROM e WHERE embedding IS NOT NULL) "
             "SELECT vec_id, length, CASE WHEN embedding IS NULL OR length = 0 THEN 'empty' "
             "WHEN length <> x.expected THEN 'length_mismatch' ELSE 'ok' END AS status FROM e, x")
+
+
+def ingest_stream() -> str:
+    """Per landing file (k % 3): contract gate in fatal order, then the clean count."""
+    nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n_{c}" for c in C.required)
+    code = f"upper(regexp_replace(CAST({C.code_column} AS VARCHAR), '^\\s+|\\s+$', '', 'g'))"
+    fatal = " OR ".join(f"CAST(n_{c} AS DOUBLE) / n > {_dbl(C.max_null_rate[c])}" for c in C.required)
+    cols = ", ".join(ALL_RAW)
+    return with_clean(
+        "SELECT CASE WHEN v.bad THEN 'FAILED' ELSE 'COMPLETED' END AS status, "
+        "CASE WHEN v.bad THEN NULL ELSE c.output_rows END AS output_rows FROM "
+        f"(SELECT f, ({fatal}) OR CAST(n - d AS DOUBLE) / n > {_dbl(C.max_duplicate_rate)} "
+        f"OR CAST(bad_code AS DOUBLE) / n > {_dbl(C.max_invalid_code_rate)} AS bad FROM "
+        f"(SELECT k % 3 AS f, count(*) AS n, {nulls}, "
+        f"count(*) FILTER (WHERE NOT regexp_matches({code}, '{C.code_pattern}')) AS bad_code FROM raw GROUP BY k % 3) a "
+        f"JOIN (SELECT k % 3 AS f2, count(*) AS d FROM (SELECT DISTINCT * FROM raw) GROUP BY k % 3) b ON a.f = b.f2) v "
+        f"JOIN (SELECT k % 3 AS f, count(*) AS output_rows FROM (SELECT DISTINCT {cols} FROM tag WHERE reason IS NULL) "
+        "GROUP BY k % 3) c ON v.f = c.f")

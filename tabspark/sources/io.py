@@ -65,6 +65,15 @@ def clean_blob_name(name: Column) -> Column:
         F.concat(F.lit("clean/"), F.regexp_replace(n, r"^[^/]*/", "")))
 
 
+def clean_blob_name_of(name: str) -> str:
+    """S6 for one key on the driver (same rule as ``clean_blob_name``)."""
+    n = name.strip().lstrip("/")
+    if not n:
+        raise ValueError("raw_blob_name is required")
+    head, sep, rest = n.partition("/")
+    return f"clean/{rest}" if sep else f"clean/{n}"
+
+
 def training_ledger_name(name: Column) -> Column:
     """Raw key -> training ledger key (``training/<key minus .parquet>.json``)."""
     n = _strip(name)
@@ -76,3 +85,15 @@ def cleaning_ledger_name(name: Column) -> Column:
     """Raw key -> cleaning ledger key (``elt/<key>.json``)."""
     n = _strip(name)
     return F.when(n == "", F.lit(None)).otherwise(F.concat(F.lit("elt/"), n, F.lit(".json")))
+
+
+def newest_file(spark: SparkSession, folder: str, as_of: datetime, minutes: int,
+                glob: str = "*.parquet") -> DataFrame:
+    """Newest modification time under ``folder`` and whether it is within
+    ``minutes`` of ``as_of``. Only file metadata is read (the content column of
+    the ``binaryFile`` source is pruned)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(folder))
+    newest = files.agg(F.max("modificationTime").alias("newest"), F.count(F.lit(1)).alias("files"))
+    cutoff = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    return newest.withColumn("recent", F.coalesce(F.col("newest") >= cutoff, F.lit(False)))

@@ -4,7 +4,9 @@ validated, cleaned and recorded, one file per micro-batch.
 ``maxFilesPerTrigger=1`` keeps the reference's one-input-per-run contract;
 ``foreachBatch`` is idempotent per file (an input whose ledger record is
 COMPLETED is skipped, the clean output is overwritten), so a replay after a
-failure gives the same clean table and one COMPLETED record. The stream's
+failure gives the same clean table and one COMPLETED record. A file that
+breaks the contract gets a FAILED record with the message and the feed moves
+on to the next file. The stream's
 own checkpoint tracks which files were offered.
 """
 
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tabspark.contract import CENSUS, DataContract
+from tabspark.contract import CENSUS, ContractError, DataContract
 from tabspark.operators import clean as cl
 from tabspark.operators import ledger as le
 from tabspark.operators import validate as va
@@ -37,26 +39,42 @@ def process_batch(batch: DataFrame, spark: SparkSession, raw_root: str, clean_ro
                   contract: DataContract, key_prefix: str = "raw/") -> list[dict]:
     """Clean every file of one micro-batch (at most ``maxFilesPerTrigger`` files)."""
     results = []
-    files = [r[0] for r in batch.select("_file").distinct().collect()]  # bounded by maxFilesPerTrigger
-    runs = le.read_runs(spark, ledger_path).where(F.col("phase") == PHASE)
-    for path in files:
-        key = f"{key_prefix}{_relative(path, raw_root)}"
-        done = le.latest_runs(runs.where(F.col("raw_blob_name") == key)).where(
-            F.col("status") == le.STATUS_COMPLETED)
-        if not done.isEmpty():
-            results.append({"raw_blob_name": key, "status": "SKIPPED"})
-            continue
-        started = le.utc_now()
-        part = batch.where(F.col("_file") == path).drop("_file")
-        report = va.validate(part, contract)
-        out, before, after = cl.clean_observed(part, contract)
-        clean_key = spark.range(1).select(sio.clean_blob_name(F.lit(key))).first()[0]
-        out.write.mode("overwrite").parquet(f"{clean_root.rstrip('/')}/{clean_key}")
-        metrics = cl.transform_metrics(contract, before, after)
-        payload = {"clean_blob_name": clean_key, "warnings": list(report.warnings), "transform_metrics": metrics}
-        le.append_runs(le.run_record(spark, key, PHASE, le.STATUS_COMPLETED, uuid4().hex, started,
-                                     le.utc_now(), payload), ledger_path)
-        results.append({"raw_blob_name": key, "status": le.STATUS_COMPLETED, **payload})
+    batch = batch.persist()  # validated and written: read the file once
+    try:
+        files = [r[0] for r in batch.select("_file").distinct().collect()]  # <= maxFilesPerTrigger
+        keys = {path: f"{key_prefix}{_relative(path, raw_root)}" for path in files}
+        runs = le.read_runs(spark, ledger_path).where(
+            (F.col("phase") == PHASE) & F.col("raw_blob_name").isin(*keys.values()))
+        # only this batch's keys are looked up, so the result is bounded too
+        done_keys = {r[0] for r in le.latest_runs(runs).where(F.col("status") == le.STATUS_COMPLETED)
+                     .select("raw_blob_name").collect()} if files else set()
+        for path in files:
+            key = keys[path]
+            if key in done_keys:
+                results.append({"raw_blob_name": key, "status": "SKIPPED"})
+                continue
+            started = le.utc_now()
+            part = batch.where(F.col("_file") == path).drop("_file")
+            try:
+                report = va.validate(part, contract)
+            except ContractError as exc:
+                # a file that breaks the contract is recorded and skipped; the
+                # feed goes on with the next file
+                le.append_runs(le.run_record(spark, key, PHASE, le.STATUS_FAILED, uuid4().hex, started,
+                                             le.utc_now(), {"message": str(exc)}), ledger_path)
+                results.append({"raw_blob_name": key, "status": le.STATUS_FAILED, "message": str(exc)})
+                continue
+            out, before, after = cl.clean_observed(part, contract)
+            clean_key = sio.clean_blob_name_of(key)
+            out.write.mode("overwrite").parquet(f"{clean_root.rstrip('/')}/{clean_key}")
+            metrics = cl.transform_metrics(contract, before, after)
+            payload = {"clean_blob_name": clean_key, "warnings": list(report.warnings),
+                       "transform_metrics": metrics}
+            le.append_runs(le.run_record(spark, key, PHASE, le.STATUS_COMPLETED, uuid4().hex, started,
+                                         le.utc_now(), payload), ledger_path)
+            results.append({"raw_blob_name": key, "status": le.STATUS_COMPLETED, **payload})
+    finally:
+        batch.unpersist()
     return results
 
 

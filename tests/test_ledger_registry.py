@@ -80,3 +80,22 @@ def test_io_round_trip(spark, tmp_dir):
     df.limit(0).write.parquet(f"{tmp_dir}/empty")
     with pytest.raises(sio.EmptyInputError):
         sio.read_raw(spark, f"{tmp_dir}/empty")
+
+
+def test_newest_file(spark, tmp_dir):
+    from datetime import datetime, timedelta
+    spark.range(3).write.parquet(f"{tmp_dir}/raw/monthly")
+    now = datetime.now()
+    r = sio.newest_file(spark, f"{tmp_dir}/raw", now + timedelta(minutes=1), 10).first()
+    assert r["files"] >= 1 and r["recent"] is True
+    old = sio.newest_file(spark, f"{tmp_dir}/raw", now + timedelta(days=1), 10).first()
+    assert old["recent"] is False
+
+
+def test_subset_by_keys(spark):
+    from tabspark.operators.split import subset_by_keys
+    df = spark.range(10).withColumnRenamed("id", "k")
+    keys = spark.createDataFrame([(1,), (3,), (3,)], "k long")
+    assert sorted(r["k"] for r in subset_by_keys(df, keys, ["k"]).collect()) == [1, 3]
+    with pytest.raises(RuntimeError, match="unexpected number of rows"):
+        subset_by_keys(df, spark.createDataFrame([(1,), (42,)], "k long"), ["k"])
