@@ -139,7 +139,8 @@ def split_ctes() -> list[str]:
         "classes AS (SELECT TARGET, count(*) AS n FROM lab GROUP BY TARGET)",
         f"parts AS (SELECT * FROM (VALUES {parts}) p(i, name, f))",
         "alloc AS (SELECT c.TARGET, p.i, p.name, c.n, floor(CAST(p.f AS DOUBLE) * c.n) AS fl, "
-        "CAST(p.f AS DOUBLE) * c.n - floor(CAST(p.f AS DOUBLE) * c.n) AS rm FROM classes c CROSS JOIN parts p)",
+        "CAST(p.f AS DOUBLE) * c.n - floor(CAST(p.f AS DOUBLE) * c.n) AS rm "
+        "FROM (SELECT TARGET, n, unnest(range(3)) AS i FROM classes) c JOIN parts p ON p.i = c.i)",
         "alloc2 AS (SELECT *, n - sum(fl) OVER (PARTITION BY TARGET) AS rem, "
         "row_number() OVER (PARTITION BY TARGET ORDER BY rm DESC, i) - 1 AS pos FROM alloc)",
         "cnt AS (SELECT TARGET, i, name, fl + CASE WHEN pos < rem THEN 1 ELSE 0 END AS c FROM alloc2)",
@@ -180,7 +181,9 @@ def one_hot() -> str:
              for i, c in enumerate(CENSUS_NUMERIC_FEATURES)]
     n = len(CENSUS_NUMERIC_FEATURES)
     parts.append(f"SELECT s.k, s.split, CAST({n} + v.idx AS INTEGER) AS feature_index, concat('STATE__', v.STATE) AS feature, "
-                 "CAST(CASE WHEN s.STATE = v.STATE THEN 1.0 ELSE 0.0 END AS FLOAT) AS value FROM splitted s CROSS JOIN vocab v")
+                 "CAST(CASE WHEN s.STATE = v.STATE THEN 1.0 ELSE 0.0 END AS FLOAT) AS value "
+                 "FROM (SELECT k, split, STATE, unnest(range(CAST((SELECT count(*) FROM vocab) AS BIGINT))) AS j FROM splitted) s "
+                 "JOIN vocab v ON v.idx = s.j")
     return with_split(" UNION ALL ".join(parts), [VOCAB_CTE])
 
 
@@ -235,8 +238,8 @@ def gate_decision() -> str:
             "perf AS (SELECT pq.p95, (SELECT count(*) / (sum(DurationMs) / 1000.0) FROM req) AS tput FROM pq)",
             f"q AS (SELECT a.split, a.roc_auc >= {g.min_auc} AND a.f1 >= {g.min_f1} AND a.precision >= {g.min_precision} "
             f"AND a.recall >= {g.min_recall} AS quality_passed, "
-            f"coalesce(p.p95 <= {g.max_p95_latency_ms} AND p.tput >= {g.min_throughput_rows_per_sec}, false) AS performance_passed "
-            "FROM allm a, perf p)"]
+            f"coalesce((SELECT p95 FROM perf) <= {g.max_p95_latency_ms} "
+            f"AND (SELECT tput FROM perf) >= {g.min_throughput_rows_per_sec}, false) AS performance_passed FROM allm a)"]
     return with_split(
         "SELECT split, quality_passed, performance_passed, quality_passed AND performance_passed AS register, "
         "CASE WHEN NOT quality_passed THEN 'quality_thresholds_not_met' "
@@ -527,7 +530,7 @@ def vector_check() -> str:
     return ("WITH e AS (SELECT vec_id, embedding, CAST(len(embedding) AS INTEGER) AS length FROM embeddings), "
             "x AS (SELECT arg_min(len(embedding), vec_id) AS expected FROM e WHERE embedding IS NOT NULL) "
             "SELECT vec_id, length, CASE WHEN embedding IS NULL OR length = 0 THEN 'empty' "
-            "WHEN length <> x.expected THEN 'length_mismatch' ELSE 'ok' END AS status FROM e, x")
+            "WHEN length <> (SELECT expected FROM x) THEN 'length_mismatch' ELSE 'ok' END AS status FROM e")
 
 
 def ingest_stream() -> str:

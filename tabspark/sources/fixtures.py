@@ -59,9 +59,9 @@ def acs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ACS_RAW_SQL = (
-    "SELECT " + ", ".join(_ACS_EXPRS) + " FROM (SELECT o_orderkey AS k, o_custkey, o_totalprice FROM orders) o "
-    "JOIN customer ON o.o_custkey = customer.c_custkey "
-    "JOIN (SELECT 0 AS copy UNION ALL SELECT 1) c ON c.copy = 0 OR o.k % 17 = 0"
+    "SELECT " + ", ".join(_ACS_EXPRS) + " FROM (SELECT *, unnest(CASE WHEN k % 17 = 0 THEN [0, 1] ELSE [0] END) AS copy "
+    "FROM (SELECT o_orderkey AS k, o_custkey, o_totalprice FROM orders) o "
+    "JOIN customer ON o.o_custkey = customer.c_custkey) o"
 )
 
 
