@@ -222,11 +222,12 @@ def cohort_gate(requests: DataFrame, baseline: str, candidate: str, cohort: str
     return row.withColumn("reason", reason).withColumn("passed", F.col("reason").isNull())
 
 
-def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int, salts: int = 16) -> DataFrame:
-    """First ``k`` rows per group, skew-safe: top-k inside (group, salt) first,
-    then top-k over at most ``salts * k`` candidates per group. Adds ``rank``."""
-    salt = F.abs(F.xxhash64(*[o for o in df.columns])) % salts
-    w1 = Window.partitionBy(group, "_salt").orderBy(*order)
-    cand = df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k)
-    w2 = Window.partitionBy(group).orderBy(*order)
-    return cand.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k).drop("_salt", "_r1")
+def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int) -> DataFrame:
+    """First ``k`` rows per group with a ``rank`` column.
+
+    ``row_number() ... <= k`` plans as a WindowGroupLimit that runs partially
+    in every map task before the shuffle, so each task ships at most ``k`` rows
+    per group and a hot group never reaches one task whole.
+    """
+    w = Window.partitionBy(group).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
