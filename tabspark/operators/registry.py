@@ -48,3 +48,28 @@ def resolve(requests: DataFrame, versions: DataFrame, aliases: DataFrame) -> Dat
               .when(F.length(F.trim("run_id")) == 0, F.lit("no_run_id"))
               .otherwise(F.lit("ok")))
     return r.select("model_name", "alias", F.col("_want").alias("version"), "run_id", status.alias("status"))
+
+
+def register(spark, root: str, model_name: str, run_id: str, created_at) -> int:
+    """L5 writer: append the next version of ``model_name`` to
+    ``<root>/model_versions`` and return its number (one writer per run)."""
+    path = f"{root.rstrip('/')}/model_versions"
+    try:
+        existing = spark.read.parquet(path)
+    except Exception as exc:  # first registration: no table yet
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        existing = None
+    new = spark.createDataFrame([(model_name, run_id, created_at)],
+                                "model_name string, run_id string, created_at timestamp")
+    row = register_versions(new, existing)
+    version = int(row.first()["version"])
+    row.write.mode("append").parquet(path)
+    return version
+
+
+def set_alias(spark, root: str, model_name: str, alias: str, version: int, set_at) -> None:
+    """L6 writer: append an alias assignment; the newest one is current."""
+    spark.createDataFrame([(model_name, alias, int(version), set_at)],
+                          "model_name string, alias string, version long, set_at timestamp") \
+        .write.mode("append").parquet(f"{root.rstrip('/')}/model_aliases")

@@ -90,20 +90,9 @@ def run_training(spark: SparkSession, clean: DataFrame, raw_name: str, ledger_pa
         decision = ga.gate(out["metrics"].where(F.col("split") == "test"), perf, cfg, "split",
                            cfg.enable_model_registration).first().asDict()
         if decision["register"]:
-            versions_path = f"{registry_root.rstrip('/')}/model_versions"
-            try:
-                existing = spark.read.parquet(versions_path)
-            except Exception:
-                existing = None
-            new = spark.createDataFrame([(cfg.model_name, run_id, le.utc_now())],
-                                        "model_name string, run_id string, created_at timestamp")
-            version_df = rg.register_versions(new, existing)
-            version = version_df.first()["version"]
-            version_df.write.mode("append").parquet(versions_path)
-            spark.createDataFrame([(cfg.model_name, cfg.promotion_stage, int(version), le.utc_now())],
-                                  "model_name string, alias string, version long, set_at timestamp") \
-                .write.mode("append").parquet(f"{registry_root.rstrip('/')}/model_aliases")
-            decision["version"] = int(version)
+            version = rg.register(spark, registry_root, cfg.model_name, run_id, le.utc_now())
+            rg.set_alias(spark, registry_root, cfg.model_name, cfg.promotion_stage, version, le.utc_now())
+            decision["version"] = version
         payload = {
             "evaluation": [r.asDict() for r in out["metrics"].collect()],
             "feature_importance": [r.asDict() for r in tr.importance(spark, trained.model, enc.feature_names).collect()],
