@@ -62,3 +62,31 @@ def test_alert_stream_append_with_watermark(spark, tmp_dir):
     n_batch = al.exceptions(fx.telemetry(spark, SF0001, "exceptions")).count()
     # append mode emits only windows closed by the watermark: all but the last few
     assert 0 < out.count() <= n_batch
+
+
+def test_late_row_behind_watermark_is_dropped(spark, tmp_dir):
+    from datetime import datetime, timedelta
+    t0 = datetime(2024, 1, 1, 0, 0, 0)
+    schema = "TimeGenerated timestamp_ntz, OperationId long"
+    src = f"{tmp_dir}/in"
+
+    def land(minutes):
+        spark.createDataFrame([(t0 + timedelta(minutes=m), 1) for m in minutes], schema) \
+            .coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        exc = spark.readStream.schema(schema).parquet(src)
+        stream = {al.RULES[2]: al.exceptions(sa.with_event_time(exc, "15 minutes"))}
+        for q in sa.start_alerts(stream, f"{tmp_dir}/sink", f"{tmp_dir}/ck"):
+            q.awaitTermination()
+
+    land([1, 2, 20, 50])
+    run()
+    land([3, 100])           # minute 3 is behind the watermark (50 - 15 = 35)
+    run()
+    land([200])              # moves the watermark past the minute-100 window
+    run()
+    out = {r["window_start"]: r["value"] for r in spark.read.parquet(f"{tmp_dir}/sink/{al.RULES[2]}").collect()}
+    first = [v for k, v in out.items() if k.minute == 0 and k.hour == 0]
+    assert first == [2.0]    # the late row did not reopen the closed window
+    assert any(k.hour == 1 and k.minute == 30 for k in out)  # window of minute 100 was emitted
