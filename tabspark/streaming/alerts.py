@@ -24,12 +24,14 @@ def rule_streams(requests: DataFrame, exceptions: DataFrame, metrics: DataFrame,
                  delay: str = "15 minutes", window: str = al.WINDOW) -> dict[str, DataFrame]:
     """One streaming DataFrame per rule (alert, window_start, value, fired)."""
     r = with_event_time(requests, delay)
-    return {
+    streams = {
         al.RULES[0]: al.request_failures(r, window),
         al.RULES[1]: al.slow_requests(r, window, streaming=True),
         al.RULES[2]: al.exceptions(with_event_time(exceptions, delay), window),
         al.RULES[3]: al.validation_failures(with_event_time(metrics, delay), window),
     }
+    # back to wall-clock time, the type the batch rules return
+    return {k: v.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) for k, v in streams.items()}
 
 
 def start_alerts(streams: dict[str, DataFrame], sink_root: str, checkpoint_root: str,
