@@ -5,9 +5,10 @@ learning rate -> stepSize, leaves -> the depth that holds them, rounds ->
 maxIter, feature fraction -> featureSubsetStrategy, bagging -> subsamplingRate,
 min data in leaf -> minInstancesPerNode, seed -> seed. Early stopping uses the
 validation rows through ``validationIndicatorCol`` (one fit over train +
-validation, no second pass); the reported best iteration is the one with the
-lowest validation loss. Scores will not equal the reference's booster; the
-interface, guards and metrics are what is kept.
+validation); the best iteration is the one with the lowest validation loss,
+and when it is earlier than the last tree the model is refitted to exactly
+that many rounds, so it predicts with the best iteration. Scores will not
+equal the reference's booster; the interface, guards and metrics are kept.
 """
 
 from __future__ import annotations
@@ -67,9 +68,14 @@ def train(train_df: DataFrame, validation_df: DataFrame, cfg: TrainingConfig,
     data = (train_df.select(features, label).withColumn(VALIDATION_FLAG, F.lit(False))
             .unionByName(validation_df.select(features, label).withColumn(VALIDATION_FLAG, F.lit(True))))
     data = data.withColumn(label, F.col(label).cast("double"))
-    model = build_classifier(cfg, features, label).fit(data)
+    clf = build_classifier(cfg, features, label)
+    model = clf.fit(data)
     losses = model.evaluateEachIteration(validation_df.withColumn(label, F.col(label).cast("double")))
     best = int(min(range(len(losses)), key=lambda i: losses[i]) + 1) if losses else None
+    if best is not None and best < model.getNumTrees:
+        # predict with the best iteration: refit that many rounds (each round's
+        # sampling is seeded by seed + round, so the trees are the same prefix)
+        model = clf.copy({clf.maxIter: best}).fit(data)
     return TrainedModel(model=model, best_iteration=best, trees=model.getNumTrees)
 
 
