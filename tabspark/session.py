@@ -81,3 +81,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings to pass at submit time for a given input size and cluster.
+
+    Shuffle partitions start at the larger of 3 x cores and input/256 MB, so
+    no shuffle partition has to hold more than ~256 MB before AQE coalesces
+    small ones back; file splits stay at 256 MB; AQE splits skewed join
+    partitions. The session never overrides values the cluster already set.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
