@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import count_where
-from tabspark.operators.telemetry import top_per_group
+from tabspark.operators.ranking import top_per_group
 
 # Severities that fail the policy, in report order, and the
 # number of findings listed per target.

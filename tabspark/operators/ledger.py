@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabspark.operators.ranking import hour_block, rank_within
+from tabspark.operators.ranking import top_per_group
 
 STATUS_RUNNING = "RUNNING"
 STATUS_COMPLETED = "COMPLETED"
@@ -101,9 +101,13 @@ def latest_execution(runs: DataFrame, as_of: Column, recent: str = "10 minutes")
 
 def retention(items: DataFrame, group: str, created: str, item_id: str, keep: int,
               protected: DataFrame | None = None) -> DataFrame:
-    """Items beyond the newest ``keep`` per group, minus protected ones."""
-    ranked = rank_within(items, [group], [created, item_id], hour_block(created), descending=True)
-    old = ranked.where(F.col("rank") > keep).drop("rank")
+    """Items beyond the newest ``keep`` per group, minus protected ones.
+
+    The newest ``keep`` per group is a top-k (map-side partial limit), and the
+    rest is an anti join against it, so no group is ever sorted in one task.
+    """
+    newest = top_per_group(items, group, [F.col(created).desc(), F.col(item_id).desc()], keep)
+    old = items.join(newest.select(group, item_id), [group, item_id], "left_anti")
     if protected is not None:
         old = old.join(protected.select(group, item_id), [group, item_id], "left_anti")
     return old

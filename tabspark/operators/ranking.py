@@ -4,7 +4,11 @@
 task. ``rank_within`` splits every group by an order-preserving coarse key
 (e.g. the hour of a timestamp): counts per (group, coarse) form a small
 table whose prefix sums give each coarse block its offset, and the exact
-``row_number`` runs per (group, coarse) block only.
+``row_number`` runs per (group, coarse) block only. It numbers registry
+versions, where a block is the registrations of one model in one hour.
+
+``top_per_group`` is the top-k form: a map-side partial limit per group, so
+only ``k`` rows per group and task cross the shuffle.
 """
 
 from __future__ import annotations
@@ -35,3 +39,14 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], coars
 def hour_block(ts: str) -> Column:
     """Order-preserving coarse key: the hour of a timestamp."""
     return F.date_trunc("hour", F.col(ts))
+
+
+def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int) -> DataFrame:
+    """First ``k`` rows per group with a ``rank`` column.
+
+    ``row_number() ... <= k`` plans as a WindowGroupLimit that runs partially
+    in every map task before the shuffle, so each task ships at most ``k`` rows
+    per group and a hot group never reaches one task whole.
+    """
+    w = Window.partitionBy(group).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tabspark.functions.columns import count_where, lenient, ts_lit
 from tabspark.functions.quantiles import exact_mean, exact_percentiles
+from tabspark.operators.ranking import top_per_group  # noqa: F401  (re-exported)
 
 TS = "TimeGenerated"
 OP = "OperationId"
@@ -220,14 +221,3 @@ def cohort_gate(requests: DataFrame, baseline: str, candidate: str, cohort: str
               .when(F.col("candidate_error_rate") > F.col("error_rate_limit"), F.lit("error_rate_above_limit"))
               .when(F.col("candidate_p95_ms") > F.col("p95_limit_ms"), F.lit("p95_above_limit")))
     return row.withColumn("reason", reason).withColumn("passed", F.col("reason").isNull())
-
-
-def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int) -> DataFrame:
-    """First ``k`` rows per group with a ``rank`` column.
-
-    ``row_number() ... <= k`` plans as a WindowGroupLimit that runs partially
-    in every map task before the shuffle, so each task ships at most ``k`` rows
-    per group and a hot group never reaches one task whole.
-    """
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
