@@ -44,20 +44,34 @@ def _p_literal(p: float) -> tuple[str, int]:
     return format(d, "f"), digits
 
 
+def _fixed(c: Column) -> Column:
+    """Fixed-point value, null when the double has no 9-decimal form
+    (NaN, +-inf, |v| >= 1e15)."""
+    return c.cast("double").try_cast(VALUE_DEC)
+
+
+def _unfixable(c: Column) -> Column:
+    """Rows whose value is present but has no fixed-point form."""
+    return F.count(F.when(c.isNotNull() & _fixed(c).isNull(), F.lit(1)))
+
+
 def exact_mean(value: str | Column, decimals: int = 9) -> Column:
     """Mean in fixed point: exact sum of 9-decimal values, rounded HALF_UP.
 
     Unlike a double average it does not depend on the order in which tasks
     add their partial sums, so it is the same on every run and every engine.
+    Groups holding NaN, infinities or values beyond 1e15 fall back to the
+    double average.
     """
     c = F.col(value) if isinstance(value, str) else value
-    return F.round(F.avg(c.cast("double").cast(VALUE_DEC)), decimals).cast("double")
+    exact = F.round(F.avg(_fixed(c)), decimals).cast("double")
+    return F.when(_unfixable(c) == 0, exact).otherwise(F.avg(c.cast("double")))
 
 
 def exact_sum(value: str | Column) -> Column:
     """Order-independent sum: 9-decimal fixed point, returned as double."""
     c = F.col(value) if isinstance(value, str) else value
-    return F.sum(c.cast("double").cast(VALUE_DEC)).cast("double")
+    return F.when(_unfixable(c) == 0, F.sum(_fixed(c)).cast("double")).otherwise(F.sum(c.cast("double")))
 
 
 def value_bucket(v: Column) -> Column:
@@ -163,8 +177,11 @@ def exact_percentiles(
     # 5: interpolate
     aggs = []
     for i, name in enumerate(names):
-        lo = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 0), F.col("_v"))).cast(VALUE_DEC)
-        hi = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 1), F.col("_v"))).cast(VALUE_DEC)
+        lo = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 0), F.col("_v")))
+        hi = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 1), F.col("_v")))
         frac = F.max(F.when(F.col("_i") == i, F.col("_frac")))
-        aggs.append(F.round(lo + (hi - lo) * frac, decimals).cast("double").alias(name))
+        exact = F.round(_fixed(lo) + (_fixed(hi) - _fixed(lo)) * frac, decimals).cast("double")
+        # NaN / infinite / huge neighbours: plain double interpolation
+        loose = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * frac.cast("double"))
+        aggs.append(F.coalesce(exact, loose).alias(name))
     return picked.groupBy(*by).agg(*aggs)

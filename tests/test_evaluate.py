@@ -84,3 +84,14 @@ def test_latency_stats(spark):
     r = ev.latency_stats(df, "ms", "rows").first()
     assert r["p50_latency_ms"] == 50.5 and r["runs"] == 100
     assert r["throughput_rows_per_sec"] == pytest.approx(512 * 100 / (5050 / 1000))
+
+
+def test_fixed_point_fallbacks(spark):
+    from tabspark.functions.quantiles import exact_mean, exact_sum
+    df = spark.createDataFrame([("a", float("-inf")), ("a", 1.0), ("a", float("inf")), ("a", 2.0),
+                                ("b", 1e20), ("b", 1.0), ("c", 0.125), ("c", 0.25)], "g string, v double")
+    p = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p0": 0.0, "p50": 0.5, "p100": 1.0}).collect()}
+    assert p["a"]["p0"] == float("-inf") and p["a"]["p50"] == 1.5 and p["a"]["p100"] == float("inf")
+    assert p["b"]["p50"] == 5e19
+    m = {r["g"]: r for r in df.groupBy("g").agg(exact_mean("v").alias("m"), exact_sum("v").alias("s")).collect()}
+    assert m["b"]["s"] == 1e20 and m["c"]["m"] == 0.1875 and m["c"]["s"] == 0.375
