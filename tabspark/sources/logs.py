@@ -46,7 +46,7 @@ def parse_logs(lines: DataFrame, column: str = "value") -> DataFrame:
                           F.from_json(F.col(column), LOG_SCHEMA, {"mode": "PERMISSIVE"}).alias("r"))
     ok = F.col("_line").startswith("{") & F.col("r").isNotNull() & F.col("r.level").isNotNull()
     return parsed.select(
-        F.to_timestamp(F.col("r.timestamp")).alias("timestamp"),
+        F.try_to_timestamp(F.col("r.timestamp")).alias("timestamp"),
         *[F.col(f"r.{f.name}").alias(f.name) for f in LOG_SCHEMA.fields if f.name != "timestamp"],
         (~F.coalesce(ok, F.lit(False))).alias("corrupt"),
     )

@@ -34,10 +34,12 @@ def test_log_parsing(spark):
         ('{"timestamp": "2024-01-01T00:00:01+00:00", "level": "error", "logger": "a", "message": "x", '
          '"exception": "Traceback ..."}',),
         ("Traceback (most recent call last):",),
+        ('{"timestamp": "yesterday", "level": "WARNING", "logger": "a", "message": "bad time"}',),
     ], "value string")
     rec = lg.parse_logs(lines)
     rows = rec.collect()
-    assert [r["corrupt"] for r in rows] == [False, False, True]
+    assert [r["corrupt"] for r in rows] == [False, False, True, False]
+    assert rows[3]["timestamp"] is None and rows[0]["timestamp"] is not None
     assert rows[0]["status_code"] == 200 and rows[0]["duration_ms"] == 1.5
     counts = {r["level"]: r["lines"] for r in lg.level_counts(rec).collect()}
-    assert counts == {"INFO": 1, "ERROR": 1, None: 1}
+    assert counts == {"INFO": 1, "ERROR": 1, "WARNING": 1, None: 1}
