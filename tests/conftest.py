@@ -17,7 +17,8 @@ def spark():
 
     from tabspark.session import checkpoint_dir, get_session
     active = SparkSession.getActiveSession()
-    s = active or get_session("local[4]", app_name="tabspark-tests", shuffle_partitions=4)
+    # local[4,2]: up to 2 attempts per task, so retried-task tests can run
+    s = active or get_session("local[4,2]", app_name="tabspark-tests", shuffle_partitions=4)
     checkpoint_dir(s)
     yield s
 
