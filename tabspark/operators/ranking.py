@@ -1,11 +1,17 @@
 """Rank within a group without putting a whole group in one task.
 
 ``row_number() over (partition by g order by t)`` sorts each group in one
-task. ``rank_within`` splits every group by an order-preserving coarse key
-(e.g. the hour of a timestamp): counts per (group, coarse) form a small
-table whose prefix sums give each coarse block its offset, and the exact
-``row_number`` runs per (group, coarse) block only. It numbers registry
-versions, where a block is the registrations of one model in one hour.
+task. ``rank_within`` uses Spark's distributed sort instead:
+
+1. ``repartitionByRange`` on (group, order) -- a hot group is spread over
+   many range partitions (boundaries come from a sample of the keys);
+2. rows per (group, partition) are counted (small: groups x partitions) and
+   turned into per-group offsets with a window over the partition index;
+3. ``row_number`` runs per (group, partition), i.e. inside one range
+   partition only, and the offset is added.
+
+Rows with identical (group, order) keys stay in one partition; they are
+interchangeable for the numbering.
 
 ``top_per_group`` is the top-k form: a map-side partial limit per group, so
 only ``k`` rows per group and task cross the shuffle.
@@ -19,26 +25,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], coarse: Column,
-                descending: bool = False, name: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], descending: bool = False,
+                name: str = "rank", partitions: int | None = None) -> DataFrame:
     """``df`` plus a 1-based ``name`` column: position inside ``group`` by
-    ``order`` (ascending, or descending when asked). ``coarse`` must be a
-    non-decreasing function of the first order column."""
+    ``order`` (ascending, or descending when asked)."""
     group = list(group)
-    keyed = df.withColumn("_cb", coarse)
-    blocks = keyed.groupBy(*group, "_cb").agg(F.count(F.lit(1)).alias("_bn"))
-    ob = F.col("_cb").desc() if descending else F.col("_cb").asc()
-    w = Window.partitionBy(*group).orderBy(ob).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = blocks.withColumn("_off", F.sum("_bn").over(w) - F.col("_bn")).drop("_bn")
-    cols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    inner = Window.partitionBy(*group, "_cb").orderBy(*cols)
-    out = keyed.join(blocks, on=[*group, "_cb"], how="inner")
-    return out.withColumn(name, F.col("_off") + F.row_number().over(inner)).drop("_cb", "_off")
-
-
-def hour_block(ts: str) -> Column:
-    """Order-preserving coarse key: the hour of a timestamp."""
-    return F.date_trunc("hour", F.col(ts))
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    okeys = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    ranged = (df.repartitionByRange(n, *[F.col(c) for c in group], *okeys)
+              .withColumn("_rp", F.spark_partition_id()))
+    counts = ranged.groupBy(*group, "_rp").agg(F.count(F.lit(1)).alias("_rn"))
+    w = Window.partitionBy(*group).orderBy("_rp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.withColumn("_off", F.sum("_rn").over(w) - F.col("_rn")).drop("_rn")
+    inner = Window.partitionBy(*group, "_rp").orderBy(*okeys)
+    out = ranged.join(offsets, on=[*group, "_rp"], how="inner")
+    return out.withColumn(name, F.col("_off") + F.row_number().over(inner)).drop("_rp", "_off")
 
 
 def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int) -> DataFrame:

@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.operators.ranking import hour_block, rank_within
+from tabspark.operators.ranking import rank_within
 
 
 def register_versions(new: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Next version numbers per model (``max(existing) + rank``)."""
-    ranked = rank_within(new, ["model_name"], ["created_at", "run_id"], hour_block("created_at"))
+    ranked = rank_within(new, ["model_name"], ["created_at", "run_id"])
     if existing is not None:
         base = existing.groupBy("model_name").agg(F.max("version").alias("_base"))
         ranked = ranked.join(base, "model_name", "left")

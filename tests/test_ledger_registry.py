@@ -99,3 +99,15 @@ def test_subset_by_keys(spark):
     assert sorted(r["k"] for r in subset_by_keys(df, keys, ["k"]).collect()) == [1, 3]
     with pytest.raises(RuntimeError, match="unexpected number of rows"):
         subset_by_keys(df, spark.createDataFrame([(1,), (42,)], "k long"), ["k"])
+
+
+def test_rank_within_hot_group(spark):
+    from tabspark.operators.ranking import rank_within
+    rows = [("hot", i % 997, i) for i in range(6000)] + [("cold", i, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, t long, id long")
+    out = rank_within(df, ["g"], ["t", "id"], partitions=8).collect()
+    for g, n in (("hot", 6000), ("cold", 50)):
+        got = sorted(((r["t"], r["id"]), r["rank"]) for r in out if r["g"] == g)
+        assert [rk for _, rk in got] == list(range(1, n + 1))
+    desc = rank_within(df, ["g"], ["t", "id"], descending=True, partitions=8).where("g = 'cold'").orderBy("rank").first()
+    assert desc["t"] == 49
