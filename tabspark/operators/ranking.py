@@ -10,6 +10,10 @@ task. ``rank_within`` uses Spark's distributed sort instead:
 3. ``row_number`` runs per (group, partition), i.e. inside one range
    partition only, and the offset is added.
 
+The range-partitioned rows (with their partition index) are written once to
+the checkpoint folder: range bounds come from a sample seeded per execution,
+so the count and the numbering must read the same partitioning.
+
 Rows with identical (group, order) keys stay in one partition; they are
 interchangeable for the numbering.
 
@@ -33,8 +37,11 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], desce
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     okeys = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in group], *okeys)
-              .withColumn("_rp", F.spark_partition_id()))
+    # range bounds come from a sample whose seed differs per execution, so the
+    # partitioned rows are written once and both branches below read them
+    from tabspark.session import materialize
+    ranged = materialize(df.repartitionByRange(n, *[F.col(c) for c in group], *okeys)
+                         .withColumn("_rp", F.spark_partition_id()), "rank-ranges")
     counts = ranged.groupBy(*group, "_rp").agg(F.count(F.lit(1)).alias("_rn"))
     w = Window.partitionBy(*group).orderBy("_rp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.withColumn("_off", F.sum("_rn").over(w) - F.col("_rn")).drop("_rn")
