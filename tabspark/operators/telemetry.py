@@ -27,8 +27,10 @@ from tabspark.operators.ranking import top_per_group  # noqa: F401  (re-exported
 TS = "TimeGenerated"
 OP = "OperationId"
 
-# The custom metric names shown on the metrics panel.
+# The custom metric names shown on the metrics panel, and the
+# two message substrings the run monitor searches traces for.
 PANEL_METRICS = ("prediction_latency_ms", "prediction_count", "validation_failures")
+TRACE_NEEDLES = ("Blob trigger", "ACA job")
 
 
 def recent(df: DataFrame, as_of: str | datetime, lookback: str = "24 hours", ts: str = TS) -> DataFrame:
@@ -171,7 +173,7 @@ def custom_metrics(metrics: DataFrame, as_of, lookback: str = "24 hours", bin: s
 
 
 def trace_search(traces: DataFrame, as_of, lookback: str = "10 minutes",
-                 needles: Sequence[str] = ("Blob trigger", "ACA job"), k: int = 10,
+                 needles: Sequence[str] = TRACE_NEEDLES, k: int = 10,
                  tiebreak: str | None = None) -> DataFrame:
     """Newest ``k`` traces whose message contains any needle (case-insensitive).
 
