@@ -5,31 +5,34 @@ operator group of the survey, each paired with its DuckDB oracle text in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tabspark.contract import CENSUS, TrainingConfig
 from pyspark.sql import functions as F
 
-from tabspark.contract import CENSUS_NUMERIC_FEATURES
-from tabspark.operators import clean as cl
+from tabspark.contract import CENSUS, CENSUS_NUMERIC_FEATURES, TrainingConfig
+from tabspark.functions.columns import ts_lit
 from tabspark.operators import alerts as al
+from tabspark.operators import clean as cl
 from tabspark.operators import evaluate as ev
+from tabspark.operators import features as fe
 from tabspark.operators import findings as fi
+from tabspark.operators import gates as ga
 from tabspark.operators import ledger as le
 from tabspark.operators import registry as rg
-from tabspark.sources import io as sio
-from tabspark.operators import telemetry as te
-from tabspark.sources import logs as lg
-from tabspark.operators import features as fe
-from tabspark.operators import gates as ga
 from tabspark.operators import score as sc
 from tabspark.operators import split as sp
+from tabspark.operators import telemetry as te
 from tabspark.operators import validate as va
 from tabspark.plans import oracle
-from tabspark.session import materialize
+from tabspark.plans.training_job import fit_and_evaluate
+from tabspark.session import materialize, scratch_path
 from tabspark.sources import fixtures as fx
+from tabspark.sources import io as sio
+from tabspark.sources import logs as lg
+from tabspark.streaming import alerts as sa
+from tabspark.streaming.ingest import start_ingest
 
 CONTRACT = CENSUS.with_passthrough("k")
 CFG = TrainingConfig()
@@ -218,7 +221,6 @@ def q_latest_run(spark, sf_dir):
 
 
 def q_latest_execution(spark, sf_dir):
-    from tabspark.functions.columns import ts_lit
     return le.latest_execution(fx.derived(spark, sf_dir, "runs"), ts_lit(AS_OF), "1 day")
 
 
@@ -267,7 +269,6 @@ TRAIN_EVAL_CFG = TrainingConfig(num_boost_round=30)
 
 
 def q_train_eval(spark, sf_dir):
-    from tabspark.plans.training_job import fit_and_evaluate
     clean = materialize(labelled(spark, sf_dir).drop("TARGET"), "clean")
     out = fit_and_evaluate(clean, TRAIN_EVAL_CFG, CONTRACT)
     return out["metrics"]
@@ -278,10 +279,6 @@ def q_ingest_stream(spark, sf_dir):
     table on ``k % 3``: every row lands in exactly one file, exact copies land
     together); the feed cleans them one per micro-batch and the ledger holds
     one COMPLETED record per file with its clean row count."""
-    import uuid
-
-    from tabspark.session import scratch_path
-    from tabspark.streaming.ingest import start_ingest
     root = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
     raw = fx.acs_raw(spark, sf_dir)
     landing = f"{root}/raw/monthly"
@@ -297,10 +294,6 @@ def q_ingest_stream(spark, sf_dir):
 
 def q_alerts_stream(spark, sf_dir):
     """T13-T16 on a stream over the events table (complete mode, memory sink)."""
-    import uuid
-
-    from tabspark.session import scratch_path
-    from tabspark.streaming import alerts as sa
     ev_schema = fx.table(spark, sf_dir, "events").schema
     events = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
               .parquet(sf_dir.rstrip("/")))
