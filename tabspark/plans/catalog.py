@@ -60,6 +60,10 @@ def q_pattern_range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.rule_violations(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
 
 
+def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va.report_columns(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
+
+
 def q_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.class_presence(fx.acs_raw(spark, sf_dir), "PINCP", CFG.target_income_threshold)
 
@@ -319,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_rate": q_duplicate_rate,
     "pattern_range_violations": q_pattern_range_violations,
     "class_counts": q_class_counts,
+    "validation_report": q_validation_report,
     "label": q_label,
     "split_sizes": q_split_sizes,
     "split_members": q_split_members,
@@ -365,6 +370,7 @@ ORACLE: dict[str, str] = {
     "duplicate_rate": oracle.duplicate_rate(),
     "pattern_range_violations": oracle.pattern_range_violations(),
     "class_counts": oracle.class_counts(),
+    "validation_report": oracle.validation_report(),
     "label": oracle.label(),
     "split_sizes": oracle.split_sizes(),
     "split_members": oracle.split_members(),

@@ -549,3 +549,37 @@ def ingest_stream() -> str:
         f"JOIN (SELECT k % 3 AS f2, count(*) AS d FROM (SELECT DISTINCT * FROM raw) GROUP BY k % 3) b ON a.f = b.f2) v "
         f"JOIN (SELECT k % 3 AS f, count(*) AS output_rows FROM (SELECT DISTINCT {cols} FROM tag WHERE reason IS NULL) "
         "GROUP BY k % 3) c ON v.f = c.f")
+
+
+def validation_report() -> str:
+    def pct(x: str) -> str:
+        return f"printf('%.4f%%', ({x}) * 100.0)"
+
+    nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n_{c}" for c in C.required)
+    code = f"upper(regexp_replace(CAST({C.code_column} AS VARCHAR), '^\\s+|\\s+$', '', 'g'))"
+    ranges = ", ".join(
+        f"count(*) FILTER (WHERE TRY_CAST({c} AS {C.range_rule(c).cast.upper()}) < {C.range_rule(c).low} "
+        f"OR TRY_CAST({c} AS {C.range_rule(c).cast.upper()}) > {C.range_rule(c).high}) AS r_{c}"
+        for c in C.warning_order)
+    rate = {c: f"(CASE WHEN n = 0 THEN 0.0 ELSE CAST(n_{c} AS DOUBLE) / n END)" for c in C.required}
+    warn = [f"CASE WHEN {rate[c]} > 0 THEN concat('{c} null_rate=', {pct(rate[c])}) END" for c in C.max_null_rate]
+    warn.append("CASE WHEN dup > 0 THEN concat('duplicate_rows=', CAST(dup AS VARCHAR)) END")
+    warn.append("CASE WHEN bad_code > 0 THEN concat('invalid_state_rows=', CAST(bad_code AS VARCHAR)) END")
+    for c in C.warning_order:
+        warn.append(f"CASE WHEN r_{c} > 0 THEN concat('{C.range_rule(c).warning}=', CAST(r_{c} AS VARCHAR)) END")
+    dup_rate = "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(dup AS DOUBLE) / n END)"
+    code_rate = "(CASE WHEN n = 0 THEN 0.0 ELSE CAST(bad_code AS DOUBLE) / n END)"
+    fatal = [f"WHEN n < {C.min_rows} THEN 'Raw frame is empty'"]
+    for c, lim in C.max_null_rate.items():
+        fatal.append(f"WHEN {rate[c]} > {_dbl(lim)} THEN concat('Null rate for {c} is ', {pct(rate[c])}, "
+                     f"', above allowed ', {pct(_dbl(lim))})")
+    fatal.append(f"WHEN {dup_rate} > {_dbl(C.max_duplicate_rate)} THEN concat('Duplicate rate is ', {pct(dup_rate)}, "
+                 f"', above allowed ', {pct(_dbl(C.max_duplicate_rate))})")
+    fatal.append(f"WHEN {code_rate} > {_dbl(C.max_invalid_code_rate)} THEN concat('Invalid {C.code_column} rate is ', "
+                 f"{pct(code_rate)}, ', above allowed ', {pct(_dbl(C.max_invalid_code_rate))})")
+    return (f"WITH {raw_cte()}, c AS (SELECT count(*) AS n, {nulls}, "
+            f"count(*) FILTER (WHERE NOT regexp_matches({code}, '{C.code_pattern}')) AS bad_code, {ranges}, "
+            "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS dup FROM raw) "
+            f"SELECT n AS row_count, dup AS duplicate_rows, bad_code AS invalid_state_rows, {dup_rate} AS duplicate_rate, "
+            f"{code_rate} AS invalid_state_rate, concat_ws('; ', {', '.join(warn)}) AS warnings, "
+            f"CASE {' '.join(fatal)} END AS fatal FROM c")
