@@ -51,8 +51,9 @@ def removal_reason(contract: DataContract) -> Column:
 
 
 def _project(df: DataFrame, contract: DataContract) -> DataFrame:
+    cols = [c for c in contract.output_columns if c in contract.required or c in df.columns]
     return df.select(*[F.col(c).cast(contract.clean_type(c)).alias(c) if c in contract.required else F.col(c)
-                       for c in contract.output_columns])
+                       for c in cols])
 
 
 def clean(df: DataFrame, contract: DataContract) -> DataFrame:

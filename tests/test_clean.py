@@ -61,3 +61,9 @@ def test_waterfall_adds_up_and_matches_observations(spark):
     assert m["null_rows_removed"] == w["null"]
     assert m["input_rows"] - m["output_rows"] == m["rows_removed"]
     assert n / raw.count() > 0.9  # retention
+
+
+def test_missing_passthrough_is_skipped(spark):
+    df = spark.createDataFrame([census_row()], CENSUS_DDL)
+    out = cl.clean(df, CENSUS.with_passthrough("k"))
+    assert tuple(out.columns) == CENSUS.required
