@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tabspark.functions.columns import count_where, lenient, ts_lit
 from tabspark.functions.quantiles import exact_mean, exact_percentiles
 from tabspark.operators.ranking import top_per_group  # noqa: F401  (re-exported)
+from tabspark.sources.io import DATE_PARTITION
 
 TS = "TimeGenerated"
 OP = "OperationId"
@@ -34,8 +35,16 @@ TRACE_NEEDLES = ("Blob trigger", "ACA job")
 
 
 def recent(df: DataFrame, as_of: str | datetime, lookback: str = "24 hours", ts: str = TS) -> DataFrame:
-    """Rows newer than ``as_of - lookback`` (the ``ago()`` filter)."""
-    return df.where(F.col(ts) > ts_lit(as_of) - F.expr(f"INTERVAL {lookback}"))
+    """Rows newer than ``as_of - lookback`` (the ``ago()`` filter).
+
+    On a table written partitioned by ``event_date`` the same cutoff is also
+    applied to the date column, so Spark prunes whole date folders before
+    reading (the timestamp predicate alone only filters row groups)."""
+    cutoff = ts_lit(as_of) - F.expr(f"INTERVAL {lookback}")
+    out = df.where(F.col(ts) > cutoff)
+    if DATE_PARTITION in df.columns:
+        out = out.where(F.col(DATE_PARTITION) >= F.to_date(cutoff))
+    return out
 
 
 def time_bin(ts: str = TS, bin: str = "1 hour") -> Column:

@@ -97,3 +97,13 @@ def newest_file(spark: SparkSession, folder: str, as_of: datetime, minutes: int,
     newest = files.agg(F.max("modificationTime").alias("newest"), F.count(F.lit(1)).alias("files"))
     cutoff = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(minutes)} MINUTES")
     return newest.withColumn("recent", F.coalesce(F.col("newest") >= cutoff, F.lit(False)))
+
+
+DATE_PARTITION = "event_date"
+
+
+def write_by_date(df: DataFrame, path: str, ts: str = "TimeGenerated", mode: str = "append") -> None:
+    """Telemetry sink partitioned by event date, so time-window readers prune
+    whole date folders (see ``operators.telemetry.recent``)."""
+    df.withColumn(DATE_PARTITION, F.to_date(F.col(ts))).write.mode(mode) \
+        .partitionBy(DATE_PARTITION).parquet(path)

@@ -88,3 +88,18 @@ def test_top_per_group_skewed(spark):
     out = te.top_per_group(df, "g", [F.col("id").desc()], 3).collect()
     got = sorted((r["g"], r["rank"], r["id"]) for r in out)
     assert got == [("cold", 1, 4999), ("cold", 2, 4998), ("cold", 3, 4997), ("hot", 1, 3999), ("hot", 2, 3998), ("hot", 3, 3997)]
+
+
+def test_date_partitioned_store_prunes_and_agrees(spark, tmp_dir):
+    from conftest import SF001
+
+    from tabspark.sources import fixtures as fx
+    from tabspark.sources.io import write_by_date
+    req = fx.telemetry(spark, SF001, "requests")
+    write_by_date(req, f"{tmp_dir}/requests", mode="overwrite")
+    stored = spark.read.parquet(f"{tmp_dir}/requests")
+    a = te.request_health(stored, "2024-01-31 00:00:00").drop("event_date")
+    b = te.request_health(req, "2024-01-31 00:00:00")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    plan = te.recent(stored, "2024-01-31 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date#" in plan
