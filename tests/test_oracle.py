@@ -10,7 +10,7 @@ from conftest import ROOT, SF0001
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from oracle_check import duck, frame_rows  # noqa: E402
+from oracle_check import duck, frame_rows, type_mismatches  # noqa: E402
 
 SQL = entry.oracle_sql()
 
@@ -28,7 +28,9 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF0001).toPandas()
+    sdf = entry.queries()[name](spark, SF0001)
+    assert type_mismatches(sdf, con, SQL[name]) == []
+    got = sdf.toPandas()
     want = con.execute(SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert frame_rows(got) == frame_rows(want)
