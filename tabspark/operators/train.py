@@ -5,9 +5,10 @@ learning rate -> stepSize, leaves -> the depth that holds them, rounds ->
 maxIter, feature fraction -> featureSubsetStrategy, bagging -> subsamplingRate,
 min data in leaf -> minInstancesPerNode, seed -> seed. Early stopping uses the
 validation rows through ``validationIndicatorCol`` (one fit over train +
-validation); the best iteration is the one with the lowest validation loss,
-and when it is earlier than the last tree the model is refitted to exactly
-that many rounds, so it predicts with the best iteration. Scores will not
+validation); the best iteration is the tree prefix with the highest
+validation ROC AUC (the reference's early-stopping metric, checked at a
+stride), and when it is earlier than the last tree the model is refitted to
+exactly that many rounds, so it predicts with the best iteration. Scores will not
 equal the reference's booster; the interface, guards and metrics are kept.
 """
 
@@ -70,8 +71,7 @@ def train(train_df: DataFrame, validation_df: DataFrame, cfg: TrainingConfig,
     data = data.withColumn(label, F.col(label).cast("double"))
     clf = build_classifier(cfg, features, label)
     model = clf.fit(data)
-    losses = model.evaluateEachIteration(validation_df.withColumn(label, F.col(label).cast("double")))
-    best = int(min(range(len(losses)), key=lambda i: losses[i]) + 1) if losses else None
+    best = best_prefix_by_auc(model, validation_df, features, label)
     if best is not None and best < model.getNumTrees:
         # predict with the best iteration: refit that many rounds (each round's
         # sampling is seeded by seed + round, so the trees are the same prefix)
@@ -79,6 +79,38 @@ def train(train_df: DataFrame, validation_df: DataFrame, cfg: TrainingConfig,
     return TrainedModel(model=model, best_iteration=best, trees=model.getNumTrees)
 
 
+def best_prefix_by_auc(model: GBTClassificationModel, validation: DataFrame, features: str = "features",
+                       label: str = "TARGET", max_candidates: int = 20) -> int | None:
+    """Number of trees whose prefix scores best on validation ROC AUC.
+
+    Each tree's output is a column of one plan (no per-tree job). Prefix
+    margins are summed at a stride that keeps at most ``max_candidates``
+    prefixes, and their AUCs come from the distributed ``rank_metrics`` in
+    one pass. Ties go to the shorter prefix.
+    """
+    from tabspark.operators.evaluate import rank_metrics
+
+    trees, weights = model.trees, model.treeWeights
+    n = len(trees)
+    if n == 0:
+        return None
+    stride = max(1, math.ceil(n / max_candidates))
+    cands = sorted(set(list(range(stride, n + 1, stride)) + [n]))
+    df = validation.select(features, F.col(label).cast("long").alias("_y"))
+    for i, tree in enumerate(trees):
+        df = tree.copy().setPredictionCol(f"_t{i}").transform(df)
+    margin, margins, done = F.lit(0.0), [], 0
+    for k in cands:
+        for i in range(done, k):
+            margin = margin + F.lit(float(weights[i])) * F.col(f"_t{i}")
+        done = k
+        margins.append(F.struct(F.lit(k).alias("prefix"), margin.alias("score")))
+    long = df.select("_y", F.explode(F.array(*margins)).alias("m")).select("_y", "m.prefix", "m.score")
+    rows = rank_metrics(long, "_y", "score", ["prefix"]).collect()   # <= max_candidates rows
+    best = max(rows, key=lambda r: (r["roc_auc"], -r["prefix"]))
+    return int(best["prefix"])
+
+
 def importance(spark, model: GBTClassificationModel, names: tuple[str, ...], top: int = 50) -> DataFrame:
     """M8: (feature, gain) sorted by gain descending, first ``top``.
 

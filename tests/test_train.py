@@ -33,3 +33,27 @@ def test_guards(spark):
     with pytest.raises(ValueError, match="validation split must not be empty"):
         tr.train(_dense(spark, 10, 1), _dense(spark, 10, 2).limit(0), TrainingConfig(num_boost_round=2))
     assert tr.depth_for_leaves(63) == 6 and tr.depth_for_leaves(64) == 6 and tr.depth_for_leaves(65) == 7
+
+
+def test_full_prefix_auc_equals_model_auc(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from tabspark.operators.evaluate import rank_metrics
+    cfg = TrainingConfig(num_boost_round=6, min_data_in_leaf=5, learning_rate=0.3)
+    train, val = _dense(spark, 120, 7), _dense(spark, 60, 8)
+    data = train.withColumn(tr.VALIDATION_FLAG, F.lit(False)).unionByName(
+        val.withColumn(tr.VALIDATION_FLAG, F.lit(True))).withColumn("TARGET", F.col("TARGET").cast("double"))
+    model = tr.build_classifier(cfg).fit(data)
+    n = model.getNumTrees
+    # a stride of one: every prefix is a candidate; the best is at most n
+    best = tr.best_prefix_by_auc(model, val, max_candidates=n)
+    assert 1 <= best <= n
+    scored = model.transform(val).select("TARGET", vector_to_array("probability")[1].alias("p"))
+    model_auc = rank_metrics(scored, "TARGET", "p").first()["roc_auc"]
+    trees = model.trees
+    df = val
+    for i, t in enumerate(trees):
+        df = t.copy().setPredictionCol(f"_t{i}").transform(df)
+    margin = sum(F.lit(float(w)) * F.col(f"_t{i}") for i, w in enumerate(model.treeWeights))
+    prefix_auc = rank_metrics(df.select("TARGET", margin.alias("m")), "TARGET", "m").first()["roc_auc"]
+    assert prefix_auc == model_auc
