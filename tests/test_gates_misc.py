@@ -14,8 +14,6 @@ MET = "split string, roc_auc double, f1 double, precision double, recall double"
 PERF = "p95_latency_ms double, throughput_rows_per_sec double"
 
 
-
-
 def test_gate_priority_and_switches(spark):
     good = [("test", 0.95, 0.9, 0.9, 0.9)]
     fast = [(1.0, 5000.0)]
