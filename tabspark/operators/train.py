@@ -104,8 +104,10 @@ def best_prefix_by_auc(model: GBTClassificationModel, validation: DataFrame, fea
         for i in range(done, k):
             margin = margin + F.lit(float(weights[i])) * F.col(f"_t{i}")
         done = k
-        margins.append(F.struct(F.lit(k).alias("prefix"), margin.alias("score")))
-    long = df.select("_y", F.explode(F.array(*margins)).alias("m")).select("_y", "m.prefix", "m.score")
+        margins.append(margin.alias(f"_m{k}"))
+    wide = df.select("_y", *margins)
+    rows_sql = ", ".join(f"{k}, _m{k}" for k in cands)
+    long = wide.selectExpr("_y", f"stack({len(cands)}, {rows_sql}) AS (prefix, score)")
     rows = rank_metrics(long, "_y", "score", ["prefix"]).collect()   # <= max_candidates rows
     best = max(rows, key=lambda r: (r["roc_auc"], -r["prefix"]))
     return int(best["prefix"])
