@@ -152,10 +152,10 @@ def exact_percentiles(
                                lo_r.alias("r"), frac.alias("frac")))
         wanted.append(F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"),
                                hi_r.alias("r"), frac.alias("frac")))
+    # keep only the wanted ranks that fall in this bucket before exploding
+    inside = F.filter(F.array(*wanted), lambda t: (t["r"] >= F.col("_start")) & (t["r"] < F.col("_end")))
     targets = (
-        buckets.select(*by, "_b", "_start", "_end",
-                       F.explode(F.array(*wanted)).alias("t"))
-        .where((F.col("t.r") >= F.col("_start")) & (F.col("t.r") < F.col("_end")))
+        buckets.select(*by, "_b", "_start", F.explode(inside).alias("t"))
         .select(*by, "_b", "_start", F.col("t.i").alias("_i"), F.col("t.side").alias("_side"),
                 F.col("t.r").alias("_r"), F.col("t.frac").alias("_frac"))
     )
