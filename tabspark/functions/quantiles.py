@@ -2,7 +2,9 @@
 
 Spark's built-in ``percentile`` keeps a value->count map per group and merges
 it in one task, so a hot group with many distinct values lands whole in one
-task. ``exact_percentiles`` instead
+task. ``exact_percentiles`` first counts rows per group: groups of at most
+``SMALL_GROUP`` values are ranked by sorting their values in one aggregate
+(bounded memory by construction); larger groups take the two-level path, which
 
 1. maps every value to an order-preserving bucket (about 0.017 % relative width,
    data independent, so no extra job is needed to find boundaries),
@@ -103,6 +105,43 @@ def percentile_expr(value: str | Column, p: float, method: str = "exact") -> Col
     return F.percentile(c.cast("double"), F.lit(p))
 
 
+# Groups with at most this many values are ranked by sorting their values in
+# one aggregate (bounded memory); larger groups take the two-level path.
+SMALL_GROUP = 100_000
+
+
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` that treats null keys as equal, like ``groupBy``."""
+    if not keys:
+        raise ValueError("join keys are required")
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
+    out = left.join(r, cond, how)
+    if how in ("left_semi", "left_anti"):
+        return out
+    return out.drop(*[f"__r_{k}" for k in keys])
+
+
+def _wanted_ranks(ps: Mapping[str, float], n: Column):
+    """Per percentile: (lo rank, hi rank, frac) of the linear interpolation,
+    computed in fixed-point decimal."""
+    out = []
+    for name in ps:
+        text, digits = _p_literal(ps[name])
+        pos = (n - 1).cast("decimal(20,0)") * F.lit(text).cast(f"decimal({digits + 1},{digits})")
+        lo_r = F.floor(pos).cast("long")
+        frac = (pos - F.floor(pos)).cast("decimal(10,8)")
+        out.append((lo_r, F.when(frac > 0, lo_r + 1).otherwise(lo_r), frac))
+    return out
+
+
+def _interpolate(lo: Column, hi: Column, frac: Column, decimals: int) -> Column:
+    exact = F.round(_fixed(lo) + (_fixed(hi) - _fixed(lo)) * frac, decimals).cast("double")
+    # NaN / infinite / huge neighbours: plain double interpolation
+    loose = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * frac.cast("double"))
+    return F.coalesce(exact, loose)
+
+
 def exact_percentiles(
     df: DataFrame,
     by: Sequence[str],
@@ -110,23 +149,51 @@ def exact_percentiles(
     ps: Mapping[str, float],
     method: str = "exact",
     decimals: int = 9,
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """One row per group of ``by`` with one column per entry of ``ps``.
 
     Ranks ``p * (n - 1)`` and the interpolation are computed in fixed-point
     decimal and rounded HALF_UP to ``decimals`` (at most 9), so results are
-    exact and reproducible. Null values are ignored; groups whose values are
-    all null are absent (callers left-join onto their other aggregates).
+    exact and reproducible. A per-group count routes groups of at most
+    ``small_group`` values to one sorting aggregate and larger groups to the
+    two-level bucket path, so no task ever holds more than ``small_group``
+    values of a group. Null values are ignored; groups whose values are all
+    null are absent (callers left-join onto their other aggregates).
     """
     by = list(by)
+    if not by:   # one global group: run it as a constant group
+        g = df.withColumn("_all", F.lit(0))
+        return exact_percentiles(g, ["_all"], value, ps, method, decimals, small_group).drop("_all")
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     base = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull())
     if method == "approx":
         return base.groupBy(*by).agg(
             *[F.percentile_approx("_v", p, 10000).alias(name) for name, p in ps.items()]
         )
-
     names = list(ps)
+
+    counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    tagged = _join(base, counts, by)
+
+    # small groups: sort the (bounded) values of each group in one aggregate
+    small = tagged.where(F.col("_n") <= small_group).groupBy(*by).agg(
+        F.sort_array(F.collect_list("_v")).alias("_arr"), F.first("_n").alias("_n"))
+    small_cols = []
+    for name, (lo_r, hi_r, frac) in zip(names, _wanted_ranks(ps, F.col("_n"))):
+        lo = F.element_at("_arr", (lo_r + 1).cast("int"))
+        hi = F.element_at("_arr", (hi_r + 1).cast("int"))
+        small_cols.append(_interpolate(lo, hi, frac, decimals).alias(name))
+    small_out = small.select(*by, *small_cols)
+
+    large_out = _large_group_percentiles(tagged.where(F.col("_n") > small_group).drop("_n"),
+                                         by, ps, names, decimals)
+    return small_out.unionByName(large_out)
+
+
+def _large_group_percentiles(base: DataFrame, by: list[str], ps: Mapping[str, float], names: list[str],
+                             decimals: int) -> DataFrame:
+    """The two-level path (steps 1-5 of the module docstring)."""
     base = base.withColumn("_b", value_bucket(F.col("_v")))
 
     # 2-3: prefix sums over buckets per group (small table: groups x buckets)
@@ -141,17 +208,9 @@ def exact_percentiles(
 
     # wanted ranks per group: floor and ceil of p*(n-1) for every p
     wanted = []
-    for i, name in enumerate(names):
-        text, digits = _p_literal(ps[name])
-        p_dec = F.lit(text).cast(f"decimal({digits + 1},{digits})")
-        pos = (F.col("_n") - 1).cast("decimal(20,0)") * p_dec
-        lo_r = F.floor(pos).cast("long")
-        frac = (pos - F.floor(pos)).cast("decimal(10,8)")
-        hi_r = F.when(frac > 0, lo_r + 1).otherwise(lo_r)
-        wanted.append(F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"),
-                               lo_r.alias("r"), frac.alias("frac")))
-        wanted.append(F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"),
-                               hi_r.alias("r"), frac.alias("frac")))
+    for i, (lo_r, hi_r, frac) in enumerate(_wanted_ranks(ps, F.col("_n"))):
+        wanted.append(F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"), lo_r.alias("r"), frac.alias("frac")))
+        wanted.append(F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"), hi_r.alias("r"), frac.alias("frac")))
     # keep only the wanted ranks that fall in this bucket before exploding
     inside = F.filter(F.array(*wanted), lambda t: (t["r"] >= F.col("_start")) & (t["r"] < F.col("_end")))
     targets = (
@@ -164,13 +223,13 @@ def exact_percentiles(
     # (map-side partial aggregation collapses a hot repeated value), then the
     # distinct values of each target bucket are ranked.
     hit = targets.select(*by, "_b").distinct()
-    cand = base.join(hit, on=[*by, "_b"], how="left_semi")
+    cand = _join(base, hit, [*by, "_b"], "left_semi")
     vals = cand.groupBy(*by, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
     inb = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     vals = vals.withColumn("_ce", F.sum("_c").over(inb)).withColumn("_cs", F.col("_ce") - F.col("_c"))
 
-    picked = targets.join(vals, on=[*by, "_b"], how="inner").where(
+    picked = _join(targets, vals, [*by, "_b"]).where(
         (F.col("_r") >= F.col("_start") + F.col("_cs")) & (F.col("_r") < F.col("_start") + F.col("_ce"))
     )
 
@@ -180,8 +239,5 @@ def exact_percentiles(
         lo = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 0), F.col("_v")))
         hi = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 1), F.col("_v")))
         frac = F.max(F.when(F.col("_i") == i, F.col("_frac")))
-        exact = F.round(_fixed(lo) + (_fixed(hi) - _fixed(lo)) * frac, decimals).cast("double")
-        # NaN / infinite / huge neighbours: plain double interpolation
-        loose = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * frac.cast("double"))
-        aggs.append(F.coalesce(exact, loose).alias(name))
+        aggs.append(_interpolate(lo, hi, frac, decimals).alias(name))
     return picked.groupBy(*by).agg(*aggs)

@@ -66,13 +66,15 @@ def test_metrics_long(spark):
     assert long["test_tp"] == 1.0 and "test_roc_auc" in long
 
 
-def test_exact_percentiles_vs_numpy_with_hot_group(spark):
+@pytest.mark.parametrize("small_group", [100_000, 10])   # sorting path / two-level path
+def test_exact_percentiles_vs_numpy_with_hot_group(spark, small_group):
     rng = np.random.default_rng(11)
     vals = [("hot", float(v)) for v in np.round(rng.exponential(50, 5000), 2)]
     vals += [("cold", float(v)) for v in np.round(rng.normal(10, 3, 37), 2)]
     vals += [("one", 4.25)]
     df = spark.createDataFrame(vals, "g string, v double")
-    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95, "p99": 0.99}).collect()}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95, "p99": 0.99},
+                                                small_group=small_group).collect()}
     for g in ("hot", "cold", "one"):
         arr = np.array([v for k, v in vals if k == g])
         for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
@@ -86,12 +88,21 @@ def test_latency_stats(spark):
     assert r["throughput_rows_per_sec"] == pytest.approx(512 * 100 / (5050 / 1000))
 
 
-def test_fixed_point_fallbacks(spark):
+@pytest.mark.parametrize("small_group", [100_000, 1])
+def test_fixed_point_fallbacks(spark, small_group):
     from tabspark.functions.quantiles import exact_mean, exact_sum
     df = spark.createDataFrame([("a", float("-inf")), ("a", 1.0), ("a", float("inf")), ("a", 2.0),
                                 ("b", 1e20), ("b", 1.0), ("c", 0.125), ("c", 0.25)], "g string, v double")
-    p = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p0": 0.0, "p50": 0.5, "p100": 1.0}).collect()}
+    p = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p0": 0.0, "p50": 0.5, "p100": 1.0},
+                                              small_group=small_group).collect()}
     assert p["a"]["p0"] == float("-inf") and p["a"]["p50"] == 1.5 and p["a"]["p100"] == float("inf")
     assert p["b"]["p50"] == 5e19
     m = {r["g"]: r for r in df.groupBy("g").agg(exact_mean("v").alias("m"), exact_sum("v").alias("s")).collect()}
     assert m["b"]["s"] == 1e20 and m["c"]["m"] == 0.1875 and m["c"]["s"] == 0.375
+
+
+@pytest.mark.parametrize("small_group", [100_000, 1])
+def test_null_group_key_kept(spark, small_group):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
+    got = {r["g"]: r["p"] for r in exact_percentiles(df, ["g"], "v", {"p": 0.5}, small_group=small_group).collect()}
+    assert got == {None: 2.0, "a": 5.0}

@@ -20,9 +20,10 @@ def test_allocation_is_exact_and_close(total, fr):
 
 
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.integers(-5000, 5000), min_size=1, max_size=60), st.sampled_from([0.0, 0.25, 0.5, 0.95, 0.99, 1.0]))
-def test_exact_percentile_matches_numpy(spark, values, p):
+@given(st.lists(st.integers(-5000, 5000), min_size=1, max_size=60), st.sampled_from([0.0, 0.25, 0.5, 0.95, 0.99, 1.0]),
+       st.sampled_from([100_000, 5]))
+def test_exact_percentile_matches_numpy(spark, values, p, small_group):
     vals = [v / 100 for v in values]   # two decimals, negatives, ties
     df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
-    got = exact_percentiles(df, ["g"], "v", {"q": p}).first()["q"]
+    got = exact_percentiles(df, ["g"], "v", {"q": p}, small_group=small_group).first()["q"]
     assert abs(got - float(np.percentile(np.array(vals), p * 100))) < 1e-9
