@@ -6,11 +6,11 @@ it stays inside whole-stage codegen; no Python runs per row.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Unicode-aware whitespace trim: Spark's ``trim`` strips only U+0020.
@@ -63,3 +63,16 @@ def ts_lit(value: str | datetime, ntz: bool = True) -> Column:
     if isinstance(value, datetime):
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(value).cast("timestamp_ntz" if ntz else "timestamp")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` that treats null keys as equal, like ``groupBy``
+    does, so joining two per-group results never loses the null group."""
+    if not keys:
+        raise ValueError("join keys are required")
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
+    out = left.join(r, cond, how)
+    if how in ("left_semi", "left_anti"):
+        return out
+    return out.drop(*[f"__r_{k}" for k in keys])

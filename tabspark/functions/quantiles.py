@@ -9,8 +9,8 @@ task. ``exact_percentiles`` first counts rows per group: groups of at most
 1. maps every value to an order-preserving bucket (about 0.017 % relative width,
    data independent, so no extra job is needed to find boundaries),
 2. counts rows per (group, bucket) with map-side partial aggregation,
-3. turns those counts into per-group prefix sums (a window over at most a few
-   thousand bucket rows per group),
+3. turns those counts into per-group prefix sums (a window over the group's
+   bucket rows: at most 4096 per power of two spanned by its values),
 4. keeps only the buckets that contain a wanted rank and ranks values inside
    them,
 5. interpolates linearly between the two ranks around ``p * (n - 1)``.
@@ -29,6 +29,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabspark.functions.columns import join_null_safe as _join
+
 # Sub-buckets per power of two; bucket width is 2**(1/4096) - 1, about
 # 0.017 %, so even a group holding a third of a very large table leaves only
 # a few million distinct values in the bucket that holds a wanted rank.
@@ -110,18 +112,6 @@ def percentile_expr(value: str | Column, p: float, method: str = "exact") -> Col
 SMALL_GROUP = 100_000
 
 
-def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` that treats null keys as equal, like ``groupBy``."""
-    if not keys:
-        raise ValueError("join keys are required")
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
-    out = left.join(r, cond, how)
-    if how in ("left_semi", "left_anti"):
-        return out
-    return out.drop(*[f"__r_{k}" for k in keys])
-
-
 def _wanted_ranks(ps: Mapping[str, float], n: Column):
     """Per percentile: (lo rank, hi rank, frac) of the linear interpolation,
     computed in fixed-point decimal."""

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import count_where, safe_ratio
+from tabspark.functions.columns import count_where, join_null_safe, safe_ratio
 from tabspark.functions.quantiles import exact_percentiles, value_bucket
 
 METRIC_ORDER = ("roc_auc", "average_precision", "f1", "precision", "recall", "accuracy",
@@ -72,7 +72,7 @@ def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ())
 
     inner = Window.partitionBy(*by, "_b").orderBy(F.col("_s").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    j = per_score.join(buckets, on=[*by, "_b"], how="inner")
+    j = join_null_safe(per_score, buckets, [*by, "_b"])
     j = (j.withColumn("_tp", F.col("_pa") + F.sum("_p").over(inner))
           .withColumn("_fp", F.col("_na") + F.sum("_n").over(inner)))
     auc2 = F.col("_n") * (2 * (F.col("_tp") - F.col("_p")) + F.col("_p"))
@@ -98,8 +98,7 @@ def binary_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ("
     if not by:  # one global group: join the two one-row results on a constant
         g = df.withColumn("_all", F.lit(0))
         return binary_metrics(g, label, score, ["_all"], threshold).drop("_all")
-    return confusion(df, label, score, by, threshold).join(
-        rank_metrics(df, label, score, by), on=by, how="inner")
+    return join_null_safe(confusion(df, label, score, by, threshold), rank_metrics(df, label, score, by), by)
 
 
 def metrics_long(metrics: DataFrame, by: str = "split",
@@ -125,4 +124,4 @@ def latency_stats(df: DataFrame, ms: str, rows: str | Column | None = None,
                               F.count(F.lit(1)).alias("runs"))
     tot = tot.select(*by, "runs", F.when(F.col("_ms") > 0, F.col("_rows") / (F.col("_ms") / 1000.0))
                      .alias("throughput_rows_per_sec"))
-    return tot.join(pct, on=by, how="left")
+    return join_null_safe(tot, pct, by, "left")

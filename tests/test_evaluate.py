@@ -106,3 +106,12 @@ def test_null_group_key_kept(spark, small_group):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     got = {r["g"]: r["p"] for r in exact_percentiles(df, ["g"], "v", {"p": 0.5}, small_group=small_group).collect()}
     assert got == {None: 2.0, "a": 5.0}
+
+
+def test_metrics_keep_null_group(spark):
+    df = spark.createDataFrame([(None, 1, 0.9), (None, 0, 0.1), ("x", 1, 0.4), ("x", 0, 0.6)],
+                               "split string, y long, s double")
+    m = {r["split"]: r for r in ev.binary_metrics(df, "y", "s", ["split"]).collect()}
+    assert m[None]["roc_auc"] == 1.0 and m["x"]["roc_auc"] == 0.0
+    lat = {r["split"]: r for r in ev.latency_stats(df, "s", by=["split"]).collect()}
+    assert lat[None]["p50_latency_ms"] == 0.5
