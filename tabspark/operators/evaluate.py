@@ -5,11 +5,13 @@ per group in the same plan.
 
 * Confusion counts, precision, recall, F1, accuracy (E4-E6): one aggregation.
 * ROC AUC with ties averaged and step-sum average precision (E1-E3) need
-  cumulative counts in score order. A global window would run in one task,
-  so the counts use the two-level form: rows collapse to (group, score)
-  (partial aggregation), scores map to order-preserving buckets, bucket
-  totals get prefix sums in a small table, and the running sums inside a
-  bucket come from a window partitioned by (group, bucket).
+  cumulative counts in score order. A global window would run in one task.
+  Rows first collapse to (group, score) counts (partial aggregation). Groups
+  with a bounded number of distinct scores are folded in one sorted
+  aggregate; larger groups use the two-level form: scores map to
+  order-preserving buckets, bucket totals get prefix sums in a small table,
+  and the running sums inside a bucket come from a window partitioned by
+  (group, bucket).
 * AUC is accumulated as an exact integer (2 x numerator) and divided once.
 """
 
@@ -49,18 +51,65 @@ def confusion(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     )
 
 
-def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+# Groups with at most this many distinct scores are evaluated by one sorted
+# fold (bounded memory); larger groups take the two-level path.
+SMALL_GROUP = 100_000
+
+
+def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
+                 small_group: int = SMALL_GROUP) -> DataFrame:
     """E1-E3 per group: roc_auc (ties averaged), average_precision (step sum).
 
-    Single-class groups get AUC 0.5 and AP = mean(label).
+    Rows collapse to (group, score) counts first. Groups with at most
+    ``small_group`` distinct scores are folded in one aggregate (their score
+    counts sorted descending, running TP/FP in a single pass); larger groups
+    use the two-level prefix sums. Single-class groups get AUC 0.5 and
+    AP = mean(label).
     """
     by = list(by)
+    if not by:
+        g = df.withColumn("_all", F.lit(0))
+        return rank_metrics(g, label, score, ["_all"], small_group).drop("_all")
     y = F.col(label).cast("long")
     s = F.col(score).cast("double")
     per_score = df.groupBy(*by, s.alias("_s")).agg(
         F.sum(y).alias("_p"), (F.count(F.lit(1)) - F.sum(y)).alias("_n"))
-    per_score = per_score.withColumn("_b", value_bucket(F.col("_s")))
+    distinct = per_score.groupBy(*by).agg(F.count(F.lit(1)).alias("_ds"))
+    tagged = join_null_safe(per_score, distinct, by)
+
+    small = tagged.where(F.col("_ds") <= small_group).groupBy(*by).agg(
+        F.sort_array(F.collect_list(F.struct("_s", "_p", "_n")), asc=False).alias("_arr"))
+    init = F.struct(F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"),
+                    F.lit(0).cast("long").alias("auc2"), F.lit(0.0).alias("ap"))
+
+    def step(acc, x):
+        tp = acc["tp"] + x["_p"]
+        fp = acc["fp"] + x["_n"]
+        return F.struct(tp.alias("tp"), fp.alias("fp"),
+                        (acc["auc2"] + x["_n"] * (2 * acc["tp"] + x["_p"])).alias("auc2"),
+                        (acc["ap"] + x["_p"].cast("double") * tp / (tp + fp)).alias("ap"))
+
+    folded = small.select(*by, F.aggregate("_arr", init, step).alias("_f")).select(
+        *by, F.col("_f.auc2").alias("_auc2"), F.col("_f.ap").alias("_ap"),
+        F.col("_f.tp").alias("_totp"), F.col("_f.fp").alias("_totn"))
+
+    large = _large_rank_sums(tagged.where(F.col("_ds") > small_group).drop("_ds"), by)
+    agg = folded.unionByName(large)
+    both = (F.col("_totp") > 0) & (F.col("_totn") > 0)
+    return agg.select(
+        *by,
+        F.when(both, F.col("_auc2") / (F.lit(2.0) * F.col("_totp") * F.col("_totn"))).otherwise(F.lit(0.5))
+        .alias("roc_auc"),
+        F.when(both, F.col("_ap") / F.col("_totp"))
+        .otherwise(F.col("_totp") / (F.col("_totp") + F.col("_totn")))
+        .alias("average_precision"),
+    )
+
 
+def _large_rank_sums(per_score: DataFrame, by: list[str]) -> DataFrame:
+    """Two-level cumulative sums for groups with many distinct scores:
+    (group, auc2, ap, totp, totn)."""
+    per_score = per_score.withColumn("_b", value_bucket(F.col("_s")))
     grp = Window.partitionBy(*by)
     down = grp.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     buckets = (per_score.groupBy(*by, "_b").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
@@ -69,7 +118,6 @@ def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ())
                .withColumn("_totp", F.sum("_bp").over(grp))
                .withColumn("_totn", F.sum("_bn").over(grp))
                .drop("_bp", "_bn"))
-
     inner = Window.partitionBy(*by, "_b").orderBy(F.col("_s").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     j = join_null_safe(per_score, buckets, [*by, "_b"])
@@ -77,18 +125,9 @@ def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ())
           .withColumn("_fp", F.col("_na") + F.sum("_n").over(inner)))
     auc2 = F.col("_n") * (2 * (F.col("_tp") - F.col("_p")) + F.col("_p"))
     ap = F.col("_p").cast("double") * F.col("_tp") / (F.col("_tp") + F.col("_fp"))
-    agg = j.groupBy(*by).agg(
+    return j.groupBy(*by).agg(
         F.sum(auc2).alias("_auc2"), F.sum(ap).alias("_ap"),
         F.first("_totp").alias("_totp"), F.first("_totn").alias("_totn"))
-    both = (F.col("_totp") > 0) & (F.col("_totn") > 0)
-    return agg.select(
-        *by,
-        F.when(both, F.col("_auc2") / (F.lit(2.0) * F.col("_totp") * F.col("_totn"))).otherwise(F.lit(0.5))
-        .alias("roc_auc"),
-        F.when(both, F.col("_ap") / F.col("_totp"))
-        .otherwise(F.col("_totp") / (F.col("_totp") + F.col("_totn")))
-        .alias("average_precision"),
-    )
 
 
 def binary_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ("split",),

@@ -42,21 +42,23 @@ def test_one_class_fallback(spark):
     assert m["precision"] == 0.0 and m["f1"] == 0.0  # zero predicted positives
 
 
-def test_against_brute_force_with_ties(spark):
+@pytest.mark.parametrize("small_group", [100_000, 1])   # sorted fold / two-level path
+def test_against_brute_force_with_ties(spark, small_group):
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 400).tolist()
     s = (np.round(rng.random(400) * 20) / 20 + np.array(y) * 0.1).tolist()  # many ties
-    m = ev.rank_metrics(_frame(spark, y, s), "y", "s", ["split"]).first()
+    m = ev.rank_metrics(_frame(spark, y, s), "y", "s", ["split"], small_group=small_group).first()
     assert m["roc_auc"] == pytest.approx(_brute_auc(y, s), abs=1e-12)
     assert m["average_precision"] == pytest.approx(_brute_ap(y, s), abs=1e-12)
 
 
-def test_negative_and_wide_scores(spark):
+@pytest.mark.parametrize("small_group", [100_000, 1])
+def test_negative_and_wide_scores(spark, small_group):
     rng = np.random.default_rng(5)
     y = rng.integers(0, 2, 300).tolist()
     s = (rng.normal(size=300) * 1000).tolist()
     s[:5] = [0.0] * 5
-    m = ev.rank_metrics(_frame(spark, y, s), "y", "s", ["split"]).first()
+    m = ev.rank_metrics(_frame(spark, y, s), "y", "s", ["split"], small_group=small_group).first()
     assert m["roc_auc"] == pytest.approx(_brute_auc(y, s), abs=1e-12)
 
 
