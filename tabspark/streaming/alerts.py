@@ -21,12 +21,15 @@ def with_event_time(df: DataFrame, delay: str) -> DataFrame:
 
 
 def rule_streams(requests: DataFrame, exceptions: DataFrame, metrics: DataFrame,
-                 delay: str = "15 minutes", window: str = al.WINDOW) -> dict[str, DataFrame]:
-    """One streaming DataFrame per rule (alert, window_start, value, fired)."""
+                 delay: str = "15 minutes", window: str = al.WINDOW, exact_p95: bool = True) -> dict[str, DataFrame]:
+    """One streaming DataFrame per rule (alert, window_start, value, fired).
+
+    ``exact_p95=False`` bounds the p95 rule's state with a sketch.
+    """
     r = with_event_time(requests, delay)
     streams = {
         al.RULES[0]: al.request_failures(r, window),
-        al.RULES[1]: al.slow_requests(r, window, streaming=True),
+        al.RULES[1]: al.slow_requests(r, window, streaming=True, exact=exact_p95),
         al.RULES[2]: al.exceptions(with_event_time(exceptions, delay), window),
         al.RULES[3]: al.validation_failures(with_event_time(metrics, delay), window),
     }

@@ -90,3 +90,15 @@ def test_late_row_behind_watermark_is_dropped(spark, tmp_dir):
     first = [v for k, v in out.items() if k.minute == 0 and k.hour == 0]
     assert first == [2.0]    # the late row did not reopen the closed window
     assert any(k.hour == 1 and k.minute == 30 for k in out)  # window of minute 100 was emitted
+
+
+def test_alert_stream_with_bounded_p95(spark, tmp_dir):
+    events = fx.table(spark, SF0001, "events")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(SF0001)
+    req = stream.where(fx._VIEWS["requests"][1]).selectExpr(*fx._VIEWS["requests"][0])
+    exc = stream.where("event_type = 'error'").selectExpr(*fx._VIEWS["exceptions"][0])
+    met = stream.selectExpr(*fx._VIEWS["metrics"][0])
+    streams = {al.RULES[1]: sa.rule_streams(req, exc, met, exact_p95=False)[al.RULES[1]]}
+    for q in sa.start_alerts(streams, f"{tmp_dir}/sink", f"{tmp_dir}/ck", output_mode="complete", name_prefix="approx_"):
+        q.awaitTermination()
+    assert spark.table(f"approx_{al.RULES[1]}").count() > 0
