@@ -27,7 +27,7 @@ from tabspark.operators import telemetry as te
 from tabspark.operators import validate as va
 from tabspark.plans import oracle
 from tabspark.plans.training_job import fit_and_evaluate
-from tabspark.session import materialize, scratch_path
+from tabspark.session import materialize, materialize_observed, scratch_path
 from tabspark.sources import fixtures as fx
 from tabspark.sources import io as sio
 from tabspark.sources import logs as lg
@@ -76,8 +76,10 @@ def splitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, labelled, split rows. The clean frame is written once to the
     shared checkpoint folder (the split reads it three times), and so is the
     split table (downstream queries read it more than once)."""
-    clean = materialize(labelled(spark, sf_dir), "clean")
-    return materialize(sp.split(clean, CFG.random_seed, CFG.fractions, "TARGET", key=["k"]), "split")
+    clean, seen = materialize_observed(labelled(spark, sf_dir), "clean", *sp.class_count_exprs("TARGET"))
+    out = sp.split(clean, CFG.random_seed, CFG.fractions, "TARGET", key=["k"],
+                   class_counts=sp.class_counts_from(seen))
+    return materialize(out, "split")
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,11 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
+
+
+def materialize_observed(df: DataFrame, name: str, *exprs) -> tuple[DataFrame, dict]:
+    """``materialize`` plus aggregates observed on the same write (no extra job)."""
+    from pyspark.sql import Observation
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    out = materialize(df.observe(obs, *exprs), name)
+    return out, obs.get
