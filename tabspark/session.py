@@ -8,10 +8,10 @@ job submitted to a real cluster keeps whatever the operator configured.
 from __future__ import annotations
 
 import os
-import uuid
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings every job relies on; applied only when the session lacks them.
 _DEFAULTS = {
@@ -105,7 +105,6 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
 
 def materialize_observed(df: DataFrame, name: str, *exprs) -> tuple[DataFrame, dict]:
     """``materialize`` plus aggregates observed on the same write (no extra job)."""
-    from pyspark.sql import Observation
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     out = materialize(df.observe(obs, *exprs), name)
     return out, obs.get
