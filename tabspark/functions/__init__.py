@@ -3,6 +3,7 @@
 from tabspark.functions.columns import (
     any_null,
     count_where,
+    join_null_safe,
     lenient,
     normalize_code,
     order_key,
@@ -10,9 +11,10 @@ from tabspark.functions.columns import (
     sum_where,
     ts_lit,
 )
-from tabspark.functions.quantiles import exact_mean, exact_percentiles, percentile_expr
+from tabspark.functions.quantiles import exact_mean, exact_percentiles, exact_sum, percentile_expr, value_bucket
 
 __all__ = [
-    "any_null", "count_where", "lenient", "normalize_code", "order_key",
-    "safe_ratio", "sum_where", "ts_lit", "exact_mean", "exact_percentiles", "percentile_expr",
+    "any_null", "count_where", "join_null_safe", "lenient", "normalize_code", "order_key",
+    "safe_ratio", "sum_where", "ts_lit", "exact_mean", "exact_percentiles", "exact_sum",
+    "percentile_expr", "value_bucket",
 ]
