@@ -60,3 +60,12 @@ def test_check_vectors_expected_length(spark):
     assert sorted(r["status"] for r in bad.collect()) == ["empty", "length_mismatch"]
     with pytest.raises(ValueError, match="key is required"):
         sc.check_vectors(df, "f")
+
+
+def test_cluster_settings():
+    from tabspark.session import cluster_settings
+    big = cluster_settings(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600        # 100 TB / 256 MB
+    small = cluster_settings(2**30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192          # 3 x cores floor
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
