@@ -286,7 +286,7 @@ def q_ingest_stream(spark, sf_dir):
     together); the feed cleans them one per micro-batch and the ledger holds
     one COMPLETED record per file with its clean row count."""
     root = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
-    raw = fx.acs_raw(spark, sf_dir)
+    raw = materialize(fx.acs_raw(spark, sf_dir), "ingest-raw")   # computed once, split three ways
     landing = f"{root}/raw/monthly"
     for part in range(3):
         raw.where(F.col("k") % 3 == part).coalesce(1).write.mode("append").parquet(landing)
