@@ -49,7 +49,10 @@ def build_classifier(cfg: TrainingConfig, features: str = "features", label: str
         subsamplingRate=float(cfg.bagging_fraction) if cfg.bagging_freq > 0 else 1.0,
         featureSubsetStrategy=str(cfg.feature_fraction),
         minInstancesPerNode=int(cfg.min_data_in_leaf), seed=int(cfg.random_seed),
-        checkpointInterval=10,
+        # node ids cached per row (checkpointed every 10 trees to the shared
+        # checkpoint folder) instead of re-walking every tree each iteration
+        cacheNodeIds=True, checkpointInterval=10,
+        validationTol=float(cfg.validation_tol),
     )
     if validation_col:
         clf = clf.setValidationIndicatorCol(validation_col)
