@@ -41,30 +41,37 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def q_clean_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows removed per first failing rule, duplicates and kept rows."""
     return cl.removal_waterfall(fx.acs_raw(spark, sf_dir), CONTRACT)
 
 
 def q_clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean frame (13 contract columns + key)."""
     return cl.clean(fx.acs_raw(spark, sf_dir), CONTRACT)
 
 
 def q_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5-V6: null count and rate per required column against its limit."""
     return va.null_profile(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
 
 
 def q_duplicate_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7: whole-row duplicates over the raw frame."""
     return va.duplicate_summary(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
 
 
 def q_pattern_range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invalid STATE codes and out-of-range year, age, hours."""
     return va.rule_violations(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
 
 
 def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation report as columns (warnings, first fatal rule)."""
     return va.report_columns(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
 
 
 def q_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at/above and below the income threshold."""
     return va.class_presence(fx.acs_raw(spark, sf_dir), "PINCP", CFG.target_income_threshold)
 
 
@@ -89,33 +96,40 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_label(spark, sf_dir):
+    """Clean rows with the binary TARGET."""
     return labelled(spark, sf_dir)
 
 
 def q_split_sizes(spark, sf_dir):
+    """Rows per (split, class) of the exact stratified split."""
     return sp.split_sizes(splitted(spark, sf_dir))
 
 
 def q_split_members(spark, sf_dir):
+    """Split of every row."""
     return splitted(spark, sf_dir).select("k", "TARGET", "split")
 
 
 def q_vocabulary(spark, sf_dir):
+    """STATE vocabulary of the training split."""
     train = splitted(spark, sf_dir).where(F.col("split") == "train")
     return fe.vocabulary_frame(train, "STATE")
 
 
 def q_one_hot(spark, sf_dir):
+    """Every encoded feature slot of every row (long form)."""
     data = splitted(spark, sf_dir)
     enc = fe.FeatureEncoder.fit(data.where(F.col("split") == "train"), CENSUS_NUMERIC_FEATURES, "STATE")
     return enc.long_form(data, keep=["k", "split"])
 
 
 def q_confusion_metrics(spark, sf_dir):
+    """Confusion counts, precision, recall, F1, accuracy per split."""
     return ev.confusion(scored(spark, sf_dir), "TARGET", "score", ["split"], CFG.threshold)
 
 
 def q_roc_auc_ap(spark, sf_dir):
+    """Tie-aware ROC AUC and step-sum AP per split."""
     r = ev.rank_metrics(scored(spark, sf_dir), "TARGET", "score", ["split"])
     return r.withColumn("average_precision", F.round("average_precision", 10))
 
@@ -126,6 +140,7 @@ def _split_metrics(spark, sf_dir):
 
 
 def q_metrics_long(spark, sf_dir):
+    """Flattened <split>_<metric> values."""
     return ev.metrics_long(_split_metrics(spark, sf_dir), "split")
 
 
@@ -134,16 +149,19 @@ def _request_perf(spark, sf_dir):
 
 
 def q_latency_percentiles(spark, sf_dir):
+    """p50/p95/p99 and rows per second per request name."""
     out = ev.latency_stats(fx.telemetry(spark, sf_dir, "requests"), "DurationMs", by=["Name"])
     return out.withColumn("throughput_rows_per_sec", F.round("throughput_rows_per_sec", 6))
 
 
 def q_gate_decision(spark, sf_dir):
+    """Quality and performance gates and the skip reason."""
     return ga.gate(_split_metrics(spark, sf_dir), _request_perf(spark, sf_dir), CFG, "split",
                    registration_enabled=True)
 
 
 def q_score_parity(spark, sf_dir):
+    """M7: agreement of two scorers (float64 vs float32 scores)."""
     s = scored(spark, sf_dir)
     exported = s.select("k", F.col("score").cast("float").cast("double").alias("score"))
     return sc.score_parity(s.select("k", "score"), exported, "k")
@@ -157,14 +175,17 @@ def _tel(spark, sf_dir, name):
 
 
 def q_request_health(spark, sf_dir):
+    """Requests, failures, mean and p95 duration per hour."""
     return te.request_health(_tel(spark, sf_dir, "requests"), AS_OF, LOOKBACK)
 
 
 def q_failed_requests(spark, sf_dir):
+    """Failed requests per hour."""
     return te.failed_requests(_tel(spark, sf_dir, "requests"), AS_OF, LOOKBACK)
 
 
 def q_slow_requests(spark, sf_dir):
+    """p95 duration of successful requests per hour."""
     return te.slow_requests(_tel(spark, sf_dir, "requests"), AS_OF, LOOKBACK)
 
 
@@ -173,64 +194,79 @@ def _four(spark, sf_dir):
 
 
 def q_correlated_ops(spark, sf_dir):
+    """Latest request per operation with dependency, trace, exception rollups."""
     return te.correlated_operations(*_four(spark, sf_dir), AS_OF, LOOKBACK, tiebreak="event_id")
 
 
 def q_failed_drilldown(spark, sf_dir):
+    """T8 over failed requests only."""
     return te.failed_drilldown(*_four(spark, sf_dir), AS_OF, LOOKBACK, tiebreak="event_id")
 
 
 def q_exceptions_hourly(spark, sf_dir):
+    """Exceptions per hour."""
     return te.event_counts(_tel(spark, sf_dir, "exceptions"), AS_OF, "Exceptions", LOOKBACK)
 
 
 def q_error_traces(spark, sf_dir):
+    """Error-level traces per hour."""
     return te.event_counts(_tel(spark, sf_dir, "traces"), AS_OF, "ErrorTraces", LOOKBACK,
                            where=F.col("SeverityLevel") >= 3)
 
 
 def q_custom_metrics(spark, sf_dir):
+    """Mean and p95 of the panel metrics per name and hour."""
     return te.custom_metrics(_tel(spark, sf_dir, "metrics"), AS_OF, LOOKBACK)
 
 
 def q_alerts_15m(spark, sf_dir):
+    """Fired alert windows (batch)."""
     return al.evaluate_alerts(_tel(spark, sf_dir, "requests"), _tel(spark, sf_dir, "exceptions"),
                               _tel(spark, sf_dir, "metrics"))
 
 
 def q_trace_search(spark, sf_dir):
+    """Newest 10 traces mentioning the monitored messages."""
     return te.trace_search(_tel(spark, sf_dir, "traces"), AS_OF, LOOKBACK, tiebreak="event_id")
 
 
 def q_run_log(spark, sf_dir):
+    """Oldest 200 log lines of one job execution prefix."""
     return te.run_log(fx.derived(spark, sf_dir, "container_logs"), "job-exec-1", tiebreak="event_id")
 
 
 def q_cohort_gate(spark, sf_dir):
+    """Candidate vs baseline revision latency and error-rate gate."""
     return te.cohort_gate(_tel(spark, sf_dir, "requests"), "baseline", "candidate")
 
 
 def q_log_levels(spark, sf_dir):
+    """JSON log lines parsed and counted per level."""
     return lg.level_counts(lg.parse_logs(fx.log_lines(spark, sf_dir)))
 
 
 def q_findings_rollup(spark, sf_dir):
+    """HIGH/CRITICAL findings per target."""
     return fi.rollup(fx.derived(spark, sf_dir, "findings"))
 
 
 def q_findings_listed(spark, sf_dir):
+    """First five findings per target."""
     return fi.listed(fx.derived(spark, sf_dir, "findings"))
 
 
 def q_latest_run(spark, sf_dir):
+    """L2: current ledger record per (input, phase)."""
     return le.latest_runs(fx.derived(spark, sf_dir, "runs"))
 
 
 def q_latest_execution(spark, sf_dir):
+    """Newest run, its status, and whether it is recent."""
     return le.latest_execution(fx.derived(spark, sf_dir, "runs"), ts_lit(AS_OF), "1 day")
 
 
 def q_pending_inputs(spark, sf_dir):
+    """L3: inputs without a COMPLETED cleaning record."""
     return le.pending_inputs(fx.derived(spark, sf_dir, "inputs"), fx.derived(spark, sf_dir, "runs"), "cleaning")
 
 
@@ -239,22 +275,26 @@ def _versions(spark, sf_dir):
 
 
 def q_model_versions(spark, sf_dir):
+    """Version numbers per model in creation order."""
     return _versions(spark, sf_dir)
 
 
 def q_resolve_model(spark, sf_dir):
+    """Alias resolution to a version and run id, with status."""
     aliases = fx.derived(spark, sf_dir, "model_aliases")
     requests = aliases.select("model_name", "alias").distinct().withColumn("version", F.lit(None).cast("long"))
     return rg.resolve(requests, _versions(spark, sf_dir), aliases)
 
 
 def q_retention(spark, sf_dir):
+    """Versions beyond the newest three per model, minus aliased ones."""
     versions = _versions(spark, sf_dir)
     protected = rg.current_aliases(fx.derived(spark, sf_dir, "model_aliases"))
     return le.retention(versions, "model_name", "created_at", "version", 3, protected)
 
 
 def q_blob_keys(spark, sf_dir):
+    """Clean and ledger keys derived from raw input keys."""
     names = fx.derived(spark, sf_dir, "runs").select("raw_blob_name").distinct()
     n = F.col("raw_blob_name")
     return names.select(n, sio.clean_blob_name(n).alias("clean_blob_name"),
@@ -263,6 +303,7 @@ def q_blob_keys(spark, sf_dir):
 
 
 def q_vector_check(spark, sf_dir):
+    """M5: embedding length check against the first vector."""
     emb = fx.table(spark, sf_dir, "embeddings")
     good, bad = sc.check_vectors(emb, "embedding", key="vec_id")
     return (good.select("vec_id", "length", F.lit("ok").alias("status"))
