@@ -29,14 +29,17 @@ PHASE = "training"
 
 
 def fit_and_evaluate(clean: DataFrame, cfg: TrainingConfig, contract: DataContract = CENSUS,
-                     numeric=CENSUS_NUMERIC_FEATURES) -> dict:
+                     numeric=CENSUS_NUMERIC_FEATURES, class_counts: dict | None = None) -> dict:
     """Split, encode, train and evaluate; returns the DataFrames and facts the
-    job records. The driver holds only the vocabulary and one-row results."""
+    job records. The driver holds only the vocabulary and one-row results.
+    ``class_counts`` (from ``split.class_counts_from``) skips the counting job
+    when the caller observed them while writing ``clean``."""
     spark = clean.sparkSession
     checkpoint_dir(spark)
     labelled = sp.label(clean, "PINCP", cfg.target_income_threshold)
     key = list(contract.passthrough) or None
-    splitted = materialize(sp.split(labelled, cfg.random_seed, cfg.fractions, "TARGET", key=key), "split")
+    splitted = materialize(sp.split(labelled, cfg.random_seed, cfg.fractions, "TARGET", key=key,
+                                    class_counts=class_counts), "split")
     train_rows = splitted.where(F.col("split") == "train")
     class_counts = sp.class_balance_guard(train_rows)
     enc = fe.FeatureEncoder.fit(train_rows, numeric, contract.code_column)
