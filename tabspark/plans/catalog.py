@@ -317,8 +317,8 @@ TRAIN_EVAL_CFG = TrainingConfig(num_boost_round=30)
 
 def q_train_eval(spark, sf_dir):
     """Split, encode, train a GBT and evaluate it (rows-only check)."""
-    clean = materialize(labelled(spark, sf_dir).drop("TARGET"), "clean")
-    out = fit_and_evaluate(clean, TRAIN_EVAL_CFG, CONTRACT)
+    clean, seen = materialize_observed(labelled(spark, sf_dir), "clean", *sp.class_count_exprs("TARGET"))
+    out = fit_and_evaluate(clean, TRAIN_EVAL_CFG, CONTRACT, class_counts=sp.class_counts_from(seen))
     return out["metrics"]
 
 
