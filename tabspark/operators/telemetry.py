@@ -226,8 +226,9 @@ def cohort_gate(requests: DataFrame, baseline: str, candidate: str, cohort: str
     p95_limit = F.greatest(F.col("baseline_p95_ms") * F.lit(p95_factor), F.lit(p95_floor_ms))
     err_limit = F.greatest(F.col("baseline_error_rate") * F.lit(error_factor), F.lit(error_floor))
     row = row.withColumn("p95_limit_ms", p95_limit).withColumn("error_rate_limit", err_limit)
-    missing = F.col("candidate_p95_ms").isNull() | F.col("candidate_error_rate").isNull() \
-        | F.col("p95_limit_ms").isNull() | F.col("error_rate_limit").isNull()
+    # greatest() skips nulls, so a missing baseline is checked explicitly
+    missing = (F.col("candidate_p95_ms").isNull() | F.col("candidate_error_rate").isNull()
+               | F.col("baseline_p95_ms").isNull() | F.col("baseline_error_rate").isNull())
     reason = (F.when(missing, F.lit("missing_metrics"))
               .when(F.col("candidate_error_rate") > F.col("error_rate_limit"), F.lit("error_rate_above_limit"))
               .when(F.col("candidate_p95_ms") > F.col("p95_limit_ms"), F.lit("p95_above_limit")))

@@ -439,8 +439,8 @@ def cohort_gate() -> str:
         "max(CASE WHEN Revision = 'candidate' THEN err END) AS candidate_error_rate FROM per), "
         "r2 AS (SELECT *, greatest(baseline_p95_ms * 1.5, 200.0) AS p95_limit_ms, "
         "greatest(baseline_error_rate * 2.0, 0.01) AS error_rate_limit FROM r), "
-        "r3 AS (SELECT *, CASE WHEN candidate_p95_ms IS NULL OR candidate_error_rate IS NULL OR p95_limit_ms IS NULL "
-        "OR error_rate_limit IS NULL THEN 'missing_metrics' WHEN candidate_error_rate > error_rate_limit THEN 'error_rate_above_limit' "
+        "r3 AS (SELECT *, CASE WHEN candidate_p95_ms IS NULL OR candidate_error_rate IS NULL OR baseline_p95_ms IS NULL "
+        "OR baseline_error_rate IS NULL THEN 'missing_metrics' WHEN candidate_error_rate > error_rate_limit THEN 'error_rate_above_limit' "
         "WHEN candidate_p95_ms > p95_limit_ms THEN 'p95_above_limit' END AS reason FROM r2) "
         "SELECT *, reason IS NULL AS passed FROM r3")
 

@@ -103,3 +103,9 @@ def test_date_partitioned_store_prunes_and_agrees(spark, tmp_dir):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     plan = te.recent(stored, "2024-01-31 00:00:00")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date#" in plan
+
+
+def test_cohort_gate_missing_baseline(spark):
+    rows = [(i, 1, True, 150.0, "cand") for i in range(20)]
+    r = te.cohort_gate(_req(spark, rows), "base", "cand").first()
+    assert r["reason"] == "missing_metrics" and r["passed"] is False
