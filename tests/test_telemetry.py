@@ -109,3 +109,12 @@ def test_cohort_gate_missing_baseline(spark):
     rows = [(i, 1, True, 150.0, "cand") for i in range(20)]
     r = te.cohort_gate(_req(spark, rows), "base", "cand").first()
     assert r["reason"] == "missing_metrics" and r["passed"] is False
+
+
+def test_recent_on_date_partitions_with_midday_cutoff(spark, tmp_dir):
+    from tabspark.sources.io import write_by_date
+    rows = [(datetime(2024, 1, d, h, 0, 0), i) for i, (d, h) in enumerate([(1, 6), (1, 18), (2, 6), (2, 18), (3, 1)])]
+    df = spark.createDataFrame(rows, "TimeGenerated timestamp_ntz, id long")
+    write_by_date(df, f"{tmp_dir}/t", mode="overwrite")
+    got = sorted(r["id"] for r in te.recent(spark.read.parquet(f"{tmp_dir}/t"), "2024-01-03 00:00:00", "30 hours").collect())
+    assert got == [2, 3, 4]   # cutoff 2024-01-01 18:00 (exclusive) -> from Jan 2 06:00 on
