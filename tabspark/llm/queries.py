@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.llm import bpe
+from tabspark.llm import bpe, near_dedup
 from tabspark.llm.common import table
 
 
@@ -14,8 +14,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), ids=False, digests=True)
 
 
+def op9_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document: shingles of four words, similarity 0.8 or more."""
+    return near_dedup.groups(table(spark, sf_dir, "documents"), words=4)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op9_super_minhash": op9_super_minhash,
 }
 
 ORACLE: dict[str, str] = {}
