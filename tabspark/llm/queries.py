@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.llm import bpe, near_dedup
+from tabspark.llm import bpe, near_dedup, quality
 from tabspark.llm.common import table
 
 
@@ -14,6 +14,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), ids=False, digests=True)
 
 
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and verdict of the line field for every document."""
+    documents = table(spark, sf_dir, "documents")
+    return quality.assess(documents, quality.train(documents, table(spark, sf_dir, "labels"))).drop("line_labels")
+
+
 def op9_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document: shingles of four words, similarity 0.8 or more."""
     return near_dedup.groups(table(spark, sf_dir, "documents"), words=4)
@@ -21,6 +27,7 @@ def op9_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op8_line_crf": op8_line_crf,
     "op9_super_minhash": op9_super_minhash,
 }
 
