@@ -4,17 +4,45 @@ one's ``docs``."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabspark.llm import bpe
+from tabspark.llm import bpe, decontam, near_dedup, pii, quality
 from tabspark.llm.common import table, written
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep. The line field is trained on the labelled documents of the
+    input tables."""
+    field = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.keep(docs, field)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the least id."""
+    gone = near_dedup.groups(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind; n_chars follows the new text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE of what is left: per document its number of ids and the digests."""
     return bpe.encode(docs, ids=False, digests=True)
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("dedup", dedup),
+    ("decontaminate", decontaminate),
+    ("redact", redact),
     ("tokens", tokens),
 ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.llm import bpe, near_dedup, quality
+from tabspark.llm import bpe, decontam, near_dedup, pii, quality
 from tabspark.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), ids=False, digests=True)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts of the base kinds, the hash of their places, all spans."""
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and verdict of the line field for every document."""
     documents = table(spark, sf_dir, "documents")
@@ -25,10 +30,17 @@ def op9_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), words=4)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold, with the best window's similarity and place."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op7_pii": op7_pii,
     "op8_line_crf": op8_line_crf,
     "op9_super_minhash": op9_super_minhash,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
