@@ -86,9 +86,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     else:
         small = lambda x: x
     cut = source.select("doc", words_of(F.col("body")).alias("words")).select("doc", F.size("words").alias("m"), *[grams(F.col("words"), F.lit(k), s).alias(f"g{k}") for k, s in stride.items()])
+    # explode_outer: for explode, Spark pushes a filter on the array's size below the projection that makes
+    # the words, and the lambda over them would then make them anew for each shingle
     probes = None
     for k, s in stride.items():
-        own = cut.select("doc", "m", F.posexplode(f"g{k}").alias("p", "h")).withColumn("i", F.col("p") * s)
+        own = cut.select("doc", "m", F.posexplode_outer(f"g{k}").alias("p", "h")).withColumn("i", F.col("p") * s)
         probes = own if probes is None else probes.union(own)
     if probes is None:
         probes = source.limit(0).select("doc", F.lit(0).alias("m"), F.lit(0).alias("p"), F.lit(0).cast("bigint").alias("h"), F.lit(0).alias("i"))
@@ -97,7 +99,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     asked = written(asked.groupBy("doc").agg(F.collect_list(F.struct("item", "n", "start")).alias("ask")), "asked")
 
     found = source.join(asked, "doc").select("doc", "ask", words_of(F.col("body")).alias("words"))
-    windows = found.select("doc", F.explode(F.transform("ask", lambda a: F.struct(a["item"].alias("item"), a["start"].alias("start"), F.slice("words", a["start"] + 1, a["n"]).alias("w")))).alias("x")).select("doc", "x.*")
+    windows = found.select("doc", F.explode_outer(F.transform("ask", lambda a: F.struct(a["item"].alias("item"), a["start"].alias("start"), F.slice("words", a["start"] + 1, a["n"]).alias("w")))).alias("x")).select("doc", "x.*")
     both = windows.join(small(items.select("item", "k", "same", "ig", "ih", "ib")), "item")
     both = both.withColumn("wg", grams(F.col("w"), F.col("k"))).where("size(wg) > 0").withColumn("wh", fingerprint("wg"))
     near = both.where(F.arrays_overlap(blocks("wh"), "ib") & (F.bit_count(F.col("wh").bitwiseXOR(F.col("ih"))) <= RADIUS))
