@@ -7,10 +7,10 @@ at least the threshold are linked; a group is a connected component of these lin
 How it runs:
 1. One pass makes set size, a 128-bit key of the set and the band keys of its SuperMinHash signature.
 2. Equal sets (exact copies among them) become one class before anything is paired.
-3. Band keys that several classes share are buckets. Members are compared with leaders of their bucket
-   (first the member that shares most bands, a hub), never all with all: rounds take more leaders, and
-   only members and leaders of different components, until no bucket holds two components whose members
-   were not all compared. Components that a bucket still holds apart are then compared in full.
+3. Band keys that several classes share are buckets. Members are compared with the leader of their
+   bucket, the member that shares most bands, not all with all. A bucket that then holds one component
+   is done. What others hold apart is compared in full, in pairs of blocks of bounded size, and only
+   links that join two components leave a block.
 4. A pair counts only if the full sets reach the threshold; partitions contract their links by
    union-find, and joins hook what is left to the smallest id.
 
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from tabspark.llm.common import mix64, text_slices, written
 
 SHINGLE, SIMILARITY, SLOTS, ROWS = 5, 80, 252, 6
+BLOCK = 150_000  # set elements in a block of a band
 _CHUNK = 60_000  # set elements whose signatures are made together
 
 
@@ -193,6 +194,53 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.withColumn("common", common).where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
 
 
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of a band, enough of them to join what is linked: every member
+    of a band that holds two components or more is compared with every other, in blocks.
+
+    Members of a band are dealt by hash into blocks of about BLOCK set elements, and each pair of blocks
+    is a group of its own, so no task holds more than two blocks. In a group, one matrix product over
+    the shingles that several members have gives the size of every intersection."""
+    open_ = members.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")).where("lo < hi").select("band", "blocks")
+    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = members.join(open_, "band").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "comp")
+    kind = members.schema["rep"].dataType.simpleString()
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        reps, comps, held = group["rep"].tolist(), group["comp"].tolist(), group["shingles"].tolist()
+        sizes = np.array([len(x) for x in held])
+        _, column, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+        row, several = np.repeat(np.arange(len(held)), sizes), times[column] > 1
+        column = (np.cumsum(times > 1) - 1)[column[several]]
+        row, order = row[several], np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((len(held), len(held)), np.float32)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            lo, hi = np.searchsorted(column, (start, start + 4096))
+            has = np.zeros((len(held), 4096), np.float32)
+            has[row[lo:hi], column[lo:hi] - start] = 1
+            common += has @ has.T
+        code = np.unique(np.array(comps, dtype=object), return_inverse=True)[1]
+        linked = (100 * common >= percent * (sizes[:, None] + sizes - common)) & (code[:, None] != code)
+        up = list(range(len(held)))
+
+        def find(x: int) -> int:
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        out = []
+        for x, y in zip(*np.nonzero(np.triu(linked)), strict=True):
+            a, b = find(code[x]), find(code[y])
+            if a != b:
+                up[a] = b
+                out.append((max(comps[x], comps[y]), min(comps[x], comps[y])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=object)
+
+    return dealt.join(sets.withColumnRenamed("id", "rep"), "rep").groupBy("band", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}")
+
+
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """Per row: the key, n_shingles, component_id (smallest id of its group), kept (is that document)."""
     made = written(signatures(df, key, text, words), "signatures")
@@ -205,37 +253,18 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     sets = written(shingle_sets(source.join(reps.select(F.col("rep").alias("id")), "id", "left_semi"), words), "sets")
     members = written(members.drop("members").join(reps, "rep").select("band", "rep", "n", "hub"), "members")
 
-    found = tested = None
-    of = None  # rep -> component, for those that are not the smallest of theirs
-    for leaders in (1, 4, 16, None):
-        now = members if of is None else members.join(of.select(F.col("a").alias("rep"), F.col("b").alias("up")), "rep", "left").withColumn("comp", F.coalesce("up", "rep")).drop("up")
-        if of is None:
-            now = now.withColumn("comp", F.col("rep"))
-        else:
-            open_ = now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-            now = written(now.join(open_, "band", "left_semi"), "members")
-        lead = now
-        if leaders:
-            best = F.max(F.struct("hub", F.struct("rep", "n", "comp").alias("who")))["who"].alias("who")
-            lead = now.groupBy("band", F.pmod(F.xxhash64("rep"), F.lit(leaders)).alias("salt")).agg(best).select("band", "who.*")
-        lead = lead.select("band", F.col("rep").alias("l"), F.col("n").alias("ln"), F.col("comp").alias("lc"))
-        fits = (F.col("comp") != F.col("lc")) & (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))
-        pairs = now.join(lead, "band").where(fits).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            if leaders is None or of is not None and now.isEmpty():
-                break
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        links = written(_verified(pairs, sets, percent), "links")
-        found = links if found is None else found.union(links)
-        of = components(found)
-    if of is not None:
-        of = written(of, "components")
+    best = F.max(F.struct("hub", F.struct("rep", "n").alias("who")))["who"].alias("who")
+    lead = members.groupBy("band").agg(best).select("band", F.col("who.rep").alias("l"), F.col("who.n").alias("ln"))
+    fits = (F.col("rep") != F.col("l")) & (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))
+    pairs = members.join(lead, "band").where(fits).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
+    links = written(_verified(pairs, sets, percent), "links")
+    of = written(components(links), "components")
+    now = members.join(of.select(F.col("a").alias("rep"), F.col("b").alias("up")), "rep", "left").select("band", "rep", "n", F.coalesce("up", "rep").alias("comp"))
+    more = written(_across(now, sets, percent), "links")
+    if not more.isEmpty():
+        of = written(components(of.union(more)), "components")
     merged = classes.select("set_key", "rep")
-    merged = merged.withColumn("component_id", F.col("rep")) if of is None else merged.join(of.select(F.col("a").alias("rep"), F.col("b").alias("up")), "rep", "left").withColumn("component_id", F.coalesce("up", "rep"))
+    merged = merged.join(of.select(F.col("a").alias("rep"), F.col("b").alias("up")), "rep", "left").withColumn("component_id", F.coalesce("up", "rep"))
     out = made.select("id", "n_shingles", "set_key").join(merged.select("set_key", "component_id"), "set_key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
