@@ -4,9 +4,10 @@ express the result. Each query applies its operator with production parameters t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabspark.llm import bpe, decontam, near_dedup, pii, quality
-from tabspark.llm.common import table
+from tabspark.llm import bpe, decontam, langid, near_dedup, pii, quality, toxicity
+from tabspark.llm.common import fold_of, table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +15,20 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), ids=False, digests=True)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fold 0 of 5 is held out."""
+    documents, fold = table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 5)
+    scorer = toxicity.train(documents, table(spark, sf_dir, "labels"), fold != 0)
+    return toxicity.score(documents, scorer).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; fold 2 of 4 is held out."""
+    documents, fold = table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 4)
+    network = langid.train(documents, fold != 2)
+    return langid.predict(documents, network).select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts of the base kinds, the hash of their places, all spans."""
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
@@ -37,6 +52,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_toxicity": op2_toxicity,
+    "op6_language_id": op6_language_id,
     "op7_pii": op7_pii,
     "op8_line_crf": op8_line_crf,
     "op9_super_minhash": op9_super_minhash,
