@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import bpe, decontam, langid, near_dedup, pii, quality, toxicity
+from tabspark.llm import bpe, decontam, html_text, langid, near_dedup, pii, quality, toxicity, warc
 from tabspark.llm.common import fold_of, table
 
 
@@ -22,6 +22,19 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, scorer).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, read back and merged into capture histories. Pages have no time of
+    their own: a page is captured as many seconds after a fixed time as its id says."""
+    captured = F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0)))
+    return warc.histories(table(spark, sf_dir, "pages"), captured).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "merge_part", "merge_row")
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; fold 2 of 4 is held out."""
     documents, fold = table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 4)
@@ -53,6 +66,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
+    "op4_warc_index": op4_warc_index,
+    "op5_main_text": op5_main_text,
     "op6_language_id": op6_language_id,
     "op7_pii": op7_pii,
     "op8_line_crf": op8_line_crf,
