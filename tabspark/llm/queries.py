@@ -3,11 +3,14 @@ express the result. Each query applies its operator with production parameters t
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import bpe, decontam, html_text, langid, near_dedup, pii, quality, toxicity, warc
-from tabspark.llm.common import fold_of, table
+from tabspark.llm import bpe, decontam, html_text, langid, near_dedup, pii, quality, token_counts, toxicity, warc
+from tabspark.llm.common import fold_of, table, written
+from tabspark.session import scratch_path
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +25,25 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, scorer).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens by source, language and tokenizer version after four commits: all documents are
+    inserted; those labelled toxic are revised to the counts without their digits; those of quality 0 are
+    deleted; the revision is sent again and changes nothing."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    plain = token_counts.counted(documents)
+    bare = token_counts.counted(documents.withColumn("text", F.regexp_replace("text", "[0-9]+", "")))
+    rollup = token_counts.Rollup(spark, scratch_path(spark, f"rollup-{uuid.uuid4().hex}"))
+    change = lambda df, op, seq: df.withColumns({"op": F.lit(op), "seq": F.lit(seq)})
+    rollup.commit("load", change(plain, "insert", 1))
+    named = lambda rule: labels.where(rule).select("doc_id").distinct()
+    revised = written(change(bare.join(named("toxic = 1"), "doc_id", "left_semi"), "revise", 2), "revised")
+    rollup.commit("revise", revised)
+    gone = change(named("quality = 0").withColumn("version", F.explode(F.array(*map(F.lit, token_counts.PATTERNS)))), "delete", 3)
+    rollup.commit("remove", gone.withColumns({c: F.lit(None).cast(t) for c, t in (("source", "string"), ("lang", "string"), ("n_tokens", "long"))}))
+    rollup.commit("revise", revised)
+    return rollup.totals()
+
+
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, read back and merged into capture histories. Pages have no time of
     their own: a page is captured as many seconds after a fixed time as its id says."""
@@ -66,6 +88,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_token_rollup": op3_token_rollup,
     "op4_warc_index": op4_warc_index,
     "op5_main_text": op5_main_text,
     "op6_language_id": op6_language_id,
@@ -75,4 +98,17 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_token_rollup": r"""
+        WITH kept AS (
+            SELECT d.source, d.lang,
+                   CASE WHEN l.toxic = 1 THEN regexp_replace(coalesce(d.text, ''), '[0-9]+', '', 'g') ELSE coalesce(d.text, '') END AS body
+            FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+            WHERE coalesce(l.quality, 1) <> 0),
+        counted AS (
+            SELECT source, lang, 'words.v1' AS version, len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) AS n FROM kept
+            UNION ALL
+            SELECT source, lang, 'pieces.v1', len(regexp_extract_all(body, '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) FROM kept)
+        SELECT source, lang, version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+        FROM counted GROUP BY ALL""",
+}
