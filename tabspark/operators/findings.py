@@ -21,11 +21,11 @@ LISTED = 5
 
 def flatten_reports(reports: DataFrame) -> DataFrame:
     """One row per vulnerability; targets without any keep one null row."""
-    r = reports.select(F.explode_outer("Results").alias("r"))
-    r = r.select(F.coalesce(F.col("r.Target"), F.lit("unknown")).alias("Target"),
-                 F.explode_outer("r.Vulnerabilities").alias("v"))
+    r = reports.select(F.posexplode_outer("Results").alias("result_position", "r"))
+    r = r.select(F.coalesce(F.col("r.Target"), F.lit("unknown")).alias("Target"), "result_position",
+                 F.posexplode_outer("r.Vulnerabilities").alias("position", "v"))
     return r.select("Target", "v.VulnerabilityID", "v.PkgName", "v.InstalledVersion",
-                    "v.FixedVersion", "v.Severity", "v.Title")
+                    "v.FixedVersion", "v.Severity", "v.Title", "result_position", "position")
 
 
 def policy_findings(flat: DataFrame) -> DataFrame:
@@ -47,10 +47,13 @@ def rollup(flat: DataFrame) -> DataFrame:
 
 
 def listed(flat: DataFrame) -> DataFrame:
-    """The first five findings per target (ordered by vulnerability id)."""
+    """The first five findings per target: in report order where ``flat`` has positions (as
+    ``flatten_reports`` gives them), else by vulnerability id."""
+    order = [c for c in ("result_position", "position") if c in flat.columns] + ["VulnerabilityID"]
     f = policy_findings(flat).select(
         "Target", F.coalesce("VulnerabilityID", F.lit("unknown")).alias("VulnerabilityID"),
         F.coalesce("PkgName", F.lit("unknown")).alias("PkgName"),
         F.coalesce("InstalledVersion", F.lit("?")).alias("InstalledVersion"),
-        F.coalesce("FixedVersion", F.lit("unfixed")).alias("FixedVersion"), "Severity")
-    return top_per_group(f, "Target", [F.col("VulnerabilityID").asc()], LISTED)
+        F.coalesce("FixedVersion", F.lit("unfixed")).alias("FixedVersion"), "Severity",
+        *[F.coalesce("Title", F.lit("")).alias("Title")] * ("result_position" in order), *order[:-1])
+    return top_per_group(f, "Target", [F.col(c).asc() for c in order], LISTED).drop(*order[:-1])

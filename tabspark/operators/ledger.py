@@ -101,13 +101,12 @@ def latest_execution(runs: DataFrame, as_of: Column, recent: str = "10 minutes")
 
 def retention(items: DataFrame, group: str, created: str, item_id: str, keep: int,
               protected: DataFrame | None = None) -> DataFrame:
-    """Items beyond the newest ``keep`` per group, minus protected ones.
+    """Protected items leave first; of the rest those beyond the newest ``keep`` per group.
 
     The newest ``keep`` per group is a top-k (map-side partial limit), and the
     rest is an anti join against it, so no group is ever sorted in one task.
     """
-    newest = top_per_group(items, group, [F.col(created).desc(), F.col(item_id).desc()], keep)
-    old = items.join(newest.select(group, item_id), [group, item_id], "left_anti")
     if protected is not None:
-        old = old.join(protected.select(group, item_id), [group, item_id], "left_anti")
-    return old
+        items = items.join(protected.select(group, item_id), [group, item_id], "left_anti")
+    newest = top_per_group(items, group, [F.col(created).desc(), F.col(item_id).desc()], keep)
+    return items.join(newest.select(group, item_id), [group, item_id], "left_anti")

@@ -107,7 +107,7 @@ def score_parity(a: DataFrame, b: DataFrame, key: str, score_a: str = "score",
     both = F.col("_ina").isNotNull() & F.col("_inb").isNotNull()
 
     def bad(c):
-        return F.isnan(c) | (F.abs(c) == float("inf"))
+        return c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
 
     nonfinite = both & (bad(F.col("_pa")) | bad(F.col("_pb")))
     out = j.agg(

@@ -514,9 +514,10 @@ def resolve_model() -> str:
 
 
 def retention() -> str:
-    return (f"WITH v AS ({VERSIONS_SQL}), a AS ({ALIASES_CUR}), r AS (SELECT *, row_number() OVER (PARTITION BY model_name "
-            "ORDER BY created_at DESC, version DESC) AS rk FROM v) SELECT model_name, version, run_id, created_at FROM r "
-            "WHERE rk > 3 AND NOT EXISTS (SELECT 1 FROM a WHERE a.model_name = r.model_name AND a.version = r.version)")
+    return (f"WITH v AS ({VERSIONS_SQL}), a AS ({ALIASES_CUR}), loose AS (SELECT * FROM v WHERE NOT EXISTS "
+            "(SELECT 1 FROM a WHERE a.model_name = v.model_name AND a.version = v.version)), "
+            "r AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY created_at DESC, version DESC) AS rk FROM loose) "
+            "SELECT model_name, version, run_id, created_at FROM r WHERE rk > 3")
 
 
 def blob_keys() -> str:

@@ -53,12 +53,14 @@ def _apply_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered; on a cluster the configured shared path is always used.
+    Only when the setting is absent and the master is local a scratch folder is
+    created and registered; a cluster without the setting raises.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tabspark-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)

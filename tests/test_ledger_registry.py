@@ -57,6 +57,10 @@ def test_retention_keeps_newest_and_protected(spark):
     protected = spark.createDataFrame([("app", 0)], "model_name string, version long")
     old = le.retention(items, "model_name", "created_at", "version", 2, protected)
     assert sorted(r["version"] for r in old.collect()) == [1, 2, 3]
+    # protected versions leave before the newest are counted
+    newest = spark.createDataFrame([("app", 4), ("app", 5)], "model_name string, version long")
+    old = le.retention(items, "model_name", "created_at", "version", 3, newest)
+    assert [r["version"] for r in old.collect()] == [0]
 
 
 @pytest.mark.parametrize("raw,clean", [("raw/monthly/batch.parquet", "clean/monthly/batch.parquet"),
