@@ -29,10 +29,23 @@ METRIC_ORDER = ("roc_auc", "average_precision", "f1", "precision", "recall", "ac
                 "tn", "fp", "fn", "tp", "prediction_latency_ms_per_row", "row_count")
 
 
+def binary_label(label: str) -> Column:
+    """The label as long; a row with any other value than 0 and 1 (null too) ends the job. Checked where
+    the label is read, so it costs no pass of its own."""
+    y = F.col(label)
+    bad = F.concat(F.lit(f"labels in {label} must be 0 or 1; found "), F.coalesce(y.cast("string"), F.lit("null")))
+    return F.when(y.cast("double").isin(0.0, 1.0), y.cast("long")).otherwise(F.raise_error(bad).cast("long"))
+
+
+def _pairs(n: Column, weight: Column) -> Column:
+    """n * weight of two counts, exact beyond 64 bits."""
+    return (n.cast("decimal(19,0)") * weight.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def confusion(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
               threshold: float = 0.5) -> DataFrame:
     """E4-E6 per group: tn fp fn tp, precision, recall, f1, accuracy, row_count."""
-    y = F.col(label).cast("long")
+    y = binary_label(label)
     pred = F.col(score) >= F.lit(float(threshold))
     out = df.groupBy(*by).agg(
         count_where((y == 0) & ~pred).alias("tn"),
@@ -70,7 +83,7 @@ def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     if not by:
         g = df.withColumn("_all", F.lit(0))
         return rank_metrics(g, label, score, ["_all"], small_group).drop("_all")
-    y = F.col(label).cast("long")
+    y = binary_label(label)
     s = F.col(score).cast("double")
     per_score = df.groupBy(*by, s.alias("_s")).agg(
         F.sum(y).alias("_p"), (F.count(F.lit(1)) - F.sum(y)).alias("_n"))
@@ -80,13 +93,13 @@ def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     small = tagged.where(F.col("_ds") <= small_group).groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("_s", "_p", "_n")), asc=False).alias("_arr"))
     init = F.struct(F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"),
-                    F.lit(0).cast("long").alias("auc2"), F.lit(0.0).alias("ap"))
+                    F.lit(0).cast("decimal(38,0)").alias("auc2"), F.lit(0.0).alias("ap"))
 
     def step(acc, x):
         tp = acc["tp"] + x["_p"]
         fp = acc["fp"] + x["_n"]
         return F.struct(tp.alias("tp"), fp.alias("fp"),
-                        (acc["auc2"] + x["_n"] * (2 * acc["tp"] + x["_p"])).alias("auc2"),
+                        (acc["auc2"] + _pairs(x["_n"], 2 * acc["tp"] + x["_p"])).cast("decimal(38,0)").alias("auc2"),
                         (acc["ap"] + x["_p"].cast("double") * tp / (tp + fp)).alias("ap"))
 
     folded = small.select(*by, F.aggregate("_arr", init, step).alias("_f")).select(
@@ -98,7 +111,7 @@ def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     both = (F.col("_totp") > 0) & (F.col("_totn") > 0)
     return agg.select(
         *by,
-        F.when(both, F.col("_auc2") / (F.lit(2.0) * F.col("_totp") * F.col("_totn"))).otherwise(F.lit(0.5))
+        F.when(both, F.col("_auc2").cast("double") / (F.lit(2.0) * F.col("_totp") * F.col("_totn"))).otherwise(F.lit(0.5))
         .alias("roc_auc"),
         F.when(both, F.col("_ap") / F.col("_totp"))
         .otherwise(F.col("_totp") / (F.col("_totp") + F.col("_totn")))
@@ -123,10 +136,10 @@ def _large_rank_sums(per_score: DataFrame, by: list[str]) -> DataFrame:
     j = join_null_safe(per_score, buckets, [*by, "_b"])
     j = (j.withColumn("_tp", F.col("_pa") + F.sum("_p").over(inner))
           .withColumn("_fp", F.col("_na") + F.sum("_n").over(inner)))
-    auc2 = F.col("_n") * (2 * (F.col("_tp") - F.col("_p")) + F.col("_p"))
+    auc2 = _pairs(F.col("_n"), 2 * (F.col("_tp") - F.col("_p")) + F.col("_p"))
     ap = F.col("_p").cast("double") * F.col("_tp") / (F.col("_tp") + F.col("_fp"))
     return j.groupBy(*by).agg(
-        F.sum(auc2).alias("_auc2"), F.sum(ap).alias("_ap"),
+        F.sum(auc2).cast("decimal(38,0)").alias("_auc2"), F.sum(ap).alias("_ap"),
         F.first("_totp").alias("_totp"), F.first("_totn").alias("_totn"))
 
 

@@ -52,7 +52,7 @@ def q_clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V5-V6: null count and rate per required column against its limit."""
-    return va.null_profile(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
+    return va.null_profile(va.rule_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
 
 
 def q_duplicate_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def q_duplicate_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_pattern_range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invalid STATE codes and out-of-range year, age, hours."""
-    return va.rule_violations(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
+    return va.rule_violations(va.rule_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
 
 
 def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,3 +117,17 @@ def test_metrics_keep_null_group(spark):
     assert m[None]["roc_auc"] == 1.0 and m["x"]["roc_auc"] == 0.0
     lat = {r["split"]: r for r in ev.latency_stats(df, "s", by=["split"]).collect()}
     assert lat[None]["p50_latency_ms"] == 0.5
+
+
+@pytest.mark.parametrize("bad", [2, None])
+def test_labels_other_than_0_and_1_end_the_job(spark, bad):
+    df = spark.createDataFrame([(0, 0.2), (1, 0.9), (bad, 0.4)], "y int, s double")
+    for metrics in (ev.confusion, ev.rank_metrics):
+        with pytest.raises(Exception, match="must be 0 or 1; found " + ("null" if bad is None else "2")):
+            metrics(df, "y", "s").collect()
+
+
+def test_pair_counts_beyond_64_bits(spark):
+    from pyspark.sql import functions as F
+    row = spark.range(1).select(ev._pairs(F.lit(3_000_000_000), F.lit(9_000_000_000)).alias("p")).first()
+    assert int(row["p"]) == 27 * 10**18
