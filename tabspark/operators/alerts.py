@@ -48,7 +48,9 @@ def slow_requests(requests: DataFrame, window: str = WINDOW, streaming: bool = F
     keeps a bounded ``percentile_approx`` sketch instead, for very hot windows.
     """
     if streaming:
-        p95 = (percentile_expr("DurationMs", 0.95).cast(VALUE_DEC).cast("double") if exact
+        p = percentile_expr("DurationMs", 0.95)
+        # NaN and values beyond the fixed point stay as they are, as in the batch path
+        p95 = (F.coalesce(p.try_cast(VALUE_DEC).cast("double"), p) if exact
                else percentile_expr("DurationMs", 0.95, method="approx"))
         agg = requests.groupBy(_win(TS, window)).agg(p95.alias("v"))
     else:

@@ -89,6 +89,19 @@ def removal_waterfall(df: DataFrame, contract: DataContract) -> DataFrame:
     return long.select("s.step", "s.reason", "s.rows")
 
 
+def _removal_aggregates(contract: DataContract) -> list[Column]:
+    reason = F.col("_reason")
+    aggs = [F.count(F.lit(1)).alias("input_rows"), F.count(F.when(reason.isNull(), 1)).alias("passing_rows")]
+    return aggs + [F.count(F.when(reason == x, 1)).alias(x) for x in waterfall_reasons(contract)[:-2]]
+
+
+def removal_counts(df: DataFrame, contract: DataContract) -> DataFrame:
+    """One row: input rows, passing rows and rows per removal reason. A map-side
+    aggregate of its own, so a stage that runs twice cannot count twice, as an
+    observation below the distinct's shuffle could."""
+    return normalize(df, contract).withColumn("_reason", removal_reason(contract)).agg(*_removal_aggregates(contract))
+
+
 def clean_observed(df: DataFrame, contract: DataContract) -> tuple[DataFrame, Observation, Observation]:
     """Clean frame plus two observations filled by whatever action writes it.
 
@@ -96,15 +109,10 @@ def clean_observed(df: DataFrame, contract: DataContract) -> tuple[DataFrame, Ob
     output rows, so writing the clean table also yields the waterfall without
     a second scan (duplicates = passing - output).
     """
-    norm = normalize(df, contract)
-    reason = removal_reason(contract)
     before = Observation("clean_before")
     after = Observation("clean_after")
-    tagged = norm.withColumn("_reason", reason)
-    aggs = [F.count(F.lit(1)).alias("input_rows"),
-            F.count(F.when(F.col("_reason").isNull(), 1)).alias("passing_rows")]
-    aggs += [F.count(F.when(F.col("_reason") == x, 1)).alias(x) for x in waterfall_reasons(contract)[:-2]]
-    tagged = tagged.observe(before, *aggs)
+    tagged = normalize(df, contract).withColumn("_reason", removal_reason(contract))
+    tagged = tagged.observe(before, *_removal_aggregates(contract))
     out = _project(tagged.where(F.col("_reason").isNull()).drop("_reason").dropDuplicates(), contract)
     out = out.observe(after, F.count(F.lit(1)).alias("output_rows"))
     return out, before, after
@@ -112,11 +120,15 @@ def clean_observed(df: DataFrame, contract: DataContract) -> tuple[DataFrame, Ob
 
 def transform_metrics(contract: DataContract, before: Observation, after: Observation) -> dict:
     """TransformMetrics from the two observations (after the action ran)."""
-    b, a = before.get, after.get
+    return metrics_of(contract, before.get, int(after.get["output_rows"]))
+
+
+def metrics_of(contract: DataContract, b: dict, output_rows: int) -> dict:
+    """TransformMetrics from the row of ``removal_counts`` and the rows written."""
     m = {
         "input_rows": int(b["input_rows"]),
-        "output_rows": int(a["output_rows"]),
-        "duplicates_removed": int(b["passing_rows"]) - int(a["output_rows"]),
+        "output_rows": output_rows,
+        "duplicates_removed": int(b["passing_rows"]) - output_rows,
         "null_rows_removed": int(b[NULLS]),
         "invalid_state_rows_removed": int(b[INVALID_CODE]),
     }

@@ -6,8 +6,8 @@ maxIter, feature fraction -> featureSubsetStrategy, bagging -> subsamplingRate,
 min data in leaf -> minInstancesPerNode, seed -> seed. Early stopping uses the
 validation rows through ``validationIndicatorCol`` (one fit over train +
 validation); the best iteration is the tree prefix with the highest
-validation ROC AUC (the reference's early-stopping metric, checked at a
-stride), and when it is earlier than the last tree the model is refitted to
+validation ROC AUC (the reference's early-stopping metric, of every prefix),
+and when it is earlier than the last tree the model is refitted to
 exactly that many rounds, so it predicts with the best iteration. Scores will not
 equal the reference's booster; the interface, guards and metrics are kept.
 """
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tabspark.contract import TrainingConfig
 from tabspark.operators.evaluate import rank_metrics
+from tabspark.session import materialize
 
 VALIDATION_FLAG = "_is_validation"
 
@@ -87,30 +88,31 @@ def best_prefix_by_auc(model: GBTClassificationModel, validation: DataFrame, fea
                        label: str = "TARGET", max_candidates: int = 20) -> int | None:
     """Number of trees whose prefix scores best on validation ROC AUC.
 
-    Each tree's output is a column of one plan (no per-tree job). Prefix
-    margins are summed at a stride that keeps at most ``max_candidates``
-    prefixes, and their AUCs come from the distributed ``rank_metrics`` in
-    one pass. Ties go to the shorter prefix.
+    Every prefix is a candidate. Each tree's output is a column of a plan (no
+    per-tree job); the AUCs come from the distributed ``rank_metrics``,
+    ``max_candidates`` prefixes a pass, each pass starting from the margin
+    that the one before it wrote. Ties go to the shorter prefix.
     """
     trees, weights = model.trees, model.treeWeights
     n = len(trees)
     if n == 0:
         return None
-    stride = max(1, math.ceil(n / max_candidates))
-    cands = sorted(set(list(range(stride, n + 1, stride)) + [n]))
-    df = validation.select(features, F.col(label).cast("long").alias("_y"))
-    for i, tree in enumerate(trees):
-        df = tree.copy().setPredictionCol(f"_t{i}").transform(df)
-    margin, margins, done = F.lit(0.0), [], 0
-    for k in cands:
-        for i in range(done, k):
-            margin = margin + F.lit(float(weights[i])) * F.col(f"_t{i}")
-        done = k
-        margins.append(margin.alias(f"_m{k}"))
-    wide = df.select("_y", *margins)
-    rows_sql = ", ".join(f"{k}, _m{k}" for k in cands)
-    long = wide.selectExpr("_y", f"stack({len(cands)}, {rows_sql}) AS (prefix, score)")
-    rows = rank_metrics(long, "_y", "score", ["prefix"]).collect()   # <= max_candidates rows
+    rows = []
+    base = validation.select(features, F.col(label).cast("long").alias("_y"), F.lit(0.0).alias("_margin"))
+    for start in range(0, n, max_candidates):
+        cands = range(start + 1, min(start + max_candidates, n) + 1)
+        margin, margins, df = F.col("_margin"), [], base
+        for k in cands:
+            df = trees[k - 1].copy().setPredictionCol(f"_t{k}").transform(df)
+            margin = margin + F.lit(float(weights[k - 1])) * F.col(f"_t{k}")
+            margins.append(margin.alias(f"_m{k}"))
+        wide = df.select(features, "_y", *margins)
+        if cands[-1] < n:
+            wide = materialize(wide, "margins")
+            base = wide.select(features, "_y", F.col(f"_m{cands[-1]}").alias("_margin"))
+        pairs = ", ".join(f"{k}, _m{k}" for k in cands)
+        long = wide.selectExpr("_y", f"stack({len(cands)}, {pairs}) AS (prefix, score)")
+        rows += rank_metrics(long, "_y", "score", ["prefix"]).collect()   # one row a prefix
     best = max(rows, key=lambda r: (r["roc_auc"], -r["prefix"]))
     return int(best["prefix"])
 

@@ -310,9 +310,7 @@ def q_vector_check(spark, sf_dir):
             .unionByName(bad.select("vec_id", "length", "status")))
 
 
-# The registered training query trains fewer rounds than the job default so
-# the per-query check stays short; the job itself uses the full config.
-TRAIN_EVAL_CFG = TrainingConfig(num_boost_round=30)
+TRAIN_EVAL_CFG = TrainingConfig()   # the job's own configuration
 
 
 def q_train_eval(spark, sf_dir):

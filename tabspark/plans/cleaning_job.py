@@ -1,9 +1,10 @@
 """Cleaning job: ledger check -> validate -> clean + write -> ledger record.
 
 Spark jobs: the validation aggregation (one shuffle), the clean write (one
-shuffle for the distinct; the removal waterfall comes from observations on
-that same write), and a one-row ledger append. Re-running an input whose
-current ledger record is COMPLETED does nothing.
+shuffle for the distinct; it takes the earlier table's place only if it holds
+rows), the removal counts (map-side aggregate), the count of the rows written
+(from the files' footers), and a one-row ledger append. Re-running an input
+whose current ledger record is COMPLETED does nothing.
 """
 
 from __future__ import annotations
@@ -34,12 +35,10 @@ def run_cleaning(spark: SparkSession, raw_root: str, raw_name: str, clean_root:
     started = le.utc_now()
     raw = sio.read_raw(spark, f"{raw_root.rstrip('/')}/{key}")
     report = va.validate(raw, contract)
-    out, before, after = cl.clean_observed(raw, contract)
     clean_key = sio.clean_blob_name_of(key)
-    out.write.mode("overwrite").parquet(f"{clean_root.rstrip('/')}/{clean_key}")
-    metrics = cl.transform_metrics(contract, before, after)
-    if metrics["output_rows"] == 0:
-        raise sio.EmptyInputError("Refusing to write an empty clean frame")
+    path = f"{clean_root.rstrip('/')}/{clean_key}"
+    sio.write_clean(cl.clean(raw, contract), path)
+    metrics = cl.metrics_of(contract, cl.removal_counts(raw, contract).first().asDict(), spark.read.parquet(path).count())
     finished = le.utc_now()
     payload = {"raw_blob_name": key, "clean_blob_name": clean_key,
                "validation_report": {**asdict(report), "duplicate_rate": report.duplicate_rate,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +34,33 @@ def read_clean(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def write_clean(df: DataFrame, path: str, output_rows: int | None = None,
                 partition_by: list[str] | None = None) -> None:
-    """S3: overwrite the clean table. ``output_rows`` (from the cleaning
-    observation) lets the caller refuse an empty result without a second scan."""
+    """S3: replace the clean table. The result is written beside the table, in a
+    hidden folder; only if it holds rows does it take the table's place, so an
+    empty result or a failed write leaves the earlier table as it was.
+    ``output_rows`` lets a caller that knows the count refuse without a write."""
     if output_rows is not None and output_rows == 0:
         raise EmptyInputError("Refusing to write an empty clean frame")
-    w = df.write.mode("overwrite")
+    spark = df.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    staged, earlier = (f"{parent}/_{kind}-{uuid.uuid4().hex}-{name}" for kind in ("staged", "earlier"))
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(staged)
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if spark.read.schema(df.schema).parquet(staged).isEmpty():
+        fs.delete(to_path(staged), True)
+        raise EmptyInputError("Refusing to write an empty clean frame")
+    replaced = fs.exists(to_path(path))
+    if replaced and not fs.rename(to_path(path), to_path(earlier)):
+        raise OSError(f"could not set the earlier table {path} aside")
+    if not fs.rename(to_path(staged), to_path(path)):
+        if replaced:
+            fs.rename(to_path(earlier), to_path(path))
+        raise OSError(f"could not move the new table to {path}")
+    if replaced:
+        fs.delete(to_path(earlier), True)
 
 
 def write_batch(df: DataFrame, folder: str, n: int, order_by: list[str],

@@ -41,13 +41,19 @@ def read_log_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_logs(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Typed log records; lines that are not JSON objects get ``corrupt = true``."""
+    """Typed log records; lines that are not JSON objects get ``corrupt = true``
+    and keep their text in ``raw_line``. Keys beyond the schema are in ``extra``
+    (map of texts; null for corrupt lines)."""
+    names = [f.name for f in LOG_SCHEMA.fields]
     parsed = lines.select(F.col(column).alias("_line"),
-                          F.from_json(F.col(column), LOG_SCHEMA, {"mode": "PERMISSIVE"}).alias("r"))
+                          F.from_json(F.col(column), LOG_SCHEMA, {"mode": "PERMISSIVE"}).alias("r"),
+                          F.from_json(F.col(column), "map<string,string>", {"mode": "PERMISSIVE"}).alias("_all"))
     ok = F.col("_line").startswith("{") & F.col("r").isNotNull() & F.col("r.level").isNotNull()
     return parsed.select(
         F.try_to_timestamp(F.col("r.timestamp")).alias("timestamp"),
         *[F.col(f"r.{f.name}").alias(f.name) for f in LOG_SCHEMA.fields if f.name != "timestamp"],
+        F.when(ok, F.map_filter("_all", lambda k, v: ~k.isin(*names))).alias("extra"),
+        F.when(~F.coalesce(ok, F.lit(False)), F.col("_line")).alias("raw_line"),
         (~F.coalesce(ok, F.lit(False))).alias("corrupt"),
     )
 

@@ -3,11 +3,11 @@ validated, cleaned and recorded, one file per micro-batch.
 
 ``maxFilesPerTrigger=1`` keeps the reference's one-input-per-run contract;
 ``foreachBatch`` is idempotent per file (an input whose ledger record is
-COMPLETED is skipped, the clean output is overwritten), so a replay after a
+COMPLETED is skipped, the clean output is replaced), so a replay after a
 failure gives the same clean table and one COMPLETED record. A file that
-breaks the contract gets a FAILED record with the message and the feed moves
-on to the next file. The stream's
-own checkpoint tracks which files were offered.
+breaks the contract, or of which no row is left, gets a FAILED record with the
+message (an earlier clean table of it stays) and the feed moves on to the next
+file. The stream's own checkpoint tracks which files were offered.
 """
 
 from __future__ import annotations
@@ -55,19 +55,20 @@ def process_batch(batch: DataFrame, spark: SparkSession, raw_root: str, clean_ro
                 continue
             started = le.utc_now()
             part = batch.where(F.col("_file") == path).drop("_file")
+            clean_key = sio.clean_blob_name_of(key)
+            clean_path = f"{clean_root.rstrip('/')}/{clean_key}"
             try:
                 report = va.validate(part, contract)
-            except ContractError as exc:
-                # a file that breaks the contract is recorded and skipped; the
-                # feed goes on with the next file
+                sio.write_clean(cl.clean(part, contract), clean_path)
+            except (ContractError, sio.EmptyInputError) as exc:
+                # such a file is recorded and skipped; the feed goes on with
+                # the next file
                 le.append_runs(le.run_record(spark, key, PHASE, le.STATUS_FAILED, uuid4().hex, started,
                                              le.utc_now(), {"message": str(exc)}), ledger_path)
                 results.append({"raw_blob_name": key, "status": le.STATUS_FAILED, "message": str(exc)})
                 continue
-            out, before, after = cl.clean_observed(part, contract)
-            clean_key = sio.clean_blob_name_of(key)
-            out.write.mode("overwrite").parquet(f"{clean_root.rstrip('/')}/{clean_key}")
-            metrics = cl.transform_metrics(contract, before, after)
+            metrics = cl.metrics_of(contract, cl.removal_counts(part, contract).first().asDict(),
+                                    spark.read.parquet(clean_path).count())
             payload = {"clean_blob_name": clean_key, "warnings": list(report.warnings),
                        "transform_metrics": metrics}
             le.append_runs(le.run_record(spark, key, PHASE, le.STATUS_COMPLETED, uuid4().hex, started,

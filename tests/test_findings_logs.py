@@ -43,3 +43,11 @@ def test_log_parsing(spark):
     assert rows[0]["status_code"] == 200 and rows[0]["duration_ms"] == 1.5
     counts = {r["level"]: r["lines"] for r in lg.level_counts(rec).collect()}
     assert counts == {"INFO": 1, "ERROR": 1, "WARNING": 1, None: 1}
+
+
+def test_log_extras_and_corrupt_text_are_kept(spark):
+    lines = spark.createDataFrame([('{"level": "INFO", "message": "m", "run_id": "r7", "n": 3}',), ("not json",), (None,)], "value string")
+    a, b, c = lg.parse_logs(lines).collect()
+    assert a["extra"] == {"run_id": "r7", "n": "3"} and a["raw_line"] is None and not a["corrupt"]
+    assert b["raw_line"] == "not json" and b["extra"] is None and b["corrupt"]
+    assert c["corrupt"] and c["raw_line"] is None

@@ -1,3 +1,4 @@
+import pytest
 from conftest import SF0001
 
 from tabspark.contract import CENSUS, TrainingConfig
@@ -5,6 +6,7 @@ from tabspark.operators import ledger as le
 from tabspark.plans.cleaning_job import run_cleaning
 from tabspark.plans.training_job import run_training
 from tabspark.sources import fixtures as fx
+from tabspark.sources import io as sio
 
 
 def test_cleaning_job_runs_once(spark, tmp_dir):
@@ -37,3 +39,16 @@ def test_training_job_records_and_gates(spark, tmp_dir):
     assert {(r["phase"], r["status"]) for r in runs} == {("cleaning", "COMPLETED"), ("training", "COMPLETED")}
     again = run_training(spark, clean, "raw/monthly/jan.parquet", f"{tmp_dir}/ledger", f"{tmp_dir}/registry", cfg)
     assert again["status"] == "SKIPPED"
+
+
+def test_empty_clean_result_leaves_the_earlier_table(spark, tmp_dir):
+    good = fx.acs_raw(spark, SF0001)
+    good.write.parquet(f"{tmp_dir}/raw/monthly/jan.parquet")
+    run_cleaning(spark, tmp_dir, "raw/monthly/jan.parquet", tmp_dir, f"{tmp_dir}/ledger", CENSUS)
+    path = f"{tmp_dir}/clean/monthly/jan.parquet"
+    before = sorted(map(str, spark.read.parquet(path).collect()))
+    with pytest.raises(sio.EmptyInputError):
+        sio.write_clean(spark.read.parquet(path).limit(0), path)
+    assert before and sorted(map(str, spark.read.parquet(path).collect())) == before
+    sio.write_clean(spark.read.parquet(path).limit(3), path)   # reads the table it replaces
+    assert spark.read.parquet(path).count() == 3

@@ -102,3 +102,22 @@ def test_alert_stream_with_bounded_p95(spark, tmp_dir):
     for q in sa.start_alerts(streams, f"{tmp_dir}/sink", f"{tmp_dir}/ck", output_mode="complete", name_prefix="approx_"):
         q.awaitTermination()
     assert spark.table(f"approx_{al.RULES[1]}").count() > 0
+
+
+def test_stream_p95_of_a_window_with_nan_fires_as_in_batch(spark, tmp_dir):
+    from datetime import datetime
+    rows = [(datetime(2024, 1, 1, 0, 1), 5.0, True), (datetime(2024, 1, 1, 0, 2), float("nan"), True)]
+    df = spark.createDataFrame(rows, "TimeGenerated timestamp_ntz, DurationMs double, Success boolean")
+    batch, stream = al.slow_requests(df).first(), al.slow_requests(df, streaming=True).first()
+    assert batch["fired"] and stream["fired"]
+
+
+def test_ingest_records_a_file_without_clean_rows_as_failed(spark, tmp_dir):
+    raw = fx.acs_raw(spark, SF0001)
+    raw = raw.withColumn("AGEP", F.lit(500).cast(raw.schema["AGEP"].dataType))   # a range breach removes rows, it is not fatal
+    raw.coalesce(1).write.parquet(f"{tmp_dir}/raw")
+    log = []
+    start_ingest(spark, f"{tmp_dir}/raw", raw.schema, f"{tmp_dir}/clean", f"{tmp_dir}/ledger", f"{tmp_dir}/ck",
+                 log=log).awaitTermination()
+    assert [(r["status"], r["message"]) for r in log] == [("FAILED", "Refusing to write an empty clean frame")]
+    assert le.read_runs(spark, f"{tmp_dir}/ledger").where("status = 'COMPLETED'").count() == 0
