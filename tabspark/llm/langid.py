@@ -154,7 +154,8 @@ class Network:
 
 
 def pieces(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    found = _WORD.findall(text.lower())  # signs such as ½ count as word characters: a run needs a letter
+    return [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def _cut(word: str) -> list[bytes]:

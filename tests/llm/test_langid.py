@@ -50,3 +50,7 @@ def test_held_out_accuracy_and_edges(spark):
     assert all(0 <= x.score <= 1 for x in got.values())
     assert li.predict(df.limit(0), net).count() == 0
     assert {x.lang_pred for x in li.predict(df, li.train(df.limit(0), F.lit(True))).collect()} == {"und"}
+
+
+def test_runs_without_a_letter_are_no_words():
+    assert langid.pieces("½ ² 12 _ ٣ abc x²") == ["abc", "x²"]
