@@ -53,4 +53,4 @@ def test_held_out_accuracy_and_edges(spark):
 
 
 def test_runs_without_a_letter_are_no_words():
-    assert langid.pieces("½ ² 12 _ ٣ abc x²") == ["abc", "x²"]
+    assert li.pieces("½ ² 12 _ ٣ abc x²") == ["abc", "x²"]
