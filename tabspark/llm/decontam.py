@@ -9,12 +9,15 @@ the threshold.
 How it runs:
 1. Probes: of each document every ``stride``-th shingle is looked up among the items' shingles. With
    similarity p at least, a window shares all but n (1 - p) / (1 + p) of its n shingles with its item, so
-   ``stride`` is chosen from the item sizes such that one probe at least hits. No window is left out.
-2. A hit at document word i and item word j proposes the item-sized window that starts at i - j.
-3. Window and item are fingerprinted (64 bits). 64 bits in RADIUS + 1 blocks: fingerprints within RADIUS
+   ``stride`` is chosen from the item sizes such that one probe at least hits.
+2. A hit at document word i proposes every item-sized window that covers the shingle there, wherever the
+   item has it (the similarity ignores order): starts from i - n + k to i for items of n words and
+   shingles of k, overlapping ranges merged. So no window of the threshold's similarity is left out.
+3. Of these go the windows with too few shingles that the item has at all to reach the threshold.
+4. Window and item are fingerprinted (64 bits). 64 bits in RADIUS + 1 blocks: fingerprints within RADIUS
    agree in a block at least, so windows that share no block with their item go, then those beyond
    RADIUS. At similarity 0.8 the expected distance is 10 bits, with deviation 2.9; RADIUS is 24.
-4. What is left is compared exactly.
+5. What is left is compared exactly.
 
 Defined results: null or empty texts and items match nothing; repeated documents give repeated ids once;
 of windows with equal similarity the first counts; a window at a text's end is moved back to fit, in a
@@ -79,29 +82,45 @@ def leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     shapes = [(r["k"], r["g"]) for r in items.groupBy("k", F.size("ig").alias("g")).count().collect()]  # as many as item lengths
     stride = _stride(shapes, percent)
     source = documents.select(F.col(key).alias("doc"), F.col(text).alias("body")).where("doc is not null")
-    hits = items.select("item", "n", F.posexplode("ig").alias("j", "h"))
+    hits = items.select("item", "n", "k", F.explode(F.array_distinct("ig")).alias("h"))
     count = items.agg(F.coalesce(F.sum(F.size("ig")), F.lit(0)).alias("c")).first()["c"]
     if count <= BROADCAST_ROWS:
         hits, small = F.broadcast(hits), F.broadcast
     else:
         small = lambda x: x
-    cut = source.select("doc", words_of(F.col("body")).alias("words")).select("doc", F.size("words").alias("m"), *[grams(F.col("words"), F.lit(k), s).alias(f"g{k}") for k, s in stride.items()])
+    cut = source.select("doc", words_of(F.col("body")).alias("words")).select("doc", *[grams(F.col("words"), F.lit(k), s).alias(f"g{k}") for k, s in stride.items()])
     # explode_outer: for explode, Spark pushes a filter on the array's size below the projection that makes
     # the words, and the lambda over them would then make them anew for each shingle
     probes = None
     for k, s in stride.items():
-        own = cut.select("doc", "m", F.posexplode_outer(f"g{k}").alias("p", "h")).withColumn("i", F.col("p") * s)
+        own = cut.select("doc", F.lit(k).alias("k"), F.posexplode_outer(f"g{k}").alias("p", "h")).withColumn("i", F.col("p") * s)
         probes = own if probes is None else probes.union(own)
     if probes is None:
-        probes = source.limit(0).select("doc", F.lit(0).alias("m"), F.lit(0).alias("p"), F.lit(0).cast("bigint").alias("h"), F.lit(0).alias("i"))
-    start = F.greatest(F.lit(0), F.least(F.col("i") - F.col("j"), F.col("m") - F.col("n")))
-    asked = probes.join(hits, "h").select("doc", "item", "n", start.alias("start")).distinct()
-    asked = written(asked.groupBy("doc").agg(F.collect_list(F.struct("item", "n", "start")).alias("ask")), "asked")
+        probes = source.limit(0).select("doc", F.lit(0).alias("k"), F.lit(0).alias("p"), F.lit(0).cast("bigint").alias("h"), F.lit(0).alias("i"))
+    places = probes.join(hits, ["k", "h"]).groupBy("doc", "item", "n", "k").agg(F.array_sort(F.collect_set("i")).alias("at"))
+    # a range of starts ends where the next hit's windows do not adjoin it
+    places = places.withColumn("cuts", F.expr("filter(sequence(0, size(at) - 1), p -> p = 0 or at[p] - get(at, p - 1) > n - k + 1)"))
+    ranges = places.select("doc", F.explode_outer(F.expr("transform(cuts, (p, q) -> struct(item, k, n - k + 1 as size, at[p] - n + k as lo, at[coalesce(get(cuts, q + 1), size(at)) - 1] as hi))")).alias("r"))
+    asked = written(ranges.groupBy("doc").agg(F.collect_list("r").alias("ask")), "asked")
 
     found = source.join(asked, "doc").select("doc", "ask", words_of(F.col("body")).alias("words"))
-    windows = found.select("doc", F.explode_outer(F.transform("ask", lambda a: F.struct(a["item"].alias("item"), a["start"].alias("start"), F.slice("words", a["start"] + 1, a["n"]).alias("w")))).alias("x")).select("doc", "x.*")
-    both = windows.join(small(items.select("item", "k", "same", "ig", "ih", "ib")), "item")
-    both = both.withColumn("wg", grams(F.col("w"), F.col("k"))).where("size(wg) > 0").withColumn("wh", fingerprint("wg"))
+    found = found.select("doc", "ask", *[grams(F.col("words"), F.lit(k)).alias(f"g{k}") for k in stride])
+
+    def reach(a: Column) -> Column:
+        """The shingles of a range's windows in this text, moved back to fit."""
+        own = F.array().cast("array<bigint>")
+        for k in stride:
+            own = F.when(a["k"] == k, F.col(f"g{k}")).otherwise(own)
+        last = F.greatest(F.lit(0), F.size(own) - a["size"])
+        lo, hi = (F.greatest(F.lit(0), F.least(a[x], last)) for x in ("lo", "hi"))
+        return F.struct(a["item"].alias("item"), lo.alias("lo"), F.slice(own, lo + 1, hi - lo + a["size"]).alias("run"))
+
+    runs = found.select("doc", F.explode_outer(F.transform("ask", reach)).alias("x")).select("doc", "x.*").where("size(run) > 0")
+    runs = runs.join(small(items.select("item", "same", "ig", "ih", "ib")), "item").withColumn("own", F.least(F.size("run"), F.size("ig")))
+    runs = runs.withColumn("known", F.expr("transform(run, h -> array_contains(ig, h))"))
+    enough = F.expr(f"filter(sequence(0, size(run) - own), s -> {100 + percent} * size(array_remove(slice(known, s + 1, own), false)) >= {percent} * (own + size(ig)))")
+    windows = runs.select("doc", "lo", "run", "own", "same", "ig", "ih", "ib", F.explode_outer(enough).alias("s")).where("s is not null")
+    both = windows.withColumn("wg", F.expr("slice(run, s + 1, own)")).withColumn("start", F.col("lo") + F.col("s")).withColumn("wh", fingerprint("wg"))
     near = both.where(F.arrays_overlap(blocks("wh"), "ib") & (F.bit_count(F.col("wh").bitwiseXOR(F.col("ih"))) <= RADIUS))
     common = near.withColumn("common", _overlap("wg", "ig")).withColumn("all", F.size("wg") + F.size("ig") - F.col("common"))
     exact = common.where(100 * F.col("common") >= percent * F.col("all")).select("doc", F.explode("same").alias("item"), (F.col("common") / F.col("all")).alias("similarity"), "start")

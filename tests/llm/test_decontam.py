@@ -71,3 +71,36 @@ def test_empty_tables(spark):
     assert dc.leaks(df.limit(0), bench).count() == dc.leaks(df, bench.limit(0)).count() == 0
     assert [(r.doc_id, r.item_id, r.similarity, r.first_word) for r in dc.leaks(df, bench).collect()] == [(1, 1, 1.0, 0)]
     assert dc.clean(df, bench.limit(0)).count() == 1
+
+
+def test_parts_in_another_order(spark):
+    r = random.Random(11)
+    some = lambda n: [f"w{r.randrange(4000)}" for _ in range(n)]
+    items = [(i, " ".join(some(r.randint(50, 90)))) for i in range(12)] + [(20, " ".join(["a b c"] * 15))]
+    docs = []
+    for i, t in items:
+        w = words(t)
+        for parts in (2, 3):
+            size = -(-len(w) // parts)
+            swapped = sum([w[a : a + size] for a in range(0, len(w), size)][::-1], [])
+            docs.append((len(docs), " ".join(some(60) + swapped + some(60))))
+        docs.append((len(docs), " ".join(some(60) + w[:20] + some(100) + w + some(7) + w[-20:])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x for x in dc.leaks(df, bench).collect()}
+    want = brute(docs, items)
+    assert set(got) == set(want) and sum(d % 3 < 2 for d, _ in want) > 12
+    texts = dict(items)
+    for (d, i), x in got.items():
+        assert abs(x.similarity - want[d, i]) < 1e-9
+        v, w = words(texts[i]), words(docs[d][1])
+        have = lambda s: multiset(w[s : s + len(v)], 5)
+        alike = [s for s in range(len(w) - len(v) + 1) if abs(sum((have(s) & multiset(v, 5)).values()) / sum((have(s) | multiset(v, 5)).values()) - want[d, i]) < 1e-9]
+        assert x.first_word == alike[0]
+
+
+def test_texts_that_share_an_id(spark):
+    item = " ".join(f"w{n}" for n in range(30))
+    df = spark.createDataFrame([(1, "x " * 40 + item), (1, "y " * 20 + " ".join(item.split()[:28]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [(x.similarity, x.first_word) for x in dc.leaks(df, bench).collect()] == [(1.0, 40)]
