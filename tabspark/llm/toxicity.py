@@ -3,8 +3,9 @@
 A token with digits or symbols among its letters, long repetitions, or letters spaced out one by one is a
 lattice: each place offers its possible letters (leetspeak, a letter, nothing for separators and repeated
 letters) with channel probabilities. Viterbi decoding under a character language model (four-grams of
-a-z, one class for all other letters, and word ends) picks the reading. The model counts the words of the
-whole corpus. Plain words have one reading, themselves.
+a-z, one class for all other letters, and word ends) picks the reading. Spaced letters are one lattice
+with their separators, each of which is nothing or a word end, so that a run may hold several words. The
+model counts the words of the whole corpus. Plain words have one reading, themselves.
 
 Restored words give features (the word, its first four, five and six letters, hashed); a logistic
 regression over those that go with the label is trained on a bounded sample, ``toxic`` and ``clean``
@@ -30,6 +31,7 @@ from tabspark.llm.common import text_slices
 
 TOXIC, CLEAN, BUCKETS, MAX_FEATURES = 2500, 5000, 1 << 20, 8192
 ORDER, SYMBOLS = 4, 29  # a-z, other, start, end
+START = (27 * SYMBOLS + 27) * SYMBOLS + 27
 # What each symbol may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
@@ -37,6 +39,7 @@ SEPARATORS = "._-*`"
 KEEP, DROP, READ, WILD = np.log(0.6), np.log(0.4), np.log(0.5), np.log(0.4 / 26)
 _TOKEN = re.compile(r"[^\s,;:/\"'()\[\]{}<>#%&=?~^]+")
 _SPACED = re.compile(r"(?<!\S)(?:[^\s.,*_-](?:[ .*_-]{1,2})){2,}[^\s.,*_-](?![^\s.,;:!?])")
+_APART = re.compile(r"[ .*_-]+")
 _RUN, _PAIR = re.compile(r"(.)\1\1"), re.compile(r"(.)\1")
 _LUT = bytes([i - 97 if 97 <= i < 123 else 26 for i in range(256)])
 
@@ -68,11 +71,13 @@ class CharModel:
         self.log_p = np.log(p).astype(np.float32).ravel()
 
     def decode(self, token: str) -> str:
-        """The likeliest reading of a token's lattice."""
-        paths = {(27 * SYMBOLS + 27) * SYMBOLS + 27: (0.0, "")}
+        """The likeliest reading of a token's lattice. A space is nothing or a word end."""
+        paths: dict = {START: (0.0, None)}
         before = ""
         for c in token:
-            if c.isalpha():
+            if c == " ":
+                offers = [("", KEEP), (" ", DROP)]
+            elif c.isalpha():
                 offers = [(c, 0.0)] if c != before else [(c, KEEP), ("", DROP)]
             elif c in SEPARATORS:
                 offers = [("", DROP), *([(x, WILD) for x in "abcdefghijklmnopqrstuvwxyz"] if c == "*" else [])]
@@ -80,19 +85,33 @@ class CharModel:
                 offers = [(x, READ - np.log(len(LEET[c]))) for x in LEET.get(c, "")] + [(c, READ)]
                 if c == before:
                     offers.append(("", DROP))
-            before, then = c, {}
+            again, then = c == before, {}
+            before = before if c == " " else c
             for state, (score, text) in paths.items():
                 for x, cost in offers:
+                    if state == START and (x == " " or (not x and again and c not in SEPARATORS)):
+                        continue  # no empty word, and a word's first letter repeats nothing
                     new, total = state, score + cost
-                    if x:
+                    if x == " ":
+                        total += float(self.log_p[state * SYMBOLS + 28])
+                        new = START
+                    elif x:
                         code = codes(x)[0]
                         total += float(self.log_p[state * SYMBOLS + code])
                         new = (state * SYMBOLS + code) % SYMBOLS**3
                     old = then.get(new)
                     if old is None or total > old[0]:
-                        then[new] = (total, text + x)
+                        then[new] = (total, (text, x) if x else text)
             paths = then
-        return max((score + float(self.log_p[s * SYMBOLS + 28]), text) for s, (score, text) in paths.items())[1]
+
+        def letters(text: tuple | None) -> str:
+            out = []
+            while text:
+                text, x = text
+                out.append(x)
+            return "".join(out[::-1])
+
+        return max((score + float(self.log_p[s * SYMBOLS + 28]), letters(text)) for s, (score, text) in paths.items())[1]
 
 
 def noisy(token: str) -> bool:
@@ -120,15 +139,29 @@ class Reader:
         t = trimmed(token)
         return self.model.decode(t) if noisy(t) else t
 
+    def read_run(self, run: str) -> str:
+        """The words that letters spaced out (one space between them) read as."""
+        while (t := trimmed(run).strip()) != run:
+            run = t
+        return self.model.decode(run) if any(map(str.isalpha, run)) else run.replace(" ", "")
+
+    def words(self, token: str) -> set[str]:
+        """All words that one of ``tokens`` stands for: its reading's, and itself."""
+        if " " in token:
+            return {*self.read_run(token).split(), trimmed(token.replace(" ", ""))}
+        return {self.read(token), trimmed(token)}
+
     def tokens(self, text: str) -> set[str]:
         text = text.lower()
-        spaced = {re.sub(r"[ .*_-]", "", m) for m in _SPACED.findall(text)}
-        return {*_TOKEN.findall(text), *spaced}
+        return {*_TOKEN.findall(text), *(_APART.sub(" ", m) for m in _SPACED.findall(text))}
 
     def restore(self, text: str) -> str:
         """The text with each disguised token replaced by its reading, lower case."""
-        joined = _SPACED.sub(lambda m: re.sub(r"[ .*_-]", "", m[0]), text.lower())
-        return _TOKEN.sub(lambda m: self.read(m[0]), joined)
+        text, out, end = text.lower(), [], 0
+        for m in _SPACED.finditer(text):
+            out += [_TOKEN.sub(lambda t: self.read(t[0]), text[end : m.start()]), self.read_run(_APART.sub(" ", m[0]))]
+            end = m.end()
+        return "".join([*out, _TOKEN.sub(lambda t: self.read(t[0]), text[end:])])
 
 
 def hashed(word: str) -> list[int]:
@@ -173,8 +206,7 @@ class Scorer:
         return self
 
     def parts(self, token: str) -> tuple[int, ...]:
-        word = self.reader.read(token)
-        return tuple(sorted({k for x in {word, trimmed(token)} for k in hashed(x) if k in self.weight}))
+        return tuple(sorted({k for x in self.reader.words(token) for k in hashed(x) if k in self.weight}))
 
     def __call__(self, text: str | None) -> float:
         if self.bias is None:
@@ -223,7 +255,7 @@ def train(documents: DataFrame, labels: DataFrame, use: Column, toxic: int = TOX
         for batch in batches:
             found = []
             for t in batch["text"]:
-                own = {k for x in reader.tokens(t) for w in {reader.read(x), trimmed(x)} for k in hashed(w)}
+                own = {k for x in reader.tokens(t) for w in reader.words(x) for k in hashed(w)}
                 found.append(np.array(sorted(own), np.int32))
             yield pd.DataFrame({"toxic": batch["toxic"], "buckets": found})
 

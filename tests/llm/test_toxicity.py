@@ -64,3 +64,40 @@ def test_held_out_documents_and_edges(spark):
     assert all(got[i].predicted == (i % 4 == 0) for i in range(240))
     assert [got[i].predicted for i in (1000, 1001, 1002, 1003, 1004, None)] == [1, 1, 0, 0, 0, 0]
     assert tx.score(df.limit(0), tx.train(df, labels.limit(0), F.lit(True))).count() == 0
+
+
+def test_spaced_runs_hold_several_words():
+    known = WORDS + Counter({"a": 200, "y": 80, "you": 150, "are": 150, "man": 50})
+    m = tx.CharModel(tx.count_grams(known))
+    reader = tx.Reader(m)
+
+    def brute(run):
+        letters, best = run.split(" "), None
+        for ends in itertools.product((False, True), repeat=len(letters) - 1):
+            words = "".join(c + " " * e for c, e in zip(letters, [*ends, False])).split()
+            total = sum(tx.DROP if e else tx.KEEP for e in ends)
+            for w in words:
+                s = [27] * 3 + list(tx.codes(w)) + [28]
+                total += sum(float(m.log_p[((a * 29 + b) * 29 + d) * 29 + e]) for a, b, d, e in zip(s, s[1:], s[2:], s[3:]))
+            if best is None or total > best[0]:
+                best = (total, " ".join(words))
+        return best[1]
+
+    for run in ("a s t u p i d", "y o u s t u p i d", "i d i o t a", "a r i v e r"):
+        assert m.decode(run) == brute(run)
+    assert reader.restore("you are a s t u p i d man") == "you are a stupid man"
+    assert reader.restore("y o u  i.d.i.o.t a 5 t u p 1 d, 1 2 3!") == "you idiot a stupid, 123"
+    assert {"stupid", "a"} <= {w for t in reader.tokens("You are A S-T-U-P-I-D man") for w in reader.words(t)}
+    assert {"moron", "stupid"} <= {w for t in reader.tokens("m o r o n s t u p i d !") for w in reader.words(t)}
+    long = " ".join("stupid" * 3000)
+    assert set(m.decode(long).split()) == {"stupid"}
+
+
+def test_spaced_word_after_a_one_letter_word_scores(spark):
+    r = random.Random(6)
+    plain = lambda: " ".join(r.choice(["the", "river", "was", "a", "wide", "and", "calm", "today"]) for _ in range(r.randint(3, 40)))
+    docs = [(i, plain() + (" stupid " if i % 4 == 0 else " ") + plain()) for i in range(160)] + [(1000, "the river was a s t u p i d calm"), (1001, "c a l m s t u p i d"), (1002, "the river was a c a l m today")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(160)], "doc_id long, toxic int")
+    got = {x.doc_id: x.predicted for x in tx.score(df, tx.train(df, labels, F.lit(True))).collect()}
+    assert [got[i] for i in (1000, 1001, 1002)] == [1, 1, 0]
