@@ -2,7 +2,9 @@
 
 A page is cut into blocks. Markup decides most: what stands in menus, headers, footers, sidebars, notices,
 adverts, forms or comments (by element, or class and id) is boilerplate; what else stands in ``article``,
-``main`` or a container named like them is content. The token streams of all blocks that are not content
+``main`` or a container named like them is content. An article or main text inside a form, or a container
+with a listed word only as part of a longer class name or id (``has-sidebar``), is content too, unless an
+article is around that; headings in content stay whatever their class. The token streams of all blocks that are not content
 are concatenated per host, and a suffix array, sorted to the first ``LENGTH`` tokens by prefix doubling,
 shows the runs of that length or more which distinct pages share. An open block (neither boilerplate nor
 content by markup) goes if such runs cover half of it; unique runs stay. Content stays even where pages
@@ -35,6 +37,7 @@ LENGTH, SHARD, BROADCAST_HOSTS = 8, 2_000_000, 10_000
 BOILERPLATE, OPEN, CONTENT = 0, 1, 2
 _SKIPPED = "script|style|noscript|template|textarea|title|iframe|svg|math|object|canvas|select"
 _TAG = re.compile(
+    r"<(?:svg|math)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?<=/)>|"  # empty, so nothing after it is skipped
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({_SKIPPED})\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+>"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-z][a-z0-9:-]*)([^>]*+)>", re.S | re.I)
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
@@ -42,15 +45,17 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em f
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption summary".split())
 _BAD = frozenset("nav footer aside form menu button dialog head".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BAD_NAME = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banners?|sponsor(?:ed)?|promo|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|"
                        r"sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|topbar|comments?|disqus|respond|replies|share|sharing|social|related|recommended|"
                        r"widgets?|toolbar|login|signup|search|copyright|legal|pagination|pager|skip)(?:$|[\s_-])", re.I)
 _GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body-?text|page-?text)(?:$|[\s_-])", re.I)
 
 
-def _role(name: str, attributes: str, inside: bool) -> int | None:
-    """What an element says about its blocks; None: nothing. ``inside``: it stands in content."""
-    bad, good, names = name in _BAD or (name == "header" and not inside), name in ("article", "main"), ""
+def _role(name: str, attributes: str, inside: bool) -> tuple[int | None, bool, bool]:
+    """What an element says about its blocks (None: nothing), whether it is boilerplate only by form or
+    part of a class name or id, and whether it is an article or main text. ``inside``: it stands in content."""
+    bad, good, names = (name in _BAD and name != "form") or (name == "header" and not inside), name in ("article", "main"), []
     if attributes:
         for m in _NAMED.finditer(attributes):
             value = m[2] or m[3] or m[4] or ""
@@ -61,20 +66,25 @@ def _role(name: str, attributes: str, inside: bool) -> int | None:
             elif kind == "hidden" or (kind == "aria-hidden" and value.lower() == "true"):
                 bad = True
             elif kind in ("class", "id"):
-                names += " " + value
-    if names and name not in ("html", "body", "main"):
-        if _BAD_NAME.search(names):
+                names += value.split()
+    text, soft = good, name == "form"
+    if names and name not in ("html", "body", "main") and not (inside and name in _HEADINGS):
+        whole = [x for x in names if not (inside and name == "header" and x.lower() == "header")]
+        if any(map(_BAD_NAME.fullmatch, whole)):
             bad = True
-        elif name != "article" and _GOOD_NAME.search(names):
+        elif not text and not (inside and name == "header") and _BAD_NAME.search(" ".join(names)):
+            soft = True
+        elif name != "article" and _GOOD_NAME.search(" ".join(names)):
             good = True
-    return BOILERPLATE if bad else CONTENT if good else None
+    soft &= not bad
+    return BOILERPLATE if bad or soft else CONTENT if good else None, soft, text
 
 
 def blocks(page: str | None) -> list[tuple[int, str]]:
     """(role, text) of each non-empty block in page order; references decoded, white space as one space."""
     page = page or ""
     out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = [("", OPEN)]
+    stack = [("", OPEN, False, False)]  # name, role, whether an article inside is content, whether an article is around
     held: list[str] = []
     leaf: int | None = None
     end = 0
@@ -101,16 +111,23 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         leaf = None
         if name in _LEAF:
             if not close and attributes.strip():
-                leaf = _role(name, attributes, stack[-1][1] == CONTENT)
+                leaf = _role(name, attributes, stack[-1][1] == CONTENT)[0]
         elif close:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
                     del stack[k:]
                     break
         elif name not in _VOID and not attributes.endswith("/"):
-            now = stack[-1][1]
-            own = _role(name, attributes, now == CONTENT)
-            stack.append((name, now if own is None or now == BOILERPLATE else own))
+            _, now, soft, around = stack[-1]
+            own, softly, text = _role(name, attributes, now == CONTENT)
+            if now == BOILERPLATE:
+                if soft and text and own == CONTENT:
+                    now = CONTENT
+                else:
+                    soft = soft and (own != BOILERPLATE or softly)
+            elif own is not None:
+                now, soft = own, softly and not around
+            stack.append((name, now, soft, around or (now == CONTENT and text and name != "main")))
     held.append(page[end:])
     flush()
     return out

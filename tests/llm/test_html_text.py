@@ -67,3 +67,26 @@ def test_repeated_runs_go_and_shards_agree(spark, monkeypatch):
         assert got[100, "http://b.org/1"].text == got[101, "http://b.org/2"].text == "same text of an article on two pages of one host"
         assert got[102, None].text == "" and got[None, "http://[bad"].text == "x" and got[103, "http://c.org/1"].n_chars == len(got[103, "http://c.org/1"].text) > len(want[0])
     assert ht.extract(df.limit(0)).count() == 0
+
+
+def test_articles_inside_layout_containers():
+    content = lambda page: [t for r, t in ht.blocks(page) if r == ht.CONTENT]
+    body = "<h1 class='entry-header'>Title</h1><p>one</p>"
+    for name in ("layout has-sidebar", "no-header", "page with-menu"):
+        for open_, close in (("<article>", "</article>"), ("<main>", "</main>"), ("<div role=main>", "</div>")):
+            page = f"<div class='{name}'><p>before</p><nav>nav</nav>{open_}{body}{close}<p>after</p></div>"
+            assert content(page) == ["Title", "one"] and not [t for r, t in ht.blocks(page) if r == ht.OPEN]
+    assert content(f"<body><form id=aspnetForm><div>q</div><article>{body}</article><input></form></body>") == ["Title", "one"]
+    assert content(f"<form><div class='has-sidebar'><main>{body}</main></div></form>") == ["Title", "one"]
+    assert content(f"<article class='post no-sidebar'><header class='entry-header'>{body}</header></article>") == ["Title", "one"]
+    for bad in ("<nav>", "<aside>", "<div class='sidebar'>", "<div id=comments>", "<div hidden>"):
+        assert content(f"{bad}<article>{body}</article>") == content(f"<form>{bad}<article>{body}</article>") == []
+    assert content(f"<article>{body}<div class='related-posts'><article>teaser</article></div><h2 hidden>no</h2></article>") == ["Title", "one"]
+    assert content("<div class='has-sidebar'><p>side</p></div><form>q</form>") == []
+
+
+def test_empty_svg_and_math():
+    texts = lambda page: [t for _, t in ht.blocks(page)]
+    assert texts("<p>one <svg class=\"i\"/> two</p><p>three</p><math/><p>four <svg a='>' />five</p>") == ["one two", "three", "four five"]
+    assert texts("<p>one <svg class=\"a/\"><text>no</text></svg> two</p><svg><path d='x'/><text>no") == ["one two"]
+    assert texts("<p>one</p><script src='a'/>no</script><p>two</p>") == ["one", "two"]
