@@ -6,10 +6,14 @@ adverts, forms or comments (by element, or class and id) is boilerplate; what el
 with a listed word only as part of a longer class name or id (``has-sidebar``), is content too, unless an
 article is around that; headings in content stay whatever their class. The token streams of all blocks that are not content
 are concatenated per host, and a suffix array, sorted to the first ``LENGTH`` tokens by prefix doubling,
-shows the runs of that length or more which distinct pages share. An open block (neither boilerplate nor
+shows the runs of that length or more which pages share that are not copies of each other. An open block (neither boilerplate nor
 content by markup) goes if such runs cover half of it; unique runs stay. Content stays even where pages
 share it: copies of an article are no boilerplate.
 
+Copies are pages of a host without content by markup whose open blocks agree in ALIKE percent of their
+tokens or more, and what such pages link: BANDS weighted MinHash bands of ROWS propose them, the full block
+sets decide (two pages at 80% share no band with probability 5e-6). What only copies share stays.
+
 A host over SHARD tokens is dealt by page into shards with a suffix array each; windows that shards have
 in common are found by joining their distinct window hashes, so that a shard's cover is that of the host.
 
@@ -32,8 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.llm.common import mix64, written
+from tabspark.llm.near_dedup import components
 
 LENGTH, SHARD, BROADCAST_HOSTS = 8, 2_000_000, 10_000
+ALIKE, BANDS, ROWS = 80, 12, 2
 BOILERPLATE, OPEN, CONTENT = 0, 1, 2
 _SKIPPED = "script|style|noscript|template|textarea|title|iframe|svg|math|object|canvas|select"
 _TAG = re.compile(
@@ -149,9 +155,9 @@ def windows(tokens: np.ndarray, length: int = LENGTH) -> np.ndarray:
     return out.view(np.int64)
 
 
-def covered(streams: list[np.ndarray], shared: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+def covered(streams: list[np.ndarray], shared: np.ndarray, length: int = LENGTH, groups: np.ndarray | None = None) -> list[np.ndarray]:
     """Per stream, which tokens lie in a run of ``length`` or more that another stream has too, or in a
-    window of ``shared`` (sorted). Suffixes are sorted to their first ``length`` tokens: doubling gives
+    window of ``shared`` (sorted). With ``groups``, a stream of another group must have the run. Suffixes are sorted to their first ``length`` tokens: doubling gives
     the rank of pairs of ranks; equal ranks are neighbours with a common prefix of that length."""
     page = np.repeat(np.arange(len(streams)), [len(s) + 1 for s in streams])
     if not len(page):
@@ -171,7 +177,8 @@ def covered(streams: list[np.ndarray], shared: np.ndarray, length: int = LENGTH)
     first = np.r_[True, np.diff(rank[suffixes]) > 0]
     group = np.cumsum(first) - 1
     start = np.flatnonzero(first)
-    several = page[suffixes[start]] != page[suffixes[np.r_[start[1:], len(suffixes)] - 1]]
+    of = (np.arange(len(streams)) if groups is None else np.unique(groups, return_inverse=True)[1])[page[suffixes]]
+    several = np.minimum.reduceat(of, start) != np.maximum.reduceat(of, start)
     hit = np.zeros(len(flat) + 1, np.int64)
     fits = ends[page] - np.arange(len(flat)) >= length
     at = suffixes[several[group]]
@@ -188,7 +195,8 @@ def covered(streams: list[np.ndarray], shared: np.ndarray, length: int = LENGTH)
 
 def _streams(pages: DataFrame) -> DataFrame:
     """Per page with blocks that are not content: host, page, their tokens as hashes, each token's block,
-    the open blocks, and whether the page has content."""
+    the open blocks, whether the page has content, and if not, its distinct open blocks as hashes with their
+    sizes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -210,32 +218,66 @@ def _streams(pages: DataFrame) -> DataFrame:
                     if t not in known:
                         known[t] = xxhash.xxh3_64_intdigest(t)
                 hashes = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens)).view(np.int64)
-                rows.append((host_of(url), page, hashes, np.array(of, np.int32), [k for k, (r, _) in enumerate(found) if r == OPEN], any(r == CONTENT for r, _ in found), len(tokens)))
-            yield pd.DataFrame(rows, columns=["host", "page", "tokens", "blocks", "open", "has_content", "n"])
+                content = any(r == CONTENT for r, _ in found)
+                bodies = {} if content else {np.uint64(xxhash.xxh3_64_intdigest(t)).view(np.int64): t.count(" ") + 1 for r, t in found if r == OPEN}
+                rows.append((host_of(url), page, hashes, np.array(of, np.int32), [k for k, (r, _) in enumerate(found) if r == OPEN], content, len(tokens),
+                             np.array(list(bodies), np.int64), np.array(list(bodies.values()), np.int32)))
+            yield pd.DataFrame(rows, columns=["host", "page", "tokens", "blocks", "open", "has_content", "n", "bodies", "sizes"])
+
+    return pages.mapInPandas(run, "host string, page long, tokens array<long>, blocks array<int>, open array<int>, has_content boolean, n long, bodies array<long>, sizes array<int>")
+
+
+def bands(bodies: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Weighted MinHash bands: per hash function the block with the least exponential of rate its size."""
+    out = np.arange(BANDS, dtype=np.uint64)
+    for k in range(BANDS * ROWS):
+        u = (mix64(bodies.view(np.uint64) ^ mix64(np.full(len(bodies), k, np.uint64))) >> np.uint64(11)).astype(np.float64) + 0.5
+        least = bodies[np.argmin(-np.log(u / 2.0**53) / sizes)]
+        out[k % BANDS] = mix64(out[k % BANDS : k % BANDS + 1] ^ np.array([least]).view(np.uint64))[0]
+    return out.view(np.int64)
+
+
+def _copies(streams: DataFrame) -> DataFrame:
+    """Page and copies (its group's least page) of all pages in a copy group but the least ones."""
+    own = streams.where("size(bodies) > 0").select("host", "page", "bodies", "sizes").dropDuplicates(["host", "page"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [bands(np.asarray(b, np.int64), np.asarray(n, np.float64)) for b, n in zip(batch["bodies"], batch["sizes"], strict=True)]
+            yield pd.DataFrame({"host": np.repeat(batch["host"].to_numpy(object), BANDS), "page": np.repeat(batch["page"].to_numpy(), BANDS), "band": np.concatenate(found) if found else []})
 
-    return pages.mapInPandas(run, "host string, page long, tokens array<long>, blocks array<int>, open array<int>, has_content boolean, n long")
+    rows = written(own.mapInPandas(run, "host string, page long, band long"), "bands")
+    lead = rows.groupBy("host", "band").agg(F.min("page").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = rows.join(lead, ["host", "band"]).where("page <> b").select(F.col("page").alias("a"), "b").distinct()
+    side = lambda x: own.select(F.col("page").alias(x), F.col("bodies").alias(f"{x}_bodies"), F.col("sizes").alias(f"{x}_sizes"))
+    total = lambda n: f"aggregate({n}, 0L, (t, n) -> t + n)"
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("common", F.expr("aggregate(zip_with(a_bodies, a_sizes, (x, n) -> if(array_contains(b_bodies, x), n, 0)), 0L, (t, n) -> t + n)"))
+    links = both.where(F.expr(f"100 * common >= {ALIKE} * ({total('a_sizes')} + {total('b_sizes')} - common)")).select("a", "b")
+    return components(written(links, "links")).select(F.col("a").alias("page"), F.col("b").alias("copies"))
 
 
 def _dropped(streams: DataFrame) -> DataFrame:
     """Per page the open blocks that repeated runs cover."""
     large = streams.groupBy("host").agg(F.ceil(F.sum("n") / SHARD).cast("int").alias("shards")).where("shards > 1")
     large = F.broadcast(large) if large.count() <= BROADCAST_HOSTS else large
+    streams = streams.join(_copies(streams), "page", "left").withColumn("copies", F.coalesce("copies", "page"))
     dealt = streams.join(large, "host", "left").withColumn("shard", F.pmod(F.xxhash64("page"), F.coalesce("shards", F.lit(1))).cast("int"))
 
     def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = [np.unique(windows(t)) for t in batch["tokens"]]
             n = [len(w) for w in own]
-            yield pd.DataFrame({"host": np.repeat(batch["host"].to_numpy(object), n), "shard": np.repeat(batch["shard"].to_numpy(), n), "window": np.concatenate(own) if own else []})
+            yield pd.DataFrame({"host": np.repeat(batch["host"].to_numpy(object), n), "shard": np.repeat(batch["shard"].to_numpy(), n), "copies": np.repeat(batch["copies"].to_numpy(), n), "window": np.concatenate(own) if own else []})
 
-    seen = dealt.where("shards is not null").select("host", "shard", "tokens").mapInPandas(distinct, "host string, shard int, window long").distinct()
-    common = seen.groupBy("host", "window").agg(F.min("shard").alias("lo"), F.max("shard").alias("hi")).where("lo < hi").select("host", "window")
-    shared = seen.join(common, ["host", "window"], "left_semi")
+    seen = dealt.where("shards is not null").select("host", "shard", "copies", "tokens").mapInPandas(distinct, "host string, shard int, copies long, window long")
+    seen = seen.groupBy("host", "shard", "window").agg(F.min("copies").alias("lo"), F.max("copies").alias("hi"))
+    common = seen.groupBy("host", "window").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("host", "window")
+    shared = seen.select("host", "shard", "window").join(common, ["host", "window"], "left_semi")
 
     def cover(group: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("page")
         rows = []
-        marks = covered(list(group["tokens"]), np.sort(more["window"].to_numpy(np.int64)))
+        marks = covered(list(group["tokens"]), np.sort(more["window"].to_numpy(np.int64)), groups=group["copies"].to_numpy())
         for page, of, open_, content, mark in zip(group["page"], group["blocks"], group["open"], group["has_content"], marks, strict=True):
             if not len(open_):
                 continue
@@ -247,7 +289,7 @@ def _dropped(streams: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["page", "gone"])
 
     keys = ("host", "shard")
-    return dealt.select(*keys, "page", "tokens", "blocks", "open", "has_content").groupBy(*keys).cogroup(shared.groupBy(*keys)).applyInPandas(cover, "page long, gone array<int>")
+    return dealt.select(*keys, "page", "copies", "tokens", "blocks", "open", "has_content").groupBy(*keys).cogroup(shared.groupBy(*keys)).applyInPandas(cover, "page long, gone array<int>")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

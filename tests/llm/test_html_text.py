@@ -90,3 +90,27 @@ def test_empty_svg_and_math():
     assert texts("<p>one <svg class=\"i\"/> two</p><p>three</p><math/><p>four <svg a='>' />five</p>") == ["one two", "three", "four five"]
     assert texts("<p>one <svg class=\"a/\"><text>no</text></svg> two</p><svg><path d='x'/><text>no") == ["one two"]
     assert texts("<p>one</p><script src='a'/>no</script><p>two</p>") == ["one", "two"]
+
+
+def test_near_copies_keep_their_text(spark, monkeypatch):
+    r = random.Random(9)
+    some = lambda n: " ".join(f"w{r.randrange(5000)}" for _ in range(n))
+    rows, want = site(r, 20, "a.org")
+    body = [some(r.randint(20, 60)) for _ in range(5)]
+    page = lambda more: "".join(f"<p>{b}</p>" for b in more)
+    copies = [body, [*body, "Reprinted 3 May"], ["A note by the editor", *body], [*body[:2], "2024", *body[2:]]]
+    for host in ("b.org", "a.org"):  # alone on their host, and among pages that share other runs
+        rows += [(200 + len(rows), f"http://{host}/copy{k}", page(c), 1) for k, c in enumerate(copies)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    for shard in (10**6, 300):
+        monkeypatch.setattr(ht, "SHARD", shard)
+        got = {x.url: x.text for x in ht.extract(df).collect()}
+        assert [got[f"http://a.org/{i}"] for i in range(20)] == want
+        assert all(got[f"http://{h}/copy{k}"] == "\n".join(c) for h in ("a.org", "b.org") for k, c in enumerate(copies))
+
+
+def test_cover_counts_other_groups_only():
+    one = np.arange(1, 20)
+    marks = ht.covered([one, one, np.arange(5, 15)], np.empty(0, np.int64), 8, np.array([7, 7, 3]))
+    assert [np.flatnonzero(m).tolist() for m in marks] == [list(range(4, 14)), list(range(4, 14)), list(range(10))]
+    assert not ht.covered([one, one], np.empty(0, np.int64), 8, np.array([7, 7]))[0].any()
