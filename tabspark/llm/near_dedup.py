@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tabspark.llm.common import mix64, text_slices, written
 
 SHINGLE, SIMILARITY, SLOTS, ROWS = 5, 80, 252, 6
-BLOCK = 150_000  # set elements in a block of a band
+BLOCK, MEMBERS = 150_000, 1_500  # set elements and members in a block of a band, about
 _CHUNK = 60_000  # set elements whose signatures are made together
 
 
@@ -194,14 +194,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.withColumn("common", common).where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """Bands with two components or more, and into how many blocks their members are dealt."""
+    count = F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.count("*") / MEMBERS)).cast("int").alias("blocks")
+    return members.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), count).where("lo < hi").select("band", "blocks")
+
+
 def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components of a band, enough of them to join what is linked: every member
     of a band that holds two components or more is compared with every other, in blocks.
 
-    Members of a band are dealt by hash into blocks of about BLOCK set elements, and each pair of blocks
-    is a group of its own, so no task holds more than two blocks. In a group, one matrix product over
+    Members of a band are dealt by hash into blocks of about BLOCK set elements and MEMBERS members at most, and each
+    pair of blocks is a group of its own, so no task holds more than two blocks or their members x members
+    matrix. In a group, one matrix product over
     the shingles that several members have gives the size of every intersection."""
-    open_ = members.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")).where("lo < hi").select("band", "blocks")
+    open_ = _open(members)
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = members.join(open_, "band").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "comp")

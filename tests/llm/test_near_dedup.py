@@ -95,3 +95,18 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(1000, 999)], "a long, b long").repartition(7)
     got = {r.a: r.b for r in nd.components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 301)}, 1000: 999}
+
+
+def test_blocks_are_bounded_by_members(spark, monkeypatch):
+    r = np.random.default_rng(7)
+    sets = [(i, sorted({int(x) for x in r.choice(12, 6, replace=False)})) for i in range(40)]
+    members = spark.createDataFrame([(1, i, 6, i) for i, _ in sets] + [(2, 0, 6, 5), (2, 1, 6, 5)], "band long, rep long, n int, comp long")
+    held = spark.createDataFrame(sets, "id long, shingles array<long>")
+    assert [(x.band, x.blocks) for x in nd._open(members).collect()] == [(1, 1)]
+    linked = [(b, a) for a, x in sets for b, y in sets if a < b and 100 * len({*x} & {*y}) >= 60 * len({*x} | {*y})]
+    want = {x.a: x.b for x in nd.components(spark.createDataFrame(linked, "a long, b long")).collect()}
+    assert len(want) > 5
+    for n in (10, 3):
+        monkeypatch.setattr(nd, "MEMBERS", n)
+        assert nd._open(members).first().blocks == -(-40 // n)
+        assert {x.a: x.b for x in nd.components(nd._across(members, held, 60)).collect()} == want
