@@ -8,7 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm import bpe, decontam, html_text, langid, near_dedup, pii, quality, token_counts, toxicity, warc
+from tabspark.llm import (
+    bpe,
+    decontam,
+    embed_dedup,
+    html_text,
+    langid,
+    lexical_search,
+    near_dedup,
+    pii,
+    quality,
+    spelling,
+    token_counts,
+    toxicity,
+    warc,
+)
 from tabspark.llm.common import fold_of, table, written
 from tabspark.session import scratch_path
 
@@ -86,6 +100,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words and forms of every word of six letters and five occurrences. One run in 199, by hash,
+    loses a letter first, so that the texts hold misspelt words."""
+    found = spelling.occurrences(table(spark, sf_dir, "documents"), damage=199)
+    return spelling.variants(spelling.vocabulary(found))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every vector: cosine 0.93 or more within a label."""
+    return embed_dedup.groups(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -97,6 +128,9 @@ QUERIES = {
     "op8_line_crf": op8_line_crf,
     "op9_super_minhash": op9_super_minhash,
     "op10_decontamination": op10_decontamination,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -112,4 +146,35 @@ ORACLE: dict[str, str] = {
             SELECT source, lang, 'pieces.v1', len(regexp_extract_all(body, '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) FROM kept)
         SELECT source, lang, version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
         FROM counted GROUP BY ALL""",
+    "op11_lexical_search": r"""
+        WITH cut AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        totals AS (SELECT count(*) FILTER (WHERE len(words) > 0) AS docs, sum(len(words)) AS in_all FROM cut),
+        tf AS (SELECT r, doc_id, len(words) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, words, unnest(words) AS term FROM cut) GROUP BY ALL),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), totals),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        scores AS (
+            SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // in_all)))) AS BIGINT) AS score
+            FROM asked JOIN tf USING (term) JOIN weights USING (term), totals GROUP BY ALL)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY rank <= 10""",
+    "op13_embedding_dedup": r"""
+        WITH RECURSIVE able AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b
+            ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93),
+        reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a AS vec_id, min(b) AS low FROM reach GROUP BY a),
+        degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(low, e.vec_id)) AS component_id,
+               e.vec_id <= coalesce(low, e.vec_id) AS kept
+        FROM embeddings e LEFT JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)""",
 }
