@@ -185,7 +185,7 @@ def _links(placed: DataFrame, turn: dict[int, np.ndarray], least: float, tile: i
             np.minimum.at(root, j, was[i])
             root = root[root]
         at, keys = np.flatnonzero(linked), pair["key"].to_numpy(object)
-        return pd.DataFrame({"key": keys[at], "linked": linked[at], "root": keys[root[at]]})
+        return pd.DataFrame({"key": pd.Series(keys[at], dtype=object), "linked": linked[at], "root": pd.Series(keys[root[at]], dtype=object)})
 
     return sides.groupBy(*group).applyInPandas(compare, "key string, linked long, root string")
 

@@ -146,7 +146,7 @@ def _dags(items: DataFrame, blocks: int) -> DataFrame:
         rows = [("term", k, t, None, None) for k, t in enumerate(names)]
         rows += [("node", len(names) + k, None, None, list(pair)) for k, pair in enumerate(nodes)]
         rows += [("item", k, None, item, part) for k, (item, part) in enumerate(zip(of, parts, strict=True))]
-        out = pd.DataFrame(rows, columns=["kind", "number", "term", "item_id", "parts"]).astype({"item_id": object})
+        out = pd.DataFrame(rows, columns=["kind", "number", "term", "item_id", "parts"]).astype({"kind": object, "term": object, "item_id": object})
         return out.assign(block=group["block"].iloc[0])[["block", "kind", "number", "term", "item_id", "parts"]]
 
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int"))

@@ -167,7 +167,7 @@ ORACLE: dict[str, str] = {
         WITH RECURSIVE able AS (
             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         links AS (
             SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b
             ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93),

@@ -64,7 +64,7 @@ def occurrences(df: DataFrame, key: str = "doc_id", text: str = "text", letters:
 
     def rows(found: Counter) -> pd.DataFrame:
         found.pop(b"", None)
-        return pd.DataFrame({"word": [w.decode() for w in found], "n": list(found.values())}).astype({"n": "int64", "word": object})
+        return pd.DataFrame({"word": pd.Series([w.decode() for w in found], dtype=object), "n": pd.Series(list(found.values()), dtype="int64")})
 
     return df.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(run, "word string, n long")
 
@@ -191,7 +191,8 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
         first = np.flatnonzero(np.diff(i, prepend=-1))
         best[i[first]] = j[first]
     at = np.flatnonzero(n_near)
-    return pd.DataFrame({"word": [asked[k] for k in at], "n_near": n_near[at], "best_n": n[best[at]], "best": [words[k] for k in best[at]]})
+    text = lambda x: pd.Series(x, dtype=object)
+    return pd.DataFrame({"word": text([asked[k] for k in at]), "n_near": n_near[at], "best_n": n[best[at]], "best": text([words[k] for k in best[at]])})
 
 
 def _dealt(vocabulary: DataFrame, levels: int) -> DataFrame:
@@ -211,7 +212,7 @@ def _dealt(vocabulary: DataFrame, levels: int) -> DataFrame:
                 ok = (prefix + step >= 0).all(1)
                 shard = [".".join(map(str, row)) for row in (prefix + step)[ok].tolist()]
                 for member in (False,) if step.any() else (False, True):
-                    yield pd.DataFrame({"shard": pd.Series(shard, dtype=object), "member": member, "word": words[ok], "n": n[ok]})
+                    yield pd.DataFrame({"shard": pd.Series(shard, dtype=object), "member": member, "word": pd.Series(words[ok], dtype=object), "n": n[ok]})
 
     return vocabulary.select("word", "n").mapInPandas(run, "shard string, member boolean, word string, n long")
 
