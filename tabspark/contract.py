@@ -154,9 +154,8 @@ class TrainingConfig:
     promotion_stage: str = "Staging"
     enable_model_registration: bool = False
     threshold: float = 0.5
-    # Spark's early stopping has no patience: it stops at the first round whose
-    # validation-loss gain is below this relative tolerance (Spark's default)
-    validation_tol: float = 0.01
+    # further trainer options by name (max_depth, min_split_gain), and other names of the fields above
+    # (n_estimators, min_child_samples, subsample, subsample_freq, colsample_bytree, random_state), which win
     extra: dict = field(default_factory=dict)
 
     @property

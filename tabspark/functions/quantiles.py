@@ -1,24 +1,23 @@
-"""Exact percentiles that stay safe when one group holds most of the rows.
-
-Spark's built-in ``percentile`` keeps a value->count map per group and merges
-it in one task, so a hot group with many distinct values lands whole in one
-task. ``exact_percentiles`` first counts rows per group: groups of at most
-``SMALL_GROUP`` values are ranked by sorting their values in one aggregate
-(bounded memory by construction); larger groups take the two-level path, which
-
-1. maps every value to an order-preserving bucket (about 0.017 % relative width,
-   data independent, so no extra job is needed to find boundaries),
-2. counts rows per (group, bucket) with map-side partial aggregation,
-3. turns those counts into per-group prefix sums (a window over the group's
-   bucket rows: at most 4096 per power of two spanned by its values),
-4. keeps only the buckets that contain a wanted rank and ranks values inside
-   them,
-5. interpolates linearly between the two ranks around ``p * (n - 1)``.
-
-The position ``p * (n - 1)`` and the interpolation ``lo + (hi - lo) * frac``
-are evaluated in fixed-point decimal and rounded HALF_UP, so the result is
-exact and does not depend on task order. ``method="approx"`` switches to
-Spark's bounded-memory ``percentile_approx`` sketch.
+"""Exact percentiles from one read of the input, safe when one group holds most of the rows.
+
+Spark's built-in ``percentile`` keeps a value->count map per group and merges it in one task, so a hot group
+with many distinct values lands whole in one task. ``exact_percentiles`` selects the wanted ranks by ranges:
+
+1. rows are counted per (group, value) with map-side partial aggregation: the only shuffle of the input, and
+   one that deals a hot group out by value;
+2. every value has an order-preserving range code (about 0.017 % wide, data independent, so no extra job finds
+   boundaries); the counts of the ranges get prefix sums per group (a window over the group's range rows: at
+   most 4096 per power of two spanned by its values);
+3. only ranges that hold a wanted rank are ranked inside, from the counts of step 1 (Spark reuses that
+   exchange), and
+4. neighbours of ``p * (n - 1)`` are interpolated linearly.
+
+Sums that callers want beside the percentiles (counts, failures, totals, means) travel with the counts of
+step 1, so a panel reads its input once.
+
+The position ``p * (n - 1)`` and the interpolation ``lo + (hi - lo) * frac`` are evaluated in fixed-point
+decimal and rounded HALF_UP, so the result is exact and does not depend on task order. ``method="approx"``
+switches to Spark's bounded-memory ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
@@ -107,11 +106,6 @@ def percentile_expr(value: str | Column, p: float, method: str = "exact") -> Col
     return F.percentile(c.cast("double"), F.lit(p))
 
 
-# Groups with at most this many values are ranked by sorting their values in
-# one aggregate (bounded memory); larger groups take the two-level path.
-SMALL_GROUP = 100_000
-
-
 def _wanted_ranks(ps: Mapping[str, float], n: Column):
     """Per percentile: (lo rank, hi rank, frac) of the linear interpolation,
     computed in fixed-point decimal."""
@@ -132,6 +126,9 @@ def _interpolate(lo: Column, hi: Column, frac: Column, decimals: int) -> Column:
     return F.coalesce(exact, loose)
 
 
+_SUM = "decimal(38,9)"
+
+
 def exact_percentiles(
     df: DataFrame,
     by: Sequence[str],
@@ -139,95 +136,75 @@ def exact_percentiles(
     ps: Mapping[str, float],
     method: str = "exact",
     decimals: int = 9,
-    small_group: int = SMALL_GROUP,
+    sums: Mapping[str, Column] | None = None,
+    mean: tuple[str, int] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """One row per group of ``by`` with one column per entry of ``ps``.
 
-    Ranks ``p * (n - 1)`` and the interpolation are computed in fixed-point
-    decimal and rounded HALF_UP to ``decimals`` (at most 9), so results are
-    exact and reproducible. A per-group count routes groups of at most
-    ``small_group`` values to one sorting aggregate and larger groups to the
-    two-level bucket path, so no task ever holds more than ``small_group``
-    values of a group. Null values are ignored; groups whose values are all
-    null are absent (callers left-join onto their other aggregates).
+    Ranks ``p * (n - 1)`` and the interpolation are computed in fixed-point decimal and rounded HALF_UP to
+    ``decimals`` (at most 9), so results are exact and reproducible. Null values have no rank; a group whose
+    values are all null has null percentiles.
+
+    From the same read: ``sums`` names row-level integers to add up per group (as long), ``mean`` names the
+    mean of the value and its decimals (as ``exact_mean``), ``total`` its sum (as ``exact_sum``).
     """
-    by = list(by)
+    by, sums = list(by), dict(sums or {})
     if not by:   # one global group: run it as a constant group
         g = df.withColumn("_all", F.lit(0))
-        return exact_percentiles(g, ["_all"], value, ps, method, decimals, small_group).drop("_all")
+        return exact_percentiles(g, ["_all"], value, ps, method, decimals, sums, mean, total).drop("_all")
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    base = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull())
+    base = df.select(*by, v.alias("_v"), *[c.cast("long").alias(f"_s{k}") for k, c in enumerate(sums.values())])
     if method == "approx":
-        return base.groupBy(*by).agg(
-            *[F.percentile_approx("_v", p, 10000).alias(name) for name, p in ps.items()]
-        )
-    names = list(ps)
-
-    counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    tagged = _join(base, counts, by)
-
-    # small groups: sort the (bounded) values of each group in one aggregate
-    small = tagged.where(F.col("_n") <= small_group).groupBy(*by).agg(
-        F.sort_array(F.collect_list("_v")).alias("_arr"), F.first("_n").alias("_n"))
-    small_cols = []
-    for name, (lo_r, hi_r, frac) in zip(names, _wanted_ranks(ps, F.col("_n"))):
-        lo = F.element_at("_arr", (lo_r + 1).cast("int"))
-        hi = F.element_at("_arr", (hi_r + 1).cast("int"))
-        small_cols.append(_interpolate(lo, hi, frac, decimals).alias(name))
-    small_out = small.select(*by, *small_cols)
-
-    large_out = _large_group_percentiles(tagged.where(F.col("_n") > small_group).drop("_n"),
-                                         by, ps, names, decimals)
-    return small_out.unionByName(large_out)
-
-
-def _large_group_percentiles(base: DataFrame, by: list[str], ps: Mapping[str, float], names: list[str],
-                             decimals: int) -> DataFrame:
-    """The two-level path (steps 1-5 of the module docstring)."""
-    base = base.withColumn("_b", value_bucket(F.col("_v")))
-
-    # 2-3: prefix sums over buckets per group (small table: groups x buckets)
-    buckets = base.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_bc"))
+        more = [exact_mean("_v", mean[1]).alias(mean[0])] if mean else []
+        more += [exact_sum("_v").alias(total)] if total else []
+        return base.groupBy(*by).agg(*[F.percentile_approx("_v", p, 10000).alias(name) for name, p in ps.items()],
+                                     *[F.sum(f"_s{k}").alias(name) for k, name in enumerate(sums)], *more)
+
+    # 1: counts and sums per (group, value), as one array: both readers below need the same aggregate then,
+    # and Spark reuses its exchange (lone columns would be pruned from one of them)
+    counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"), *[F.sum(f"_s{k}").alias(f"_s{k}") for k in range(len(sums))])
+    packed = F.transform(F.array(*[F.col(c).cast(_SUM) for c in counts.columns[len(by) + 1:]]), lambda x: x)
+    counts = counts.select(*by, "_v", value_bucket(F.col("_v")).alias("_b"), packed.alias("_a"))
+    rows, known = F.col("_a")[0].cast("long"), F.col("_v").isNotNull()
+
+    # 2: ranges per group with what the caller wants of the whole group (small: groups x ranges)
+    fixed = _fixed(F.col("_v"))
+    ranges = counts.groupBy(*by, "_b").agg(
+        F.coalesce(F.sum(F.when(known, rows)), F.lit(0)).alias("_bc"),
+        F.sum((fixed * rows).cast(_SUM)).alias("_fixed"), F.sum(F.when(known, F.col("_v") * rows)).alias("_loose"),
+        F.sum(F.when(known & fixed.isNull(), rows)).alias("_unfixable"),
+        *[F.sum(F.col("_a")[k + 1]).alias(f"_s{k}") for k in range(len(sums))])
     grp = Window.partitionBy(*by)
-    run = grp.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = (
-        buckets.withColumn("_end", F.sum("_bc").over(run))
-        .withColumn("_n", F.sum("_bc").over(grp))
-        .withColumn("_start", F.col("_end") - F.col("_bc"))
-    )
+    # null values come first and count nothing
+    run = grp.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = ranges.withColumns({"_end": F.sum("_bc").over(run), "_n": F.sum("_bc").over(grp)}).withColumn("_start", F.col("_end") - F.col("_bc"))
 
-    # wanted ranks per group: floor and ceil of p*(n-1) for every p
+    # 3: wanted ranks per group, each with the range that holds it
     wanted = []
     for i, (lo_r, hi_r, frac) in enumerate(_wanted_ranks(ps, F.col("_n"))):
-        wanted.append(F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"), lo_r.alias("r"), frac.alias("frac")))
-        wanted.append(F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"), hi_r.alias("r"), frac.alias("frac")))
-    # keep only the wanted ranks that fall in this bucket before exploding
+        wanted += [F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), r.alias("r"), frac.alias("frac")) for side, r in ((0, lo_r), (1, hi_r))]
     inside = F.filter(F.array(*wanted), lambda t: (t["r"] >= F.col("_start")) & (t["r"] < F.col("_end")))
-    targets = (
-        buckets.select(*by, "_b", "_start", F.explode(inside).alias("t"))
-        .select(*by, "_b", "_start", F.col("t.i").alias("_i"), F.col("t.side").alias("_side"),
-                F.col("t.r").alias("_r"), F.col("t.frac").alias("_frac"))
-    )
-
-    # 4: rank values only inside the target buckets. Values are counted first
-    # (map-side partial aggregation collapses a hot repeated value), then the
-    # distinct values of each target bucket are ranked.
-    hit = targets.select(*by, "_b").distinct()
-    cand = _join(base, hit, [*by, "_b"], "left_semi")
-    vals = cand.groupBy(*by, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    inb = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    vals = vals.withColumn("_ce", F.sum("_c").over(inb)).withColumn("_cs", F.col("_ce") - F.col("_c"))
-
-    picked = _join(targets, vals, [*by, "_b"]).where(
-        (F.col("_r") >= F.col("_start") + F.col("_cs")) & (F.col("_r") < F.col("_start") + F.col("_ce"))
-    )
-
-    # 5: interpolate
+    targets = ranges.select(*by, "_b", "_start", inside.alias("_t")).where(F.size("_t") > 0)
+    held = _join(counts, targets, [*by, "_b"])
+    inner = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = held.withColumn("_ce", F.col("_start") + F.sum(rows).over(inner)).withColumn("_cs", F.col("_ce") - rows)
+    here = F.filter("_t", lambda t: (t["r"] >= F.col("_cs")) & (t["r"] < F.col("_ce")))
+    picked = held.select(*by, "_v", F.explode(here).alias("_t"))
+
+    # 4: interpolate
     aggs = []
-    for i, name in enumerate(names):
-        lo = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 0), F.col("_v")))
-        hi = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 1), F.col("_v")))
-        frac = F.max(F.when(F.col("_i") == i, F.col("_frac")))
-        aggs.append(_interpolate(lo, hi, frac, decimals).alias(name))
-    return picked.groupBy(*by).agg(*aggs)
+    for i, name in enumerate(ps):
+        lo, hi = (F.max(F.when((F.col("_t.i") == i) & (F.col("_t.side") == side), F.col("_v"))) for side in (0, 1))
+        aggs.append(_interpolate(lo, hi, F.max(F.when(F.col("_t.i") == i, F.col("_t.frac"))), decimals).alias(name))
+    out = picked.groupBy(*by).agg(*aggs)
+
+    loose, n = F.sum("_unfixable") > 0, F.sum("_bc")
+    whole = [F.sum(f"_s{k}").cast("long").alias(name) for k, name in enumerate(sums)]
+    if mean:
+        exact = F.round(F.try_divide(F.sum("_fixed").cast("decimal(34,9)"), n.cast("decimal(20,0)")), mean[1]).cast("double")
+        whole.append(F.when(loose, F.sum("_loose") / n).otherwise(exact).alias(mean[0]))
+    if total:
+        whole.append(F.when(loose, F.sum("_loose")).otherwise(F.sum("_fixed").cast("double")).alias(total))
+    groups = ranges.groupBy(*by).agg(F.count(F.lit(1)).alias("_ranges"), *whole).drop("_ranges")
+    return _join(groups, out, by, "left")

@@ -12,7 +12,8 @@ per group in the same plan.
   order-preserving buckets, bucket totals get prefix sums in a small table,
   and the running sums inside a bucket come from a window partitioned by
   (group, bucket).
-* AUC is accumulated as an exact integer (2 x numerator) and divided once.
+* AUC is accumulated as an exact integer (2 x numerator) and divided once. AP is accumulated as positives x
+  precision in whole units of 1e-15, so it is the same however tasks and paths add it up.
 """
 
 from __future__ import annotations
@@ -42,6 +43,15 @@ def _pairs(n: Column, weight: Column) -> Column:
     return (n.cast("decimal(19,0)") * weight.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
+_AP_UNITS = 10**15
+
+
+def _ap_units(p: Column, tp: Column, fp: Column) -> Column:
+    """p * precision in units of 1e-15, precision rounded down to a unit."""
+    precision = F.call_function("div", (tp.cast("decimal(19,0)") * F.lit(_AP_UNITS).cast("decimal(16,0)")).cast("decimal(38,0)"), (tp + fp).cast("decimal(38,0)"))
+    return _pairs(p, precision)
+
+
 def confusion(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
               threshold: float = 0.5) -> DataFrame:
     """E4-E6 per group: tn fp fn tp, precision, recall, f1, accuracy, row_count."""
@@ -93,14 +103,14 @@ def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     small = tagged.where(F.col("_ds") <= small_group).groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("_s", "_p", "_n")), asc=False).alias("_arr"))
     init = F.struct(F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"),
-                    F.lit(0).cast("decimal(38,0)").alias("auc2"), F.lit(0.0).alias("ap"))
+                    F.lit(0).cast("decimal(38,0)").alias("auc2"), F.lit(0).cast("decimal(38,0)").alias("ap"))
 
     def step(acc, x):
         tp = acc["tp"] + x["_p"]
         fp = acc["fp"] + x["_n"]
         return F.struct(tp.alias("tp"), fp.alias("fp"),
                         (acc["auc2"] + _pairs(x["_n"], 2 * acc["tp"] + x["_p"])).cast("decimal(38,0)").alias("auc2"),
-                        (acc["ap"] + x["_p"].cast("double") * tp / (tp + fp)).alias("ap"))
+                        (acc["ap"] + _ap_units(x["_p"], tp, fp)).cast("decimal(38,0)").alias("ap"))
 
     folded = small.select(*by, F.aggregate("_arr", init, step).alias("_f")).select(
         *by, F.col("_f.auc2").alias("_auc2"), F.col("_f.ap").alias("_ap"),
@@ -113,7 +123,7 @@ def rank_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
         *by,
         F.when(both, F.col("_auc2").cast("double") / (F.lit(2.0) * F.col("_totp") * F.col("_totn"))).otherwise(F.lit(0.5))
         .alias("roc_auc"),
-        F.when(both, F.col("_ap") / F.col("_totp"))
+        F.when(both, F.call_function("div", F.col("_ap"), F.col("_totp").cast("decimal(38,0)")).cast("double") / F.lit(float(_AP_UNITS)))
         .otherwise(F.col("_totp") / (F.col("_totp") + F.col("_totn")))
         .alias("average_precision"),
     )
@@ -137,9 +147,9 @@ def _large_rank_sums(per_score: DataFrame, by: list[str]) -> DataFrame:
     j = (j.withColumn("_tp", F.col("_pa") + F.sum("_p").over(inner))
           .withColumn("_fp", F.col("_na") + F.sum("_n").over(inner)))
     auc2 = _pairs(F.col("_n"), 2 * (F.col("_tp") - F.col("_p")) + F.col("_p"))
-    ap = F.col("_p").cast("double") * F.col("_tp") / (F.col("_tp") + F.col("_fp"))
+    ap = _ap_units(F.col("_p"), F.col("_tp"), F.col("_fp"))
     return j.groupBy(*by).agg(
-        F.sum(auc2).cast("decimal(38,0)").alias("_auc2"), F.sum(ap).alias("_ap"),
+        F.sum(auc2).cast("decimal(38,0)").alias("_auc2"), F.sum(ap).cast("decimal(38,0)").alias("_ap"),
         F.first("_totp").alias("_totp"), F.first("_totn").alias("_totn"))
 
 
@@ -170,10 +180,7 @@ def latency_stats(df: DataFrame, ms: str, rows: str | Column | None = None,
         g = df.withColumn("_all", F.lit(0))
         return latency_stats(g, ms, rows, ["_all"], method).drop("_all")
     r = F.lit(1) if rows is None else (F.col(rows) if isinstance(rows, str) else rows)
-    pct = exact_percentiles(df, by, ms, {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95,
-                                         "p99_latency_ms": 0.99}, method=method)
-    tot = df.groupBy(*by).agg(F.sum(r).alias("_rows"), F.sum(F.col(ms).cast("double")).alias("_ms"),
-                              F.count(F.lit(1)).alias("runs"))
-    tot = tot.select(*by, "runs", F.when(F.col("_ms") > 0, F.col("_rows") / (F.col("_ms") / 1000.0))
-                     .alias("throughput_rows_per_sec"))
-    return join_null_safe(tot, pct, by, "left")
+    out = exact_percentiles(df, by, ms, {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95, "p99_latency_ms": 0.99}, method=method,
+                            sums={"_rows": r, "runs": F.lit(1)}, total="_ms")
+    per_second = F.when(F.col("_ms") > 0, F.col("_rows") / (F.col("_ms") / 1000.0))
+    return out.select(*by, "runs", per_second.alias("throughput_rows_per_sec"), "p50_latency_ms", "p95_latency_ms", "p99_latency_ms")

@@ -9,6 +9,8 @@ compares two scorers row by row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,7 +125,7 @@ def score_parity(a: DataFrame, b: DataFrame, key: str, score_a: str = "score",
     return out.withColumn("passed", ok)
 
 
-def first_rows(df: DataFrame, order_by: str, limit: int = 512) -> DataFrame:
+def first_rows(df: DataFrame, order_by: str | Sequence[str], limit: int = 512) -> DataFrame:
     """M6: the first ``limit`` rows by an explicit order (top-k, not a sort)."""
-    return df.orderBy(order_by).limit(limit)
+    return df.orderBy(*([order_by] if isinstance(order_by, str) else order_by)).limit(limit)
 

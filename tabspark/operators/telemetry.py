@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import count_where, lenient, ts_lit
-from tabspark.functions.quantiles import exact_mean, exact_percentiles
+from tabspark.functions.quantiles import exact_percentiles
 from tabspark.operators.ranking import top_per_group  # noqa: F401  (re-exported)
 from tabspark.sources.io import DATE_PARTITION
 
@@ -56,17 +56,17 @@ def _binned(df: DataFrame, bin: str) -> DataFrame:
     return df.withColumn("_bin", time_bin(TS, bin))
 
 
+def _failed() -> Column:
+    return F.when(F.col("Success") == F.lit(False), F.lit(1)).otherwise(F.lit(0))
+
+
 def request_health(requests: DataFrame, as_of, lookback: str = "24 hours", bin: str = "1 hour",
                    method: str = "exact") -> DataFrame:
     """Total, failed, average ms (2 dp) and p95 ms (2 dp) per time bin."""
     b = _binned(recent(requests, as_of, lookback), bin)
-    agg = b.groupBy("_bin").agg(
-        F.count(F.lit(1)).alias("TotalRequests"),
-        count_where(F.col("Success") == F.lit(False)).alias("FailedRequests"),
-        exact_mean("DurationMs", 2).alias("AvgDurationMs"),
-    )
-    p95 = exact_percentiles(b, ["_bin"], "DurationMs", {"P95DurationMs": 0.95}, method, decimals=2)
-    return agg.join(p95, "_bin", "left").withColumnRenamed("_bin", TS)
+    out = exact_percentiles(b, ["_bin"], "DurationMs", {"P95DurationMs": 0.95}, method, decimals=2, mean=("AvgDurationMs", 2),
+                            sums={"TotalRequests": F.lit(1), "FailedRequests": _failed()})
+    return out.select(F.col("_bin").alias(TS), "TotalRequests", "FailedRequests", "AvgDurationMs", "P95DurationMs")
 
 
 def failed_requests(requests: DataFrame, as_of, lookback: str = "24 hours", bin: str = "1 hour") -> DataFrame:
@@ -98,10 +98,9 @@ def latest_per_operation(requests: DataFrame, tiebreak: str | None = None) -> Da
 
 def dependency_rollup(deps: DataFrame, method: str = "exact") -> DataFrame:
     """T5: dependency count, failed count and p95 ms per operation."""
-    agg = deps.groupBy(OP).agg(F.count(F.lit(1)).alias("DependencyCount"),
-                               count_where(F.col("Success") == F.lit(False)).alias("FailedDependencies"))
-    p95 = exact_percentiles(deps, [OP], "DurationMs", {"P95DependencyMs": 0.95}, method)
-    return agg.join(p95, OP, "left")
+    out = exact_percentiles(deps, [OP], "DurationMs", {"P95DependencyMs": 0.95}, method,
+                            sums={"DependencyCount": F.lit(1), "FailedDependencies": _failed()})
+    return out.select(OP, "DependencyCount", "FailedDependencies", "P95DependencyMs")
 
 
 def trace_rollup(traces: DataFrame) -> DataFrame:
@@ -176,9 +175,8 @@ def custom_metrics(metrics: DataFrame, as_of, lookback: str = "24 hours", bin: s
     """Average and p95 of the numeric value by metric name and bin."""
     d = recent(metrics, as_of, lookback).where(F.col("Name").isin(*names))
     d = _binned(d, bin).withColumn("_val", lenient("Value", "double"))
-    agg = d.groupBy("Name", "_bin").agg(exact_mean("_val").alias("AvgValue"))
-    p95 = exact_percentiles(d, ["Name", "_bin"], "_val", {"P95Value": 0.95}, method)
-    return agg.join(p95, ["Name", "_bin"], "left").withColumnRenamed("_bin", TS)
+    out = exact_percentiles(d, ["Name", "_bin"], "_val", {"P95Value": 0.95}, method, mean=("AvgValue", 9))
+    return out.select("Name", F.col("_bin").alias(TS), "AvgValue", "P95Value")
 
 
 def trace_search(traces: DataFrame, as_of, lookback: str = "10 minutes",
@@ -213,10 +211,8 @@ def cohort_gate(requests: DataFrame, baseline: str, candidate: str, cohort: str
     200 ms)`` and ``max(2 x baseline error rate, 0.01)``; the candidate fails
     when above either (strict ``>``) or when a metric is missing."""
     d = requests.where(F.col(cohort).isin(baseline, candidate))
-    stats = d.groupBy(cohort).agg(
-        F.count(F.lit(1)).alias("_n"), count_where(F.col("Success") == F.lit(False)).alias("_f"))
-    p95 = exact_percentiles(d, [cohort], "DurationMs", {"_p95": 0.95}, method)
-    per = stats.join(p95, cohort, "left").withColumn("_err", F.col("_f") / F.col("_n"))
+    per = exact_percentiles(d, [cohort], "DurationMs", {"_p95": 0.95}, method, sums={"_n": F.lit(1), "_f": _failed()})
+    per = per.withColumn("_err", F.col("_f") / F.col("_n"))
 
     def pick(c, who):
         return F.max(F.when(F.col(cohort) == who, F.col(c)))

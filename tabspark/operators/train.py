@@ -1,38 +1,55 @@
-"""Boosted-tree training with Spark ML (M1, M2, M8).
-
-The reference's leaf-wise booster maps onto ``GBTClassifier`` (level-wise):
-learning rate -> stepSize, leaves -> the depth that holds them, rounds ->
-maxIter, feature fraction -> featureSubsetStrategy, bagging -> subsamplingRate,
-min data in leaf -> minInstancesPerNode, seed -> seed. Early stopping uses the
-validation rows through ``validationIndicatorCol`` (one fit over train +
-validation); the best iteration is the tree prefix with the highest
-validation ROC AUC (the reference's early-stopping metric, of every prefix),
-and when it is earlier than the last tree the model is refitted to
-exactly that many rounds, so it predicts with the best iteration. Scores will not
-equal the reference's booster; the interface, guards and metrics are kept.
+"""Boosted-tree training with patience on validation AUC (M1, M2, M8).
+
+The booster is gradient boosting of the logistic loss over Spark ML trees. A round fits one regression tree to
+the Newton targets of the rows, (label - p) / (p (1 - p)) with weight p (1 - p), so a leaf's mean is its
+Newton step; the rows' margins grow by the learning rate times that step. Leaves map to the depth that holds
+them, feature fraction to the features tried per node, bagging to the rows sampled per round.
+
+Rounds run in blocks. A block starts from the margins that the block before it wrote to the shared checkpoint
+folder, so the plan never grows with the number of rounds and a lost executor repeats one block at most.
+After a block, the validation margins of all its rounds are ranked in one job, and each round's ROC AUC goes
+to ``Patience``: training ends once ``early_stopping_rounds`` rounds in a row brought no better AUC, or after
+``num_boost_round`` rounds. The ensemble is cut to the best round; nothing is fitted twice.
+
+Scores will not equal the reference's booster; the interface, the stopping rule, guards and metrics are kept.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.contract import TrainingConfig
-from tabspark.operators.evaluate import rank_metrics
+from tabspark.operators.ensemble import Ensemble, Node
+from tabspark.operators.evaluate import binary_label, rank_metrics
 from tabspark.session import materialize
 
-VALIDATION_FLAG = "_is_validation"
+BLOCK = 20  # rounds between two writes of the margins
+_LEAST_WEIGHT = 1e-6  # of a row that is certain already
 
 
 @dataclass(frozen=True)
 class TrainedModel:
-    model: GBTClassificationModel
+    model: Ensemble
     best_iteration: int | None
     trees: int
+    rounds: int = 0
+    history: tuple[float, ...] = ()
+
+
+def option(cfg: TrainingConfig, *names: str, default=None):
+    """First of the names that the config has as a field, or in ``extra``, with a value."""
+    for name in names:
+        value = getattr(cfg, name, None)
+        value = cfg.extra.get(name) if value is None or name in cfg.extra else value
+        if value is not None:
+            return value
+    return default
 
 
 def depth_for_leaves(num_leaves: int) -> int:
@@ -40,30 +57,89 @@ def depth_for_leaves(num_leaves: int) -> int:
     return max(1, math.ceil(math.log2(max(num_leaves, 2))))
 
 
-def build_classifier(cfg: TrainingConfig, features: str = "features", label: str = "TARGET",
-                     validation_col: str | None = VALIDATION_FLAG) -> GBTClassifier:
-    """M1: classifier from the training config (aliases resolved by the config)."""
-    clf = GBTClassifier(
-        featuresCol=features, labelCol=label,
-        maxIter=int(cfg.num_boost_round), stepSize=float(cfg.learning_rate),
-        maxDepth=depth_for_leaves(cfg.num_leaves),
-        subsamplingRate=float(cfg.bagging_fraction) if cfg.bagging_freq > 0 else 1.0,
-        featureSubsetStrategy=str(cfg.feature_fraction),
-        minInstancesPerNode=int(cfg.min_data_in_leaf), seed=int(cfg.random_seed),
-        # node ids cached per row (checkpointed every 10 trees to the shared
-        # checkpoint folder) instead of re-walking every tree each iteration
-        cacheNodeIds=True, checkpointInterval=10,
-        validationTol=float(cfg.validation_tol),
+@dataclass(frozen=True)
+class Settings:
+    """M1: what the booster takes from the config; names given in ``extra`` win over the field they stand for."""
+
+    rounds: int
+    rate: float
+    depth: int
+    feature_fraction: float
+    row_fraction: float
+    min_rows: int
+    min_gain: float
+    seed: int
+    patience: int
+
+
+def settings(cfg: TrainingConfig) -> Settings:
+    depth = int(option(cfg, "max_depth", default=-1))
+    every = int(option(cfg, "subsample_freq", "bagging_freq", default=0))
+    return Settings(
+        rounds=int(option(cfg, "n_estimators", "num_boost_round", default=100)),
+        rate=float(option(cfg, "learning_rate", default=0.1)),
+        depth=min(x for x in (depth_for_leaves(int(option(cfg, "num_leaves", default=31))), depth) if x > 0),
+        feature_fraction=float(option(cfg, "colsample_bytree", "feature_fraction", default=1.0)),
+        row_fraction=float(option(cfg, "subsample", "bagging_fraction", default=1.0)) if every > 0 else 1.0,
+        min_rows=int(option(cfg, "min_child_samples", "min_data_in_leaf", default=20)),
+        min_gain=float(option(cfg, "min_split_gain", default=0.0)),
+        seed=int(option(cfg, "random_state", "random_seed", default=42)),
+        patience=int(cfg.early_stopping_rounds),
     )
-    if validation_col:
-        clf = clf.setValidationIndicatorCol(validation_col)
-    return clf
 
 
-def train(train_df: DataFrame, validation_df: DataFrame, cfg: TrainingConfig,
-          features: str = "features", label: str = "TARGET") -> TrainedModel:
-    """M2: fit with early stopping on the validation rows; input guards first."""
-    if cfg.early_stopping_rounds < 1:
+class Patience:
+    """Keeps the first round with the highest value; exhausted after ``rounds`` rounds without a higher one."""
+
+    def __init__(self, rounds: int) -> None:
+        self.rounds, self.seen, self.best, self.best_value = rounds, 0, 0, -math.inf
+
+    def add(self, value: float) -> bool:
+        """Takes the next round's value; whether to go on."""
+        self.seen += 1
+        if value > self.best_value:
+            self.best, self.best_value = self.seen, value
+        return self.seen - self.best < self.rounds
+
+
+def build_tree(s: Settings, round_: int, features: str = "features") -> RandomForestRegressor:
+    """M1: the learner of one round, a single tree over (features, _target, _weight)."""
+    return RandomForestRegressor(
+        featuresCol=features, labelCol="_target", weightCol="_weight", numTrees=1, bootstrap=False, maxDepth=s.depth,
+        featureSubsetStrategy=str(s.feature_fraction) if s.feature_fraction < 1 else "all", minInstancesPerNode=s.min_rows, minInfoGain=s.min_gain, seed=s.seed + round_)
+
+
+def in_round(s: Settings, round_: int) -> Column:
+    """Whether a row takes part in a round: by a hash of its number, so a repeated task draws the same rows."""
+    return F.pmod(F.xxhash64("_row", F.lit(s.seed + round_)), F.lit(1 << 20)) < int(s.row_fraction * (1 << 20))
+
+
+_SPLIT = re.compile(r"\s*If \(feature (\d+) <= (\S+)\)")
+
+
+def tree_nodes(debug: str, rate: float) -> tuple[Node, ...]:
+    """Nodes of a fitted tree from its printed form, leaves scaled by the learning rate; the root is 0."""
+    lines = [x for x in debug.splitlines() if re.match(r"\s*(If|Else|Predict)", x)]
+    nodes: list[Node | None] = []
+
+    def take() -> int:
+        line, here = lines.pop(0), len(nodes)
+        nodes.append(None)
+        if "Predict:" in line:
+            nodes[here] = Node(value=rate * float(line.split("Predict:")[1]))
+            return here
+        feature, threshold = _SPLIT.match(line).groups()
+        left = take()
+        lines.pop(0)  # Else
+        nodes[here] = Node(int(feature), float(threshold), left, take())
+        return here
+
+    take()
+    return tuple(nodes)
+
+
+def _input(train_df: DataFrame, validation_df: DataFrame, features: str, label: str, patience: int) -> None:
+    if patience < 1:
         raise ValueError("early_stopping_rounds must be at least 1")
     for name, df in (("train", train_df), ("validation", validation_df)):
         missing = [c for c in (features, label) if c not in df.columns]
@@ -71,61 +147,68 @@ def train(train_df: DataFrame, validation_df: DataFrame, cfg: TrainingConfig,
             raise ValueError(f"{name} split is missing columns: {', '.join(missing)}")
         if df.isEmpty():
             raise ValueError(f"{name} split must not be empty")
-    data = (train_df.select(features, label).withColumn(VALIDATION_FLAG, F.lit(False))
-            .unionByName(validation_df.select(features, label).withColumn(VALIDATION_FLAG, F.lit(True))))
-    data = data.withColumn(label, F.col(label).cast("double"))
-    clf = build_classifier(cfg, features, label)
-    model = clf.fit(data)
-    best = best_prefix_by_auc(model, validation_df, features, label)
-    if best is not None and best < model.getNumTrees:
-        # predict with the best iteration: refit that many rounds (each round's
-        # sampling is seeded by seed + round, so the trees are the same prefix)
-        model = clf.copy({clf.maxIter: best}).fit(data)
-    return TrainedModel(model=model, best_iteration=best, trees=model.getNumTrees)
-
-
-def best_prefix_by_auc(model: GBTClassificationModel, validation: DataFrame, features: str = "features",
-                       label: str = "TARGET", max_candidates: int = 20) -> int | None:
-    """Number of trees whose prefix scores best on validation ROC AUC.
-
-    Every prefix is a candidate. Each tree's output is a column of a plan (no
-    per-tree job); the AUCs come from the distributed ``rank_metrics``,
-    ``max_candidates`` prefixes a pass, each pass starting from the margin
-    that the one before it wrote. Ties go to the shorter prefix.
-    """
-    trees, weights = model.trees, model.treeWeights
-    n = len(trees)
-    if n == 0:
-        return None
-    rows = []
-    base = validation.select(features, F.col(label).cast("long").alias("_y"), F.lit(0.0).alias("_margin"))
-    for start in range(0, n, max_candidates):
-        cands = range(start + 1, min(start + max_candidates, n) + 1)
-        margin, margins, df = F.col("_margin"), [], base
-        for k in cands:
-            df = trees[k - 1].copy().setPredictionCol(f"_t{k}").transform(df)
-            margin = margin + F.lit(float(weights[k - 1])) * F.col(f"_t{k}")
-            margins.append(margin.alias(f"_m{k}"))
-        wide = df.select(features, "_y", *margins)
-        if cands[-1] < n:
-            wide = materialize(wide, "margins")
-            base = wide.select(features, "_y", F.col(f"_m{cands[-1]}").alias("_margin"))
-        pairs = ", ".join(f"{k}, _m{k}" for k in cands)
-        long = wide.selectExpr("_y", f"stack({len(cands)}, {pairs}) AS (prefix, score)")
-        rows += rank_metrics(long, "_y", "score", ["prefix"]).collect()   # one row a prefix
-    best = max(rows, key=lambda r: (r["roc_auc"], -r["prefix"]))
-    return int(best["prefix"])
-
-
-def importance(spark, model: GBTClassificationModel, names: tuple[str, ...], top: int = 50) -> DataFrame:
+
+
+def prefix_aucs(validation: DataFrame, margins: list[str]) -> list[float]:
+    """Validation ROC AUC of each margin column, in one job."""
+    pairs = ", ".join(f"{k}, `{m}`" for k, m in enumerate(margins))
+    long = validation.selectExpr("_y", f"stack({len(margins)}, {pairs}) AS (prefix, score)")
+    return [r["roc_auc"] for r in sorted(rank_metrics(long, "_y", "score", ["prefix"]).collect())]  # one row a round
+
+
+def train(train_df: DataFrame, validation_df: DataFrame, cfg: TrainingConfig, features: str = "features", label: str = "TARGET",
+          block: int = BLOCK) -> TrainedModel:
+    """M2: fit until validation AUC has not risen for ``early_stopping_rounds`` rounds."""
+    s = settings(cfg)
+    _input(train_df, validation_df, features, label, s.patience)
+    y = binary_label(label)
+    positives, total = train_df.agg(F.sum(y), F.count(F.lit(1))).first()
+    share = min(max(positives / total, 1e-6), 1 - 1e-6)
+    start = math.log(share / (1 - share))
+    given = lambda df: df.select(F.col(features), y.alias("_y"), F.lit(start).alias("_margin"), F.monotonically_increasing_id().alias("_row"))
+    rows, held = materialize(given(train_df), "train-margins"), materialize(given(validation_df), "validation-margins")
+    trees: list[tuple[Node, ...]] = []
+    gains: list = []
+    history: list[float] = []
+    patience, going = Patience(s.patience), True
+    while going and len(trees) < s.rounds:
+        names = []
+        for _ in range(min(block, s.rounds - len(trees))):
+            p = 1.0 / (1.0 + F.exp(-F.col("_margin")))
+            weight = F.greatest(p * (1.0 - p), F.lit(_LEAST_WEIGHT))
+            wanted = rows.where(in_round(s, len(trees))).select(features, weight.alias("_weight"), ((F.col("_y") - p) / weight).alias("_target"))
+            model = build_tree(s, len(trees), features).fit(wanted)
+            tree = model.trees[0]
+            step = f"_t{len(names)}"
+            tree.setPredictionCol(step)
+            rows = tree.transform(rows).withColumn("_margin", F.col("_margin") + s.rate * F.col(step)).drop(step)
+            names.append(f"_m{len(names)}")
+            held = tree.transform(held).withColumn("_margin", F.col("_margin") + s.rate * F.col(step)).withColumn(names[-1], F.col("_margin")).drop(step)
+            trees.append(tree_nodes(tree.toDebugString, s.rate))
+            gains.append(model.featureImportances.toArray())
+        held = materialize(held, "validation-margins")
+        for auc in prefix_aucs(held, names):
+            history.append(auc)
+            going = patience.add(auc)
+            if not going:
+                break
+        held = held.drop(*names)
+        if going and len(trees) < s.rounds:
+            rows = materialize(rows, "train-margins")
+    best = patience.best
+    importances = tuple(float(v) for v in sum(gains[:best])) if best else ()
+    model = Ensemble(tuple(trees[:best]), start, importances)
+    return TrainedModel(model=model, best_iteration=best, trees=model.numTrees, rounds=patience.seen, history=tuple(history))
+
+
+def importance(spark, model: Ensemble, names: tuple[str, ...], top: int = 50) -> DataFrame:
     """M8: (feature, gain) sorted by gain descending, first ``top``.
 
-    Spark's importances are normalised split gains (they sum to 1); the list is
-    as long as the feature vector, so it is built on the driver.
+    Gains are normalised per tree and summed to 1; the list is as long as the feature vector, so it is built
+    on the driver.
     """
     values = model.featureImportances.toArray()
     if len(values) != len(names):
-        raise ValueError(f"Feature name count does not match feature importance length "
-                         f"({len(names)} != {len(values)})")
-    rows = sorted(((n, float(v)) for n, v in zip(names, values)), key=lambda r: -r[1])
+        raise ValueError(f"{len(names)} feature names were given for a model of {len(values)} features")
+    rows = sorted(((n, float(v)) for n, v in zip(names, values, strict=True)), key=lambda r: -r[1])
     return spark.createDataFrame(rows[:top], "feature string, gain double")

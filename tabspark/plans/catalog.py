@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +21,14 @@ from tabspark.operators import features as fe
 from tabspark.operators import findings as fi
 from tabspark.operators import gates as ga
 from tabspark.operators import ledger as le
+from tabspark.operators import lineage as ln
 from tabspark.operators import registry as rg
 from tabspark.operators import score as sc
 from tabspark.operators import split as sp
 from tabspark.operators import telemetry as te
 from tabspark.operators import validate as va
+from tabspark.operators.ensemble import LEAF, TABLE, Ensemble, joined_margins
+from tabspark.operators.train import importance
 from tabspark.plans import oracle
 from tabspark.plans.training_job import fit_and_evaluate
 from tabspark.session import materialize, materialize_observed, scratch_path
@@ -130,13 +134,11 @@ def q_confusion_metrics(spark, sf_dir):
 
 def q_roc_auc_ap(spark, sf_dir):
     """Tie-aware ROC AUC and step-sum AP per split."""
-    r = ev.rank_metrics(scored(spark, sf_dir), "TARGET", "score", ["split"])
-    return r.withColumn("average_precision", F.round("average_precision", 10))
+    return ev.rank_metrics(scored(spark, sf_dir), "TARGET", "score", ["split"])
 
 
 def _split_metrics(spark, sf_dir):
-    m = ev.binary_metrics(scored(spark, sf_dir), "TARGET", "score", ["split"], CFG.threshold)
-    return m.withColumn("average_precision", F.round("average_precision", 10))
+    return ev.binary_metrics(scored(spark, sf_dir), "TARGET", "score", ["split"], CFG.threshold)
 
 
 def q_metrics_long(spark, sf_dir):
@@ -150,8 +152,7 @@ def _request_perf(spark, sf_dir):
 
 def q_latency_percentiles(spark, sf_dir):
     """p50/p95/p99 and rows per second per request name."""
-    out = ev.latency_stats(fx.telemetry(spark, sf_dir, "requests"), "DurationMs", by=["Name"])
-    return out.withColumn("throughput_rows_per_sec", F.round("throughput_rows_per_sec", 6))
+    return ev.latency_stats(fx.telemetry(spark, sf_dir, "requests"), "DurationMs", by=["Name"])
 
 
 def q_gate_decision(spark, sf_dir):
@@ -320,6 +321,37 @@ def q_train_eval(spark, sf_dir):
     return out["metrics"]
 
 
+def _encoded(spark, sf_dir):
+    data = splitted(spark, sf_dir)
+    enc = fe.FeatureEncoder.fit(data.where(F.col("split") == "train"), CENSUS_NUMERIC_FEATURES, "STATE")
+    return enc, enc.transform(data, keep=["k", "split"], check=False)
+
+
+def q_ensemble_scores(spark, sf_dir):
+    """The encoder fitted on the training split applied to all splits, and a fixed ensemble's node
+    table scored twice, over Arrow batches and by joins; both margins, the score and the prediction."""
+    enc, encoded = _encoded(spark, sf_dir)
+    rows = [(t, n, enc.feature_names.index(f) if f else LEAF, x, lo, hi, v) for t, n, f, x, lo, hi, v in fx.FIXED_TREES]
+    nodes = spark.createDataFrame(rows, TABLE)
+    depth = 3   # levels of the deepest fixed tree
+    walked = sc.score(encoded, Ensemble.from_table(nodes), CFG.threshold, "fixed-1", keep=["k", "split", "margin"])
+    joined = joined_margins(encoded.select("k", vector_to_array("features").alias("x")), nodes, ["k"], "x", depth)
+    return walked.join(joined.withColumnRenamed("margin", "joined_margin"), "k").withColumn("score", F.round("score", 9))
+
+
+def q_feature_importance(spark, sf_dir):
+    """M8: the fifty largest gains of the trained ensemble (rows-only check)."""
+    clean, seen = materialize_observed(labelled(spark, sf_dir), "clean", *sp.class_count_exprs("TARGET"))
+    cfg = TrainingConfig(num_boost_round=10)
+    out = fit_and_evaluate(clean, cfg, CONTRACT, class_counts=sp.class_counts_from(seen))
+    return importance(spark, out["trained"].model, out["encoder"].feature_names)
+
+
+def q_table_digest(spark, sf_dir):
+    """Rows and content digest of the document table, independent of files and order."""
+    return ln.table_digest(fx.table(spark, sf_dir, "documents"), ["doc_id", "text", "lang", "source", "n_chars"])
+
+
 def q_ingest_stream(spark, sf_dir):
     """The whole raw frame lands as three parquet files (a partition of the
     table on ``k % 3``: every row lands in exactly one file, exact copies land
@@ -401,6 +433,9 @@ QUERIES: dict[str, Query] = {
     "blob_keys": q_blob_keys,
     "vector_check": q_vector_check,
     "train_eval": q_train_eval,
+    "feature_importance": q_feature_importance,
+    "ensemble_scores": q_ensemble_scores,
+    "table_digest": q_table_digest,
     "ingest_stream": q_ingest_stream,
     "alerts_stream": q_alerts_stream,
 }
@@ -449,4 +484,6 @@ ORACLE: dict[str, str] = {
     "retention": oracle.retention(),
     "blob_keys": oracle.blob_keys(),
     "vector_check": oracle.vector_check(),
+    "ensemble_scores": oracle.ensemble_scores(),
+    "table_digest": oracle.table_digest(),
 }

@@ -189,6 +189,33 @@ def one_hot() -> str:
     return with_split(" UNION ALL ".join(parts), [VOCAB_CTE])
 
 
+def ensemble_scores() -> str:
+    lit = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else repr(x)
+    rows = ", ".join(f"({', '.join(map(lit, r))})" for r in fx.FIXED_TREES)
+    numeric = " ".join(f"WHEN '{c}' THEN CAST(CAST({c} AS FLOAT) AS DOUBLE)" for c in CENSUS_NUMERIC_FEATURES)
+    value = f"CASE n.feature {numeric} ELSE CASE WHEN concat('STATE__', s.STATE) = n.feature THEN 1.0 ELSE 0.0 END END"
+    step = ("SELECT a.k, a.tree, CASE WHEN n.feature IS NULL THEN a.node "
+            f"WHEN {value} <= n.threshold THEN n.lo ELSE n.hi END AS node "
+            "FROM {} a JOIN nodes n ON a.tree = n.tree AND a.node = n.node JOIN splitted s ON s.k = a.k")
+    return with_split(
+        "SELECT k, split, CAST(margin AS DOUBLE) AS margin, CAST(margin AS DOUBLE) AS joined_margin, "
+        "round(1 / (1 + exp(-CAST(margin AS DOUBLE))), 9) AS score, "
+        f"CAST(CASE WHEN 1 / (1 + exp(-CAST(margin AS DOUBLE))) >= {CFG.threshold} THEN 1 ELSE 0 END AS BIGINT) AS prediction, "
+        "'fixed-1' AS model_version FROM total JOIN splitted USING (k)",
+        [f"nodes AS (SELECT * FROM (VALUES {rows}) v(tree, node, feature, threshold, lo, hi, value))",
+         "at0 AS (SELECT k, tree, 0 AS node FROM splitted, (SELECT DISTINCT tree FROM nodes) t)",
+         f"at1 AS ({step.format('at0')})", f"at2 AS ({step.format('at1')})", f"at3 AS ({step.format('at2')})",
+         "total AS (SELECT k, sum(CAST(value AS DECIMAL(30,15))) AS margin FROM at3 JOIN nodes USING (tree, node) GROUP BY k)"])
+
+
+def table_digest() -> str:
+    cols = ("doc_id", "text", "lang", "source", "n_chars")
+    parts = ", ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(strlen(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)) END" for c in cols)
+    words = ", ".join(f"CAST(coalesce(sum(CAST(concat('0x', substr(h, {1 + 8 * k}, 8)) AS BIGINT)), 0) AS VARCHAR)" for k in range(8))
+    return (f"WITH hashed AS (SELECT sha256(concat_ws(',', {parts})) AS h FROM documents) "
+            f"SELECT count(*) AS rows, sha256(concat_ws(',', CAST(count(*) AS VARCHAR), {words})) AS sha256 FROM hashed")
+
+
 CONFUSION_CTE = (
     "conf AS (SELECT split, count(*) FILTER (WHERE TARGET = 0 AND NOT score >= 0.5) AS tn, "
     "count(*) FILTER (WHERE TARGET = 0 AND score >= 0.5) AS fp, "
@@ -207,8 +234,8 @@ RANK_CTES = [
     "sum(np) OVER (PARTITION BY split) AS totp, sum(nn) OVER (PARTITION BY split) AS totn FROM sc)",
     "rnk AS (SELECT split, CASE WHEN totp > 0 AND totn > 0 THEN CAST(sum(nn * (2 * (tpc - np) + np)) AS DOUBLE) / "
     "(CAST(2 AS DOUBLE) * totp * totn) ELSE 0.5 END AS roc_auc, "
-    "round(CASE WHEN totp > 0 AND totn > 0 THEN sum(CAST(np AS DOUBLE) * tpc / (tpc + fpc)) / totp "
-    "ELSE CAST(totp AS DOUBLE) / (totp + totn) END, 10) AS average_precision FROM cum GROUP BY split, totp, totn)",
+    "CASE WHEN totp > 0 AND totn > 0 THEN CAST(sum(CAST(np AS HUGEINT) * ((CAST(tpc AS HUGEINT) * 1000000000000000) // (tpc + fpc))) // totp AS DOUBLE) / 1e15 "
+    "ELSE CAST(totp AS DOUBLE) / (totp + totn) END AS average_precision FROM cum GROUP BY split, totp, totn)",
 ]
 
 
@@ -253,7 +280,7 @@ def latency_percentiles() -> str:
     pct = pct_sql(req, ["Name"], "DurationMs",
                   {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95, "p99_latency_ms": 0.99})
     return (f"WITH req AS ({req}), t AS (SELECT Name, count(*) AS runs, "
-            "round(count(*) / (sum(DurationMs) / 1000.0), 6) AS throughput_rows_per_sec FROM req GROUP BY Name), "
+            f"count(*) / ({_exact_sum('DurationMs')} / CAST(1000.0 AS DOUBLE)) AS throughput_rows_per_sec FROM req GROUP BY Name), "
             f"p AS ({pct}) SELECT t.Name, runs, throughput_rows_per_sec, p50_latency_ms, p95_latency_ms, p99_latency_ms "
             "FROM t LEFT JOIN p ON t.Name = p.Name")
 

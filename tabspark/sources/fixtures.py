@@ -224,3 +224,15 @@ def derived_sql(name: str) -> str:
     src, exprs, where = _DERIVED[name]
     sel = ", ".join(e.replace("AS STRING)", "AS VARCHAR)") for e in exprs)
     return f"SELECT {sel} FROM {src}" + (f" WHERE {where}" if where else "")
+
+
+# A fixed ensemble for scoring: (tree, node, feature or none, threshold, left, right, value); tree -1 is the start.
+# Values are multiples of 1/1024, so sums are exact.
+FIXED_TREES = (
+    (-1, 0, None, 0.0, -1, -1, -0.25),
+    (0, 0, "WKHP", 84.5, 1, 2, 0.0), (0, 1, "SCHL", 12.0, 3, 4, 0.0), (0, 2, "STATE__CA", 0.5, 5, 6, 0.0),
+    (0, 3, None, 0.0, -1, -1, -1.375), (0, 4, None, 0.0, -1, -1, -0.125), (0, 5, None, 0.0, -1, -1, 0.5625), (0, 6, None, 0.0, -1, -1, 1.75),
+    (1, 0, "AGEP", 40.0, 1, 2, 0.0), (1, 1, None, 0.0, -1, -1, -0.4375), (1, 2, "YEAR", 2018.0, 3, 4, 0.0),
+    (1, 3, None, 0.0, -1, -1, 0.28125), (1, 4, None, 0.0, -1, -1, -0.09375),
+    (2, 0, None, 0.0, -1, -1, 0.0625),
+)

@@ -68,15 +68,13 @@ def test_metrics_long(spark):
     assert long["test_tp"] == 1.0 and "test_roc_auc" in long
 
 
-@pytest.mark.parametrize("small_group", [100_000, 10])   # sorting path / two-level path
-def test_exact_percentiles_vs_numpy_with_hot_group(spark, small_group):
+def test_exact_percentiles_vs_numpy_with_hot_group(spark):
     rng = np.random.default_rng(11)
     vals = [("hot", float(v)) for v in np.round(rng.exponential(50, 5000), 2)]
     vals += [("cold", float(v)) for v in np.round(rng.normal(10, 3, 37), 2)]
     vals += [("one", 4.25)]
     df = spark.createDataFrame(vals, "g string, v double")
-    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95, "p99": 0.99},
-                                                small_group=small_group).collect()}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95, "p99": 0.99}).collect()}
     for g in ("hot", "cold", "one"):
         arr = np.array([v for k, v in vals if k == g])
         for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
@@ -90,23 +88,20 @@ def test_latency_stats(spark):
     assert r["throughput_rows_per_sec"] == pytest.approx(512 * 100 / (5050 / 1000))
 
 
-@pytest.mark.parametrize("small_group", [100_000, 1])
-def test_fixed_point_fallbacks(spark, small_group):
+def test_fixed_point_fallbacks(spark):
     from tabspark.functions.quantiles import exact_mean, exact_sum
     df = spark.createDataFrame([("a", float("-inf")), ("a", 1.0), ("a", float("inf")), ("a", 2.0),
                                 ("b", 1e20), ("b", 1.0), ("c", 0.125), ("c", 0.25)], "g string, v double")
-    p = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p0": 0.0, "p50": 0.5, "p100": 1.0},
-                                              small_group=small_group).collect()}
+    p = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", {"p0": 0.0, "p50": 0.5, "p100": 1.0}).collect()}
     assert p["a"]["p0"] == float("-inf") and p["a"]["p50"] == 1.5 and p["a"]["p100"] == float("inf")
     assert p["b"]["p50"] == 5e19
     m = {r["g"]: r for r in df.groupBy("g").agg(exact_mean("v").alias("m"), exact_sum("v").alias("s")).collect()}
     assert m["b"]["s"] == 1e20 and m["c"]["m"] == 0.1875 and m["c"]["s"] == 0.375
 
 
-@pytest.mark.parametrize("small_group", [100_000, 1])
-def test_null_group_key_kept(spark, small_group):
+def test_null_group_key_kept(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
-    got = {r["g"]: r["p"] for r in exact_percentiles(df, ["g"], "v", {"p": 0.5}, small_group=small_group).collect()}
+    got = {r["g"]: r["p"] for r in exact_percentiles(df, ["g"], "v", {"p": 0.5}).collect()}
     assert got == {None: 2.0, "a": 5.0}
 
 
@@ -131,3 +126,37 @@ def test_pair_counts_beyond_64_bits(spark):
     from pyspark.sql import functions as F
     row = spark.range(1).select(ev._pairs(F.lit(3_000_000_000), F.lit(9_000_000_000)).alias("p")).first()
     assert int(row["p"]) == 27 * 10**18
+
+
+def test_average_precision_is_the_same_by_both_paths(spark):
+    rng = np.random.default_rng(17)
+    y = rng.integers(0, 2, 3000).tolist()
+    s = rng.random(3000).tolist()
+    df = _frame(spark, y, s).repartition(7)
+    small, large = (ev.rank_metrics(df, "y", "s", ["split"], small_group=n).first() for n in (100_000, 1))
+    assert small["average_precision"] == large["average_precision"] and small["roc_auc"] == large["roc_auc"]
+    assert small["average_precision"] == pytest.approx(_brute_ap(y, s), abs=1e-12)
+
+
+def test_percentiles_and_sums_from_one_read(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from tabspark.functions.quantiles import exact_mean, exact_sum
+    rng = np.random.default_rng(2)
+    rows = [("hot", float(v), int(k % 3)) for k, v in enumerate(np.round(rng.exponential(50, 3000), 2))]
+    rows += [("cold", 1.5, 1), ("cold", None, 5), ("none", None, 7), ("nan", float("nan"), 1), ("nan", 2.0, 1), (None, -4.0, 2)]
+    spark.createDataFrame(rows, "g string, v double, w int").repartition(3).write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t")
+    out = exact_percentiles(df, ["g"], "v", {"p95": 0.95}, sums={"w": F.col("w"), "n": F.lit(1)}, mean=("m", 2), total="t")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    got = {r["g"]: r for r in out.collect()}
+    want = {r["g"]: r for r in df.groupBy("g").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"), exact_mean("v", 2).alias("m"), exact_sum("v").alias("t")).collect()}
+    assert got.keys() == want.keys() == {"hot", "cold", "none", "nan", None}
+    for g, r in want.items():
+        for c in ("w", "n", "m", "t"):
+            assert got[g][c] == r[c] or (got[g][c] != got[g][c] and r[c] != r[c]), (g, c)
+    assert got["hot"]["p95"] == pytest.approx(float(np.percentile([v for g, v, _ in rows if g == "hot"], 95)), abs=1e-8)
+    assert got["none"]["p95"] is None and got["cold"]["p95"] == 1.5 and got[None]["p95"] == -4.0
+    final = out._jdf.queryExecution().executedPlan().toString()
+    final = final.split("== Initial Plan ==")[0]
+    assert "AdaptiveSparkPlan" in plan and final.count("FileScan") + final.count("Scan parquet") <= 1 + final.count("ReusedExchange")
