@@ -230,7 +230,9 @@ def near_words(vocabulary: DataFrame, shard: int = SHARD, members: int = MEMBERS
     mine = F.pmod(F.xxhash64("word"), own).cast("int")
     dealt = rows.join(blocks, "shard").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
     dealt = dealt.withColumns({"i": F.when(F.col("member"), F.col("mine")).otherwise(F.col("other")), "j": F.when(F.col("member"), F.col("other")).otherwise(F.col("mine"))})
-    found = dealt.select("shard", "i", "j", "member", "word", "n").groupBy("shard", "i", "j").applyInPandas(_compare, "word string, n_near long, best_n long, best string")
+    # dealt anew by block: rows that a join left dealt by shard would stay so, all blocks of a shard in one task
+    dealt = dealt.select("shard", "i", "j", "member", "word", "n").repartition("shard", "i", "j")
+    found = dealt.groupBy("shard", "i", "j").applyInPandas(_compare, "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("less"), F.col("best").alias("best")))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("top")).select("word", "n_near", (-F.col("top.less")).alias("best_n"), F.col("top.best").alias("best"))
 
