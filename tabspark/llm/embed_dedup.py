@@ -204,7 +204,8 @@ def groups(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label:
     degree = links.groupBy("key").agg(F.sum("linked").alias("linked"))
     done = classes.select("key", "rep", "copies").join(degree, "key", "left").join(of.select(F.col("a").alias("key"), F.col("b").alias("up")), "key", "left")
     done = written(done.select("key", "rep", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("up", "key").alias("root")), "linked")
-    least_id = done.groupBy("root").agg(F.min("rep").alias("component_id"))
+    # written, so that the join may split a large group's rows
+    least_id = written(done.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
     done = done.join(least_id, "root").select("key", "n_links", "component_id")
     linked = able.select("id", "key").join(done, "key").select("id", "n_links", "component_id")
     rest = rows.where("key is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
