@@ -47,7 +47,8 @@ from tabspark.session import scratch_path
 TOP = 10
 BLOCK_TERMS = 20_000  # terms of the items in a block, about
 PAIRED = 48  # shared terms of one item that are mined together
-CELLS = 8_000_000  # accumulators that a task holds
+CELLS = 4_000_000  # accumulators that a task holds
+SLICE = 1_000_000  # characters cut into terms at a time, about
 
 _IN_TERM = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") | frozenset(range(128, 256))
 _FOLD = bytes(b | 32 if 65 <= b <= 90 else b if b in _IN_TERM else 32 for b in range(256))
@@ -66,7 +67,7 @@ def counted(df: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for part in text_slices([t or "" for t in texts]):
+            for part in text_slices([t or "" for t in texts], SLICE):
                 found = [terms(t) for t in texts[part]]
                 ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
                 words = pa.array([w for c in found for w in c], pa.string())
