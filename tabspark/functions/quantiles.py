@@ -98,6 +98,20 @@ def value_bucket(v: Column) -> Column:
     )
 
 
+def bucket_end(code: Column) -> Column:
+    """Upper end of the range that a ``value_bucket`` code stands for (the value itself for zero, NaN and the
+    infinities; for negative values the end nearer to zero)."""
+    step = F.lit(1.0 / _RESOLUTION)
+    return (
+        F.when(code == 100_000_000, F.lit(float("nan")))
+        .when(code == 90_000_000, F.lit(float("inf")))
+        .when(code == -90_000_000, F.lit(float("-inf")))
+        .when(code == -10_000_000, F.lit(0.0))
+        .when(code < -10_000_000, -F.pow(F.lit(2.0), -(code + 20_000_000) * step))
+        .otherwise(F.pow(F.lit(2.0), (code + 1) * step))
+    )
+
+
 def percentile_expr(value: str | Column, p: float, method: str = "exact") -> Column:
     """Single-aggregate percentile for places where groups are provably small."""
     c = F.col(value) if isinstance(value, str) else value

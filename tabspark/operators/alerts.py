@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import count_where, lenient
-from tabspark.functions.quantiles import VALUE_DEC, exact_percentiles, exact_sum, percentile_expr
+from tabspark.functions.quantiles import (
+    VALUE_DEC,
+    bucket_end,
+    exact_percentiles,
+    exact_sum,
+    percentile_expr,
+    value_bucket,
+)
 
 TS = "TimeGenerated"
 
@@ -38,16 +45,35 @@ def request_failures(requests: DataFrame, window: str = WINDOW) -> DataFrame:
     return _shape(agg, RULES[0], "v", F.col("v") > 0)
 
 
+def histogram_p95(requests: DataFrame, window: str = WINDOW) -> DataFrame:
+    """T14 from a histogram: (window ``_w``, v). The first aggregate counts rows per window and value range
+    (``value_bucket``, 0.017 % wide), so the state of a window is bounded by the ranges its values span,
+    however many rows it has, and counts of different tasks and batches add up. The second one reads the
+    range that holds the 95th percentile's rank, ceil(0.95 n), and gives its upper end, rounded to 6 places."""
+    bucket = value_bucket(F.col("DurationMs").cast("double"))
+    counts = requests.where(F.col("DurationMs").isNotNull()).groupBy(_win(TS, window), bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+    ranges = counts.groupBy(F.window("_w", window).alias("_w")).agg(F.sort_array(F.collect_list(F.struct("_b", "_c"))).alias("_h"), F.sum("_c").alias("_n"))
+    rank = F.ceil(F.col("_n") * F.lit(0.95).cast("decimal(3,2)")).cast("long")
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("b"))
+    found = F.aggregate("_h", start, lambda a, x: F.struct(
+        (a["seen"] + x["_c"]).alias("seen"), F.coalesce(a["b"], F.when(a["seen"] + x["_c"] >= rank, x["_b"])).alias("b")))
+    return ranges.select("_w", F.round(bucket_end(found["b"]), 6).alias("v"))
+
+
 def slow_requests(requests: DataFrame, window: str = WINDOW, streaming: bool = False,
-                  exact: bool = True) -> DataFrame:
+                  exact: bool = True, histogram: bool = False) -> DataFrame:
     """p95 latency per window; fires when above 200 ms.
 
     On a stream the p95 is one aggregate per window (streams allow no joins
     after aggregation). ``exact=True`` keeps the window's values in state and
     rounds to the batch path's fixed point (equal results); ``exact=False``
     keeps a bounded ``percentile_approx`` sketch instead, for very hot windows.
+    ``histogram=True`` (append mode only: it aggregates twice) keeps a bounded
+    histogram, whose result does not depend on the order of rows.
     """
-    if streaming:
+    if histogram:
+        agg = histogram_p95(requests, window)
+    elif streaming:
         p = percentile_expr("DurationMs", 0.95)
         # NaN and values beyond the fixed point stay as they are, as in the batch path
         p95 = (F.coalesce(p.try_cast(VALUE_DEC).cast("double"), p) if exact

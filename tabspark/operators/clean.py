@@ -9,6 +9,8 @@ extras included, then the output is projected and cast (C10).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -95,11 +97,11 @@ def _removal_aggregates(contract: DataContract) -> list[Column]:
     return aggs + [F.count(F.when(reason == x, 1)).alias(x) for x in waterfall_reasons(contract)[:-2]]
 
 
-def removal_counts(df: DataFrame, contract: DataContract) -> DataFrame:
-    """One row: input rows, passing rows and rows per removal reason. A map-side
+def removal_counts(df: DataFrame, contract: DataContract, by: Sequence[str] = ()) -> DataFrame:
+    """Per group of ``by`` (without: one row): input rows, passing rows and rows per removal reason. A map-side
     aggregate of its own, so a stage that runs twice cannot count twice, as an
     observation below the distinct's shuffle could."""
-    return normalize(df, contract).withColumn("_reason", removal_reason(contract)).agg(*_removal_aggregates(contract))
+    return normalize(df, contract).withColumn("_reason", removal_reason(contract)).groupBy(*by).agg(*_removal_aggregates(contract))
 
 
 def clean_observed(df: DataFrame, contract: DataContract) -> tuple[DataFrame, Observation, Observation]:
@@ -123,8 +125,8 @@ def transform_metrics(contract: DataContract, before: Observation, after: Observ
     return metrics_of(contract, before.get, int(after.get["output_rows"]))
 
 
-def metrics_of(contract: DataContract, b: dict, output_rows: int) -> dict:
-    """TransformMetrics from the row of ``removal_counts`` and the rows written."""
+def metrics_of(contract: DataContract, b: dict, output_rows: int, warnings: Sequence[str] = ()) -> dict:
+    """TransformMetrics from the row of ``removal_counts``, the rows written and the validation's warnings."""
     m = {
         "input_rows": int(b["input_rows"]),
         "output_rows": output_rows,
@@ -135,4 +137,5 @@ def metrics_of(contract: DataContract, b: dict, output_rows: int) -> dict:
     for rule in contract.ranges:
         m[f"{rule.reason}_rows_removed"] = int(b[rule.reason])
     m["rows_removed"] = m["input_rows"] - m["output_rows"]
+    m["warnings"] = list(warnings)
     return m

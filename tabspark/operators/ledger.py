@@ -9,6 +9,7 @@ map-side partial aggregation, so a hot input costs one row per map task).
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,10 +43,16 @@ def run_record(spark: SparkSession, raw_blob_name: str, phase: str, status: str,
                started_at: datetime | None = None, finished_at: datetime | None = None,
                payload: dict | None = None) -> DataFrame:
     """L4: one ledger row; duration from start/finish, payload as JSON text."""
-    dur = (finished_at - started_at).total_seconds() if started_at and finished_at else None
-    row = (raw_blob_name, phase, status, run_id, utc_now(), started_at, finished_at, dur,
-           json.dumps(payload or {}, default=str, sort_keys=True))
-    return spark.createDataFrame([row], RUN_SCHEMA)
+    return run_records(spark, [(raw_blob_name, phase, status, run_id, started_at, finished_at, payload)])
+
+
+def run_records(spark: SparkSession, runs: Sequence[tuple]) -> DataFrame:
+    """L4 for several runs at once: (raw_blob_name, phase, status, run_id, started_at, finished_at, payload)."""
+    rows = []
+    for name, phase, status, run_id, started, finished, payload in runs:
+        dur = (finished - started).total_seconds() if started and finished else None
+        rows.append((name, phase, status, run_id, utc_now(), started, finished, dur, json.dumps(payload or {}, default=str, sort_keys=True)))
+    return spark.createDataFrame(rows, RUN_SCHEMA)
 
 
 def append_runs(records: DataFrame, path: str) -> None:

@@ -38,7 +38,7 @@ def run_cleaning(spark: SparkSession, raw_root: str, raw_name: str, clean_root:
     clean_key = sio.clean_blob_name_of(key)
     path = f"{clean_root.rstrip('/')}/{clean_key}"
     sio.write_clean(cl.clean(raw, contract), path)
-    metrics = cl.metrics_of(contract, cl.removal_counts(raw, contract).first().asDict(), spark.read.parquet(path).count())
+    metrics = cl.metrics_of(contract, cl.removal_counts(raw, contract).first().asDict(), spark.read.parquet(path).count(), report.warnings)
     finished = le.utc_now()
     payload = {"raw_blob_name": key, "clean_blob_name": clean_key,
                "validation_report": {**asdict(report), "duplicate_rate": report.duplicate_rate,

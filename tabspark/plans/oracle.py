@@ -443,6 +443,32 @@ def alerts_15m() -> str:
             "WHERE CASE WHEN alert = 'app_slow_requests' THEN value > 200 ELSE value > 0 END")
 
 
+def alerts_append() -> str:
+    """Per rule: rows are dropped whose window had ended by the watermark that the micro-batch before theirs
+    ran with, so that of the slices before that one; windows that the last watermark has passed are written.
+    Watermarks are whole milliseconds."""
+    w = _bin("15 minutes")
+    log2 = "CAST(floor(log2(DurationMs) * 4096) AS BIGINT)"
+    parts = []
+    for rule, view, where, value in (
+            ("app_request_failures", "requests", "true", "CAST(count(*) FILTER (WHERE Success = false) AS DOUBLE)"),
+            ("app_slow_requests", "requests", "true", "round(pow(2.0, (quantile_disc(b, 0.95) + 1) / 4096.0), 6)"),
+            ("app_exceptions", "exceptions", "true", "CAST(count(*) AS DOUBLE)"),
+            ("app_validation_failures", "metrics", "Name = 'validation_failures'", _exact_sum("TRY_CAST(Value AS DOUBLE)"))):
+        bucket = f"{log2} AS b" if view == "requests" else "0 AS b"
+        limit = "200" if rule == "app_slow_requests" else "0"
+        parts.append(
+            f"SELECT alert, window_start, value FROM (WITH v AS (SELECT *, {w} AS window_start, {bucket} FROM ({fx.telemetry_sql(view)}) WHERE {where}), "
+            f"r AS (SELECT v.*, s.slice FROM v JOIN slices s USING (event_id)), "
+            "m AS (SELECT i AS slice, date_trunc('millisecond', max(TimeGenerated)) - INTERVAL 15 MINUTE AS mark FROM r, range(3) t(i) WHERE r.slice <= i GROUP BY i), "
+            "kept AS (SELECT r.* FROM r LEFT JOIN m ON m.slice = r.slice - 2 WHERE m.mark IS NULL OR r.window_start + INTERVAL 15 MINUTE > m.mark) "
+            f"SELECT '{rule}' AS alert, window_start, {value} AS value FROM kept "
+            "WHERE window_start + INTERVAL 15 MINUTE <= (SELECT max(mark) FROM m) GROUP BY window_start) "
+            f"WHERE value > {limit}")
+    return (f"WITH slices AS (SELECT event_id, {fx.ARRIVAL_SLICE.replace('AS INT)', 'AS INTEGER)')} AS slice FROM events) "
+            "SELECT alert, window_start, value, true AS fired FROM (" + " UNION ALL ".join(parts) + ")")
+
+
 def trace_search() -> str:
     return (f"SELECT TimeGenerated, Message FROM ({_recent('traces')}) "
             "WHERE contains(lower(Message), 'blob trigger') OR contains(lower(Message), 'aca job') "
@@ -563,7 +589,8 @@ def vector_check() -> str:
 
 
 def ingest_stream() -> str:
-    """Per landing file (k % 3): contract gate in fatal order, then the clean count."""
+    """Per landing file (k modulo their number): contract gate in fatal order, then the clean count."""
+    file = "k % files"
     nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n_{c}" for c in C.required)
     code = f"upper(regexp_replace(CAST({C.code_column} AS VARCHAR), '^\\s+|\\s+$', '', 'g'))"
     fatal = " OR ".join(f"CAST(n_{c} AS DOUBLE) / n > {_dbl(C.max_null_rate[c])}" for c in C.required)
@@ -573,11 +600,11 @@ def ingest_stream() -> str:
         "CASE WHEN v.bad THEN NULL ELSE c.output_rows END AS output_rows FROM "
         f"(SELECT f, ({fatal}) OR CAST(n - d AS DOUBLE) / n > {_dbl(C.max_duplicate_rate)} "
         f"OR CAST(bad_code AS DOUBLE) / n > {_dbl(C.max_invalid_code_rate)} AS bad FROM "
-        f"(SELECT k % 3 AS f, count(*) AS n, {nulls}, "
-        f"count(*) FILTER (WHERE NOT regexp_matches({code}, '{C.code_pattern}')) AS bad_code FROM raw GROUP BY k % 3) a "
-        f"JOIN (SELECT k % 3 AS f2, count(*) AS d FROM (SELECT DISTINCT * FROM raw) GROUP BY k % 3) b ON a.f = b.f2) v "
-        f"JOIN (SELECT k % 3 AS f, count(*) AS output_rows FROM (SELECT DISTINCT {cols} FROM tag WHERE reason IS NULL) "
-        "GROUP BY k % 3) c ON v.f = c.f")
+        f"(SELECT {file} AS f, count(*) AS n, {nulls}, "
+        f"count(*) FILTER (WHERE NOT regexp_matches({code}, '{C.code_pattern}')) AS bad_code FROM raw, nf GROUP BY {file}) a "
+        f"JOIN (SELECT {file} AS f2, count(*) AS d FROM (SELECT DISTINCT * FROM raw), nf GROUP BY {file}) b ON a.f = b.f2) v "
+        f"JOIN (SELECT {file} AS f, count(*) AS output_rows FROM (SELECT DISTINCT {cols} FROM tag WHERE reason IS NULL), nf "
+        f"GROUP BY {file}) c ON v.f = c.f", ["nf AS (SELECT 24 + count(*) // 1000000 AS files FROM orders)"])
 
 
 def validation_report() -> str:

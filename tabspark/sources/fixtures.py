@@ -119,6 +119,18 @@ def telemetry(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ev.selectExpr(*exprs)
 
 
+def view_of(events: DataFrame, name: str) -> DataFrame:
+    """A telemetry view over an events table or stream."""
+    exprs, where = _VIEWS[name]
+    return (events.where(where) if where else events).selectExpr(*exprs)
+
+
+# How events arrive in the append-mode stream: by ten days of their time, every 37th two slices later.
+ARRIVAL_SLICES = 3
+_OWN_SLICE = "least(2, greatest(0, CAST(floor((dayofyear(ts) - 1) / 10) AS INT)))"
+ARRIVAL_SLICE = f"least(2, {_OWN_SLICE} + CASE WHEN event_id % 37 = 0 THEN 2 ELSE 0 END)"
+
+
 def telemetry_sql(name: str) -> str:
     exprs, where = _VIEWS[name]
     sel = ", ".join(e.replace("AS STRING)", "AS VARCHAR)") for e in exprs)

@@ -42,25 +42,43 @@ def write_clean(df: DataFrame, path: str, output_rows: int | None = None,
         raise EmptyInputError("Refusing to write an empty clean frame")
     spark = df.sparkSession
     parent, _, name = path.rstrip("/").rpartition("/")
-    staged, earlier = (f"{parent}/_{kind}-{uuid.uuid4().hex}-{name}" for kind in ("staged", "earlier"))
+    staged = f"{parent}/_staged-{uuid.uuid4().hex}-{name}"
     w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staged)
-    to_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     if spark.read.schema(df.schema).parquet(staged).isEmpty():
-        fs.delete(to_path(staged), True)
+        _delete(spark, staged)
         raise EmptyInputError("Refusing to write an empty clean frame")
-    replaced = fs.exists(to_path(path))
-    if replaced and not fs.rename(to_path(path), to_path(earlier)):
+    swap_in(spark, staged, path)
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
+def swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the written folder ``staged`` in the place of the table ``path``, by renames."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    fs, target = _fs(spark, path)
+    _, source = _fs(spark, staged)
+    _, earlier = _fs(spark, f"{parent}/_earlier-{uuid.uuid4().hex}-{name}")
+    fs.mkdirs(target.getParent())
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, earlier):
         raise OSError(f"could not set the earlier table {path} aside")
-    if not fs.rename(to_path(staged), to_path(path)):
+    if not fs.rename(source, target):
         if replaced:
-            fs.rename(to_path(earlier), to_path(path))
+            fs.rename(earlier, target)
         raise OSError(f"could not move the new table to {path}")
     if replaced:
-        fs.delete(to_path(earlier), True)
+        fs.delete(earlier, True)
 
 
 def write_batch(df: DataFrame, folder: str, n: int, order_by: list[str],

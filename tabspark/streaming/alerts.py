@@ -7,7 +7,7 @@ windows in append mode once the watermark passes the window end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,15 +21,19 @@ def with_event_time(df: DataFrame, delay: str) -> DataFrame:
 
 
 def rule_streams(requests: DataFrame, exceptions: DataFrame, metrics: DataFrame,
-                 delay: str = "15 minutes", window: str = al.WINDOW, exact_p95: bool = True) -> dict[str, DataFrame]:
+                 delay: str = "15 minutes", window: str = al.WINDOW, exact_p95: bool = True,
+                 histogram: bool = False) -> dict[str, DataFrame]:
     """One streaming DataFrame per rule (alert, window_start, value, fired).
 
-    ``exact_p95=False`` bounds the p95 rule's state with a sketch.
+    ``exact_p95=False`` bounds the p95 rule's state with a sketch, ``histogram=True`` (append mode only) with
+    a histogram. Each rule has the watermark of its own rows: the newest of them in earlier micro-batches less
+    ``delay``. A window is written, and leaves the state, once the watermark has passed its end; a row is
+    dropped if its window had ended by the watermark that the micro-batch before ran with.
     """
     r = with_event_time(requests, delay)
     streams = {
         al.RULES[0]: al.request_failures(r, window),
-        al.RULES[1]: al.slow_requests(r, window, streaming=True, exact=exact_p95),
+        al.RULES[1]: al.slow_requests(r, window, streaming=True, exact=exact_p95, histogram=histogram),
         al.RULES[2]: al.exceptions(with_event_time(exceptions, delay), window),
         al.RULES[3]: al.validation_failures(with_event_time(metrics, delay), window),
     }
@@ -53,3 +57,11 @@ def start_alerts(streams: dict[str, DataFrame], sink_root: str, checkpoint_root:
         else:
             queries.append(w.format("memory").queryName(f"{name_prefix}{rule}").start())
     return queries
+
+
+ALERT_SCHEMA = "alert string, window_start timestamp_ntz, value double, fired boolean"
+
+
+def read_alerts(spark: SparkSession, sink_root: str, rule: str) -> DataFrame:
+    """What the append-mode stream of a rule has written; the sink's own log says which files count."""
+    return spark.read.schema(ALERT_SCHEMA).parquet(f"{sink_root.rstrip('/')}/{rule}")

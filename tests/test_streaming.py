@@ -121,3 +121,49 @@ def test_ingest_records_a_file_without_clean_rows_as_failed(spark, tmp_dir):
                  log=log).awaitTermination()
     assert [(r["status"], r["message"]) for r in log] == [("FAILED", "Refusing to write an empty clean frame")]
     assert le.read_runs(spark, f"{tmp_dir}/ledger").where("status = 'COMPLETED'").count() == 0
+
+
+def test_one_and_many_files_a_batch_give_the_same_tables_and_ledger(spark, tmp_dir):
+    raw = fx.acs_raw(spark, SF0001).where("AGEP IS NOT NULL AND COW IS NOT NULL AND k % 211 <> 0")
+    bad = raw.limit(40).withColumn("STATE", F.lit("??"))
+    gone = raw.limit(30).withColumn("AGEP", F.lit(500.0))
+    folder, made = f"{tmp_dir}/raw", {}
+    raw.withColumn("p", F.col("k") % 5).repartitionByRange(5, "p").write.partitionBy("p").parquet(f"{folder}/good")
+    bad.coalesce(1).write.parquet(f"{folder}/bad")
+    gone.coalesce(1).write.parquet(f"{folder}/gone")
+    for n in (1, 50):
+        root, log = f"{tmp_dir}/{n}", []
+        q = start_ingest(spark, folder, raw.schema, f"{root}/clean", f"{root}/ledger", f"{root}/ck", log=log, files_per_trigger=n)
+        q.awaitTermination()
+        assert len([p for p in q.recentProgress if p["numInputRows"]]) == (7 if n == 1 else 1)
+        runs = le.read_runs(spark, f"{root}/ledger").select("raw_blob_name", "status", "payload").collect()
+        tables = {r["raw_blob_name"]: sorted(map(str, spark.read.parquet(f"{root}/clean/" + r["raw_blob_name"].replace("raw/", "clean/", 1)).collect()))
+                  for r in runs if r["status"] == "COMPLETED"}
+        made[n] = (sorted(map(tuple, runs)), tables)
+        assert sorted(r["status"] for r in log) == ["COMPLETED"] * 5 + ["FAILED"] * 2
+        again = []   # all offered once more: the good ones are skipped, the others fail again
+        start_ingest(spark, folder, raw.schema, f"{root}/clean", f"{root}/ledger", f"{root}/ck2", log=again, files_per_trigger=n).awaitTermination()
+        assert sorted(r["status"] for r in again) == ["FAILED"] * 2 + ["SKIPPED"] * 5
+    assert made[1] == made[50] and len(made[1][1]) == 5
+
+
+def test_histogram_p95_and_late_rows_in_append_mode(spark, tmp_dir):
+    import math
+    from datetime import datetime, timedelta
+    t0 = datetime(2024, 1, 1)
+    schema = "TimeGenerated timestamp_ntz, DurationMs double, Success boolean"
+    slices = [[(m, 10.0 + m) for m in range(60)], [(61, 300.0), (62, 250.0), (61, 0.0), (200, 1.0)], [(5, 9e9), (400, 1.0)]]
+    for rows in slices:
+        spark.createDataFrame([(t0 + timedelta(minutes=m), v, True) for m, v in rows], schema).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/in")
+    req = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in")
+    stream = al.slow_requests(sa.with_event_time(req, "15 minutes"), streaming=True, histogram=True)
+    q = stream.writeStream.outputMode("append").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).format("parquet").option("path", f"{tmp_dir}/out").start()
+    q.awaitTermination()
+    got = {int((r["window_start"] - t0).total_seconds() // 60): r for r in spark.read.parquet(f"{tmp_dir}/out").withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).collect()}
+    assert sorted(got) == [0, 15, 30, 45, 60, 195]   # the window of minute 390 is still open
+
+    def upper(v):
+        return round(2 ** ((math.floor(math.log2(v) * 4096) + 1) / 4096), 6)
+
+    assert got[0]["value"] == upper(10.0 + 14) and got[45]["value"] == upper(10.0 + 59)   # the late 9e9 is not in them
+    assert got[60]["value"] == upper(300.0) and got[60]["fired"] and not got[0]["fired"]
