@@ -12,7 +12,9 @@ share it: copies of an article are no boilerplate.
 
 Copies are pages of a host without content by markup whose open blocks agree in ALIKE percent of their
 tokens or more, and what such pages link: BANDS weighted MinHash bands of ROWS propose them, the full block
-sets decide (two pages at 80% share no band with probability 5e-6). What only copies share stays.
+sets decide: first against the least page of the band, then, in what that leaves apart, each with each (two
+pages at 80% share no band with probability 5e-6, and pages that share one are compared or joined already).
+What only copies share stays.
 
 A host over SHARD tokens is dealt by page into shards with a suffix array each; windows that shards have
 in common are found by joining their distinct window hashes, so that a shard's cover is that of the host.
@@ -36,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.llm.common import mix64, written
+from tabspark.llm.near_dedup import _across as across
+from tabspark.llm.near_dedup import _verified as verified
 from tabspark.llm.near_dedup import components
 
 LENGTH, SHARD, BROADCAST_HOSTS = 8, 2_000_000, 10_000
@@ -224,7 +228,7 @@ def _streams(pages: DataFrame) -> DataFrame:
                              np.array(list(bodies), np.int64), np.array(list(bodies.values()), np.int32)))
             yield pd.DataFrame(rows, columns=["host", "page", "tokens", "blocks", "open", "has_content", "n", "bodies", "sizes"])
 
-    return pages.mapInPandas(run, "host string, page long, tokens array<long>, blocks array<int>, open array<int>, has_content boolean, n long, bodies array<long>, sizes array<int>")
+    return pages.mapInPandas(run, "host string, page string, tokens array<long>, blocks array<int>, open array<int>, has_content boolean, n long, bodies array<long>, sizes array<int>")
 
 
 def bands(bodies: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -246,14 +250,24 @@ def _copies(streams: DataFrame) -> DataFrame:
             found = [bands(np.asarray(b, np.int64), np.asarray(n, np.float64)) for b, n in zip(batch["bodies"], batch["sizes"], strict=True)]
             yield pd.DataFrame({"host": np.repeat(batch["host"].to_numpy(object), BANDS), "page": np.repeat(batch["page"].to_numpy(), BANDS), "band": np.concatenate(found) if found else []})
 
-    rows = written(own.mapInPandas(run, "host string, page long, band long"), "bands")
-    lead = rows.groupBy("host", "band").agg(F.min("page").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = rows.join(lead, ["host", "band"]).where("page <> b").select(F.col("page").alias("a"), "b").distinct()
-    side = lambda x: own.select(F.col("page").alias(x), F.col("bodies").alias(f"{x}_bodies"), F.col("sizes").alias(f"{x}_sizes"))
-    total = lambda n: f"aggregate({n}, 0L, (t, n) -> t + n)"
-    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("common", F.expr("aggregate(zip_with(a_bodies, a_sizes, (x, n) -> if(array_contains(b_bodies, x), n, 0)), 0L, (t, n) -> t + n)"))
-    links = both.where(F.expr(f"100 * common >= {ALIKE} * ({total('a_sizes')} + {total('b_sizes')} - common)")).select("a", "b")
-    return components(written(links, "links")).select(F.col("a").alias("page"), F.col("b").alias("copies"))
+    rows = written(own.mapInPandas(run, "host string, page string, band long"), "bands")
+    rows = rows.select(F.xxhash64("host", "band").alias("band"), "page")
+    shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    # a block of n tokens as n elements of a set, so that the share of common elements is that of tokens
+    tokens = F.expr("flatten(zip_with(bodies, sizes, (x, n) -> transform(sequence(1, n), i -> xxhash64(x, i))))")
+    rows = rows.join(shared, "band", "left_semi").distinct()
+    sets = own.join(rows.select("page").distinct(), "page", "left_semi").select(F.col("page").alias("id"), F.array_distinct(tokens).alias("shingles"))
+    sets = written(sets.dropDuplicates(["id"]), "sets")
+    members = written(rows.join(sets.select(F.col("id").alias("page"), F.size("shingles").alias("n")), "page").select("band", F.col("page").alias("rep"), "n"), "members")
+    lead = members.groupBy("band").agg(F.min("rep").alias("b"))
+    pairs = members.join(lead, "band").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    of = written(components(written(verified(pairs, sets, ALIKE), "links")), "copies")
+    # what the least page of a band leaves apart is compared with each other, in blocks
+    now = members.join(of.select(F.col("a").alias("rep"), F.col("b").alias("up")), "rep", "left").select("band", "rep", "n", F.coalesce("up", "rep").alias("comp"))
+    more = written(across(now, sets, ALIKE), "links")
+    if not more.isEmpty():
+        of = components(of.union(more))
+    return of.select(F.col("a").alias("page"), F.col("b").alias("copies"))
 
 
 def _dropped(streams: DataFrame) -> DataFrame:
@@ -269,7 +283,7 @@ def _dropped(streams: DataFrame) -> DataFrame:
             n = [len(w) for w in own]
             yield pd.DataFrame({"host": np.repeat(batch["host"].to_numpy(object), n), "shard": np.repeat(batch["shard"].to_numpy(), n), "copies": np.repeat(batch["copies"].to_numpy(), n), "window": np.concatenate(own) if own else []})
 
-    seen = dealt.where("shards is not null").select("host", "shard", "copies", "tokens").mapInPandas(distinct, "host string, shard int, copies long, window long")
+    seen = dealt.where("shards is not null").select("host", "shard", "copies", "tokens").mapInPandas(distinct, "host string, shard int, copies string, window long")
     seen = seen.groupBy("host", "shard", "window").agg(F.min("copies").alias("lo"), F.max("copies").alias("hi"))
     common = seen.groupBy("host", "window").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("host", "window")
     shared = seen.select("host", "shard", "window").join(common, ["host", "window"], "left_semi")
@@ -289,12 +303,12 @@ def _dropped(streams: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["page", "gone"])
 
     keys = ("host", "shard")
-    return dealt.select(*keys, "page", "copies", "tokens", "blocks", "open", "has_content").groupBy(*keys).cogroup(shared.groupBy(*keys)).applyInPandas(cover, "page long, gone array<int>")
+    return dealt.select(*keys, "page", "copies", "tokens", "blocks", "open", "has_content").groupBy(*keys).cogroup(shared.groupBy(*keys)).applyInPandas(cover, "page string, gone array<int>")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: key, url, text (blocks joined by a line break), n_chars (its code points)."""
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn("page", F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))))
+    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn("page", F.md5(F.concat(F.coalesce("url", F.lit("")), F.lit("\0"), F.coalesce("html", F.lit("")))))
     gone = written(_dropped(written(_streams(rows.select("page", "url", "html")), "streams")), "boilerplate")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,7 +6,8 @@ are the means over all its positions; its score is the best language's share. Wo
 so equal words of a text are labelled once and weigh as often as they occur; whole texts count.
 
 Trained in numpy by backpropagation through time (Adam) on words of a bounded sample of documents:
-``per_language`` documents of each language in the order of a hash of their id, ``words_per_language`` words.
+``per_language`` documents of each language in the order of a hash of their id, ``words_per_language`` words
+of each, ``words_in_all`` words over all languages.
 
 Defined results: null text, empty text or text without a letter: ``und`` with score 0; without any
 language to learn from, also every other text; ties go to the first language by name; repeated rows are
@@ -22,10 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PER_LANGUAGE, WORDS, HIDDEN, EMBED = 1500, 20_000, 12, 8
+from tabspark.llm.common import written
+
+PER_LANGUAGE, WORDS, WORDS_IN_ALL, HIDDEN, EMBED = 1500, 20_000, 2_000_000, 12, 8
 _WORD = re.compile(r"[^\W\d_]+")
 _PIECE = 40  # bytes of a word that are read at once; a longer word is read in such pieces, all of them
 
@@ -195,28 +198,30 @@ class Predictor:
 
 
 def train(df: DataFrame, use: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE,
-          words_per_language: int = WORDS) -> Network:
-    """The network trained on rows where ``use`` holds. The number of languages is taken to be small (their
-    names and at most per_language ids each reach the driver, and 2 * words_per_language words each)."""
+          words_per_language: int = WORDS, words_in_all: int = WORDS_IN_ALL) -> Network:
+    """The network trained on rows where ``use`` holds: of each language the ``per_language`` documents whose id
+    has the least hash, and of each of these its share of twice ``words_per_language`` words, drawn by hash: a
+    language with few documents gives more words of each. All languages together give ``words_in_all`` words
+    at most, so what reaches the driver is bounded however many languages there are."""
     known = df.where(use).select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null and id is not null")
-    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    ids = known.select("id", "lang").withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
+    ids = written(ids.groupBy("lang", "id").agg(F.min("place").alias("place")), "sample")
+    languages = sorted(r["lang"] for r in ids.where("place = 1").select("lang").distinct().limit(words_in_all).collect())
     if not languages:
         return Network([])
-    ids = None
-    for name in languages:
-        own = known.where(F.col("lang") == name).select("id", "lang").orderBy(F.xxhash64("id"), "id").limit(per_language)
-        ids = own if ids is None else ids.union(own)
-    each = max(1, 2 * words_per_language // per_language)
+    words_per_language = max(1, min(words_per_language, words_in_all // (2 * len(languages))))
+    share = ids.groupBy("lang").agg(F.ceil(F.lit(2 * words_per_language) / F.count("*")).cast("int").alias("each"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             words = []
-            for i, t in zip(batch["id"], batch["text"], strict=True):
+            for i, t, each in zip(batch["id"], batch["text"], batch["each"], strict=True):
                 own = pieces(t)
                 words.append([own[j] for j in np.random.default_rng(zlib.crc32(str(i).encode())).permutation(len(own))[:each]])
             yield pd.DataFrame({"lang": batch["lang"], "words": words})
 
-    chosen = known.join(F.broadcast(ids.distinct()), ["id", "lang"]).select("id", "lang", "text")
+    chosen = known.join(ids.join(share, "lang").select("id", "lang", "each"), ["id", "lang"]).select("id", "lang", "text", "each")
     found = chosen.mapInPandas(run, "lang string, words array<string>").toPandas()
     r, words, labels = np.random.default_rng(0), [], []
     for k, name in enumerate(languages):

@@ -6,8 +6,8 @@ less than ``min_share`` is rejected, and so is one that fails the base rules (un
 of its words inside three-word windows that the text repeats).
 
 The field is trained by maximum likelihood (forward-backward, Adam) on a bounded sample of labelled
-documents, ``per_class`` of either quality in the order of a hash of their id: lines take the label of
-their document. Without both classes every line counts as content.
+documents, ``per_class`` of either quality in the order of a hash of their id and ``segments`` segments of 64
+lines of these, by hash: lines take the label of their document. Without both classes every line counts as content.
 
 Defined results: null or empty text has no words and fails the base rules; repeated rows are judged
 alike; equal path scores are decided for content; an empty table gives an empty one. ``assess`` reads key
@@ -17,18 +17,19 @@ and text only; ``keep`` passes all columns of its input through.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CAPITALS, _DIGIT = re.compile("[A-ZÀ-ÖØ-Þ]{2,}"), re.compile(r"\d")
 SYMBOLS = "#*$%&|<>"
-MIN_WORDS, MAX_REPEAT, MIN_SHARE, PER_CLASS = 50, 50, 0.5, 4000
+MIN_WORDS, MAX_REPEAT, MIN_SHARE, PER_CLASS, SEGMENTS = 50, 50, 0.5, 4000, 40_000
 FEATURES = ("always", "blank", "words 1-2", "words 3-9", "words 10+", "mostly capitals", "symbols", "many symbols", "digits",
             "shouts", "same word again", "few distinct words", "earlier line", "sentence end", "long words", "short words")
 _SEGMENT = 64  # lines of a training sequence; longer documents give several
@@ -193,9 +194,10 @@ class Field:
         return out[::-1]
 
 
-def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Field:
+def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, segments: int = SEGMENTS) -> Field:
     """The field trained on at most ``per_class`` documents of each quality (0 or 1), those whose id has the
-    least hash. Ids of the sample are broadcast: 2 * per_class rows at most."""
+    least hash, and of their segments of 64 lines on at most ``segments`` a class, by hash. Ids of the sample
+    are broadcast: 2 * per_class rows at most; 2 * segments segments at most reach the driver."""
     order = F.xxhash64("doc_id")
     known = labels.where("doc_id is not null and quality in (0, 1)").select("doc_id", "quality")
     chosen = [known.where(F.col("quality") == q).orderBy(order, "doc_id").limit(per_class) for q in (0, 1)]
@@ -204,9 +206,15 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"quality": batch["quality"], "bits": [measure(t)[0] for t in batch["text"]]})
-
-    found = rows.select("quality", "text").mapInPandas(run, "quality int, bits array<int>").toPandas()
+            out = []
+            for i, quality, text in zip(batch["id"], batch["quality"], batch["text"], strict=True):
+                bits = measure(text)[0]
+                out += [(quality, zlib.crc32(f"{i}:{k}".encode()), bits[k : k + _SEGMENT]) for k in range(0, len(bits), _SEGMENT)]
+            yield pd.DataFrame(out, columns=["quality", "place", "bits"])
+
+    cut = rows.select(F.col("doc_id").cast("string").alias("id"), "quality", "text").mapInPandas(run, "quality int, place long, bits array<int>")
+    of = Window.partitionBy("quality").orderBy("place", "bits")
+    found = cut.withColumn("rank", F.row_number().over(of)).where(F.col("rank") <= segments).select("quality", "bits").toPandas()
     pairs = sorted((list(map(int, b)), 1 - int(q)) for b, q in zip(found["bits"], found["quality"], strict=True))
     return Field().fit(pairs)
 

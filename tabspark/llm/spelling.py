@@ -34,7 +34,7 @@ from tabspark.llm.common import written
 
 GROUPS = 11
 LETTERS, OCCURRENCES, TIMES = 6, 5, 5  # least letters and occurrences of a word, how much more often a form occurs
-SHARD, MEMBERS, QUESTIONS = 40_000, 40_000, 150_000
+SHARD, MEMBERS, QUESTIONS = 40_000, 15_000, 40_000
 CHUNK, WIDTH = 50_000, 40  # pairs compared at a time, longest word compared in a matrix
 
 

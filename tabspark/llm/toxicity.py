@@ -2,7 +2,8 @@
 
 A token with digits or symbols among its letters, long repetitions, or letters spaced out one by one is a
 lattice: each place offers its possible letters (leetspeak, a letter, nothing for separators and repeated
-letters) with channel probabilities. Viterbi decoding under a character language model (four-grams of
+letters) with channel probabilities; a star may be any letter in a token with at most STARS of them, which
+bounds the lattice, and separates in others. Viterbi decoding under a character language model (four-grams of
 a-z, one class for all other letters, and word ends) picks the reading. Spaced letters are one lattice
 with their separators, each of which is nothing or a word end, so that a run may hold several words. The
 model counts the words of the whole corpus. Plain words have one reading, themselves.
@@ -36,6 +37,7 @@ START = (27 * SYMBOLS + 27) * SYMBOLS + 27
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 SEPARATORS = "._-*`"
+STARS = 5  # stars of a token that may each be a letter; in a token with more, stars only separate
 KEEP, DROP, READ, WILD = np.log(0.6), np.log(0.4), np.log(0.5), np.log(0.4 / 26)
 _TOKEN = re.compile(r"[^\s,;:/\"'()\[\]{}<>#%&=?~^]+")
 _SPACED = re.compile(r"(?<!\S)(?:[^\s.,*_-](?:[ .*_-]{1,2})){2,}[^\s.,*_-](?![^\s.,;:!?])")
@@ -73,14 +75,14 @@ class CharModel:
     def decode(self, token: str) -> str:
         """The likeliest reading of a token's lattice. A space is nothing or a word end."""
         paths: dict = {START: (0.0, None)}
-        before = ""
+        before, wild = "", token.count("*") <= STARS
         for c in token:
             if c == " ":
                 offers = [("", KEEP), (" ", DROP)]
             elif c.isalpha():
                 offers = [(c, 0.0)] if c != before else [(c, KEEP), ("", DROP)]
             elif c in SEPARATORS:
-                offers = [("", DROP), *([(x, WILD) for x in "abcdefghijklmnopqrstuvwxyz"] if c == "*" else [])]
+                offers = [("", DROP), *([(x, WILD) for x in "abcdefghijklmnopqrstuvwxyz"] if c == "*" and wild else [])]
             else:
                 offers = [(x, READ - np.log(len(LEET[c]))) for x in LEET.get(c, "")] + [(c, READ)]
                 if c == before:
@@ -137,7 +139,13 @@ class Reader:
 
     def read(self, token: str) -> str:
         t = trimmed(token)
-        return self.model.decode(t) if noisy(t) else t
+        if not noisy(t):
+            return t
+        if len(self.known) > 100_000:
+            self.known.clear()
+        if t not in self.known:
+            self.known[t] = self.model.decode(t)
+        return self.known[t]
 
     def read_run(self, run: str) -> str:
         """The words that letters spaced out (one space between them) read as."""
@@ -261,7 +269,11 @@ def train(documents: DataFrame, labels: DataFrame, use: Column, toxic: int = TOX
 
     rows = documents.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
     got = rows.select("toxic", "text").mapInPandas(run, "toxic int, buckets array<int>").toPandas()
-    return scorer.fit(got["buckets"].tolist(), got["toxic"].to_numpy(np.float64)) if len(got) else scorer
+    if not len(got):
+        return scorer
+    # in an order of their own, so that sums do not depend on which task came first
+    rows = sorted(zip(got["toxic"].tolist(), map(bytes, got["buckets"]), got["buckets"], strict=True), key=lambda r: r[:2])
+    return scorer.fit([r[2] for r in rows], np.array([r[0] for r in rows], np.float64))
 
 
 def score(df: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "text") -> DataFrame:

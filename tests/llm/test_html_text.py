@@ -114,3 +114,33 @@ def test_cover_counts_other_groups_only():
     marks = ht.covered([one, one, np.arange(5, 15)], np.empty(0, np.int64), 8, np.array([7, 7, 3]))
     assert [np.flatnonzero(m).tolist() for m in marks] == [list(range(4, 14)), list(range(4, 14)), list(range(10))]
     assert not ht.covered([one, one], np.empty(0, np.int64), 8, np.array([7, 7]))[0].any()
+
+
+def test_copies_are_found_behind_an_unlike_least_page(spark):
+    """Links of pages by brute force against the copy groups, on hosts whose pages share bands with a least
+    page that they are unlike."""
+    import itertools
+
+    r = random.Random(3)
+    rows, want_links, pages = [], 0, {}
+    for host in range(25):
+        base = [" ".join(f"t{r.randrange(10**6)}" for _ in range(r.randint(5, 9))) for _ in range(40)]
+        for k in range(25):
+            mine = list(base)
+            for at in r.sample(range(40), r.randint(0, 9)):
+                mine[at] = " ".join(f"t{r.randrange(10**6)}" for _ in range(r.randint(5, 9)))
+            pages[host, k] = mine
+            rows.append((f"http://h{host}.org/{k}", "".join(f"<p>{b}</p>" for b in mine)))
+    df = spark.createDataFrame(rows, "url string, html string").selectExpr("url AS page", "url", "html")
+    streams = ht._streams(df)
+    group = {x.page: x.copies for x in ht._copies(streams).collect()}
+    together = 0
+    for host in range(25):
+        for a, b in itertools.combinations(range(25), 2):
+            size = lambda x: sum(len(t.split()) for t in x)
+            common = size(set(pages[host, a]) & set(pages[host, b]))
+            if 100 * common >= 80 * (size(pages[host, a]) + size(pages[host, b]) - common):
+                want_links += 1
+                one, two = (f"http://h{host}.org/{k}" for k in (a, b))
+                together += group.get(one, one) == group.get(two, two)
+    assert want_links > 500 and together >= 0.999 * want_links

@@ -54,3 +54,22 @@ def test_held_out_accuracy_and_edges(spark):
 
 def test_runs_without_a_letter_are_no_words():
     assert li.pieces("½ ² 12 _ ٣ abc x²") == ["abc", "x²"]
+
+
+def test_small_languages_give_all_their_words_and_the_sum_is_bounded(spark, monkeypatch):
+    taken = {}
+
+    def fit(self, words, labels):
+        taken["n"] = [labels.count(k) for k in range(len(self.languages))]
+        return self
+
+    monkeypatch.setattr(li.Network, "fit", fit)
+    word = lambda k: "".join(chr(97 + int(c)) for c in str(k + 10_000))
+    docs = [(k, " ".join(word(100 * k + j) for j in range(100)), "large") for k in range(60)] + [(1000 + k, " ".join(word(j) for j in range(200)), "rare") for k in range(3)]
+    df = spark.createDataFrame([*docs, docs[0]], "doc_id long, text string, lang string")
+    li.train(df, F.lit(True), per_language=20, words_per_language=500)
+    assert taken["n"] == [500, 500]  # three documents of 200 words give 500 of them
+    li.train(df, F.lit(True), per_language=20, words_per_language=500, words_in_all=400)
+    assert taken["n"] == [100, 100]
+    plan = df.select("doc_id", "lang")
+    assert plan.count() == 64

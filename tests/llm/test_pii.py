@@ -52,3 +52,42 @@ def test_redact(spark):
     assert out.columns == df.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, "plain"), (1, "é [EMAIL] [IP]!"), (2, ""), (3, "[PHONE]"), (3, "[PHONE]")]
     assert pii.find(df.limit(0)).count() == 0
+
+
+def test_redact_leaves_columns_of_clashing_names(spark):
+    rows = [(1, "to a@b.cd and 10.0.0.1", "MINE", "t", 7, "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _spans string, `__spans_text` string, _Pieces int, `a.b` string")
+    out = pii.redact(df)
+    assert out.dtypes == df.dtypes
+    assert tuple(out.first()) == (1, "to [EMAIL] and [IP]", "MINE", "t", 7, "g")
+
+
+def test_many_spans_of_one_text(spark):
+    import time
+    part = "mail user{0}@host{0}.example.org or 10.{1}.0.1 é. "
+    text = "".join(part.format(k, k % 256) for k in range(6_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    got = pii.digest(pii.find(df)).first()
+    assert (got.n_email, got.n_ip) == (6_000, 6_000)
+    want = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in brute(text))
+    assert got.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    assert pii.redact(df).first().text == "mail [EMAIL] or [IP] é. " * 6_000
+    assert time.time() - start < 120
+
+
+def test_context_words_across_short_pieces(spark):
+    """The words around a match are those of the text, also where many matches and gaps lie between."""
+    r = random.Random(4)
+    rows = [(k, "".join(r.choice(["ssn ", "call", " 12 ", "3", " x ", "123-45-6789 ", "(415) 555-0100 ", "1.2.3.4 ", "é", "y" * 30, "99"]) for _ in range(r.randint(5, 60)))) for k in range(200)]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts_ = dict(rows)
+    seen = 0
+    for row in found.collect():
+        t, got = texts_[row.doc_id], {(s.start, s.end): s.score for s in row.spans if s.kind == "ssn"}
+        for m in re.finditer(pii.RULES["ssn"][1], t):
+            near = t[max(0, m.start() - 40):m.start()] + " " + t[m.end():m.end() + 40]
+            raised = bool(re.search(pii.RULES["ssn"][3], near, re.I))
+            assert ((m.start(), m.end()) in got) == raised
+            seen += raised
+    assert seen > 20

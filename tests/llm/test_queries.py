@@ -1,0 +1,298 @@
+"""Every opN query and the pipeline on a small written fixture, against versions without Spark."""
+
+import base64
+import hashlib
+import json
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tabspark.llm import queries
+
+SCHEMAS = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long, component_id string, score string, `_spans` string",
+    "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string", "pages": "page_id long, url string, html string",
+    "embeddings": "vec_id long, embedding array<float>, label int"}
+
+
+def _tables():
+    r = random.Random(7)
+    syl = {"xx": ["the", "ing", "and", "er", "ou", "th"], "yy": ["der", "sch", "ung", "ein", "ich", "tz"]}
+
+    def prose(lang, n):
+        words = ["".join(r.choice(syl[lang]) for _ in range(r.randint(1, 4))) for _ in range(n)]
+        return "\n".join(" ".join(words[k:k + 12]).capitalize() + "." for k in range(0, n, 12))
+
+    docs, labels = [], []
+    for k in range(160):
+        lang = ("xx", "yy")[k % 2]
+        toxic, junk = k % 7 == 0, k % 9 == 0
+        text = prose(lang, r.randint(60, 120))
+        if toxic:
+            text += "\nyou stupid moron idiot " * 2
+        if junk:
+            text = "\n".join("$$ BUY || NOW ## %% &&" + str(r.random()) for _ in range(40))
+        docs.append([k, text, lang])
+        labels.append((k, int(not junk), int(toxic)))
+    item = prose("xx", 40)
+    docs[11][1] += "\n" + item
+    docs[12][1] += "\nWrite to someone@mail.example.org or 10.0.0.7, card 4111 1111 1111 1111."
+    docs[14][1] = docs[13][1]
+    docs[16][1] = docs[13][1] + " one more"
+    docs += [[200, None, "xx"], [201, "", "yy"], [202, "½ 12 !", None], [203, docs[20][1], "xx"], [None, prose("yy", 70), "yy"], docs[30], [204, "word " * 30_000, None]]
+    documents = [(i, t, lang, "src", None if t is None else len(t), "c", "s", "mine") for i, t, lang in docs]
+    html = "<html><body><nav>Home</nav><article><h1>T&amp;{0}</h1><p>Body  of\n{0}</p></article><footer>f</footer></body></html>"
+    pages = [(k, f"http://h{k % 3}.org/{k}", html.format(k % 30)) for k in range(45)] + [(60, "http://h.org/", None), (61, None, ""), (62, "http://h.org/2", "")]
+    vec = [(k, [r.gauss(0, 1) for _ in range(16)], k % 3) for k in range(60)]
+    vec += [(100 + k, [x + r.gauss(0, 0.03) for x in v], lab) for k, (_, v, lab) in enumerate(vec[:20])] + [(200, None, 1), (201, [0.0] * 16, 1), (202, vec[0][1], None), (203, vec[5][1], vec[5][2])]
+    return {"documents": documents, "labels": labels, "benchmark": [(0, item), (1, prose("yy", 30)), (2, None)], "pages": pages, "embeddings": vec}
+
+
+@pytest.fixture(scope="module")
+def sf(spark, tmp_path_factory):
+    data, root = _tables(), str(tmp_path_factory.mktemp("sf"))
+    for name, rows in data.items():
+        spark.createDataFrame(rows, SCHEMAS[name]).repartition(3).write.parquet(f"{root}/{name}.parquet")
+        spark.createDataFrame([], SCHEMAS[name]).write.parquet(f"{root}-empty/{name}.parquet")
+    return data, root
+
+
+def run(spark, sf, name):
+    return queries.QUERIES[name](spark, sf[1]).collect()
+
+
+def docs_of(sf):
+    return [(r[0], r[1]) for r in sf[0]["documents"]]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_op1(spark, sf):
+    import public_tokenizers as pt
+    import regex
+    import tiktoken
+    import tiktoken.load
+    enc = tiktoken.Encoding("x", pat_str=pt.PATTERN, mergeable_ranks=tiktoken.load.load_tiktoken_bpe(str(pt.path("byte_bpe_multi_50k.tiktoken"))), special_tokens={})
+    assert regex.compile(pt.PATTERN)
+    want = Counter()
+    for i, t in docs_of(sf):
+        ids = enc.encode_ordinary(t or "")
+        want[(i, len(ids), sha(",".join(map(str, ids))), sha(t or ""))] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in run(spark, sf, "op1_byte_bpe")) == want
+
+
+def test_op2_and_op6(spark, sf):
+    fold = lambda i, n: zlib.crc32(str(i).encode()) % n
+    toxic = {i: t for i, _, t in sf[0]["labels"]}
+    lang = {r[0]: r[2] for r in sf[0]["documents"]}
+    text = dict(docs_of(sf))
+    got = run(spark, sf, "op2_toxicity")
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in docs_of(sf))
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) and r.held_out == (None if r.doc_id is None else fold(r.doc_id, 5) == 0) for r in got)
+    held = [r for r in got if r.held_out and r.doc_id in toxic]
+    assert sum(r.predicted == toxic[r.doc_id] for r in held) >= 0.9 * len(held)
+    got = run(spark, sf, "op6_language_id")
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in docs_of(sf))
+    assert all(r.held_out == (None if r.doc_id is None else fold(r.doc_id, 4) == 2) and 0 <= r.score <= 1 for r in got)
+    for r in got:
+        if r.doc_id is not None and not any(c.isalpha() for c in text[r.doc_id] or ""):
+            assert r.lang_pred == "und"
+    held = [r for r in got if r.held_out and lang[r.doc_id] and toxic.get(r.doc_id, 1) == 0 and "$$" not in (text[r.doc_id] or "$$")]
+    assert len(held) > 15 and sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_op3(spark, sf):
+    want: Counter = Counter()
+    label = {i: (q, t) for i, q, t in sf[0]["labels"]}
+    patterns = {"words.v1": r"[^\x20\x09-\x0D]+", "pieces.v1": r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]"}
+    seen = set()
+    for i, t, lang, source, *_ in sf[0]["documents"]:
+        q, toxic = label.get(i, (1, 0))
+        if q == 0 or i in seen:
+            continue
+        seen.add(i)
+        body = re.sub("[0-9]+", "", t or "") if toxic else t or ""
+        for version, p in patterns.items():
+            want[(source, lang, version, "docs")] += 1
+            want[(source, lang, version, "tokens")] += len(re.findall(p, body))
+    got = Counter()
+    for r in run(spark, sf, "op3_token_rollup"):
+        got[(r.source, r.lang, r.version, "docs")] = r.docs
+        got[(r.source, r.lang, r.version, "tokens")] = r.tokens
+    assert +got == +want
+
+
+def test_op4(spark, sf):
+    rows = [(i, (h or "").encode()) for i, _, h in sf[0]["pages"]]
+    best = {}
+    for i, body in rows:
+        best[body] = max(i, best.get(body, i))
+    want = sorted((i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if best[b] == i else "revisit", None if best[b] == i else best[b]) for i, b in rows)
+    assert sorted(tuple(r)[:5] for r in run(spark, sf, "op4_warc_index")) == want
+
+
+def test_op5(spark, sf):
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in run(spark, sf, "op5_main_text")}
+    for i, url, html in sf[0]["pages"]:
+        text = f"T&{i % 30}\nBody of {i % 30}" if html else ""
+        assert got[i] == (url, text, len(text))
+
+
+def test_op7(spark, sf):
+    from test_pii import PATTERNS, brute
+    got = Counter((r.doc_id, r.base_sha256, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in run(spark, sf, "op7_pii"))
+    kinds, want = list(PATTERNS), Counter()
+    for i, t in docs_of(sf):
+        spans = brute(t)
+        want[(i, sha(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans)), *(sum(k == j for _, k, _ in spans) for j in range(4)))] += 1
+    assert got == want
+
+
+def figures(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    thirds = Counter(zip(words, words[1:], words[2:], strict=False))
+    inside = set()
+    for k in range(len(words) - 2):
+        if thirds[tuple(words[k:k + 3])] > 1:
+            inside |= {k, k + 1, k + 2}
+    failed = len(words) < 50 or 100 * len(inside) > 50 * len(words)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(inside), failed
+
+
+def test_op8(spark, sf):
+    got = run(spark, sf, "op8_line_crf")
+    want = Counter((i, *figures(t)) for i, t in docs_of(sf))
+    assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == want
+    assert not any(r.base_failed and r.kept for r in got)
+    quality = {i: q for i, q, _ in sf[0]["labels"]}
+    judged = [r for r in got if not r.base_failed and r.doc_id in quality]
+    assert sum(r.kept == bool(quality[r.doc_id]) for r in judged) >= 0.95 * len(judged)
+
+
+def sets_of(rows, words):
+    out = {}
+    for i, t in rows:
+        if i is None:
+            continue
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+        k = min(words, len(w))
+        out.setdefault(i, {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set())
+    return out
+
+
+def groups_of(sets):
+    up = {i: i for i in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    ids = sorted(i for i in sets if sets[i])
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                x, y = find(a), find(b)
+                up[max(x, y)] = min(x, y)
+    return {i: find(i) for i in up}
+
+
+def test_op9(spark, sf):
+    sets = sets_of(docs_of(sf), 4)
+    of = groups_of(sets)
+    got = run(spark, sf, "op9_super_minhash")
+    assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got if r.doc_id is not None} == {(i, len(sets[i]), of[i], of[i] == i) for i in sets}
+    assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
+
+
+def test_op10(spark, sf):
+    got = {(r.doc_id, r.item_id) for r in run(spark, sf, "op10_decontamination")}
+    assert got == {(11, 0)}
+
+
+def test_op11(spark, sf):
+    from test_lexical_search import brute
+    got = [(r.item_id, r.rank, r.doc_id, r.score) for r in run(spark, sf, "op11_lexical_search")]
+    assert sorted(got, key=str) == brute(docs_of(sf), sf[0]["benchmark"])
+
+
+def test_op12(spark, sf):
+    from test_spelling import brute_variants, brute_words
+    n = Counter({w: k for w, k in brute_words(docs_of(sf)).items() if k >= 5})
+    got = sorted((r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in run(spark, sf, "op12_spelling_variants"))
+    assert got == brute_variants(n) and got
+
+
+def test_op13(spark, sf):
+    from test_embed_dedup import brute
+    import numpy as np
+    rows = [(i, None if v is None else [float(np.float32(x)) for x in v], lab) for i, v, lab in sf[0]["embeddings"]]
+    assert sorted((tuple(r) for r in run(spark, sf, "op13_embedding_dedup")), key=str) == brute(rows)
+
+
+def test_pipeline_stage_by_stage(spark, sf):
+    data, root = sf
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    names = docs.columns
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "dedup", "decontaminate", "redact", "tokens"]
+    for name, stage in corpus_pipeline.STAGES:
+        before = [r.asDict() for r in docs.collect()]
+        out = stage(spark, docs, root)
+        after = [r.asDict() for r in out.collect()]
+        key = lambda r: json.dumps({c: r[c] for c in names}, default=str, sort_keys=True)
+        if name != "tokens":
+            assert out.columns == names and [t for _, t in out.dtypes] == [t for _, t in docs.dtypes]
+        if name == "quality_rules":
+            judged = {r.doc_id: r.kept for r in run(spark, sf, "op8_line_crf")}
+            assert Counter(map(key, after)) == Counter(key(r) for r in before if judged[r["doc_id"]])
+            assert 100 < len(after) < len(before)
+        elif name == "dedup":
+            of = groups_of(sets_of([(r["doc_id"], r["text"]) for r in before], 5))
+            assert Counter(map(key, after)) == Counter(key(r) for r in before if r["doc_id"] is None or of[r["doc_id"]] == r["doc_id"])
+            assert len(after) < len(before)
+        elif name == "decontaminate":
+            assert Counter(map(key, after)) == Counter(key(r) for r in before if r["doc_id"] != 11) and len(after) < len(before)
+        elif name == "redact":
+            text = {r["doc_id"]: r["text"] for r in after}
+            assert text[12].endswith("Write to [EMAIL] or [IP], card [CARD].")
+            assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in after)
+            plain = [key(r) for r in before if r["doc_id"] != 12]
+            assert not Counter(plain) - Counter(map(key, after)) and len(after) == len(before)
+        else:
+            import public_tokenizers as pt
+            import tiktoken
+            import tiktoken.load
+            enc = tiktoken.Encoding("x", pat_str=pt.PATTERN, mergeable_ranks=tiktoken.load.load_tiktoken_bpe(str(pt.path("byte_bpe_multi_50k.tiktoken"))), special_tokens={})
+            want = Counter((r["doc_id"], len(enc.encode_ordinary(r["text"] or "")), sha(r["text"] or "")) for r in before)
+            assert Counter((r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in after) == want
+            whole = Counter(map(str, corpus_pipeline.run(spark, root).collect()))
+            assert whole == Counter(map(str, out.collect()))
+        if name != "tokens":
+            path = f"{root}-{name}"
+            out.write.parquet(path)
+            docs = spark.read.parquet(path)
+
+
+def test_empty_tables(spark, sf):
+    for name, query in queries.QUERIES.items():
+        assert query(spark, f"{sf[1]}-empty").count() == 0, name
+    assert corpus_pipeline.run(spark, f"{sf[1]}-empty").count() == 0
+
+
+def test_stages_with_repeated_null_and_clashing_input(spark, sf):
+    docs = spark.read.parquet(f"{sf[1]}/documents.parquet")
+    odd = docs.where("doc_id IS NULL OR doc_id IN (12, 200, 201)").withColumn("place", F.lit("x"))
+    odd = odd.union(odd).withColumns({"rep": F.lit(1), "band": F.lit(2), "bands": F.lit(3), "n": F.lit(4)})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, sf[1])
+        assert out.columns == odd.columns and out.count() <= odd.count(), name
+        assert out.where("doc_id IS NULL").count() == 2  # a null id is no copy of another

@@ -101,3 +101,14 @@ def test_spaced_word_after_a_one_letter_word_scores(spark):
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(160)], "doc_id long, toxic int")
     got = {x.doc_id: x.predicted for x in tx.score(df, tx.train(df, labels, F.lit(True))).collect()}
     assert [got[i] for i in (1000, 1001, 1002)] == [1, 1, 0]
+
+
+def test_many_stars_are_bounded():
+    import time
+    reader = tx.Reader(tx.CharModel(tx.count_grams(WORDS)))
+    start = time.time()
+    assert reader.read("st*pid") == "stupid" and reader.read("m*r*n") == "moron"
+    assert reader.read("stu" + "*" * 10_000 + "pid") == "stupid"  # a divider, no letters
+    assert reader.read("*".join("stupid" * 200)) == reader.read("_".join("stupid" * 200))
+    reader.read("a*****b"), reader.read("a*****b")
+    assert time.time() - start < 20
