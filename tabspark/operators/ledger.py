@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabspark.operators.ranking import top_per_group
+from tabspark.sources.io import append_files
 
 STATUS_RUNNING = "RUNNING"
 STATUS_COMPLETED = "COMPLETED"
@@ -56,8 +57,8 @@ def run_records(spark: SparkSession, runs: Sequence[tuple]) -> DataFrame:
 
 
 def append_runs(records: DataFrame, path: str) -> None:
-    """L1: append run records to the ledger table (one writer per run)."""
-    records.select(*[f.name for f in RUN_SCHEMA.fields]).write.mode("append").parquet(path)
+    """L1: append run records to the ledger table; several writers may append at once."""
+    append_files(records.select(*[f.name for f in RUN_SCHEMA.fields]).coalesce(1), path)   # a few rows
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -88,6 +89,35 @@ def parse_ledger_json(docs: DataFrame, column: str = "value") -> DataFrame:
     return docs.select(parsed.alias("r")).select("r.*")
 
 
+# Foreign run documents: each column with the places it may stand in, the first that is there counts.
+DOCUMENT_FIELDS = (
+    ("raw_blob_name", ("raw_blob_name",), "string"), ("status", ("status",), "string"), ("run_id", ("run_id", "pipeline_run_id"), "string"),
+    ("clean_blob_name", ("clean_blob_name",), "string"), ("started_at", ("started_at",), "timestamp_ntz"), ("finished_at", ("finished_at",), "timestamp_ntz"),
+    ("duration_seconds", ("duration_seconds",), "double"), ("model_version", ("model_version",), "string"),
+    ("test_roc_auc", ("metrics.test_roc_auc", "metrics.test.roc_auc"), "double"), ("output_rows", ("transform_metrics.output_rows",), "bigint"),
+)
+
+
+def read_documents(docs: DataFrame, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """L2: run documents of other tools, one row each: ``keep``, the columns of DOCUMENT_FIELDS, ``phase``
+    (training where the document names a pipeline_run_id, else cleaning), the text as ``payload``, and
+    ``problem``: null, or why the document can't stand for a run (nothing of a text that is no JSON object is
+    read; one without an input's name keeps what it has). ``quarantined`` lists the latter two."""
+    text = F.col(column)
+    whole = F.try_parse_json(text)
+    good = F.coalesce(F.schema_of_variant(whole).startswith("OBJECT"), F.lit(False))
+    read = lambda path: F.when(good, F.get_json_object(text, f"$.{path}"))
+    cols = [F.coalesce(*[read(p) for p in paths]).try_cast(kind).alias(name) for name, paths, kind in DOCUMENT_FIELDS]
+    phase = F.when(good, F.when(read("pipeline_run_id").isNotNull(), F.lit("training")).otherwise(F.lit("cleaning")))
+    problem = F.when(~good, F.lit("not a JSON object")).when(read("raw_blob_name").isNull(), F.lit("no raw_blob_name"))
+    return docs.select(*keep, *cols, phase.alias("phase"), text.alias("payload"), problem.alias("problem"))
+
+
+def quarantined(documents: DataFrame) -> DataFrame:
+    """Documents of ``read_documents`` that can't stand for a run, with their text."""
+    return documents.where(F.col("problem").isNotNull())
+
+
 def pending_inputs(inputs: DataFrame, runs: DataFrame, phase: str, key: str = "raw_blob_name") -> DataFrame:
     """L3: inputs whose current ledger record for ``phase`` is not COMPLETED."""
     done = latest_runs(runs.where(F.col("phase") == phase)).where(F.col("status") == STATUS_COMPLETED)

@@ -7,10 +7,14 @@ per model in creation order; the current alias is the newest alias row.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.operators.ranking import rank_within
+from tabspark.sources.io import append_files
 
 
 def register_versions(new: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -50,26 +54,40 @@ def resolve(requests: DataFrame, versions: DataFrame, aliases: DataFrame) -> Dat
     return r.select("model_name", "alias", F.col("_want").alias("version"), "run_id", status.alias("status"))
 
 
+def claim(spark, folder: str, start: int) -> int:
+    """The first number from ``start`` on that nobody else has claimed in ``folder``: a file of that name is
+    created with overwrite off, which one of several writers only can do; the others go on with the next
+    number. (Hadoop's local and HDFS file systems do this as one step.) A claim whose writer dies stays, so
+    its number is never given again."""
+    jvm, number = spark._jvm, start
+    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    while True:
+        try:
+            fs.create(jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}"), False).close()
+            return number
+        except Py4JJavaError as exc:
+            if "FileAlreadyExistsException" not in str(exc.java_exception):
+                raise
+            number += 1
+
+
 def register(spark, root: str, model_name: str, run_id: str, created_at) -> int:
-    """L5 writer: append the next version of ``model_name`` to
-    ``<root>/model_versions`` and return its number (one writer per run)."""
+    """L5 writer: append the next version of ``model_name`` to ``<root>/model_versions`` and return its
+    number. Several writers may run at once: each claims its number before it writes the row."""
     path = f"{root.rstrip('/')}/model_versions"
     try:
-        existing = spark.read.parquet(path)
+        known = spark.read.parquet(path).where(F.col("model_name") == model_name).agg(F.max("version")).first()[0] or 0
     except Exception as exc:  # first registration: no table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        if not any(x in str(exc) for x in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
             raise
-        existing = None
-    new = spark.createDataFrame([(model_name, run_id, created_at)],
-                                "model_name string, run_id string, created_at timestamp")
-    row = register_versions(new, existing)
-    version = int(row.first()["version"])
-    row.write.mode("append").parquet(path)
+        known = 0
+    version = claim(spark, f"{path}/_claims/{quote(model_name, safe='')}", known + 1)
+    row = [(model_name, version, run_id, created_at)]
+    append_files(spark.createDataFrame(row, "model_name string, version long, run_id string, created_at timestamp").coalesce(1), path)
     return version
 
 
 def set_alias(spark, root: str, model_name: str, alias: str, version: int, set_at) -> None:
     """L6 writer: append an alias assignment; the newest one is current."""
-    spark.createDataFrame([(model_name, alias, int(version), set_at)],
-                          "model_name string, alias string, version long, set_at timestamp") \
-        .write.mode("append").parquet(f"{root.rstrip('/')}/model_aliases")
+    row = spark.createDataFrame([(model_name, alias, int(version), set_at)], "model_name string, alias string, version long, set_at timestamp")
+    append_files(row.coalesce(1), f"{root.rstrip('/')}/model_aliases")

@@ -127,6 +127,16 @@ def q_one_hot(spark, sf_dir):
     return enc.long_form(data, keep=["k", "split"])
 
 
+def q_sparse_vectors(spark, sf_dir):
+    """The non-zero slots of every row's sparse vector."""
+    data = splitted(spark, sf_dir)
+    vocabulary = materialize(fe.vocabulary_frame(data.where(F.col("split") == "train"), "STATE"), "vocabulary")
+    enc = fe.FeatureEncoder(tuple(CENSUS_NUMERIC_FEATURES), "STATE", ())
+    vectors = enc.sparse(data, vocabulary, vocabulary.count(), keep=["k", "split"])
+    slots = vectors.select("k", "split", F.posexplode(vector_to_array("features")).alias("feature_index", "value"))
+    return slots.where(F.col("value") != 0)
+
+
 def q_confusion_metrics(spark, sf_dir):
     """Confusion counts, precision, recall, F1, accuracy per split."""
     return ev.confusion(scored(spark, sf_dir), "TARGET", "score", ["split"], CFG.threshold)
@@ -275,6 +285,12 @@ def _versions(spark, sf_dir):
     return rg.register_versions(fx.derived(spark, sf_dir, "model_versions_src"))
 
 
+def q_run_documents(spark, sf_dir):
+    """L2: run documents of two foreign shapes, and damaged ones, read into one table."""
+    docs = fx.table(spark, sf_dir, "events").selectExpr(*fx.RUN_DOCUMENTS)
+    return le.read_documents(docs, "doc", keep=["event_id"]).drop("payload")
+
+
 def q_model_versions(spark, sf_dir):
     """Version numbers per model in creation order."""
     return _versions(spark, sf_dir)
@@ -421,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "split_members": q_split_members,
     "vocabulary": q_vocabulary,
     "one_hot": q_one_hot,
+    "sparse_vectors": q_sparse_vectors,
     "confusion_metrics": q_confusion_metrics,
     "roc_auc_ap": q_roc_auc_ap,
     "metrics_long": q_metrics_long,
@@ -446,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "latest_execution": q_latest_execution,
     "pending_inputs": q_pending_inputs,
     "model_versions": q_model_versions,
+    "run_documents": q_run_documents,
     "resolve_model": q_resolve_model,
     "retention": q_retention,
     "blob_keys": q_blob_keys,
@@ -472,6 +490,7 @@ ORACLE: dict[str, str] = {
     "split_members": oracle.split_members(),
     "vocabulary": oracle.vocabulary(),
     "one_hot": oracle.one_hot(),
+    "sparse_vectors": oracle.sparse_vectors(),
     "confusion_metrics": oracle.confusion_metrics(),
     "roc_auc_ap": oracle.roc_auc_ap(),
     "metrics_long": oracle.metrics_long(),
@@ -500,6 +519,7 @@ ORACLE: dict[str, str] = {
     "latest_execution": oracle.latest_execution(),
     "pending_inputs": oracle.pending_inputs(),
     "model_versions": oracle.model_versions(),
+    "run_documents": oracle.run_documents(),
     "resolve_model": oracle.resolve_model(),
     "retention": oracle.retention(),
     "blob_keys": oracle.blob_keys(),

@@ -189,6 +189,12 @@ def one_hot() -> str:
     return with_split(" UNION ALL ".join(parts), [VOCAB_CTE])
 
 
+def sparse_vectors() -> str:
+    numeric = " UNION ALL ".join(f"SELECT k, split, {i} AS feature_index, CAST(CAST({c} AS FLOAT) AS DOUBLE) AS value FROM splitted" for i, c in enumerate(CENSUS_NUMERIC_FEATURES))
+    return with_split(f"SELECT * FROM ({numeric} UNION ALL SELECT k, split, CAST({len(CENSUS_NUMERIC_FEATURES)} + idx AS INTEGER), CAST(1.0 AS DOUBLE) "
+                      "FROM splitted JOIN vocab USING (STATE)) WHERE value <> 0", [VOCAB_CTE])
+
+
 def ensemble_scores() -> str:
     lit = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else repr(x)
     rows = ", ".join(f"({', '.join(map(lit, r))})" for r in fx.FIXED_TREES)
@@ -534,6 +540,23 @@ def latest_run() -> str:
     return LATEST_RUNS
 
 
+def run_documents() -> str:
+    docs = ", ".join(e.replace("AS STRING)", "AS VARCHAR)") for e in fx.RUN_DOCUMENTS)
+    get = lambda *paths: "coalesce(" + ", ".join(f"json_extract_string(doc, '$.{p}')" for p in paths) + ")"
+    ok = "CASE WHEN json_valid(doc) THEN json_type(doc) = 'OBJECT' END"
+    when = lambda c, t: f"CASE WHEN ok THEN TRY_CAST({c} AS {t}) END"
+    return (f"WITH raw AS (SELECT {docs} FROM events), d AS (SELECT *, coalesce({ok}, false) AS ok FROM raw), "
+            f"v AS (SELECT event_id, ok, CASE WHEN ok THEN doc ELSE '{{}}' END AS doc FROM d) "
+            f"SELECT event_id, {get('raw_blob_name')} AS raw_blob_name, "
+            "CASE WHEN NOT ok THEN NULL WHEN json_extract(doc, '$.pipeline_run_id') IS NOT NULL THEN 'training' ELSE 'cleaning' END AS phase, "
+            f"{get('status')} AS status, {get('run_id', 'pipeline_run_id')} AS run_id, {get('clean_blob_name')} AS clean_blob_name, "
+            f"{when(get('started_at'), 'TIMESTAMP')} AS started_at, {when(get('finished_at'), 'TIMESTAMP')} AS finished_at, "
+            f"{when(get('duration_seconds'), 'DOUBLE')} AS duration_seconds, {get('model_version')} AS model_version, "
+            f"{when(get('metrics.test_roc_auc', 'metrics.test.roc_auc'), 'DOUBLE')} AS test_roc_auc, "
+            f"{when(get('transform_metrics.output_rows'), 'BIGINT')} AS output_rows, "
+            "CASE WHEN NOT ok THEN 'not a JSON object' WHEN json_extract_string(doc, '$.raw_blob_name') IS NULL THEN 'no raw_blob_name' END AS problem FROM v")
+
+
 def latest_execution() -> str:
     return (f"WITH r AS ({fx.derived_sql('runs')}), t AS (SELECT * FROM r ORDER BY written_at DESC, run_id DESC LIMIT 1) "
             "SELECT t.run_id, t.status, t.raw_blob_name, (SELECT max(written_at) FROM r) AS latest_written_at, "

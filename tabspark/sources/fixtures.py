@@ -248,3 +248,16 @@ FIXED_TREES = (
     (1, 3, None, 0.0, -1, -1, 0.28125), (1, 4, None, 0.0, -1, -1, -0.09375),
     (2, 0, None, 0.0, -1, -1, 0.0625),
 )
+
+
+# Run documents as other tools write them: training records name their run pipeline_run_id and nest metrics
+# (flat or by split), cleaning records hold their transform metrics; some are cut off, empty or no objects.
+_DOC_HEAD = "'{\"status\": \"COMPLETED\", \"raw_blob_name\": \"raw/u', CAST(user_id AS STRING), '.parquet\", \"started_at\": \"2024-01-01T00:00:00\", \"finished_at\": \"2024-01-01T00:00:10\", \"duration_seconds\": 10.5'"
+RUN_DOCUMENTS = [
+    "event_id",
+    "CASE event_id % 10 WHEN 0 THEN '' WHEN 1 THEN concat(" + _DOC_HEAD + ", ', ') WHEN 2 THEN '[1, 2]' WHEN 3 THEN '{\"status\": \"FAILED\"}' "
+    "WHEN 4 THEN concat(" + _DOC_HEAD + ", ', \"pipeline_run_id\": \"p', CAST(event_id AS STRING), '\", \"model_version\": \"3\", \"metrics\": {\"test\": {\"roc_auc\": 0.75}}}') "
+    "WHEN 5 THEN concat(" + _DOC_HEAD + ", ', \"pipeline_run_id\": \"p', CAST(event_id AS STRING), '\", \"metrics\": {\"test_roc_auc\": 0.5}, \"clean_blob_name\": null}') "
+    "WHEN 6 THEN NULL "
+    "ELSE concat(" + _DOC_HEAD + ", ', \"clean_blob_name\": \"clean/u.parquet\", \"transform_metrics\": {\"output_rows\": ', CAST(event_id AS STRING), '}, \"unknown\": [1]}') END AS doc",
+]

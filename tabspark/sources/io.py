@@ -81,6 +81,22 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
         fs.delete(earlier, True)
 
 
+def append_files(df: DataFrame, path: str) -> None:
+    """Append rows to the table ``path``, safe beside other writers: the rows are written to a hidden folder
+    of their own and its files then move into the table, so no writer meets another's unfinished files (Spark's
+    own append mode shares one ``_temporary`` folder per table). A reader sees each file whole or not at all."""
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}/_append-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    fs, folder = _fs(spark, staged)
+    _, table = _fs(spark, path)
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.endswith(".parquet") and not fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(table, name)):
+            raise OSError(f"could not move {name} into {path}")
+    fs.delete(folder, True)
+
+
 def write_batch(df: DataFrame, folder: str, n: int, order_by: list[str],
                 prefix: str = "batch", compression: str = "zstd", now: datetime | None = None) -> str:
     """The first ``n`` rows (explicit order, top-k plan) as a zstd parquet

@@ -115,3 +115,49 @@ def test_rank_within_hot_group(spark):
         assert [rk for _, rk in got] == list(range(1, n + 1))
     desc = rank_within(df, ["g"], ["t", "id"], descending=True, partitions=8).where("g = 'cold'").orderBy("rank").first()
     assert desc["t"] == 49
+
+
+def test_two_writers_get_two_versions(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+    from datetime import datetime
+
+    from tabspark.operators import registry as rg
+    at = datetime(2024, 1, 1)
+    assert rg.register(spark, tmp_dir, "m", "r0", at) == 1
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda k: rg.register(spark, tmp_dir, "m", f"r{k}", at), range(1, 5)))
+    assert sorted(got) == [2, 3, 4, 5]
+    rows = spark.read.parquet(f"{tmp_dir}/model_versions").collect()
+    assert sorted((r["version"], r["run_id"]) for r in rows) == sorted([(1, "r0"), *((v, f"r{k}") for k, v in enumerate(got, 1))])
+    assert rg.register(spark, tmp_dir, "a/b", "x", at) == 1 and rg.register(spark, tmp_dir, "m", "r9", at) == 6
+
+
+def test_run_documents_of_both_shapes_and_damaged_ones(spark):
+    from tabspark.operators import ledger as le
+    training = '{"status": "COMPLETED", "pipeline_run_id": "p1", "raw_blob_name": "raw/a", "metrics": {"test": {"roc_auc": 0.5}}, "started_at": "2024-01-01T00:00:00", "model_version": "4"}'
+    cleaning = '{"status": "COMPLETED", "raw_blob_name": "raw/a", "clean_blob_name": "clean/a", "transform_metrics": {"output_rows": 7}, "duration_seconds": "x"}'
+    docs = [(1, training), (2, cleaning), (3, ""), (4, None), (5, "{"), (6, "[]"), (7, '{"status": "FAILED"}'), (8, training[:40])]
+    out = le.read_documents(spark.createDataFrame(docs, "id long, value string"), keep=["id"])
+    got = {r["id"]: r for r in out.collect()}
+    assert (got[1].run_id, got[1].phase, got[1].test_roc_auc, got[1].model_version, got[1].output_rows, got[1].problem) == ("p1", "training", 0.5, "4", None, None)
+    assert (got[2].run_id, got[2].phase, got[2].output_rows, got[2].clean_blob_name, got[2].duration_seconds, got[2].problem) == (None, "cleaning", 7, "clean/a", None, None)
+    assert {k: got[k].problem for k in (3, 4, 5, 6, 7, 8)} == {**dict.fromkeys((3, 4, 5, 6, 8), "not a JSON object"), 7: "no raw_blob_name"}
+    assert sorted(r["id"] for r in le.quarantined(out).collect()) == [3, 4, 5, 6, 7, 8] and got[8].payload == training[:40]
+
+
+def test_digests(spark, tmp_dir):
+    import hashlib
+
+    from tabspark.operators import lineage as ln
+    body = bytes(range(256)) * 5000
+    with open(f"{tmp_dir}/model.bin", "wb") as f:
+        f.write(body)
+    assert ln.file_digest(spark, f"{tmp_dir}/model.bin") == hashlib.sha256(body).hexdigest()
+    df = spark.createDataFrame([("a", 1), ("b", None), ("a", 1), (None, 2)], "x string, y int")
+    one = ln.table_digest(df).first()
+    assert one == ln.table_digest(df.repartition(3).orderBy("y")).first() and one["rows"] == 4
+    other = [df.dropDuplicates(), df.limit(3), spark.createDataFrame([("a", 1), ("b", None), ("a", 1), ("-", 2)], "x string, y int")]
+    assert len({one["sha256"], *(ln.table_digest(x).first()["sha256"] for x in other)}) == 4
+    split = [spark.createDataFrame([r], "x string, y string") for r in (("a,1:b", "c"), ("a", "1:b,c"), ("a,1:b,1:c", None))]
+    assert len({ln.table_digest(x).first()["sha256"] for x in split}) == 3
+    assert ln.lineage(git_sha="abc")["git_sha"] == "abc" and ln.lineage()["container_image_digest"] is None
