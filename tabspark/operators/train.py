@@ -30,6 +30,7 @@ from tabspark.operators.evaluate import binary_label, rank_metrics
 from tabspark.session import materialize
 
 BLOCK = 20  # rounds between two writes of the margins
+ROWS_PER_TASK = 50_000
 _LEAST_WEIGHT = 1e-6  # of a row that is certain already
 
 
@@ -166,7 +167,9 @@ def train(train_df: DataFrame, validation_df: DataFrame, cfg: TrainingConfig, fe
     share = min(max(positives / total, 1e-6), 1 - 1e-6)
     start = math.log(share / (1 - share))
     given = lambda df: df.select(F.col(features), y.alias("_y"), F.lit(start).alias("_margin"), F.monotonically_increasing_id().alias("_row"))
-    rows, held = materialize(given(train_df), "train-margins"), materialize(given(validation_df), "validation-margins")
+    # a few rows a task are not worth a task for each of a round's dozen jobs; large inputs keep their partitions
+    few = max(1, math.ceil(total / ROWS_PER_TASK))
+    rows, held = materialize(given(train_df), "train-margins").coalesce(few), materialize(given(validation_df), "validation-margins")
     trees: list[tuple[Node, ...]] = []
     gains: list = []
     history: list[float] = []
@@ -194,7 +197,7 @@ def train(train_df: DataFrame, validation_df: DataFrame, cfg: TrainingConfig, fe
                 break
         held = held.drop(*names)
         if going and len(trees) < s.rounds:
-            rows = materialize(rows, "train-margins")
+            rows = materialize(rows, "train-margins").coalesce(few)
     best = patience.best
     importances = tuple(float(v) for v in sum(gains[:best])) if best else ()
     model = Ensemble(tuple(trees[:best]), start, importances)
