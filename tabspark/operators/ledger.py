@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabspark.operators.ranking import top_per_group
-from tabspark.sources.io import append_files
+from tabspark.sources.io import append_files, compact_files
 
 STATUS_RUNNING = "RUNNING"
 STATUS_COMPLETED = "COMPLETED"
@@ -61,6 +61,12 @@ def append_runs(records: DataFrame, path: str) -> None:
     append_files(records.select(*[f.name for f in RUN_SCHEMA.fields]).coalesce(1), path)   # a few rows
 
 
+def compact_runs(spark: SparkSession, path: str, files: int = 1) -> int:
+    """L1 upkeep: the ledger's many one-record files as ``files`` ones, every record kept (``compact_files``).
+    Returns the number of files folded. ``latest_runs`` gives the same before, during and after."""
+    return compact_files(spark, path, RUN_SCHEMA, files)
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table; an absent ledger reads as empty."""
     try:

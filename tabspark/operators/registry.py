@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from urllib.parse import quote
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.operators.ranking import rank_within
-from tabspark.sources.io import append_files
+from tabspark.sources.io import append_files, claim
 
 
 def register_versions(new: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -54,23 +53,6 @@ def resolve(requests: DataFrame, versions: DataFrame, aliases: DataFrame) -> Dat
     return r.select("model_name", "alias", F.col("_want").alias("version"), "run_id", status.alias("status"))
 
 
-def claim(spark, folder: str, start: int) -> int:
-    """The first number from ``start`` on that nobody else has claimed in ``folder``: a file of that name is
-    created with overwrite off, which one of several writers only can do; the others go on with the next
-    number. (Hadoop's local and HDFS file systems do this as one step.) A claim whose writer dies stays, so
-    its number is never given again."""
-    jvm, number = spark._jvm, start
-    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    while True:
-        try:
-            fs.create(jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}"), False).close()
-            return number
-        except Py4JJavaError as exc:
-            if "FileAlreadyExistsException" not in str(exc.java_exception):
-                raise
-            number += 1
-
-
 def register(spark, root: str, model_name: str, run_id: str, created_at) -> int:
     """L5 writer: append the next version of ``model_name`` to ``<root>/model_versions`` and return its
     number. Several writers may run at once: each claims its number before it writes the row."""

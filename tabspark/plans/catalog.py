@@ -74,6 +74,12 @@ def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.report_columns(va.validation_counts(fx.acs_raw(spark, sf_dir), CONTRACT), CONTRACT)
 
 
+def q_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2-V4: every declared or present column of a raw frame without SEX, with WKHP as text and a column more."""
+    raw = fx.acs_raw(spark, sf_dir).drop("SEX").withColumns({"WKHP": F.col("WKHP").cast("string"), "note": F.nullif(F.col("k") % 5, F.lit(0))})
+    return va.column_profile(raw, CONTRACT)
+
+
 def q_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows at/above and below the income threshold."""
     return va.class_presence(fx.acs_raw(spark, sf_dir), "PINCP", CFG.target_income_threshold)
@@ -114,6 +120,37 @@ def q_split_members(spark, sf_dir):
     return splitted(spark, sf_dir).select("k", "TARGET", "split")
 
 
+def q_subset_members(spark, sf_dir):
+    """The clean rows whose key is in a list of wanted keys (those of dear orders that cleaning kept)."""
+    clean = materialize(labelled(spark, sf_dir), "clean")
+    wanted = fx.table(spark, sf_dir, "orders").where("o_totalprice >= 200000").select(F.col("o_orderkey").alias("k"))
+    return sp.subset_by_keys(clean, wanted.join(clean.select("k").distinct(), "k", "left_semi"), ["k"]).select("k", "TARGET")
+
+
+def q_target_report(spark, sf_dir):
+    """Class counts and the first problem of four frames: sound, with nulls, with a third class, of one class."""
+    bad = (F.when((F.col("k") % 4 == 1) & (F.col("k") % 7 == 0), F.lit(None)).when((F.col("k") % 4 == 2) & (F.col("k") % 7 == 0), F.lit(2))
+           .when(F.col("k") % 4 == 3, F.lit(1)).otherwise(F.col("TARGET")))
+    return sp.target_report(labelled(spark, sf_dir).select((F.col("k") % 4).alias("frame"), bad.alias("TARGET")), "TARGET", ["frame"])
+
+
+def q_clean_store(spark, sf_dir):
+    """The raw frame with an index column as files, read, cleaned and published twice (first the rows
+    of one half), and read back by the pointer with the schema stated."""
+    root = scratch_path(spark, f"store-{uuid.uuid4().hex}")
+    fx.acs_raw(spark, sf_dir).withColumn("__index_level_0__", F.col("k") * 2).write.parquet(f"{root}/raw/orders.parquet")
+    clean = cl.clean(sio.read_raw(spark, f"{root}/raw/orders.parquet"), CONTRACT)
+    sio.publish(clean.where("k % 2 = 0"), f"{root}/clean/orders.parquet")
+    sio.publish(clean, f"{root}/clean/orders.parquet")
+    return sio.read_clean(spark, f"{root}/clean/orders.parquet", clean.schema)
+
+
+def q_head_batch(spark, sf_dir):
+    """The first thousand raw rows by key as a batch file, read back."""
+    path = sio.write_batch(fx.acs_raw(spark, sf_dir), scratch_path(spark, f"batch-{uuid.uuid4().hex}"), 1000, ["k"])
+    return sio.read_raw(spark, path)
+
+
 def q_vocabulary(spark, sf_dir):
     """STATE vocabulary of the training split."""
     train = splitted(spark, sf_dir).where(F.col("split") == "train")
@@ -266,11 +303,27 @@ def q_findings_listed(spark, sf_dir):
     return fi.listed(fx.derived(spark, sf_dir, "findings"))
 
 
+def q_findings_reports(spark, sf_dir):
+    """Nested scan reports exploded; first five findings per target in report order."""
+    return fi.listed(fi.flatten_reports(fx.scan_reports(spark, sf_dir)))
+
+
 def q_latest_run(spark, sf_dir):
     """L2: current ledger record per (input, phase)."""
     return le.latest_runs(fx.derived(spark, sf_dir, "runs"))
 
 
+def q_ledger_store(spark, sf_dir):
+    """L1-L2: run records appended in three batches, their files compacted, the current record per (input, phase)."""
+    path = scratch_path(spark, f"ledger-{uuid.uuid4().hex}")
+    runs = fx.derived(spark, sf_dir, "runs")
+    rows = runs.select(*[(F.col(f.name) if f.name in runs.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in le.RUN_SCHEMA.fields])
+    for part in range(3):
+        sio.append_files(rows.where(F.pmod(F.xxhash64("run_id"), F.lit(3)) == part), path)
+    le.compact_runs(spark, path, files=1 + rows.count() // 5_000_000)
+    return le.latest_runs(le.read_runs(spark, path)).select(*[F.col(f.name).cast(f.dataType) for f in runs.schema])
+
+
 def q_latest_execution(spark, sf_dir):
     """Newest run, its status, and whether it is recent."""
     return le.latest_execution(fx.derived(spark, sf_dir, "runs"), ts_lit(AS_OF), "1 day")
@@ -429,14 +482,19 @@ def q_alerts_stream(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "clean_waterfall": q_clean_waterfall,
     "clean_rows": q_clean_rows,
+    "clean_store": q_clean_store,
+    "head_batch": q_head_batch,
     "null_profile": q_null_profile,
     "duplicate_rate": q_duplicate_rate,
     "pattern_range_violations": q_pattern_range_violations,
     "class_counts": q_class_counts,
+    "column_profile": q_column_profile,
     "validation_report": q_validation_report,
     "label": q_label,
     "split_sizes": q_split_sizes,
     "split_members": q_split_members,
+    "subset_members": q_subset_members,
+    "target_report": q_target_report,
     "vocabulary": q_vocabulary,
     "one_hot": q_one_hot,
     "sparse_vectors": q_sparse_vectors,
@@ -461,7 +519,9 @@ QUERIES: dict[str, Query] = {
     "log_levels": q_log_levels,
     "findings_rollup": q_findings_rollup,
     "findings_listed": q_findings_listed,
+    "findings_reports": q_findings_reports,
     "latest_run": q_latest_run,
+    "ledger_store": q_ledger_store,
     "latest_execution": q_latest_execution,
     "pending_inputs": q_pending_inputs,
     "model_versions": q_model_versions,
@@ -482,14 +542,19 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "clean_waterfall": oracle.clean_waterfall(),
     "clean_rows": oracle.clean_rows(),
+    "clean_store": oracle.clean_store(),
+    "head_batch": oracle.head_batch(),
     "null_profile": oracle.null_profile(),
     "duplicate_rate": oracle.duplicate_rate(),
     "pattern_range_violations": oracle.pattern_range_violations(),
     "class_counts": oracle.class_counts(),
+    "column_profile": oracle.column_profile(),
     "validation_report": oracle.validation_report(),
     "label": oracle.label(),
     "split_sizes": oracle.split_sizes(),
     "split_members": oracle.split_members(),
+    "subset_members": oracle.subset_members(),
+    "target_report": oracle.target_report(),
     "vocabulary": oracle.vocabulary(),
     "one_hot": oracle.one_hot(),
     "sparse_vectors": oracle.sparse_vectors(),
@@ -517,7 +582,9 @@ ORACLE: dict[str, str] = {
     "log_levels": oracle.log_levels(),
     "findings_rollup": oracle.findings_rollup(),
     "findings_listed": oracle.findings_listed(),
+    "findings_reports": oracle.findings_reports(),
     "latest_run": oracle.latest_run(),
+    "ledger_store": oracle.ledger_store(),
     "latest_execution": oracle.latest_execution(),
     "pending_inputs": oracle.pending_inputs(),
     "model_versions": oracle.model_versions(),

@@ -24,8 +24,10 @@ PHASE = "cleaning"
 
 
 def run_cleaning(spark: SparkSession, raw_root: str, raw_name: str, clean_root: str, ledger_path: str,
-                 contract: DataContract = CENSUS) -> dict:
-    """Clean one raw input; returns the ledger payload (or the skip notice)."""
+                 contract: DataContract = CENSUS, versioned: bool = False) -> dict:
+    """Clean one raw input; returns the ledger payload (or the skip notice). With ``versioned`` the clean table
+    is published by a pointer (``io.publish``), for readers that may come at any time; ``io.read_clean`` reads
+    both kinds."""
     key = raw_name.strip().lstrip("/")
     runs = le.read_runs(spark, ledger_path)
     current = le.latest_runs(runs.where((runs.phase == PHASE) & (runs.raw_blob_name == key))).collect()
@@ -37,8 +39,8 @@ def run_cleaning(spark: SparkSession, raw_root: str, raw_name: str, clean_root:
     report = va.validate(raw, contract)
     clean_key = sio.clean_blob_name_of(key)
     path = f"{clean_root.rstrip('/')}/{clean_key}"
-    sio.write_clean(cl.clean(raw, contract), path)
-    metrics = cl.metrics_of(contract, cl.removal_counts(raw, contract).first().asDict(), spark.read.parquet(path).count(), report.warnings)
+    (sio.publish if versioned else sio.write_clean)(cl.clean(raw, contract), path)
+    metrics = cl.metrics_of(contract, cl.removal_counts(raw, contract).first().asDict(), spark.read.parquet(sio.current_path(spark, path)).count(), report.warnings)
     finished = le.utc_now()
     payload = {"raw_blob_name": key, "clean_blob_name": clean_key,
                "validation_report": {**asdict(report), "duplicate_rate": report.duplicate_rate,

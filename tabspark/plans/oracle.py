@@ -78,6 +78,26 @@ def clean_rows() -> str:
     return with_clean(f"SELECT {cols}, k FROM clean")
 
 
+def clean_store() -> str:
+    return clean_rows()
+
+
+def head_batch() -> str:
+    return f"WITH {raw_cte()} SELECT {', '.join(ALL_RAW)} FROM raw ORDER BY k LIMIT 1000"
+
+
+def column_profile() -> str:
+    types = {"STATE": "string", "YEAR": "bigint", "WKHP": "string", "SEX": None}
+    columns = [(n, "required", types.get(n, "double"), {"WKHP": "type", "SEX": "missing"}.get(n), n) for n, _ in C.columns]
+    columns += [(n, "optional", None, None, None) for n in C.optional_columns]
+    columns += [("k", "passthrough", "bigint", None, "k"), ("note", "extra", "bigint", "extra", "nullif(k % 5, 0)")]
+    text = lambda x: f"'{x}'" if x else "CAST(NULL AS VARCHAR)"
+    parts = [f"SELECT {i} AS position, '{n}' AS column_name, '{kind}' AS declared, {text(t)} AS type, "
+             f"{f'(SELECT count({of}) FROM raw)' if t else 'CAST(0 AS BIGINT)'} AS non_null_rows, {text(problem)} AS problem"
+             for i, (n, kind, t, problem, of) in enumerate(columns)]
+    return f"WITH {raw_cte()} " + " UNION ALL ".join(parts)
+
+
 def null_profile() -> str:
     parts = []
     for i, c in enumerate(C.required):
@@ -170,6 +190,19 @@ def split_members() -> str:
     return with_split("SELECT k, TARGET, split FROM splitted")
 
 
+def subset_members() -> str:
+    return with_split("SELECT k, TARGET FROM lab WHERE k IN (SELECT o_orderkey FROM orders WHERE o_totalprice >= 200000)")
+
+
+def target_report() -> str:
+    return with_split(
+        "SELECT *, CASE WHEN class_null > 0 THEN 'null target' WHEN class_other > 0 THEN 'target not binary' "
+        "WHEN class_0 = 0 OR class_1 = 0 THEN 'one class only' END AS problem FROM (SELECT frame, count(*) AS rows, "
+        "count(*) FILTER (WHERE y = 0) AS class_0, count(*) FILTER (WHERE y = 1) AS class_1, count(*) FILTER (WHERE y IS NULL) AS class_null, "
+        "count(*) FILTER (WHERE y NOT IN (0, 1)) AS class_other FROM (SELECT k % 4 AS frame, CASE WHEN k % 4 = 1 AND k % 7 = 0 THEN NULL "
+        "WHEN k % 4 = 2 AND k % 7 = 0 THEN 2 WHEN k % 4 = 3 THEN 1 ELSE TARGET END AS y FROM lab) GROUP BY frame)")
+
+
 VOCAB_CTE = ("vocab AS (SELECT STATE, CAST(row_number() OVER (ORDER BY STATE) - 1 AS INTEGER) AS idx "
              "FROM (SELECT DISTINCT STATE FROM splitted WHERE split = 'train' AND STATE IS NOT NULL))")
 
@@ -528,6 +561,19 @@ def findings_listed() -> str:
             "WHERE rank <= 5")
 
 
+def findings_reports() -> str:
+    level = "CASE WHEN value >= 150 THEN 'CRITICAL' WHEN value >= 60 THEN 'HIGH' WHEN value >= 20 THEN 'MEDIUM' ELSE 'LOW' END"
+    row = lambda target, result, where, severity: (
+        f"SELECT {target} AS Target, {result} AS rp, p.pos, concat('CVE-', p.n, '-', event_id) AS VulnerabilityID, concat('pkg', event_id % 40) AS PkgName, "
+        "CASE WHEN event_id % 4 = 0 THEN '?' ELSE '1.0' END AS InstalledVersion, CASE WHEN event_id % 3 = 0 THEN 'unfixed' ELSE '1.1' END AS FixedVersion, "
+        f"{severity} AS Severity, concat(event_type, ' issue') AS Title FROM events, {where}")
+    first = row("concat('img-', user_id % 13)", 0, "(VALUES (0, 2026), (1, 2024), (2, 2025)) p(pos, n) WHERE event_id % 2 = 0",
+                f"CASE p.pos WHEN 0 THEN {level} WHEN 1 THEN 'HIGH' ELSE CASE WHEN user_id % 2 = 0 THEN 'CRITICAL' END END")
+    second = row("CASE WHEN event_id % 5 = 0 THEN 'unknown' ELSE concat('base-', event_id % 7) END", 1, "(VALUES (0, 2023)) p(pos, n)", level)
+    return (f"SELECT * EXCLUDE (rp, pos) FROM (SELECT *, CAST(row_number() OVER (PARTITION BY Target ORDER BY rp, pos, VulnerabilityID) AS INTEGER) AS rank "
+            f"FROM ({first} UNION ALL {second}) WHERE Severity IN ('CRITICAL', 'HIGH')) WHERE rank <= 5")
+
+
 # ----------------------------------------------------------------------------
 # ledger, registry, keys, vectors
 # ----------------------------------------------------------------------------
@@ -540,6 +586,10 @@ def latest_run() -> str:
     return LATEST_RUNS
 
 
+def ledger_store() -> str:
+    return LATEST_RUNS
+
+
 def run_documents() -> str:
     docs = ", ".join(e.replace("AS STRING)", "AS VARCHAR)") for e in fx.RUN_DOCUMENTS)
     get = lambda *paths: "coalesce(" + ", ".join(f"json_extract_string(doc, '$.{p}')" for p in paths) + ")"

@@ -179,6 +179,23 @@ _FINDINGS = [
     "concat(event_type, ' issue') AS Title",
 ]
 
+# Scan reports, one per event: two results, the second without a target in every fifth report; a result
+# holds three findings, one or none (null), in an order that is not that of their ids.
+_VULN = ("named_struct('VulnerabilityID', concat('CVE-', CAST({n} AS STRING), '-', CAST(event_id AS STRING)), 'PkgName', concat('pkg', CAST(event_id % 40 AS STRING)), "
+         "'InstalledVersion', CASE WHEN event_id % 4 = 0 THEN NULL ELSE '1.0' END, 'FixedVersion', CASE WHEN event_id % 3 = 0 THEN NULL ELSE '1.1' END, "
+         "'Severity', {s}, 'Title', concat(event_type, ' issue'))")
+_LEVEL_OF_VALUE = "CASE WHEN value >= 150 THEN 'CRITICAL' WHEN value >= 60 THEN 'high' WHEN value >= 20 THEN 'MEDIUM' ELSE 'LOW' END"
+_THREE = "array(" + ", ".join(_VULN.format(n=n, s=s) for n, s in ((2026, _LEVEL_OF_VALUE), (2024, "'HIGH'"), (2025, "CASE WHEN user_id % 2 = 0 THEN 'critical' END"))) + ")"
+_ONE = "array(" + _VULN.format(n=2023, s=_LEVEL_OF_VALUE) + ")"
+SCAN_REPORT = ("array(named_struct('Target', concat('img-', CAST(user_id % 13 AS STRING)), 'Vulnerabilities', CASE WHEN event_id % 2 = 0 THEN " + _THREE + " END), "
+               "named_struct('Target', CASE WHEN event_id % 5 = 0 THEN NULL ELSE concat('base-', CAST(event_id % 7 AS STRING)) END, 'Vulnerabilities', " + _ONE + "))")
+
+
+def scan_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested scan reports (column ``Results``), as the scanner's files hold them."""
+    return table(spark, sf_dir, "events").selectExpr(f"{SCAN_REPORT} AS Results")
+
+
 # container console logs: job executions "Job-Exec-<n>" and service replicas
 _CONTAINER_LOGS = [
     "ts AS TimeGenerated",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +25,10 @@ def read_raw(spark: SparkSession, path: str, check_empty: bool = True) -> DataFr
 
 def read_clean(spark: SparkSession, path: str, schema: T.StructType | None = None,
                check_empty: bool = True) -> DataFrame:
-    """Clean parquet with an explicit schema; fails when empty."""
+    """Clean parquet with an explicit schema; fails when empty. A table that ``publish`` keeps is read in
+    its current version."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
+    df = reader.parquet(current_path(spark, path))
     if check_empty and df.isEmpty():
         raise EmptyInputError(f"Clean input {path} is empty")
     return df
@@ -97,6 +99,94 @@ def append_files(df: DataFrame, path: str) -> None:
     fs.delete(folder, True)
 
 
+def claim(spark, folder: str, start: int) -> int:
+    """The first number from ``start`` on that nobody else has claimed in ``folder``: a file of that name is
+    created with overwrite off, which one of several writers only can do; the others go on with the next
+    number. (Hadoop's local and HDFS file systems do this as one step.) A claim whose writer dies stays, so
+    its number is never given again."""
+    jvm, number = spark._jvm, start
+    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    while True:
+        try:
+            fs.create(jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}"), False).close()
+            return number
+        except Py4JJavaError as exc:
+            if "FileAlreadyExistsException" not in str(exc.java_exception):
+                raise
+            number += 1
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Published versions of the table ``path``, oldest first (none: not kept by ``publish``)."""
+    fs, folder = _fs(spark, f"{path.rstrip('/')}/_current")
+    if not fs.exists(folder):
+        return []
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder))
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where the rows of the table ``path`` are: the folder of its newest published version, or ``path``
+    itself if it is a plain folder."""
+    known = versions(spark, path)
+    return f"{path.rstrip('/')}/v{known[-1]:012d}" if known else path
+
+
+def publish(df: DataFrame, path: str, keep: int = 2) -> int:
+    """S3 for readers and writers at the same time: the rows go into a folder of their own under ``path``, whose
+    number no other writer has, and one empty pointer file makes them the current version. ``read_clean``
+    finds the earlier version until then and the new one from then on, never none; of several writers at a
+    time each publishes, and the one that came last by number is current. An empty result or a failed write
+    publishes nothing. Versions beyond the newest ``keep`` are removed, pointer last. Returns the number."""
+    if keep < 1:
+        raise ValueError(f"at least one version has to stay, not {keep}")
+    spark, root = df.sparkSession, path.rstrip("/")
+    known = versions(spark, root)
+    number = claim(spark, f"{root}/_claims", known[-1] + 1 if known else 1)
+    folder = f"{root}/v{number:012d}"
+    df.write.parquet(folder)
+    if spark.read.schema(df.schema).parquet(folder).isEmpty():
+        _delete(spark, folder)
+        raise EmptyInputError("Refusing to publish an empty clean frame")
+    fs, pointer = _fs(spark, f"{root}/_current/{number:012d}")
+    fs.create(pointer, False).close()
+    for old in versions(spark, root)[:-keep]:
+        _delete(spark, f"{root}/v{old:012d}")
+        _delete(spark, f"{root}/_current/{old:012d}")
+    return number
+
+
+def compact_files(spark: SparkSession, path: str, schema: T.StructType, files: int = 1, stale_seconds: int = 3600) -> int:
+    """Fold the many small files of an append-only table (``append_files``) into ``files`` ones; returns how many
+    files were folded (0: nothing to do, or another compaction runs). Appenders may go on: only files listed at
+    the start are folded. The folded rows come in before the files they stand for go, so a reader may for a
+    moment see a record twice, never miss one; whole-row duplicates that a compaction left when it died in
+    between leave with the next one. A reader whose file list is older than that has to list again."""
+    root = path.rstrip("/")
+    fs, table = _fs(spark, root)
+    if not fs.exists(table):
+        return 0
+    names = sorted(s.getPath().getName() for s in fs.listStatus(table))
+    small = [f"{root}/{n}" for n in names if n.endswith(".parquet")]
+    if len(small) <= files:
+        return 0
+    _, lock = _fs(spark, f"{root}/_compacting")
+    if fs.exists(lock) and datetime.now().timestamp() - fs.getFileStatus(lock).getModificationTime() / 1000 > stale_seconds:
+        fs.delete(lock, False)   # its owner is gone
+    try:
+        fs.create(lock, False).close()
+    except Py4JJavaError as exc:
+        if "FileAlreadyExistsException" not in str(exc.java_exception):
+            raise
+        return 0
+    try:
+        append_files(spark.read.schema(schema).parquet(*small).dropDuplicates().repartition(files), root)
+        for name in small:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(name), False)
+    finally:
+        fs.delete(lock, False)
+    return len(small)
+
+
 def write_batch(df: DataFrame, folder: str, n: int, order_by: list[str],
                 prefix: str = "batch", compression: str = "zstd", now: datetime | None = None) -> str:
     """The first ``n`` rows (explicit order, top-k plan) as a zstd parquet

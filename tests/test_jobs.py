@@ -52,3 +52,11 @@ def test_empty_clean_result_leaves_the_earlier_table(spark, tmp_dir):
     assert before and sorted(map(str, spark.read.parquet(path).collect())) == before
     sio.write_clean(spark.read.parquet(path).limit(3), path)   # reads the table it replaces
     assert spark.read.parquet(path).count() == 3
+
+
+def test_cleaning_job_publishes_versions(spark, tmp_dir):
+    fx.acs_raw(spark, SF0001).write.parquet(f"{tmp_dir}/raw/monthly/jan.parquet")
+    out = run_cleaning(spark, tmp_dir, "raw/monthly/jan.parquet", tmp_dir, f"{tmp_dir}/ledger", CENSUS.with_passthrough("k"), versioned=True)
+    path = f"{tmp_dir}/{out['clean_blob_name']}"
+    assert sio.versions(spark, path) == [1]
+    assert sio.read_clean(spark, path).count() == out["transform_metrics"]["output_rows"] > 0

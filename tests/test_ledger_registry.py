@@ -1,3 +1,5 @@
+import glob
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -161,3 +163,46 @@ def test_digests(spark, tmp_dir):
     split = [spark.createDataFrame([r], "x string, y string") for r in (("a,1:b", "c"), ("a", "1:b,c"), ("a,1:b,1:c", None))]
     assert len({ln.table_digest(x).first()["sha256"] for x in split}) == 3
     assert ln.lineage(git_sha="abc")["git_sha"] == "abc" and ln.lineage()["container_image_digest"] is None
+
+
+def test_published_versions(spark, tmp_dir):
+    path, rows = f"{tmp_dir}/clean", lambda n: spark.range(n).withColumnRenamed("id", "k")
+    assert sio.current_path(spark, path) == path   # nothing published: a plain folder
+    assert [sio.publish(rows(n), path) for n in (3, 5, 7)] == [1, 2, 3]
+    assert sio.versions(spark, path) == [2, 3] and sio.read_clean(spark, path).count() == 7
+    before = sio.read_clean(spark, path)   # a reader that came before the next version
+    with pytest.raises(sio.EmptyInputError):
+        sio.publish(rows(0), path)
+    assert sio.read_clean(spark, path).count() == 7   # an empty result publishes nothing, its number is gone
+    assert sio.publish(rows(9), path) == 5 and before.count() == 7
+    with pytest.raises(ValueError):
+        sio.publish(rows(1), path, keep=0)
+
+
+def test_publishers_at_a_time(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+    path = f"{tmp_dir}/clean"
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda n: sio.publish(spark.range(n), path, keep=4), (1, 2, 3, 4)))
+    assert sorted(got) == [1, 2, 3, 4] == sio.versions(spark, path)
+    assert sio.read_clean(spark, path).count() == got.index(4) + 1
+
+
+def test_ledger_compaction(spark, tmp_dir):
+    path = f"{tmp_dir}/ledger"
+    assert le.compact_runs(spark, path) == 0
+    for i in range(4):
+        le.append_runs(le.run_record(spark, f"raw/{i % 2}", "cleaning", le.STATUS_COMPLETED, f"r{i}"), path)
+    records = sorted(r.run_id for r in le.read_runs(spark, path).collect())
+    latest = sorted(le.latest_runs(le.read_runs(spark, path)).collect())
+    open(f"{path}/_compacting", "w").close()
+    assert le.compact_runs(spark, path) == 0   # another one runs
+    os.utime(f"{path}/_compacting", (0, 0))
+    assert le.compact_runs(spark, path) == 4   # it died long ago
+    assert len(glob.glob(f"{path}/*.parquet")) == 1 and not os.path.exists(f"{path}/_compacting")
+    assert sorted(r.run_id for r in le.read_runs(spark, path).collect()) == records == ["r0", "r1", "r2", "r3"]
+    assert sorted(le.latest_runs(le.read_runs(spark, path)).collect()) == latest
+    # one that died after its rows came in leaves records twice until the next compaction
+    le.append_runs(le.read_runs(spark, path), path)
+    assert sorted(le.latest_runs(le.read_runs(spark, path)).collect()) == latest
+    assert le.compact_runs(spark, path) == 2 and le.read_runs(spark, path).count() == 4
