@@ -1,12 +1,15 @@
 """WARC archives: records with revisits for equal payloads, and an index merged from sorted runs.
 
-``write`` makes gzip-compressed WARC 1.1 files with Spark's text writer: a record is one string, the blank
-lines after it are the line separator, so files go to any file system that Spark knows. Of records with
-equal payloads that with the largest id is the response, the others are revisits without payload.
-``read_runs`` reads the archives back record by record; the captures of a file, sorted by URL key,
+``write`` makes WARC 1.1 files of one gzip member a record, so that a record is read by seeking to its place
+in the packed file. Tasks pack the records and number files by the bytes written (``FILE_BYTES``); Spark's
+text writer stores the members, so files go to any file system that Spark knows and appear only when a task
+commits. The writer wants a separator between its lines: an empty gzip member, which unpacks to nothing. Of
+records with equal payloads that with the largest id is the response, the others are revisits without
+payload. ``read_runs`` reads the archives back record by record; the captures of a file, sorted by URL key,
 timestamp and id, are a run. ``merge`` deals the runs out by ranges of that order (ranges split a frequent
-key too) and merges what each range has of the runs with a loser tree. Ranges and rows in them are
-numbered, which is the global order.
+key too; their number follows the number of captures) and merges what each range has of the runs with a
+loser tree. Ranges and rows in them are numbered, which is the global order. ``offset`` and ``length`` of a
+capture are those of its member in ``file``, a path under the folder of the archives.
 
 Defined results: a null payload counts as empty; null or odd URLs give the URL itself as key (null: empty);
 line breaks in a URL are written as %0D and %0A; rows that share an id and payload are records of one
@@ -21,7 +24,9 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -29,11 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.llm.common import written
+from tabspark.llm.common import text_slices, written
 from tabspark.session import scratch_path
 
 END = "\r\n\r\n"
-RECORDS_A_FILE, SALT = 5000, 16
+SALT = 16
+FILE_BYTES = 64 << 20  # a file holds less than this and one record more
+RANGE_ROWS = 100_000   # captures a range should hold, which a task merges at a time
+NO_MEMBER = gzip.compress(b"", mtime=0)
 FIELDS = "page_id {kind}, url string, captured string, record_type string, refers_to {kind}, payload_bytes long, payload_digest string, file string, offset long, length long, url_key string"
 
 
@@ -49,8 +57,9 @@ def records(pages: DataFrame, key: str, url: str, payload: str, captured: Column
     body = F.encode(F.col("payload"), "UTF-8")
     rows = pages.select(F.col(key).alias("id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"), captured.alias("at")).withColumn("digest", digest(body))
     shared = rows.groupBy("digest").agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
-    # a payload that very many rows share is dealt out over SALT keys
-    shared = shared.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    # written, so that Spark knows its size: a small table is broadcast and no payload is shuffled for the join;
+    # else a payload that very many rows share is dealt out over SALT keys
+    shared = written(shared, "shared").select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     rows = rows.withColumn("salt", F.coalesce(F.pmod(F.hash("id"), F.lit(SALT)), F.lit(0))).join(shared, ["digest", "salt"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("payload").cast("string"), F.lit(END))
@@ -66,10 +75,28 @@ def records(pages: DataFrame, key: str, url: str, payload: str, captured: Column
     return rows.select(F.concat(head, block).alias("value"))
 
 
+def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Records as gzip members, with the number of the file they belong to."""
+    held = roll = 0
+    for batch in batches:
+        texts = batch["value"].tolist()
+        for part in text_slices(texts):
+            rolls, out = [], []
+            for text in texts[part]:
+                out.append(gzip.compress((text + END).encode("utf-8", "surrogatepass"), 6, mtime=0))
+                rolls.append(roll)
+                held += len(out[-1]) + len(NO_MEMBER)
+                if held >= FILE_BYTES:
+                    held, roll = 0, roll + 1
+            yield pd.DataFrame({"roll": rolls, "value": pd.Series(out, dtype=object)})
+
+
 def write(pages: DataFrame, path: str, captured: Column, key: str = "page_id", url: str = "url", payload: str = "html") -> None:
     """WARC files under ``path``; ``captured`` is each row's time."""
-    lines = records(pages, key, url, payload, captured)
-    lines.write.option("compression", "gzip").option("lineSep", END).option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
+    members = records(pages, key, url, payload, captured).mapInPandas(pack, "roll int, value binary")
+    # the cast keeps the bytes as they are
+    lines = members.select("roll", F.col("value").cast("string").alias("value"))
+    lines.write.partitionBy("roll").option("encoding", "ISO-8859-1").option("lineSep", NO_MEMBER.decode("latin-1")).text(path)
 
 
 def url_key(url: str) -> str:
@@ -86,51 +113,63 @@ def url_key(url: str) -> str:
         return url
 
 
-def parse(stream) -> Iterator[tuple[dict[str, str], int, int, str, int]]:
-    """Records of an uncompressed stream: headers, offset, length, payload digest, payload bytes. The
-    payload of a response is read and its digest made anew; a revisit's are those of its headers."""
-    offset = 0
+def members(content: bytes, step: int = 1 << 14) -> Iterator[tuple[int, int, bytes]]:
+    """Gzip members of a packed file: offset, length and unpacked bytes of those that hold any."""
+    at = 0
+    while at < len(content):
+        unpack, start, out = zlib.decompressobj(31), at, []
+        while not unpack.eof:
+            if at >= len(content):
+                raise ValueError(f"member at {start} is cut short")
+            out.append(unpack.decompress(content[at:at + step]))
+            at = min(at + step, len(content))
+        at -= len(unpack.unused_data)
+        if data := b"".join(out):
+            yield start, at - start, data
+
+
+def parse(stream) -> Iterator[tuple[dict[str, str], str, int]]:
+    """Records of an unpacked stream: headers, payload digest, payload bytes. The payload of a response is read
+    and its digest made anew; a revisit's are those of its headers."""
     while line := stream.readline():
         if line in (b"\r\n", b"\n"):
-            offset += len(line)
             continue
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record at {offset}")
-        size, head = len(line), {}
+            raise ValueError(f"no WARC record: {line[:40]!r}")
+        head = {}
         while (line := stream.readline()) not in (b"\r\n", b""):
-            size += len(line)
             name, _, value = line.decode("utf-8").partition(":")
             head[name.lower()] = value.strip()
         block = stream.read(int(head["content-length"]))
         if len(block) != int(head["content-length"]):
-            raise ValueError(f"record at {offset} is cut short")
-        size += len(line) + len(block)
+            raise ValueError("a record is cut short")
         http, _, payload = block.partition(b"\r\n\r\n")
         if head["warc-type"] == "response":
-            yield head, offset, size, base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
+            yield head, base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
         else:
             length = next((int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), 0)
-            yield head, offset, size, head.get("warc-payload-digest", "").removeprefix("sha1:"), length
-        offset += size
+            yield head, head.get("warc-payload-digest", "").removeprefix("sha1:"), length
 
 
 def read_runs(spark: SparkSession, path: str, kind: str = "long") -> DataFrame:
-    """Captures of the archives under ``path``, those of each file as a sorted run."""
+    """Captures of the archives under ``path``, those of each file as a sorted run. A task holds one file,
+    which ``FILE_BYTES`` bounds, and unpacks a record at a time."""
     number = (lambda x: int(x) if x else None) if kind in ("long", "bigint", "int") else (lambda x: x or None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f.split(" ")[0] for f in FIELDS.split(", ")]
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"], strict=True):
-                rows = []
-                for head, offset, length, found, size in parse(gzip.GzipFile(fileobj=io.BytesIO(content))):
-                    id_, refers = (number(head.get(h, "").removeprefix("<urn:x-capture:").removesuffix(">")) for h in ("warc-record-id", "warc-refers-to"))
-                    url = head["warc-target-uri"]
-                    rows.append((id_, url, head["warc-date"], head["warc-type"], refers, size, found, file.rpartition("/")[2], offset, length, url_key(url)))
+                rows, under = [], "/".join(file.split("/")[-2:])
+                for offset, length, data in members(content):
+                    for head, found, size in parse(io.BytesIO(data)):
+                        id_, refers = (number(head.get(h, "").removeprefix("<urn:x-capture:").removesuffix(">")) for h in ("warc-record-id", "warc-refers-to"))
+                        url = head["warc-target-uri"]
+                        rows.append((id_, url, head["warc-date"], head["warc-type"], refers, size, found, under, offset, length, url_key(url)))
                 rows.sort(key=order_of)
                 yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     return files.mapInPandas(run, FIELDS.format(kind=kind))
 
 
@@ -173,9 +212,9 @@ class LoserTree:
             self._play(w)
 
 
-def merge(runs: DataFrame) -> DataFrame:
-    """The runs in global order: ``merge_part`` numbers the range, ``merge_row`` the row in it. A task
-    holds the index rows of one range (no payloads)."""
+def merge(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The runs in global order: ``merge_part`` numbers the range, ``merge_row`` the row in it. A task holds the
+    index rows of one range (no payloads), about ``range_rows`` of them however many captures there are."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by_run: dict[str, list[tuple]] = {}
@@ -184,13 +223,18 @@ def merge(runs: DataFrame) -> DataFrame:
             names = list(batch.columns)
             for row in zip(*(batch[c].astype(object).where(batch[c].notna(), None).tolist() for c in names), strict=True):
                 by_run.setdefault(row[7], []).append(row)
-        merged = list(LoserTree([sorted(r, key=order_of) for _, r in sorted(by_run.items())], order_of))  # sorted() of a sorted run is one pass
-        if merged:
-            out = pd.DataFrame(merged, columns=names, dtype=object)
-            yield out.assign(merge_part=TaskContext.get().partitionId(), merge_row=range(len(out)))
+        merged = iter(LoserTree([sorted(r, key=order_of) for _, r in sorted(by_run.items())], order_of))  # sorted() of a sorted run is one pass
+        at = 0
+        while rows := list(islice(merged, 10_000)):
+            out = pd.DataFrame(rows, columns=names, dtype=object)
+            yield out.assign(merge_part=TaskContext.get().partitionId(), merge_row=range(at, at + len(rows)))
+            at += len(rows)
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema)
-    ranged = runs.repartitionByRange("url_key", "captured", "page_id")
+    order = ("url_key", "captured", "page_id")
+    wanted = -(-runs.count() // range_rows)
+    usual = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = runs.repartitionByRange(wanted, *order) if wanted > usual else runs.repartitionByRange(*order)
     return ranged.mapInPandas(run, f"{schema}, merge_part int, merge_row long")
 
 

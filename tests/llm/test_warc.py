@@ -1,7 +1,11 @@
 import base64
+import glob
+import gzip
 import hashlib
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabspark.llm import warc
@@ -19,6 +23,47 @@ def test_url_keys():
     assert [warc.url_key(u) for u in ("", "not a url", "http://[x")] == ["", "not a url", "http://[x"]
 
 
+def test_members_of_a_packed_file():
+    r = random.Random(3)
+    texts = [bytes(r.choices(b"abc\r\n", k=r.choice([1, 30, 5_000, 200_000]))) for _ in range(40)]
+    packed = b"".join(gzip.compress(t, mtime=0) + warc.NO_MEMBER for t in texts)
+    for step in (1 << 14, 100, 1 << 20):
+        got = list(warc.members(packed, step))
+        assert [d for _, _, d in got] == texts
+        assert [gzip.decompress(packed[o:o + n]) for o, n, _ in got] == texts
+    with pytest.raises(ValueError):
+        list(warc.members(packed[:-25]))
+    assert list(warc.members(b"")) == []
+
+
+def test_records_are_fetched_by_their_place_and_files_roll_by_bytes(spark, tmp_path, monkeypatch):
+    r = random.Random(4)
+    rows = [(i, f"http://h{i % 3}.org/{i}", "".join(r.choices("abcdefgh \u00e9<>", k=3_000)) if i % 4 else "same") for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    monkeypatch.setattr(warc, "FILE_BYTES", 10_000)
+    path, pack = str(tmp_path / "archives"), warc.pack
+
+    def small(batches):   # the bound goes with the function to the tasks
+        warc.FILE_BYTES = 10_000
+        yield from pack(batches)
+
+    monkeypatch.setattr(warc, "pack", small)
+    warc.write(df, path, F.timestamp_seconds(F.col("page_id")))
+    files = glob.glob(f"{path}/roll=*/part-*")
+    assert len(files) > 6 and max(map(os.path.getsize, files)) < 10_000 + 6_000
+    index = warc.merge(warc.read_runs(spark, path), range_rows=5).collect()
+    assert len(index) == 60 and len({x.merge_part for x in index}) > spark.sparkContext.defaultParallelism
+    for x in index:
+        with open(f"{path}/{x.file}", "rb") as f:
+            f.seek(x.offset)
+            record = gzip.decompress(f.read(x.length)).decode()
+        assert f"<urn:x-capture:{x.page_id}>" in record and record.endswith("\r\n\r\n")
+        if x.record_type == "response":
+            assert record.endswith("\r\n\r\n" + rows[x.page_id][2] + "\r\n\r\n")
+    index.sort(key=lambda x: (x.merge_part, x.merge_row))
+    assert [x.url_key for x in index] == sorted(x.url_key for x in index)
+
+
 def test_round_trip(spark):
     r = random.Random(2)
     rows = [(i, f"http://h{i % 3}.org/{r.randrange(9)}", r.choice(["<p>é</p>\r\n\r\nWARC/1.1\r\n", "", None, "x" * 50_000, f"<b>{i}</b>\n"]), i) for i in range(200)]
