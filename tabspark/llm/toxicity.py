@@ -272,7 +272,8 @@ def train(documents: DataFrame, labels: DataFrame, use: Column, toxic: int = TOX
     if not len(got):
         return scorer
     # in an order of their own, so that sums do not depend on which task came first
-    rows = sorted(zip(got["toxic"].tolist(), map(bytes, got["buckets"]), got["buckets"], strict=True), key=lambda r: r[:2])
+    buckets = [np.asarray(b, np.int32) for b in got["buckets"]]  # lists, where results are not collected by Arrow
+    rows = sorted(zip(got["toxic"].tolist(), [b.tobytes() for b in buckets], buckets, strict=True), key=lambda r: r[:2])
     return scorer.fit([r[2] for r in rows], np.array([r[0] for r in rows], np.float64))
 
 

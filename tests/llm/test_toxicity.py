@@ -112,3 +112,21 @@ def test_many_stars_are_bounded():
     assert reader.read("*".join("stupid" * 200)) == reader.read("_".join("stupid" * 200))
     reader.read("a*****b"), reader.read("a*****b")
     assert time.time() - start < 20
+
+
+def test_trains_alike_with_and_without_arrow(spark):
+    r = random.Random(7)
+    plain = lambda: " ".join(r.choice(["the", "river", "was", "wide", "and", "calm", "today"]) for _ in range(r.randint(3, 20)))
+    docs = [(i, plain() + (" m0r0n " if i % 4 == 0 else " ") + plain()) for i in range(80)] + [(200, ""), (201, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)] + [(200, 0), (201, 1)], "doc_id long, toxic int")
+    key, got = "spark.sql.execution.arrow.pyspark.enabled", {}
+    before = spark.conf.get(key)
+    try:
+        for arrow in ("true", "false"):  # a session need not collect by Arrow
+            spark.conf.set(key, arrow)
+            got[arrow] = {x.doc_id: (x.score, x.predicted) for x in tx.score(df, tx.train(df, labels, F.lit(True))).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got["true"] == got["false"]
+    assert all(got["false"][i][1] == (i % 4 == 0) for i in range(80))
