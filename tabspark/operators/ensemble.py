@@ -111,13 +111,14 @@ def margins(rows: pd.Series, trees: list[tuple[np.ndarray, ...]], start: float,
 def joined_margins(df: DataFrame, nodes: DataFrame, key: list[str], values: str, depth: int) -> DataFrame:
     """Per row of ``key`` its margin, by joins: every row stands at the root of every tree, and goes down one
     level a join until no split is left; ``depth`` is the deepest tree's number of levels. ``values`` is the
-    array of features. The sum is taken in fixed point, so it is the same in any order."""
+    array of features. The nodes, as large as a model, are broadcast: rows stay where they are until their
+    leaves are summed by key. The sum is taken in fixed point, so it is the same in any order."""
     trees = nodes.select("tree").distinct().agg(F.sort_array(F.collect_list("tree")).alias("t")).first()["t"]
     at = df.select(*key, F.col(values).alias("_x"), F.explode(F.array(*map(F.lit, trees))).alias("tree"), F.lit(0).alias("node"))
     for _ in range(depth):
-        here = at.join(nodes.drop("value"), ["tree", "node"])
+        here = at.join(F.broadcast(nodes.drop("value")), ["tree", "node"])
         below = F.get("_x", F.col("feature")) <= F.col("threshold")
         step = F.when(F.col("feature") == LEAF, F.col("node")).when(below, F.col("left")).otherwise(F.col("right"))
         at = here.select(*key, "_x", "tree", step.alias("node"))
-    leaves = at.join(nodes.select("tree", "node", "value"), ["tree", "node"])
+    leaves = at.join(F.broadcast(nodes.select("tree", "node", "value")), ["tree", "node"])
     return leaves.groupBy(*key).agg(F.sum(F.col("value").cast("decimal(30,15)")).cast("double").alias("margin"))

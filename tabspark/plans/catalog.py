@@ -407,7 +407,9 @@ def q_ensemble_scores(spark, sf_dir):
     depth = 3   # levels of the deepest fixed tree
     walked = sc.score(encoded, Ensemble.from_table(nodes), CFG.threshold, "fixed-1", keep=["k", "split", "margin"])
     joined = joined_margins(encoded.select("k", vector_to_array("features").alias("x")), nodes, ["k"], "x", depth)
-    return walked.join(joined.withColumnRenamed("margin", "joined_margin"), "k").withColumn("score", F.round("score", 9))
+    # both sides hold every row: encoded files are small for their rows, and would be broadcast by their size
+    both = walked.join(joined.withColumnRenamed("margin", "joined_margin").hint("merge"), "k")
+    return both.withColumn("score", F.round("score", 9))
 
 
 def q_feature_importance(spark, sf_dir):

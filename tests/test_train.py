@@ -143,6 +143,33 @@ def test_table_and_both_scorers_agree(spark):
     assert none[0]["margin"] is None and none[0]["prediction"] is None and none[1]["margin"] == want[0]
 
 
+def _broadcast_inputs(df):
+    """The operators below each broadcast of a plan."""
+    lines, found = df._jdf.queryExecution().executedPlan().toString().splitlines(), []
+    place = [len(x) - len(x.lstrip(" :+-*")) for x in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if place[j] <= place[i]), len(lines))
+            found.append("\n".join(lines[i + 1 : end]))
+    return found
+
+
+def test_rows_are_not_broadcast(spark, tmp_dir):
+    """Tables small on disk for their rows: only nodes are broadcast, and no row is sent to the task of its node."""
+    spark.range(3000).selectExpr("id AS k", "array(0.4D, -0.5D, 2.0D, 0.0D) AS f").write.parquet(f"{tmp_dir}/rows")
+    got = joined_margins(spark.read.parquet(f"{tmp_dir}/rows"), ENSEMBLE.table(spark), ["k"], "f", 3)
+    assert "hashpartitioning(tree" not in got._jdf.queryExecution().executedPlan().toString()
+    inputs = _broadcast_inputs(got)
+    assert len(inputs) == 4 and not any("Generate" in x or "FileScan" in x for x in inputs)
+    assert got.count() == 3000 and {r["margin"] for r in got.collect()} == {_walk([0.4, -0.5, 2.0, 0.0])}
+
+
+def test_ensemble_scores_broadcasts_no_rows(spark):
+    from tabspark.plans import catalog
+    inputs = _broadcast_inputs(catalog.q_ensemble_scores(spark, "/root/testdata/sf0.001"))
+    assert inputs and not any("Generate" in x or "FileScan" in x or "ArrowEvalPython" in x for x in inputs)
+
+
 def test_fitted_trees_score_as_spark_does(spark):
     df = _noisy(spark, 200, 3)
     rows = df.select("features", F.col("TARGET").cast("double").alias("_target"), F.lit(1.0).alias("_weight"))
