@@ -89,6 +89,28 @@ def test_early_stopping_rounds_decides_where_fitting_ends(spark):
     assert again.history == pytest.approx(made[8].history[:6], abs=1e-9)
 
 
+def test_large_inputs_are_dealt_evenly_and_kept(spark, monkeypatch):
+    """Inputs of more than one task: the same fit, from even partitions kept by the executors, and none kept after it."""
+    train, val = _noisy(spark, 300, 5).coalesce(1), _noisy(spark, 150, 6)
+    cfg = TrainingConfig(num_boost_round=7, min_data_in_leaf=5, learning_rate=0.3, extra={"max_depth": 2})
+    whole = tr.train(train, val, cfg, block=7)
+    held, hold = [], tr.Kept.hold
+
+    def watched(self, df):
+        out = hold(self, df)
+        held.append((out.storageLevel.useMemory and out.storageLevel.useDisk, sorted(out.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect())))
+        return out
+
+    monkeypatch.setattr(tr.Kept, "hold", watched)
+    monkeypatch.setattr(tr, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(tr, "KEPT", 3)
+    again = tr.train(train, val, cfg, block=4)
+    assert again.history == pytest.approx(whole.history, abs=1e-9) and again.trees == whole.trees
+    assert len(held) == 3 and all(kept for kept, _ in held)  # rounds 1 and 4 of the first block, 1 (and no more) of the second
+    assert all(sum(rows) == 300 and min(rows) >= 90 for _, rows in held)
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
 def test_first_round_is_the_newton_step(spark):
     """One round on one feature against the closed form: leaf = sum(y - p) / sum(p (1 - p))."""
     rows = [([0.0], 0)] * 30 + [([0.0], 1)] * 10 + [([1.0], 1)] * 35 + [([1.0], 0)] * 5
