@@ -245,9 +245,9 @@ def char_model(df: DataFrame, text: str = "text") -> CharModel:
         at = np.flatnonzero(total)
         yield pd.DataFrame({"gram": at.astype(np.int32), "n": total[at].astype(np.int64)})
 
-    rows = df.select(F.col(text).alias("text")).mapInPandas(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    rows = df.select(F.col(text).alias("text")).mapInPandas(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     grams = np.zeros(SYMBOLS**ORDER)
-    grams[rows["gram"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
+    grams[rows["gram"].to_numpy()] = rows["n"].to_numpy()
     return CharModel(grams)
 
 
@@ -268,12 +268,11 @@ def train(documents: DataFrame, labels: DataFrame, use: Column, toxic: int = TOX
             yield pd.DataFrame({"toxic": batch["toxic"], "buckets": found})
 
     rows = documents.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
-    got = rows.select("toxic", "text").mapInPandas(run, "toxic int, buckets array<int>").toPandas()
+    got = rows.select("toxic", "text").mapInPandas(run, "toxic int, buckets array<int>").toArrow().to_pandas()  # by Arrow in any session: numbers, not objects
     if not len(got):
         return scorer
     # in an order of their own, so that sums do not depend on which task came first
-    buckets = [np.asarray(b, np.int32) for b in got["buckets"]]  # lists, where results are not collected by Arrow
-    rows = sorted(zip(got["toxic"].tolist(), [b.tobytes() for b in buckets], buckets, strict=True), key=lambda r: r[:2])
+    rows = sorted(zip(got["toxic"].tolist(), map(bytes, got["buckets"]), got["buckets"], strict=True), key=lambda r: r[:2])
     return scorer.fit([r[2] for r in rows], np.array([r[0] for r in rows], np.float64))
 
 
