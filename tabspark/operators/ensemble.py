@@ -96,13 +96,18 @@ def margins(rows: pd.Series, trees: list[tuple[np.ndarray, ...]], start: float,
     """Margin of each row of picked features (null: NaN, which Arrow hands on as null)."""
     given = rows.notna().to_numpy()
     x = np.array([np.asarray(v, np.float64) for v in rows[given]], np.float64).reshape(int(given.sum()), width)
-    total, every = np.full(len(x), start), np.arange(len(x))
+    if not width:  # no split anywhere
+        x, width = np.zeros((len(x), 1)), 1
+    total, flat, first = np.full(len(x), start), x.reshape(-1), np.arange(len(x)) * width
     for feature, threshold, left, right, value in trees:
-        at = np.zeros(len(x), np.int64)
-        while (inner := feature[at] != LEAF).any():
-            below = x[every, np.where(inner, feature[at], 0)] <= threshold[at]
-            at = np.where(inner, np.where(below, left[at], right[at]), at)
-        total += value[at]
+        leaf, places = feature == LEAF, np.arange(len(feature))
+        column, below = np.where(leaf, 0, feature), np.stack([np.where(leaf, places, right), np.where(leaf, places, left)], 1)
+        at, there = np.zeros(len(x), np.int64), np.zeros(1, np.int64)
+        below, kids = below.reshape(-1), below
+        while not leaf[there].all():  # a level down; rows at a leaf stay
+            at = below.take(2 * at + (flat.take(first + column.take(at)) <= threshold.take(at)))
+            there = np.unique(kids[there])
+        total += value.take(at)
     out = np.full(len(rows), np.nan)
     out[given] = total
     return out
